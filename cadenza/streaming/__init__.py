@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workload this package re-creates is batch only: it has no unbounded
+source, watermark, event-time window or stateful operator. Nothing is built
+here on purpose; every operator in :mod:`cadenza.operators` is a pure
+``DataFrame -> DataFrame`` function, so it can also be applied inside
+``foreachBatch`` of a Structured Streaming query without change.
+"""
