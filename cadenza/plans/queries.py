@@ -60,3 +60,57 @@ QUALIFY row_number() OVER (ORDER BY s DESC, track_id) <= 100""")
 def a18_most_played(spark, sf_dir):
     t = _t(spark, sf_dir)
     return popularity_ranking(plays(t.orders, t.lineitem), "track_id", "count", 100)
+
+
+# ------------------------------------------------------------------ search
+from cadenza.plans import search as SE  # noqa: E402
+
+_SCALED = """scaled AS (SELECT CAST(vec_id AS INTEGER) AS id,
+    list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) * (1 + vec_id % 7) AS FLOAT)) AS features FROM embeddings),
+base AS (SELECT CAST(vec_id AS INTEGER) AS id, embedding AS features FROM embeddings)"""
+
+
+def _topk_sql(score: str, k: int, where: str = "") -> str:
+    return f"""WITH {_SCALED},
+s AS (SELECT q.id AS qid, i.id AS iid, {score} AS score FROM base q, scaled i {where}),
+r AS (SELECT qid, iid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, iid) - 1 AS pos FROM s)
+SELECT CAST(qid AS BIGINT) AS qid, CAST(pos AS INTEGER) AS pos, CAST(iid AS BIGINT) AS iid, round(score, 6) AS score
+FROM r WHERE pos < {k}"""
+
+
+_DOT = "list_inner_product(CAST(q.features AS DOUBLE[]), CAST(i.features AS DOUBLE[]))"
+_COS = "list_cosine_similarity(CAST(q.features AS DOUBLE[]), CAST(i.features AS DOUBLE[]))"
+
+
+def _round_score(df):
+    return df.withColumn("score", F.round("score", 6))
+
+
+@register("j7_dot_top_k", _topk_sql(_DOT, 10))
+def j7_dot_top_k(spark, sf_dir):
+    return _round_score(SE.exact_dot_search(_t(spark, sf_dir), k=10, query_block=128, item_block=256))
+
+
+@register("n1_exact_search_cosine", _topk_sql(_COS, 10))
+def n1_exact_search_cosine(spark, sf_dir):
+    return _round_score(SE.exact_cosine_search(_t(spark, sf_dir), k=10, query_block=128, item_block=256))
+
+
+@register("t1_top_k_500", _topk_sql(_DOT, 500))
+def t1_top_k_500(spark, sf_dir):
+    return _round_score(SE.exact_dot_search(_t(spark, sf_dir), k=500, query_block=128, item_block=256))
+
+
+@register("n4_batched_lists", f"""WITH {_SCALED},
+q AS (SELECT * FROM base WHERE id IN (SELECT CAST(o_custkey AS INTEGER) FROM orders)),
+s AS (SELECT q.id AS qid, i.id AS iid, {_DOT} AS score FROM q, scaled i),
+r AS (SELECT qid, iid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, iid) - 1 AS pos FROM s)
+SELECT CAST(qid AS INTEGER) AS id, string_agg(CAST(iid AS VARCHAR), ',' ORDER BY pos) AS items
+FROM r WHERE pos < 5 GROUP BY qid""")
+def n4_batched_lists(spark, sf_dir):
+    return SE.batched_lists(_t(spark, sf_dir), k=5, query_block=128, item_block=256)
+
+
+@register("m6_als_eval")
+def m6_als_eval(spark, sf_dir):
+    return R.als_eval(spark, sf_dir)
