@@ -74,7 +74,7 @@ def _topk_sql(score: str, k: int, where: str = "") -> str:
     return f"""WITH {_SCALED},
 s AS (SELECT q.id AS qid, i.id AS iid, {score} AS score FROM base q, scaled i {where}),
 r AS (SELECT qid, iid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, iid) - 1 AS pos FROM s)
-SELECT CAST(qid AS BIGINT) AS qid, CAST(pos AS INTEGER) AS pos, CAST(iid AS BIGINT) AS iid, round(score, 6) AS score
+SELECT CAST(qid AS BIGINT) AS qid, CAST(pos AS INTEGER) AS pos, CAST(iid AS BIGINT) AS iid, round_even(score, 6) AS score
 FROM r WHERE pos < {k}"""
 
 
@@ -83,7 +83,7 @@ _COS = "list_cosine_similarity(CAST(q.features AS DOUBLE[]), CAST(i.features AS
 
 
 def _round_score(df):
-    return df.withColumn("score", F.round("score", 6))
+    return df.withColumn("score", F.bround("score", 6))
 
 
 @register("j7_dot_top_k", _topk_sql(_DOT, 10))
@@ -114,3 +114,198 @@ def n4_batched_lists(spark, sf_dir):
 @register("m6_als_eval")
 def m6_als_eval(spark, sf_dir):
     return R.als_eval(spark, sf_dir)
+
+
+# --------------------------------------------------------------- features
+from cadenza.functions import genre_label, recode_genre, year_of_date  # noqa: E402
+from cadenza.operators import features as FE  # noqa: E402
+from cadenza.sources import tables as TB  # noqa: E402
+
+
+def _c1(t):
+    extras = FE.clean_extras(TB.acoustic_extras(t.lineitem))
+    return FE.catalogue_features(TB.catalog(t.part), TB.artist_term(t.part),
+                                 TB.artist_location(t.nation, t.region), extras)
+
+
+def _round_doubles(df, decimals=6):
+    return df.select(*[F.bround(c, decimals).alias(c) if tp in ("double", "float") else F.col(c)
+                       for c, tp in df.dtypes])
+
+
+@register("c1_catalogue_features", "WITH " + S.C1 + """
+SELECT track_id, title, artist_id, release, duration, array_to_string(term, ',') AS term, latitude, longitude,
+       location, loudness, song_hotttnesss, tempo
+FROM c1""")
+def c1_catalogue_features(spark, sf_dir):
+    return _c1(_t(spark, sf_dir)).withColumn("term", F.array_join("term", ","))
+
+
+@register("a2_terms_per_artist", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + """
+SELECT artist_id, array_to_string(term, ',') AS term FROM terms""")
+def a2_terms_per_artist(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return FE.list_per_key(TB.artist_term(t.part), "artist_id", "term").withColumn("term", F.array_join("term", ","))
+
+
+@register("p7_first_term", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + """
+SELECT artist_id, term[1] AS first_term FROM terms""")
+def p7_first_term(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return FE.list_per_key(TB.artist_term(t.part), "artist_id", "term").select(
+        "artist_id", FE.first_element("term").alias("first_term"))
+
+
+_REC, _LAB = S.genre_case("term")
+
+
+@register("p6_genre_recode", f"""WITH terms AS (SELECT DISTINCT lower(p_name) AS term FROM part
+  UNION SELECT DISTINCT lower(p_type) FROM part UNION SELECT DISTINCT lower(n_name) FROM nation)
+SELECT term, {_REC} AS recoded, {_LAB} AS genre FROM terms""")
+def p6_genre_recode(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    terms = (t.part.select(F.lower("p_name").alias("term"))
+             .union(t.part.select(F.lower("p_type"))).union(t.nation.select(F.lower("n_name"))).distinct())
+    return terms.select("term", recode_genre("term").alias("recoded"), genre_label("term").alias("genre"))
+
+
+_ITEM_TERMS = """item_terms AS (SELECT CAST(e.vec_id AS INTEGER) AS id, t.term
+    FROM embeddings e LEFT JOIN part p ON e.vec_id = p.p_partkey LEFT JOIN terms t ON p.p_brand = t.artist_id)"""
+_E_LAB = S.genre_case("term[1]")[1]
+
+
+def _item_terms(t):
+    terms = FE.list_per_key(TB.artist_term(t.part), "artist_id", "term")
+    cat = t.part.select(F.col("p_partkey").cast("int").alias("id"), F.col("p_brand").alias("artist_id"))
+    return cat.join(terms, "artist_id", "left").select("id", "term")
+
+
+@register("a3_genre_counts", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + ", " + _ITEM_TERMS + f"""
+SELECT {_E_LAB} AS genre, count(*) AS n FROM item_terms GROUP BY 1""")
+def a3_genre_counts(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    g = FE.genre_table(TB.item_factors(t.embeddings).select("id"), _item_terms(t), drop_other=False)
+    return FE.value_counts(g, "genre")
+
+
+@register("e2_genre_table", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + ", " + _ITEM_TERMS + f"""
+SELECT id, label, genre FROM (SELECT i.id, CAST(e.label AS INTEGER) AS label, {_E_LAB} AS genre
+  FROM item_terms i JOIN embeddings e ON i.id = e.vec_id) WHERE genre != 'other'""")
+def e2_genre_table(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return FE.genre_table(TB.item_factors(t.embeddings).select("id", "label"), _item_terms(t))
+
+
+@register("e1_pca_2d")
+def e1_pca_2d(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return FE.project_2d(TB.item_factors(t.embeddings), "features", 2)
+
+
+@register("a4_describe_numeric", """SELECT * FROM (
+  SELECT 'p_size' AS "column", count(p_size) AS "count", round_even(avg(p_size), 6) AS mean, round_even(stddev_samp(p_size), 6) AS std,
+         CAST(min(p_size) AS DOUBLE) AS "min", CAST(max(p_size) AS DOUBLE) AS "max" FROM part
+  UNION ALL
+  SELECT 'p_retailprice', count(p_retailprice), round_even(avg(p_retailprice), 6), round_even(stddev_samp(p_retailprice), 6),
+         min(p_retailprice), max(p_retailprice) FROM part)""")
+def a4_describe_numeric(spark, sf_dir):
+    return _round_doubles(FE.describe_numeric(_t(spark, sf_dir).part, ["p_size", "p_retailprice"],
+                                              approx_quartiles=False))
+
+
+@register("a4_describe_text", """SELECT 'p_type' AS "column", sum(n) AS "count", count(*) AS "unique",
+  arg_min(p_type, (-n, p_type)) AS top, max(n) AS freq
+FROM (SELECT p_type, count(*) AS n FROM part WHERE p_type IS NOT NULL GROUP BY p_type)""")
+def a4_describe_text(spark, sf_dir):
+    return FE.describe_text(_t(spark, sf_dir).part, "p_type")
+
+
+@register("a5_null_count", "WITH " + S.C1 + """
+SELECT 'loudness' AS "column", count_if(loudness IS NULL OR isnan(loudness)) AS n_missing FROM c1""")
+def a5_null_count(spark, sf_dir):
+    return FE.null_count(_c1(_t(spark, sf_dir)), "loudness")
+
+
+@register("a6_distinct_counts", """SELECT count(DISTINCT p_brand) AS n_distinct_p_brand,
+  count(DISTINCT p_type) AS n_distinct_p_type, count(DISTINCT p_name) AS n_distinct_p_name FROM part""")
+def a6_distinct_counts(spark, sf_dir):
+    return FE.distinct_counts(_t(spark, sf_dir).part, ["p_brand", "p_type", "p_name"])
+
+
+@register("j3_artist_full_outer", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + ", " + S.ARTIST_LOCATION + """
+SELECT coalesce(t.artist_id, l.artist_id) AS artist_id, array_to_string(t.term, ',') AS term, l.location
+FROM terms t FULL OUTER JOIN artist_location l ON t.artist_id = l.artist_id""")
+def j3_artist_full_outer(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    terms = FE.list_per_key(TB.artist_term(t.part), "artist_id", "term")
+    loc = TB.artist_location(t.nation, t.region).select("artist_id", "location")
+    return terms.join(loc, "artist_id", "full_outer").select("artist_id", F.array_join("term", ",").alias("term"),
+                                                              "location")
+
+
+@register("p12_clean_extras", "WITH " + S.EXTRAS + """
+SELECT track_id, loudness, song_hotttnesss, tempo FROM extras""")
+def p12_clean_extras(spark, sf_dir):
+    return FE.clean_extras(TB.acoustic_extras(_t(spark, sf_dir).lineitem))
+
+
+@register("j2_p13_tracks_left_location", "WITH " + S.CATALOG + ", " + S.ARTIST_LOCATION + """
+SELECT c.track_id, coalesce(l.artist_name, '') AS artist_name, coalesce(l.location, '') AS location
+FROM catalog c LEFT JOIN artist_location l ON c.artist_id = l.artist_id""")
+def j2_p13_tracks_left_location(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    j = TB.catalog(t.part).join(TB.artist_location(t.nation, t.region), "artist_id", "left")
+    return FE.default_text(j.select("track_id", "artist_name", "location"), ["artist_name", "location"])
+
+
+@register("p2_drop_incomplete", "WITH " + S.C1 + """
+SELECT track_id, loudness, location FROM c1
+WHERE track_id IS NOT NULL AND loudness IS NOT NULL AND location IS NOT NULL""")
+def p2_drop_incomplete(spark, sf_dir):
+    d = _c1(_t(spark, sf_dir)).select("track_id", "loudness", "location")
+    return I.drop_incomplete(d)
+
+
+@register("a13_earliest_year", "WITH " + S.RELEASES + """
+SELECT track_id, min(releasedate) AS first_date, CAST(split_part(min(releasedate), '-', 1) AS INTEGER) AS year
+FROM releases WHERE releasedate != '0000-00-00' GROUP BY track_id""")
+def a13_earliest_year(spark, sf_dir):
+    r = FE.keep_not_equal(TB.dated_releases(_t(spark, sf_dir).lineitem), "releasedate", "0000-00-00")
+    return (r.groupBy("track_id").agg(F.min("releasedate").alias("first_date"))
+            .withColumn("year", year_of_date("first_date")))
+
+
+@register("p4_sentinel_to_null", "WITH " + S.RELEASES + """
+SELECT track_id, nullif(max(CASE WHEN releasedate = '0000-00-00' THEN 0
+                              ELSE CAST(split_part(releasedate, '-', 1) AS INTEGER) END), 0) AS year
+FROM releases GROUP BY track_id""")
+def p4_sentinel_to_null(spark, sf_dir):
+    r = TB.dated_releases(_t(spark, sf_dir).lineitem)
+    y = r.groupBy("track_id").agg(F.max(F.when(F.col("releasedate") == "0000-00-00", F.lit(0))
+                                        .otherwise(year_of_date("releasedate"))).alias("year"))
+    return FE.sentinels_to_null(y, {"year": 0})
+
+
+@register("p15_expand_factors", "SELECT CAST(vec_id AS INTEGER) AS id, " + ", ".join(
+    f"CAST(embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(64)) + " FROM embeddings")
+def p15_expand_factors(spark, sf_dir):
+    return FE.expand_array(TB.item_factors(_t(spark, sf_dir).embeddings).drop("label"), "features", 64)
+
+
+_C2_SQL = "WITH " + S.C1 + ", " + S.PLAYS[len("WITH "):] + """,
+idmap AS (SELECT track_id, CAST(dense_rank() OVER (ORDER BY track_id) - 1 AS INTEGER) AS mapped_id
+          FROM (SELECT DISTINCT track_id FROM plays)),
+f AS (SELECT m.mapped_id, c.artist_id, c.release, c.duration, c.loudness, c.tempo
+      FROM idmap m JOIN c1 c ON m.track_id = c.track_id),
+j AS (SELECT f.*, """ + ", ".join(f"CAST(e.embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(64)) + """
+      FROM f JOIN embeddings e ON f.mapped_id = e.vec_id)
+SELECT min(mapped_id) AS mapped_id, * EXCLUDE (mapped_id) FROM j GROUP BY ALL"""
+
+
+@register("c2_align_features", _C2_SQL)
+def c2_align_features(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
+    feats = _c1(t).select("track_id", "artist_id", "release", "duration", "loudness", "tempo")
+    return FE.align_features(idmap, feats, TB.item_factors(t.embeddings),
+                             ["artist_id", "release", "duration", "loudness", "tempo"], rank=64)

@@ -37,7 +37,7 @@ def metrics_from_preds(preds_cte: str, ks=(10,)) -> str:
         f" sum(CASE WHEN pos < {k} THEN hit / ln(pos + 2.0) ELSE 0 END) AS dcg_{k}" for k in ks)
     idcg = ",\n".join(
         f"list_sum(list_transform(range(least(n_rel, {k})), lambda i: 1.0 / ln(i + 2.0))) AS idcg_{k}" for k in ks)
-    outs = ",\n".join(f"round(avg(p_at_{k}), 6) AS p_at_{k}, round(avg(coalesce(dcg_{k}, 0) / idcg_{k}), 6) AS ndcg_at_{k}"
+    outs = ",\n".join(f"round_even(avg(p_at_{k}), 6) AS p_at_{k}, round_even(avg(coalesce(dcg_{k}, 0) / idcg_{k}), 6) AS ndcg_at_{k}"
                       for k in ks)
     return f"""{preds_cte},
 nrel AS (SELECT user_id_index, count(*) AS n_rel FROM tgt GROUP BY user_id_index),
@@ -49,4 +49,36 @@ pu AS (SELECT user_id_index, sum(hit * cum / (pos + 1.0)) AS ap_num, {pk} FROM c
 sc AS (SELECT ev.user_id_index, ev.n_rel, coalesce(pu.ap_num, 0) / ev.n_rel AS ap,
               {", ".join(f"coalesce(pu.p_at_{k}, 0) AS p_at_{k}, pu.dcg_{k}" for k in ks)}, {idcg}
        FROM ev LEFT JOIN pu ON ev.user_id_index = pu.user_id_index)
-SELECT count(*) AS n_users, round(avg(ap), 6) AS map, {outs} FROM sc"""
+SELECT count(*) AS n_users, round_even(avg(ap), 6) AS map, {outs} FROM sc"""
+
+
+CATALOG = """catalog AS (SELECT CAST(p_partkey AS VARCHAR) AS track_id, p_name AS title, p_brand AS artist_id,
+    p_type AS release, CAST(p_size AS DOUBLE) AS duration FROM part)"""
+ARTIST_TERM = """artist_term AS (SELECT DISTINCT p_brand AS artist_id, p_type AS term FROM part)"""
+ARTIST_LOCATION = """artist_location AS (SELECT 'Brand#' || CAST(n_nationkey AS VARCHAR) AS artist_id,
+    CAST(n_nationkey AS DOUBLE) AS latitude, CAST(n_regionkey AS DOUBLE) AS longitude, n_name AS artist_name,
+    r_name AS location FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)"""
+EXTRAS = """extras_raw AS (SELECT 'b' || chr(39) || CAST(l_partkey AS VARCHAR) || chr(39) AS track_id,
+    round(sum(l_extendedprice), 2) / count(l_extendedprice) AS loudness,
+    round(sum(l_discount), 2) / count(l_discount) AS song_hotttnesss, avg(l_quantity) AS tempo
+    FROM lineitem GROUP BY l_partkey),
+extras AS (SELECT split_part(track_id, chr(39), 2) AS track_id, loudness, song_hotttnesss, tempo FROM extras_raw)"""
+TERMS = """terms AS (SELECT artist_id, list_sort(list(term)) AS term FROM artist_term GROUP BY artist_id)"""
+RELEASES = """releases AS (SELECT CAST(l_partkey AS VARCHAR) AS track_id,
+    CASE WHEN l_linestatus = 'O' THEN '0000-00-00' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS releasedate
+    FROM lineitem)"""
+C1 = CATALOG + ",\n" + ARTIST_TERM + ",\n" + ARTIST_LOCATION + ",\n" + EXTRAS + ",\n" + TERMS + """,
+artists AS (SELECT coalesce(t.artist_id, l.artist_id) AS artist_id, t.term, l.latitude, l.longitude, l.location
+            FROM terms t FULL OUTER JOIN artist_location l ON t.artist_id = l.artist_id),
+c1 AS (SELECT c.*, a.term, a.latitude, a.longitude, a.location, e.loudness, e.song_hotttnesss, e.tempo
+       FROM catalog c LEFT JOIN artists a ON c.artist_id = a.artist_id LEFT JOIN extras e ON c.track_id = e.track_id)"""
+
+
+def genre_case(term: str, spelling: str = "raggae"):
+    """(recoded, labelled) CASE expressions over the fixed genre rules."""
+    from cadenza.functions.expressions import ALLOWED_GENRES, GENRE_RULES
+    whens = " ".join(f"WHEN contains({term}, '{n}') THEN '{spelling if lab == 'raggae' else lab}'"
+                     for n, lab in GENRE_RULES)
+    recoded = f"(CASE {whens} ELSE {term} END)"
+    allowed = ", ".join(f"'{spelling if g == 'raggae' else g}'" for g in ALLOWED_GENRES)
+    return recoded, f"(CASE WHEN {recoded} IN ({allowed}) THEN {recoded} ELSE 'other' END)"

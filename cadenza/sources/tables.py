@@ -58,7 +58,6 @@ def catalog(part: DataFrame) -> DataFrame:
         F.col("p_brand").alias("artist_id"),
         F.col("p_type").alias("release"),
         F.col("p_size").cast("double").alias("duration"),
-        F.col("p_retailprice").alias("loudness"),
     )
 
 
@@ -96,3 +95,28 @@ def releases(lineitem: DataFrame) -> DataFrame:
     """``releases(track_id, releasedate)``: ship dates per part as ``YYYY-MM-DD`` text."""
     return lineitem.select(F.col("l_partkey").cast("string").alias("track_id"),
                            F.date_format("l_shipdate", "yyyy-MM-dd").alias("releasedate"))
+
+
+def acoustic_extras(lineitem: DataFrame) -> DataFrame:
+    """``additional_features(track_id, loudness, song_hotttnesss, tempo)``, ids as ``b'...'`` text.
+
+    Per-part averages of line values (one partial + final aggregate). Sums of
+    cent amounts are rounded back to cents before dividing, so the result does
+    not depend on the order in which partial sums were combined.
+    """
+    def cents_avg(c):
+        return F.round(F.sum(c), 2) / F.count(c)
+    return (lineitem.groupBy("l_partkey")
+            .agg(cents_avg("l_extendedprice").alias("loudness"),
+                 cents_avg("l_discount").alias("song_hotttnesss"),
+                 F.avg("l_quantity").alias("tempo"))
+            .select(F.concat(F.lit("b'"), F.col("l_partkey").cast("string"), F.lit("'")).alias("track_id"),
+                    "loudness", "song_hotttnesss", "tempo"))
+
+
+def dated_releases(lineitem: DataFrame) -> DataFrame:
+    """``releases(track_id, releasedate)`` with the ``'0000-00-00'`` sentinel on open lines."""
+    return lineitem.select(
+        F.col("l_partkey").cast("string").alias("track_id"),
+        F.when(F.col("l_linestatus") == "O", F.lit("0000-00-00"))
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("releasedate"))
