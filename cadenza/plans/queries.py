@@ -309,3 +309,230 @@ def c2_align_features(spark, sf_dir):
     feats = _c1(t).select("track_id", "artist_id", "release", "duration", "loudness", "tempo")
     return FE.align_features(idmap, feats, TB.item_factors(t.embeddings),
                              ["artist_id", "release", "duration", "loudness", "tempo"], rank=64)
+
+
+# ---------------------------------------------------------------- catalogue
+from cadenza.functions import foreign_id, shard_path  # noqa: E402
+from cadenza.operators import catalog as CA  # noqa: E402
+from cadenza.operators.interactions import random_neighbours  # noqa: E402
+from cadenza.sources import musicdb as MB  # noqa: E402
+
+
+def _year(t):
+    return CA.resolve_release_year(MB.song_records(t.part, t.lineitem, t.supplier), MB.artist(t.supplier),
+                                   MB.track(t.lineitem, t.part), MB.albumjoin(t.lineitem),
+                                   MB.album(t.orders, t.lineitem), MB.release(t.orders))
+
+
+_J8_SQL = "WITH " + S.MUSICDB + """,
+known AS (SELECT s.song_id, a.id AS artist_ref, lower(s.title) AS t, lower(s."release") AS r
+          FROM songs s JOIN mb_artist a ON s.artist_gid = a.gid),
+unk AS (SELECT s.song_id, a.id AS artist_ref, lower(s.title) AS t, lower(s."release") AS r
+        FROM songs s JOIN mb_artist a ON lower(a.name) = lower(s.artist_name)
+        WHERE s.artist_gid NOT IN (SELECT gid FROM mb_artist) OR s.artist_gid IS NULL),
+sa AS (SELECT * FROM known UNION ALL SELECT * FROM unk),
+d1 AS (SELECT sa.song_id, min(r.releasedate) AS d FROM sa
+       JOIN mb_track tr ON tr.artist = sa.artist_ref AND lower(tr.name) = sa.t
+       JOIN mb_albumjoin aj ON aj.track = tr.id JOIN mb_album al ON al.id = aj.album
+       JOIN mb_release r ON r.album = al.id AND r.releasedate != '0000-00-00' GROUP BY sa.song_id),
+d2 AS (SELECT sa.song_id, min(r.releasedate) AS d FROM sa
+       JOIN mb_album al ON al.artist = sa.artist_ref AND lower(al.name) = sa.r
+       JOIN mb_release r ON r.album = al.id AND r.releasedate != '0000-00-00' GROUP BY sa.song_id),
+yr AS (SELECT s.song_id, coalesce(CAST(split_part(d1.d, '-', 1) AS INTEGER), CAST(split_part(d2.d, '-', 1) AS INTEGER), 0) AS year
+       FROM songs s LEFT JOIN d1 ON s.song_id = d1.song_id LEFT JOIN d2 ON s.song_id = d2.song_id)"""
+
+
+@register("j8_release_year", _J8_SQL + "\nSELECT song_id, year FROM yr")
+def j8_release_year(spark, sf_dir):
+    return _year(_t(spark, sf_dir))
+
+
+_TAGS_SQL = "WITH " + S.MUSICDB + """,
+atag AS (SELECT l_suppkey AS artist, l_partkey AS tag, CAST(count(*) AS INTEGER) AS "count" FROM lineitem GROUP BY 1, 2),
+j AS (SELECT a.gid, t.p_name AS tag_name, t.p_partkey AS tag, atag."count" FROM mb_artist a
+      JOIN atag ON atag.artist = a.id JOIN part t ON t.p_partkey = atag.tag),
+rk AS (SELECT *, row_number() OVER (PARTITION BY gid ORDER BY "count" DESC, tag_name, tag) AS rn FROM j),
+tg AS (SELECT gid, string_agg(tag_name, ',' ORDER BY rn) AS tags, string_agg(CAST("count" AS VARCHAR), ',' ORDER BY rn) AS tag_counts
+       FROM rk WHERE rn <= 20 GROUP BY gid)"""
+
+
+def _tags(t):
+    return CA.artist_tags(MB.artist(t.supplier), MB.artist_tag(t.lineitem), MB.tag(t.part), 20)
+
+
+@register("j9_w1_artist_tags", _TAGS_SQL + "\nSELECT * FROM tg")
+def j9_w1_artist_tags(spark, sf_dir):
+    return _tags(_t(spark, sf_dir)).select("gid", F.array_join("tags", ",").alias("tags"),
+                                           F.array_join("tag_counts", ",").alias("tag_counts"))
+
+
+@register("a15_enrichment_coverage", _J8_SQL.replace("WITH ", "WITH ", 1) + """,
+""" + _TAGS_SQL[len("WITH " + S.MUSICDB + ",\n"):] + """
+SELECT count(*) AS n_records, count_if(s.artist_gid != '') AS n_artist_id, count_if(y.year > 0) AS n_year,
+       count_if(tg.gid IS NOT NULL) AS n_tags
+FROM songs s JOIN yr y ON s.song_id = y.song_id LEFT JOIN tg ON tg.gid = s.artist_gid""")
+def a15_enrichment_coverage(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    songs = MB.song_records(t.part, t.lineitem, t.supplier)
+    tags = _tags(t).select(F.col("gid").alias("artist_gid"), F.lit(True).alias("_has_tags"))
+    enriched = songs.join(_year(t), "song_id").join(tags, "artist_gid", "left")
+    return CA.enrichment_coverage(enriched, {"artist_id": F.col("artist_gid") != "",
+                                             "year": F.col("year") > 0,
+                                             "tags": F.col("_has_tags").isNotNull()})
+
+
+@register("w2_cap_per_artist", """SELECT l_suppkey, l_orderkey, l_linenumber FROM (
+  SELECT l_suppkey, l_orderkey, l_linenumber,
+         row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem) WHERE rn <= 5""")
+def w2_cap_per_artist(spark, sf_dir):
+    li = _t(spark, sf_dir).lineitem.select("l_suppkey", "l_orderkey", "l_linenumber")
+    return CA.cap_per_group(li, "l_suppkey", [F.col("l_orderkey"), F.col("l_linenumber")], 5)
+
+
+def _packed(t):
+    """A17 input: orders are songs, customers are files, line quantities are the ragged array."""
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("_l"))
+    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("file"))
+    songs = (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+             .select("o_orderkey", "file", F.col("_l.l_quantity").alias("quantities")))
+    return CA.pack_arrays(songs, "file", "o_orderkey", "quantities")
+
+
+_PACK_SQL = """WITH n AS (SELECT o_orderkey, o_custkey AS file, count(l_orderkey) AS n
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_custkey),
+packed AS (SELECT o_orderkey, file,
+  CAST(coalesce(sum(n) OVER (PARTITION BY file ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS idx,
+  CAST(row_number() OVER (PARTITION BY file ORDER BY o_orderkey) - 1 AS BIGINT) AS songidx FROM n)"""
+
+
+@register("a17_pack_offsets", _PACK_SQL + "\nSELECT o_orderkey, file, idx, songidx FROM packed")
+def a17_pack_offsets(spark, sf_dir):
+    songs, _ = _packed(_t(spark, sf_dir))
+    return songs.select("o_orderkey", "file", "idx", "songidx")
+
+
+@register("j10_ragged_slices", """SELECT o_orderkey, coalesce(string_agg(CAST(l_quantity AS VARCHAR), ',' ORDER BY l_linenumber, l_quantity), '') AS "values"
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""")
+def j10_ragged_slices(spark, sf_dir):
+    songs, children = _packed(_t(spark, sf_dir))
+    out = CA.ragged_slices(songs, children, bucket=4)
+    return out.select("o_orderkey", F.array_join(F.transform("values", lambda x: x.cast("string")), ",").alias("values"))
+
+
+_CAT_NUM = ["duration", "loudness", "song_hotttnesss", "tempo", "latitude", "longitude"]
+
+
+@register("t5_multi_key_top_k", "WITH " + S.C1 + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT track_id, '{a}' AS attr, CAST({a} AS DOUBLE) AS v FROM c1 WHERE {a} IS NOT NULL" for a in _CAT_NUM) + """),
+r AS (SELECT track_id, row_number() OVER (PARTITION BY attr ORDER BY v ASC, track_id) AS ra,
+             row_number() OVER (PARTITION BY attr ORDER BY v DESC, track_id) AS rd FROM long)
+SELECT DISTINCT track_id FROM r WHERE ra <= 100 OR rd <= 100""")
+def t5_multi_key_top_k(spark, sf_dir):
+    return CA.multi_key_top_k(_c1(_t(spark, sf_dir)), "track_id", _CAT_NUM, 100)
+
+
+@register("u2_union_distinct", "WITH " + S.ARTIST_TERM + ", " + S.ARTIST_LOCATION + """
+SELECT artist_id FROM artist_term UNION SELECT artist_id FROM artist_location""")
+def u2_union_distinct(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return CA.union_distinct([TB.artist_term(t.part).select("artist_id"),
+                              TB.artist_location(t.nation, t.region).select("artist_id")])
+
+
+@register("j6_skip_known", S.PLAYS + """
+SELECT DISTINCT track_id FROM plays WHERE track_id NOT IN (SELECT CAST(vec_id AS VARCHAR) FROM embeddings)""")
+def j6_skip_known(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    known = t.embeddings.select(F.col("vec_id").cast("string").alias("track_id"))
+    return CA.skip_known(plays(t.orders, t.lineitem).select("track_id").distinct(), known, "track_id")
+
+
+_EDGES_SQL = """edges AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a
+  JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1),
+nb AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src
+  ORDER BY md5(CAST(src AS VARCHAR) || '|' || CAST(dst AS VARCHAR) || '|0'), dst) AS rn FROM edges) WHERE rn <= 10)"""
+
+
+def _edges(t):
+    a = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("src"))
+    b = t.lineitem.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("dst"))
+    return a.join(b, ["l_orderkey", "l_linenumber"]).select("src", "dst").distinct()
+
+
+@register("r7_random_neighbours", "WITH " + _EDGES_SQL + "\nSELECT src, dst FROM nb")
+def r7_random_neighbours(spark, sf_dir):
+    return random_neighbours(_edges(_t(spark, sf_dir)), 10, 0)
+
+
+_G1_SQL = "WITH " + _EDGES_SQL + """,
+seeds AS (SELECT l_partkey AS node FROM (SELECT l_partkey, count(*) AS c FROM lineitem GROUP BY l_partkey
+          ORDER BY c DESC, l_partkey LIMIT 20)),
+v0 AS (SELECT node, 0 AS round FROM seeds),
+v1 AS (SELECT DISTINCT nb.dst AS node, 1 AS round FROM v0 JOIN nb ON nb.src = v0.node WHERE nb.dst NOT IN (SELECT node FROM v0)),
+a1 AS (SELECT * FROM v0 UNION ALL SELECT * FROM v1),
+v2 AS (SELECT DISTINCT nb.dst AS node, 2 AS round FROM v1 JOIN nb ON nb.src = v1.node WHERE nb.dst NOT IN (SELECT node FROM a1)),
+a2 AS (SELECT * FROM a1 UNION ALL SELECT * FROM v2),
+v3 AS (SELECT DISTINCT nb.dst AS node, 3 AS round FROM v2 JOIN nb ON nb.src = v2.node WHERE nb.dst NOT IN (SELECT node FROM a2))
+SELECT node, round FROM a2 UNION ALL SELECT node, round FROM v3"""
+
+
+@register("g1_graph_expansion", _G1_SQL)
+def g1_graph_expansion(spark, sf_dir):
+    from cadenza.operators.popularity import top_n_by
+    t = _t(spark, sf_dir)
+    seeds = top_n_by(t.lineitem, "l_partkey", F.count(F.lit(1)), 20).select(F.col("l_partkey").alias("node"))
+    return CA.expand_graph(_edges(t), seeds, n_neighbours=10, max_rounds=3, seed=0)
+
+
+@register("a19_health_check", """SELECT count(*) AS n_rows, count_if(NOT coalesce(l_quantity > 0, false)) AS bad_quantity,
+  count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false)) AS bad_discount,
+  count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) AS bad_shipdate,
+  count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)) AS bad_returnflag,
+  (count_if(NOT coalesce(l_quantity > 0, false)) + count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false))
+   + count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) + count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false))) = 0 AS ok
+FROM lineitem""")
+def a19_health_check(spark, sf_dir):
+    li = _t(spark, sf_dir).lineitem
+    report, _ = CA.health_check(li, {"quantity": F.col("l_quantity") > 0,
+                                     "discount": F.col("l_discount").between(0, 1),
+                                     "shipdate": F.col("l_shipdate").isNotNull(),
+                                     "returnflag": F.col("l_returnflag").isin("A", "N", "R")})
+    return report
+
+
+@register("a16_dedup_rows", "WITH " + S.CATALOG + """
+SELECT min(track_id) AS track_id, title, artist_id, "release", duration FROM catalog GROUP BY ALL""")
+def a16_dedup_rows(spark, sf_dir):
+    return FE.dedup_rows(TB.catalog(_t(spark, sf_dir).part), "track_id")
+
+
+@register("t2_sort_by_key", S.PLAYS + """
+SELECT track_id, CAST(dense_rank() OVER (ORDER BY track_id) - 1 AS INTEGER) AS mapped_id
+FROM (SELECT DISTINCT track_id FROM plays) ORDER BY mapped_id""")
+def t2_sort_by_key(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id").orderBy("mapped_id")
+
+
+@register("p10_foreign_id", """SELECT s_suppkey, CASE WHEN split_part(f, ':', 1) = '7digital' AND f != ''
+    THEN coalesce(TRY_CAST(split_part(f, ':', 3) AS INTEGER), -1) ELSE -1 END AS id_7digital,
+  CASE WHEN f IS NOT NULL AND f != '' AND split_part(f, ':', 3) != '' THEN split_part(f, ':', 3) ELSE '' END AS id_any
+FROM (SELECT s_suppkey, CASE WHEN s_nationkey < 10 THEN '7digital:artist:' || CAST(s_suppkey AS VARCHAR)
+                             WHEN s_nationkey < 20 THEN 'playme:artist:' || CAST(s_suppkey AS VARCHAR) ELSE '' END AS f
+      FROM supplier)""")
+def p10_foreign_id(spark, sf_dir):
+    s = _t(spark, sf_dir).supplier
+    f = (F.when(F.col("s_nationkey") < 10, F.concat(F.lit("7digital:artist:"), F.col("s_suppkey").cast("string")))
+         .when(F.col("s_nationkey") < 20, F.concat(F.lit("playme:artist:"), F.col("s_suppkey").cast("string")))
+         .otherwise(F.lit("")))
+    return s.select("s_suppkey", foreign_id(f, prefix="7digital").alias("id_7digital"),
+                    foreign_id(f, default="", as_int=False).alias("id_any"))
+
+
+@register("p11_shard_path", """SELECT id, concat_ws('/', substr(id, 3, 1), substr(id, 4, 1), substr(id, 5, 1), id || '.h5') AS path
+FROM (SELECT 'TR' || upper(substr(md5(CAST(p_partkey AS VARCHAR)), 1, 16)) AS id FROM part)""")
+def p11_shard_path(spark, sf_dir):
+    ids = _t(spark, sf_dir).part.select(
+        F.concat(F.lit("TR"), F.upper(F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 16))).alias("id"))
+    return ids.select("id", shard_path("id").alias("path"))

@@ -82,3 +82,23 @@ def genre_case(term: str, spelling: str = "raggae"):
     recoded = f"(CASE {whens} ELSE {term} END)"
     allowed = ", ".join(f"'{spelling if g == 'raggae' else g}'" for g in ALLOWED_GENRES)
     return recoded, f"(CASE WHEN {recoded} IN ({allowed}) THEN {recoded} ELSE 'other' END)"
+
+
+MUSICDB = """mb_artist AS (SELECT s_suppkey AS id, 'gid-' || CAST(s_suppkey AS VARCHAR) AS gid, s_name AS name FROM supplier),
+mb_track AS (SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id, p_name AS name, l_suppkey AS artist
+             FROM lineitem JOIN part ON l_partkey = p_partkey),
+mb_albumjoin AS (SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS track, l_orderkey AS album FROM lineitem),
+mb_album AS (SELECT o_orderkey AS id, o_orderpriority AS name, a.artist
+             FROM orders JOIN (SELECT l_orderkey, min(l_suppkey) AS artist FROM lineitem GROUP BY l_orderkey) a
+             ON o_orderkey = a.l_orderkey),
+mb_release AS (SELECT o_orderkey AS album, CASE WHEN o_orderstatus = 'P' THEN '0000-00-00'
+               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS releasedate FROM orders),
+songs AS (SELECT p.p_partkey AS song_id,
+     CASE WHEN sp.sup IS NULL THEN ''
+          WHEN p.p_size >= 40 THEN 'gid-' || CAST(sp.sup + 1 AS VARCHAR)
+          WHEN p.p_size >= 20 THEN 'gid-' || CAST(sp.sup AS VARCHAR)
+          WHEN p.p_size >= 10 THEN 'gid-unknown-' || CAST(sp.sup AS VARCHAR) ELSE '' END AS artist_gid,
+     upper(s.s_name) AS artist_name, upper(p.p_name) AS title,
+     CASE WHEN p.p_size % 2 = 0 THEN '1-urgent' ELSE lower(p.p_type) END AS "release"
+   FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS sup FROM lineitem GROUP BY l_partkey) sp
+     ON p.p_partkey = sp.l_partkey LEFT JOIN supplier s ON sp.sup = s.s_suppkey)"""
