@@ -536,3 +536,132 @@ def p11_shard_path(spark, sf_dir):
     ids = _t(spark, sf_dir).part.select(
         F.concat(F.lit("TR"), F.upper(F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 16))).alias("id"))
     return ids.select("id", shard_path("id").alias("path"))
+
+
+# ---------------------------------------------------------- sources / sinks
+from pyspark.sql import types as T  # noqa: E402
+
+from cadenza.sources import files as FI  # noqa: E402
+
+_C1_COLS = ["track_id", "title", "artist_id", "release", "duration", "term", "latitude", "longitude",
+            "location", "loudness", "song_hotttnesss", "tempo"]
+_C1_SCHEMA = T.StructType([T.StructField(c, T.DoubleType() if c in (
+    "duration", "latitude", "longitude", "loudness", "song_hotttnesss", "tempo") else T.StringType()) for c in _C1_COLS])
+
+
+@register("s2_s9_csv_roundtrip", "WITH " + S.C1 + """
+SELECT track_id, title, artist_id, release, duration, array_to_string(term, ',') AS term, latitude, longitude,
+       location, loudness, song_hotttnesss, tempo FROM c1""")
+def s2_s9_csv_roundtrip(spark, sf_dir):
+    path = FI.scratch_dir(spark, "c1csv")
+    c1 = _c1(_t(spark, sf_dir)).withColumn("term", F.array_join("term", ",")).withColumn(
+        "_row", F.col("track_id").cast("long"))
+    FI.write_csv(c1.select("_row", *_C1_COLS), path, with_index="_row")
+    return FI.read_csv_table(spark, path, _C1_SCHEMA, drop_index=True)
+
+
+_PAIRS_SQL = """pairs AS (SELECT DISTINCT upper(s_name) || ' ' AS artist_name, p_name AS title
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1)"""
+
+
+def _name_pairs(t):
+    li = t.lineitem.where(F.col("l_linenumber") == 1)
+    sup, part = t.supplier, t.part
+    return (li.join(sup, li.l_suppkey == sup.s_suppkey)
+            .join(part, li.l_partkey == part.p_partkey)
+            .select(F.concat(F.upper("s_name"), F.lit(" ")).alias("artist_name"), F.col("p_name").alias("title"))
+            .distinct())
+
+
+@register("s3_j11_name_pair_lookup", "WITH " + _PAIRS_SQL + ", " + S.MUSICDB + """,
+songs_named AS (SELECT tr.id, a.name AS artist_name, tr.name AS title FROM mb_track tr JOIN mb_artist a ON tr.artist = a.id),
+m AS (SELECT lower(trim(artist_name)) AS a, lower(trim(title)) AS t, min(id) AS song_id FROM songs_named GROUP BY 1, 2)
+SELECT p.artist_name, p.title, m.song_id FROM pairs p LEFT JOIN m ON lower(trim(p.artist_name)) = m.a AND lower(trim(p.title)) = m.t""")
+def s3_j11_name_pair_lookup(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    path = FI.scratch_dir(spark, "pairs")
+    FI.write_delimited(_name_pairs(t), path)
+    pairs = FI.read_delimited(spark, path, FI.NAME_PAIR_SCHEMA)
+    tr = MB.track(t.lineitem, t.part)
+    art = MB.artist(t.supplier)
+    songs = tr.join(art.select(F.col("id").alias("artist"), F.col("name").alias("artist_name")), "artist").select(
+        F.col("id").alias("song_id"), "artist_name", F.col("name").alias("title"))
+    return CA.lookup_name_pairs(pairs, songs)
+
+
+@register("s7_array_text_roundtrip", "SELECT CAST(vec_id AS INTEGER) AS id, " + ", ".join(
+    f"CAST(embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(4)) + " FROM embeddings")
+def s7_array_text_roundtrip(spark, sf_dir):
+    path = FI.scratch_dir(spark, "factors_text")
+    f = FI.array_to_text(TB.item_factors(_t(spark, sf_dir).embeddings).select("id", "features"), "features")
+    FI.write_csv(f, path)
+    back = spark.read.csv(path, header=True, schema="id int, features string")
+    parsed = FI.parse_array_text(back, "features", "float")
+    return FE.expand_array(parsed.select("id", F.slice("features", 1, 4).alias("features")), "features", 4)
+
+
+@register("s8_r6_parquet_by_user", S.PLAYS + """
+SELECT user_id, track_id, "count" FROM plays""")
+def s8_r6_parquet_by_user(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    path = FI.scratch_dir(spark, "plays_by_user")
+    FI.write_parquet(plays(t.orders, t.lineitem).repartition("user_id"), path)
+    return spark.read.parquet(path)
+
+
+@register("s10_score_report")
+def s10_score_report(spark, sf_dir):
+    path = FI.scratch_dir(spark, "report")
+    report = FI.score_report(R.popularity_eval(_t(spark, sf_dir), k=10, ks=(10,)), ks=(10,))
+    FI.write_report(report, path)
+    return spark.read.text(path)
+
+
+@register("s6_a14_file_inventory")
+def s6_a14_file_inventory(spark, sf_dir):
+    inv = FI.file_inventory(spark, sf_dir, "*.parquet")
+    _, extremes = CA.leaf_occupancy(inv)
+    return extremes
+
+
+@register("t3_most_recent_files")
+def t3_most_recent_files(spark, sf_dir):
+    return CA.most_recent(FI.file_inventory(spark, sf_dir, "*.parquet"), 5)
+
+
+@register("t4_overflow_files")
+def t4_overflow_files(spark, sf_dir):
+    return CA.overflow(FI.file_inventory(spark, sf_dir, "*.parquet"), 10)
+
+
+# ----------------------------------------------------------------- sampling
+@register("r1_bernoulli_sample")
+def r1_bernoulli_sample(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return I.bernoulli_sample(plays(t.orders, t.lineitem), 0.1, seed=3)
+
+
+@register("r4_nested_holdout", S.PLAYS + f"""
+SELECT user_id, track_id, CASE WHEN {S.bucket("user_id || '|' || track_id")} < 2 THEN 'test'
+  WHEN {S.bucket("user_id || '|' || track_id || '#2'")} < 2 THEN 'validation' ELSE 'train' END AS split FROM plays""")
+def r4_nested_holdout(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    p = plays(t.orders, t.lineitem)
+    tr, va, te = I.nested_holdout(p, I.pair_key())
+    return (tr.select("user_id", "track_id", F.lit("train").alias("split"))
+            .unionByName(va.select("user_id", "track_id", F.lit("validation").alias("split")))
+            .unionByName(te.select("user_id", "track_id", F.lit("test").alias("split"))))
+
+
+@register("r5_fixed_size_sample", """SELECT CAST(vec_id AS INTEGER) AS id, label FROM embeddings
+ORDER BY md5('123|' || CAST(CAST(vec_id AS INTEGER) AS VARCHAR)), CAST(vec_id AS INTEGER) LIMIT 100""")
+def r5_fixed_size_sample(spark, sf_dir):
+    f = TB.item_factors(_t(spark, sf_dir).embeddings).select("id", "label")
+    return I.fixed_size_sample(f, 100, "id", seed=123)
+
+
+@register("r6_key_sample", S.PLAYS + f"""
+SELECT user_id, track_id, "count" FROM plays WHERE {S.bucket("user_id", 10000)} < 2500""")
+def r6_key_sample(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return I.key_sample(plays(t.orders, t.lineitem), "user_id", 0.25)
