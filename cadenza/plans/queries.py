@@ -665,3 +665,23 @@ SELECT user_id, track_id, "count" FROM plays WHERE {S.bucket("user_id", 10000)}
 def r6_key_sample(spark, sf_dir):
     t = _t(spark, sf_dir)
     return I.key_sample(plays(t.orders, t.lineitem), "user_id", 0.25)
+
+
+# ----------------------------------------------------------- approximate
+_FOREST_KW = dict(n_trees=8, depth=16, max_leaf=32, seed=0)
+_IVF_KW = dict(n_cells=8, n_probe=3, reorder=50, seed=0)
+
+
+@register("n2_forest_search")
+def n2_forest_search(spark, sf_dir):
+    return SE.forest(_t(spark, sf_dir), 10, **_FOREST_KW)
+
+
+@register("n3_ivf_pq_search")
+def n3_ivf_pq_search(spark, sf_dir):
+    return SE.ivf_pq(_t(spark, sf_dir), 10, **_IVF_KW)
+
+
+@register("n5_recall")
+def n5_recall(spark, sf_dir):
+    return SE.recall_report(_t(spark, sf_dir), 10, _FOREST_KW, _IVF_KW)
