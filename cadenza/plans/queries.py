@@ -685,3 +685,70 @@ def n3_ivf_pq_search(spark, sf_dir):
 @register("n5_recall")
 def n5_recall(spark, sf_dir):
     return SE.recall_report(_t(spark, sf_dir), 10, _FOREST_KW, _IVF_KW)
+
+
+# ------------------------------------------------------------- cold start
+from cadenza.operators import coldstart as CS  # noqa: E402
+from cadenza.plans import coldstart as CP  # noqa: E402
+
+
+@register("c3_one_hot_index", "WITH " + S.CATALOG + """,
+rel AS (SELECT "release", row_number() OVER (ORDER BY count(*) DESC, "release") - 1 AS i FROM catalog GROUP BY "release"),
+art AS (SELECT artist_id, row_number() OVER (ORDER BY count(*) DESC, artist_id) - 1 AS i FROM catalog GROUP BY artist_id)
+SELECT c.track_id, CAST(rel.i AS DOUBLE) AS release_idx, CAST(art.i AS DOUBLE) AS artist_id_idx
+FROM catalog c JOIN rel ON c."release" = rel."release" JOIN art ON c.artist_id = art.artist_id""")
+def c3_one_hot_index(spark, sf_dir):
+    _, enc = CS.one_hot(TB.catalog(_t(spark, sf_dir).part), ["release", "artist_id"])
+    return enc.select("track_id", "release_idx", "artist_id_idx")
+
+
+@register("c4_mean_impute", "WITH " + S.C1 + """,
+m AS (SELECT avg(CASE WHEN duration != 0 THEN duration END) AS md, avg(CASE WHEN loudness != 0 THEN loudness END) AS ml,
+             avg(CASE WHEN tempo != 0 THEN tempo END) AS mt FROM c1)
+SELECT track_id, CASE WHEN duration IS NULL OR duration = 0 THEN round_even(md, 6) ELSE duration END AS duration,
+       CASE WHEN loudness IS NULL OR loudness = 0 THEN round_even(ml, 6) ELSE loudness END AS loudness,
+       CASE WHEN tempo IS NULL OR tempo = 0 THEN round_even(mt, 6) ELSE tempo END AS tempo FROM c1, m""")
+def c4_mean_impute(spark, sf_dir):
+    """Imputed values (means) are rounded to 6 decimals for the comparison; observed ones are exact."""
+    d = _c1(_t(spark, sf_dir)).select("track_id", *CP.NUMERIC)
+    imp = CS.impute_mean(d.select("track_id", *[F.col(c).alias(f"{c}_imp") for c in CP.NUMERIC]),
+                         [f"{c}_imp" for c in CP.NUMERIC])
+    j = d.join(imp, "track_id")
+    return j.select("track_id", *[F.when(F.col(c).isNull() | (F.col(c) == 0), F.bround(f"{c}_imp", 6))
+                                  .otherwise(F.col(c)).alias(c) for c in CP.NUMERIC])
+
+
+@register("a11_a12_mse_r2", """WITH y AS (SELECT vec_id, label, i, CAST(e AS DOUBLE) AS v
+    FROM embeddings, unnest(embedding) WITH ORDINALITY AS u(e, i)),
+p AS (SELECT label, i, avg(v) AS pv FROM y GROUP BY label, i),
+j AS (SELECT y.i, y.v, p.pv FROM y JOIN p ON y.label = p.label AND y.i = p.i),
+per AS (SELECT i, avg((v - pv) * (v - pv)) AS mse, sum((v - pv) * (v - pv)) AS sse, var_pop(v) * count(*) AS sst
+        FROM j GROUP BY i)
+SELECT round_even(avg(mse), 6) AS mse, round_even(avg(1 - sse / nullif(sst, 0)), 6) AS r2 FROM per""")
+def a11_a12_mse_r2(spark, sf_dir):
+    """Multi-output MSE / R^2 of the per-genre mean factor as the prediction."""
+    f = TB.item_factors(_t(spark, sf_dir).embeddings)
+    long = f.select("id", "label", F.posexplode("features").alias("j", "v"))
+    means = long.groupBy("label", "j").agg(F.avg(F.col("v").cast("double")).alias("pv"))
+    pred = (long.join(means, ["label", "j"])
+            .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("j", F.col("v").cast("double").alias("v"), "pv")))
+                               .alias("_l"))
+            .select(F.col("_l.v").alias("y"), F.col("_l.pv").alias("p")))
+    return CS.mse_r2(pred, "y", "p", decimals=6)
+
+
+@register("c7_alpha_search")
+def c7_alpha_search(spark, sf_dir):
+    res, _, _ = CP.fit(spark, _t(spark, sf_dir))
+    return CP.alpha_table(spark, res)
+
+
+@register("c8_coefficients")
+def c8_coefficients(spark, sf_dir):
+    res, _, _ = CP.fit(spark, _t(spark, sf_dir), alphas=(0.1,))
+    return CS.coefficient_table(spark, res["weights"], res["intercept"])
+
+
+@register("c9_cold_start_recall")
+def c9_cold_start_recall(spark, sf_dir):
+    return CP.cold_start_recall(spark, _t(spark, sf_dir), 10)
