@@ -752,3 +752,76 @@ def c8_coefficients(spark, sf_dir):
 @register("c9_cold_start_recall")
 def c9_cold_start_recall(spark, sf_dir):
     return CP.cold_start_recall(spark, _t(spark, sf_dir), 10)
+
+
+# ----------------------------------------------------------------- reports
+from cadenza.operators import metrics as ME  # noqa: E402
+from cadenza.operators import retrieve as RT  # noqa: E402
+from cadenza.operators import report as RP  # noqa: E402
+
+
+@register("s5_s12_a10_timing_stats")
+def s5_s12_a10_timing_stats(spark, sf_dir):
+    """Time exact search at several k over the factor table, write S12 records, read them (S5), summarise (A10)."""
+    t = _t(spark, sf_dir)
+    out = FI.scratch_dir(spark, "timings")
+    for k in (1, 10, 50):
+        RP.time_runs(spark, f"bruteforce_factors_k{k}",
+                     lambda k=k: SE.exact_dot_search(t, k=k, query_block=256, item_block=1024).count(),
+                     loops=2, out_dir=out)
+    return RP.timing_stats(FI.read_timings(spark, out + "/*.json"))
+
+
+@register("p17_l2_normalize", "WITH " + _SCALED + """
+SELECT id, round_even(sqrt(list_sum(list_transform(features, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm,
+  round_even(CAST(features[1] AS DOUBLE) / sqrt(list_sum(list_transform(features, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS f0
+FROM scaled""")
+def p17_l2_normalize(spark, sf_dir):
+    from cadenza.functions import array_norm
+    f = TB.scaled_factors(_t(spark, sf_dir).embeddings)
+    n = RT.l2_normalize(f.withColumn("norm", array_norm("features")), "features")
+    return n.select("id", F.bround("norm", 6).alias("norm"), F.bround(F.col("features")[0], 6).alias("f0"))
+
+
+_POP_SQL = S.metrics_from_preds(S.INDEXED + """,
+pop AS (SELECT track_id_index, CAST(row_number() OVER (ORDER BY s DESC, track_id_index) - 1 AS INTEGER) AS pos
+        FROM (SELECT track_id_index, sum("count") AS s FROM train GROUP BY track_id_index)),
+pusers AS (SELECT DISTINCT user_id_index FROM train),
+tgt AS (SELECT DISTINCT user_id_index, track_id_index FROM val),
+preds AS (SELECT u.user_id_index, p.pos, p.track_id_index FROM pusers u CROSS JOIN pop p WHERE p.pos < 20)""",
+    ks=(1, 3, 10, 20))
+
+
+@register("a7_a8_a9_ranking_metrics", _POP_SQL)
+def a7_a8_a9_ranking_metrics(spark, sf_dir):
+    """MAP, P@k, NDCG@k for k = 1, 3, 10, 20 on a 20-item popularity list shared by all users."""
+    train, val, _, _ = R.indexed_splits(_t(spark, sf_dir))
+    ranked = popularity_ranking(train, "track_id_index", "count", 20)
+    users = train.select("user_id_index").distinct()
+    return ME.evaluate_global_list(ranked, users, val, "user_id_index", "track_id_index", ks=(1, 3, 10, 20),
+                                   decimals=6)
+
+
+@register("a1_target_sets", S.INDEXED + """
+SELECT user_id_index, count(*) AS n_targets, min(track_id_index) AS first_target
+FROM (SELECT DISTINCT user_id_index, track_id_index FROM val) GROUP BY user_id_index""")
+def a1_target_sets(spark, sf_dir):
+    """A1 in long form: distinct relevant pairs per validation user, summarised per user."""
+    _, val, _, _ = R.indexed_splits(_t(spark, sf_dir))
+    pairs = ME.target_pairs(val, "user_id_index", "track_id_index")
+    return pairs.groupBy("user_id_index").agg(F.count(F.lit(1)).alias("n_targets"),
+                                              F.min("track_id_index").alias("first_target"))
+
+
+@register("m4_grid_search")
+def m4_grid_search(spark, sf_dir):
+    """M4: raw and log-scaled counts x alpha {1, 40} x rank {4, 8}, one metrics row per configuration."""
+    from cadenza.operators.factor import grid_search, param_grid
+    t = _t(spark, sf_dir)
+    grid = param_grid(ranks=(4, 8), reg_params=(0.1,), alphas=(1.0, 40.0), max_iters=(5,))
+    out = None
+    for label, log_scale in (("raw", False), ("logcount", True)):
+        train, val, _, _ = R.indexed_splits(t, log_scale=log_scale)
+        g = grid_search(spark, train, val, grid, k=50, ks=(10, 50), seed=7, label=label)
+        out = g if out is None else out.unionByName(g)
+    return out
