@@ -264,3 +264,38 @@ def expand_graph(edges: DataFrame, seeds: DataFrame, n_neighbours: int = 10, max
         if budget is not None and visited.count() >= budget:
             break
     return visited
+
+
+# ------------------------------------------------------------------ P14 / A17
+# The per-song record fields, scalar and array, by name.
+SCALAR_FIELDS = [
+    "artist_familiarity", "artist_hotttnesss", "artist_id", "artist_mbid", "artist_playmeid", "artist_7digitalid",
+    "artist_latitude", "artist_longitude", "artist_location", "artist_name", "release", "release_7digitalid",
+    "song_id", "song_hotttnesss", "title", "track_7digitalid", "analysis_sample_rate", "audio_md5",
+    "danceability", "duration", "end_of_fade_in", "energy", "key", "key_confidence", "loudness", "mode",
+    "mode_confidence", "start_of_fade_out", "tempo", "time_signature", "time_signature_confidence", "track_id",
+    "year",
+]
+ARRAY_FIELDS = [
+    "similar_artists", "artist_terms", "artist_terms_freq", "artist_terms_weight", "segments_start",
+    "segments_confidence", "segments_pitches", "segments_timbre", "segments_loudness_max",
+    "segments_loudness_max_time", "segments_loudness_start", "sections_start", "sections_confidence",
+    "beats_start", "beats_confidence", "bars_start", "bars_confidence", "tatums_start", "tatums_confidence",
+    "artist_mbtags", "artist_mbtags_count",
+]
+
+
+def song_fields(songs: DataFrame, names) -> DataFrame:
+    """Project record fields by name; parquet reads only those columns."""
+    unknown = [n for n in names if n not in songs.columns]
+    if unknown:
+        raise KeyError(f"unknown song fields: {unknown}")
+    return songs.select(*names)
+
+
+def pack_songs(tables, keep_arrays: bool = True) -> DataFrame:
+    """Many song tables -> one (``aggregate``: arrays kept; ``summary``: array columns dropped)."""
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    if not keep_arrays:
+        out = out.select(*[f.name for f in out.schema.fields if f.dataType.typeName() != "array"])
+    return out

@@ -825,3 +825,57 @@ def m4_grid_search(spark, sf_dir):
         g = grid_search(spark, train, val, grid, k=50, ks=(10, 50), seed=7, label=label)
         out = g if out is None else out.unionByName(g)
     return out
+
+
+# ------------------------------------------------------------ song records
+_SONGS_SQL = "WITH " + S.MUSICDB + """,
+sl AS (SELECT l_partkey, avg(l_quantity) AS tempo, round(sum(l_discount), 2) / count(l_discount) AS song_hotttnesss
+       FROM lineitem GROUP BY l_partkey),
+st AS (SELECT s.song_id, 'TR' || CAST(s.song_id AS VARCHAR) AS track_id, p.p_brand AS artist_id, s.artist_name, s.title,
+              s."release", CAST(p.p_size AS DOUBLE) AS duration, p.p_retailprice AS loudness, sl.tempo, sl.song_hotttnesss
+       FROM songs s JOIN part p ON s.song_id = p.p_partkey LEFT JOIN sl ON s.song_id = sl.l_partkey)"""
+
+
+def _songs(t):
+    return MB.song_table(t.part, t.lineitem, t.supplier)
+
+
+@register("p14_song_fields", _SONGS_SQL + """
+SELECT track_id, loudness, song_hotttnesss, tempo FROM st""")
+def p14_song_fields(spark, sf_dir):
+    return CA.song_fields(_songs(_t(spark, sf_dir)), ["track_id", "loudness", "song_hotttnesss", "tempo"])
+
+
+@register("a17_summary_pack", _SONGS_SQL + """
+SELECT * FROM st WHERE duration < 25 UNION ALL SELECT * FROM st WHERE duration >= 25""")
+def a17_summary_pack(spark, sf_dir):
+    """Two song files (short and long songs) packed into one summary table (array fields dropped)."""
+    s = _songs(_t(spark, sf_dir))
+    return CA.pack_songs([s.where(F.col("duration") < 25), s.where(F.col("duration") >= 25)], keep_arrays=False)
+
+
+@register("t6_top_terms", """SELECT term, n_uses, CAST(row_number() OVER (ORDER BY n_uses DESC, term) - 1 AS INTEGER) AS pos
+FROM (SELECT lower(p_name) AS term, count(*) AS n_uses FROM part GROUP BY 1)
+QUALIFY row_number() OVER (ORDER BY n_uses DESC, term) <= 20""")
+def t6_top_terms(spark, sf_dir):
+    """The 20 most used terms (part names as free-text terms), ties by term."""
+    from cadenza.operators.popularity import top_terms
+    terms = _t(spark, sf_dir).part.select(F.lower("p_name").alias("term"))
+    return top_terms(terms, "term", 20, among=1000)
+
+
+@register("u1_union_splits", S.PLAYS + """
+SELECT user_id, track_id, "count" FROM plays""")
+def u1_union_splits(spark, sf_dir):
+    train, val = R.split_plays(_t(spark, sf_dir))
+    return I.union_all([train, val.select("track_id", "count", "user_id")])
+
+
+@register("m2_inverse_index", S.INDEXED + """
+SELECT track_id_index, track_id, count(*) AS n_plays FROM ip GROUP BY track_id_index, track_id""")
+def m2_inverse_index(spark, sf_dir):
+    """M2: indexed plays mapped back to the original track ids."""
+    t = _t(spark, sf_dir)
+    out, _, iidx = I.index_interactions({"all": plays(t.orders, t.lineitem)})
+    counts = out["all"].groupBy("track_id_index").agg(F.count(F.lit(1)).alias("n_plays"))
+    return I.inverse_id_index(counts, iidx, "track_id_index", "track_id").select("track_id_index", "track_id", "n_plays")
