@@ -113,6 +113,24 @@ def pack_arrays(songs: DataFrame, file_col: str, order_col: str, array_col: str)
     return with_idx.drop("_n", array_col), children
 
 
+def pack_rows(songs: DataFrame, children: DataFrame, file_col: str, song_key: str, child_order, value_col: str):
+    """A17 from long-form child rows (no per-song arrays are ever built).
+
+    ``songs(file, song_key, ...)``, ``children(song_key, <child_order...>, value)``.
+    Returns ``(songs + idx + songidx, children(file, pos, value))`` where ``pos``
+    is the child's position in its file (songs in key order, children in
+    ``child_order``) and ``idx`` the first position of each song. Both come from
+    distributed prefix sums, so neither a huge file nor a huge song is one task.
+    """
+    sizes = children.groupBy(song_key).agg(F.count(F.lit(1)).alias("_n"))
+    s = songs.join(sizes, song_key, "left").withColumn("_n", F.coalesce(F.col("_n"), F.lit(0)))
+    s = offsets_within(s, [file_col], [song_key], "_n", "idx")
+    s = offsets_within(s, [file_col], [song_key], F.lit(1), "songidx").drop("_n")
+    kids = children.join(songs.select(song_key, file_col), song_key)
+    kids = offsets_within(kids, [file_col], [song_key] + list(child_order), F.lit(1), "pos")
+    return s, kids.select(file_col, "pos", value_col)
+
+
 def ragged_slices(songs: DataFrame, children: DataFrame, file_col: str = "file", idx_col: str = "idx",
                   songidx_col: str = "songidx", pos_col: str = "pos", value_col: str = "value",
                   out_col: str = "values", bucket: int = 1024) -> DataFrame:

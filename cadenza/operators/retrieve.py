@@ -127,9 +127,12 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
              .cogroup(i_rep.groupBy("g", "qb", "ib"))
              .applyInPandas(score, schema="qid long, iid long, score double"))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("iid").asc())
-    return (local.withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
-            .where(F.col("pos") < kk)
-            .select(F.col("qid").alias(q_id), "pos", F.col("iid").alias(i_id), "score"))
+    # Filter on the bare row_number so the planner inserts a window group limit
+    # (top-k per query before the shuffle as well as after it).
+    return (local.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= kk)
+            .select(F.col("qid").alias(q_id), (F.col("_rn") - 1).cast("int").alias("pos"),
+                    F.col("iid").alias(i_id), "score"))
 
 
 def exact_top_k(queries: DataFrame, items: DataFrame, k: int, *, id_col: str = "id",

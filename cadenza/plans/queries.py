@@ -390,13 +390,10 @@ def w2_cap_per_artist(spark, sf_dir):
 
 
 def _packed(t):
-    """A17 input: orders are songs, customers are files, line quantities are the ragged array."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("_l"))
-    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("file"))
-    songs = (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
-             .select("o_orderkey", "file", F.col("_l.l_quantity").alias("quantities")))
-    return CA.pack_arrays(songs, "file", "o_orderkey", "quantities")
+    """A17 input: orders are songs, customers are files, line quantities the ragged values."""
+    songs = t.orders.select("o_orderkey", F.col("o_custkey").alias("file"))
+    kids = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_quantity").alias("value"))
+    return CA.pack_rows(songs, kids, "file", "o_orderkey", ["l_linenumber", "value"], "value")
 
 
 _PACK_SQL = """WITH n AS (SELECT o_orderkey, o_custkey AS file, count(l_orderkey) AS n

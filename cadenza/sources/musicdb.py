@@ -70,16 +70,18 @@ def song_records(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> D
 
 
 def song_table(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    """Song records with scalar fields and ragged array fields (per-part line values, in line order)."""
+    """Song records with scalar fields and two array fields of bounded length (``p_size`` entries)."""
     lines = lineitem.groupBy("l_partkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_discount"))).alias("_l"),
-        F.avg("l_quantity").alias("tempo"), (F.round(F.sum("l_discount"), 2) / F.count("l_discount")).alias("song_hotttnesss"))
+        F.avg("l_quantity").alias("tempo"),
+        (F.round(F.sum("l_discount"), 2) / F.count("l_discount")).alias("song_hotttnesss"))
     recs = song_records(part, lineitem, supplier)
     p = part.select(F.col("p_partkey").alias("song_id"), F.col("p_size").cast("double").alias("duration"),
-                    F.col("p_retailprice").alias("loudness"), F.col("p_brand").alias("artist_id"))
+                    F.col("p_retailprice").alias("loudness"), F.col("p_brand").alias("artist_id"),
+                    F.col("p_size").alias("_n"))
+    seg = F.sequence(F.lit(0), F.col("_n") - 1).cast("array<double>")
     return (recs.join(p, "song_id")
             .join(lines, recs.song_id == lines.l_partkey, "left")
             .select("song_id", F.concat(F.lit("TR"), F.col("song_id").cast("string")).alias("track_id"),
                     "artist_id", "artist_name", "title", "release", "duration", "loudness", "tempo",
-                    "song_hotttnesss",
-                    F.col("_l.l_quantity").alias("segments_start"), F.col("_l.l_discount").alias("segments_confidence")))
+                    "song_hotttnesss", seg.alias("segments_start"),
+                    F.transform(seg, lambda x: x / F.col("duration")).alias("segments_confidence")))
