@@ -213,7 +213,7 @@ def a4_describe_numeric(spark, sf_dir):
                                               approx_quartiles=False))
 
 
-@register("a4_describe_text", """SELECT 'p_type' AS "column", sum(n) AS "count", count(*) AS "unique",
+@register("a4_describe_text", """SELECT 'p_type' AS "column", CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique",
   arg_min(p_type, (-n, p_type)) AS top, max(n) AS freq
 FROM (SELECT p_type, count(*) AS n FROM part WHERE p_type IS NOT NULL GROUP BY p_type)""")
 def a4_describe_text(spark, sf_dir):
@@ -221,7 +221,7 @@ def a4_describe_text(spark, sf_dir):
 
 
 @register("a5_null_count", "WITH " + S.C1 + """
-SELECT 'loudness' AS "column", count_if(loudness IS NULL OR isnan(loudness)) AS n_missing FROM c1""")
+SELECT 'loudness' AS "column", CAST(count_if(loudness IS NULL OR isnan(loudness)) AS BIGINT) AS n_missing FROM c1""")
 def a5_null_count(spark, sf_dir):
     return FE.null_count(_c1(_t(spark, sf_dir)), "loudness")
 
@@ -368,8 +368,8 @@ def j9_w1_artist_tags(spark, sf_dir):
 
 @register("a15_enrichment_coverage", _J8_SQL.replace("WITH ", "WITH ", 1) + """,
 """ + _TAGS_SQL[len("WITH " + S.MUSICDB + ",\n"):] + """
-SELECT count(*) AS n_records, count_if(s.artist_gid != '') AS n_artist_id, count_if(y.year > 0) AS n_year,
-       count_if(tg.gid IS NOT NULL) AS n_tags
+SELECT count(*) AS n_records, CAST(count_if(s.artist_gid != '') AS BIGINT) AS n_artist_id, CAST(count_if(y.year > 0) AS BIGINT) AS n_year,
+       CAST(count_if(tg.gid IS NOT NULL) AS BIGINT) AS n_tags
 FROM songs s JOIN yr y ON s.song_id = y.song_id LEFT JOIN tg ON tg.gid = s.artist_gid""")
 def a15_enrichment_coverage(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -482,12 +482,12 @@ def g1_graph_expansion(spark, sf_dir):
     return CA.expand_graph(_edges(t), seeds, n_neighbours=10, max_rounds=3, seed=0)
 
 
-@register("a19_health_check", """SELECT count(*) AS n_rows, count_if(NOT coalesce(l_quantity > 0, false)) AS bad_quantity,
-  count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false)) AS bad_discount,
-  count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) AS bad_shipdate,
-  count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)) AS bad_returnflag,
-  (count_if(NOT coalesce(l_quantity > 0, false)) + count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false))
-   + count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) + count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false))) = 0 AS ok
+@register("a19_health_check", """SELECT count(*) AS n_rows, CAST(count_if(NOT coalesce(l_quantity > 0, false)) AS BIGINT) AS bad_quantity,
+  CAST(count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false)) AS BIGINT) AS bad_discount,
+  CAST(count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) AS BIGINT) AS bad_shipdate,
+  CAST(count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)) AS BIGINT) AS bad_returnflag,
+  (CAST(count_if(NOT coalesce(l_quantity > 0, false)) AS BIGINT) + CAST(count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false)) AS BIGINT)
+   + CAST(count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) AS BIGINT) + CAST(count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)) AS BIGINT)) = 0 AS ok
 FROM lineitem""")
 def a19_health_check(spark, sf_dir):
     li = _t(spark, sf_dir).lineitem
