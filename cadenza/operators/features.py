@@ -64,20 +64,26 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def describe_numeric(df: DataFrame, cols, approx_quartiles: bool = True) -> DataFrame:
     """A4, numeric: count, mean, sample std, min, (approximate) quartiles, max per column.
 
-    One pass; quartiles use the bounded-memory ``percentile_approx`` sketch.
+    One scan computes every statistic of every column; the one-row result is
+    then unpivoted to one row per column. Quartiles use the bounded-memory
+    ``percentile_approx`` sketch.
     """
-    rows = []
-    for c in cols:
+    aggs = []
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs = [F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
         if approx_quartiles:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("quartiles"))
-        rows.append(df.agg(*aggs))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
+    wide = df.agg(*aggs)
+    rows = []
+    for i, c in enumerate(cols):
+        fields = [F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"),
+                  F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max")]
+        if approx_quartiles:
+            fields.append(F.col(f"q{i}").alias("quartiles"))
+        rows.append(F.struct(*fields))
+    return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
 def describe_text(df: DataFrame, col: str) -> DataFrame:

@@ -66,3 +66,24 @@ def test_cap_and_anti_and_union(spark):
     known = spark.createDataFrame([("x",)], "k string")
     assert CA.skip_known(df, known, "k").select("k").distinct().count() == 1
     assert CA.union_distinct([df, df]).count() == 10
+
+
+def test_prefix_sums_and_file_views(spark):
+    from cadenza.operators.ordering import exclusive_prefix_sum, offsets_within
+    df = spark.range(0, 1000, numPartitions=6).select((F.col("id") % 3).alias("g"), F.col("id"), (F.col("id") % 5).alias("w"))
+    got = {r.id: r.offset for r in exclusive_prefix_sum(df, ["id"], "w").collect()}
+    run, want = 0, {}
+    for i in range(1000):
+        want[i] = run
+        run += i % 5
+    assert got == want
+    per = {(r.g, r.id): r.offset for r in offsets_within(df, ["g"], ["id"], F.lit(1)).collect()}
+    assert per[(0, 0)] == 0 and per[(1, 4)] == 1 and per[(2, 998)] == 332
+    files = spark.createDataFrame([(f"/r/{d}/f{i}.h5", i, 1) for d, n in (("a", 3), ("b", 1), ("c", 3)) for i in range(n)],
+                                  "path string, modificationTime long, length long")
+    stats, ext = CA.leaf_occupancy(files)
+    s = stats.first()
+    assert (s.min_files, s.max_files, s.total_files, s.n_leaves) == (1, 3, 7, 3)
+    assert sorted((r.leaf, r.kind) for r in ext.collect()) == [("/r/a", "fullest"), ("/r/b", "emptiest"), ("/r/c", "fullest")]
+    assert CA.overflow(files, 5).count() == 2
+    assert [r.modificationTime for r in CA.most_recent(files, 2).collect()] == [2, 2]
