@@ -51,3 +51,13 @@ def test_random_neighbours_bounded(spark):
     e = spark.range(500).select((F.col("id") % 5).alias("src"), F.col("id").alias("dst"))
     out = I.random_neighbours(e, 10, 1)
     assert sorted(r["count"] for r in out.groupBy("src").count().collect()) == [10] * 5
+
+
+def test_id_index_equals_dense_rank_and_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.sql import Window
+    df = spark.range(0, 800, numPartitions=5).select(F.format_string("k%d", F.col("id") % 97).alias("v"))
+    ours = {r.v: r.v_index for r in I.build_id_index(df, "v").collect()}
+    dr = {r.v: r.i for r in df.distinct().select("v", (F.dense_rank().over(Window.orderBy("v")) - 1).alias("i")).collect()}
+    si = StringIndexer(inputCol="v", outputCol="i", stringOrderType="alphabetAsc").fit(df)
+    assert ours == dr == {lab: i for i, lab in enumerate(si.labels)}
