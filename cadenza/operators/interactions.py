@@ -58,6 +58,46 @@ def build_id_index(dfs, col: str, index_col: str | None = None) -> DataFrame:
             .select(col, (F.col("_off") + F.col("_m") - F.col("_m0")).cast("int").alias(index_col)))
 
 
+def build_id_indexes(dfs, cols) -> dict:
+    """M1 for several id columns at once: one sort, one checkpoint, one offset table.
+
+    Values of all columns are tagged with their column, numbered together in
+    ``(column, value)`` order, and each column's numbering restarts at 0 by
+    subtracting the column's first global position (a grouped min, broadcast:
+    one row per column). Returns ``{col: DataFrame(col, col_index)}``.
+    """
+    if isinstance(dfs, DataFrame):
+        dfs = [dfs]
+    if any(dict(dfs[0].dtypes)[c] != "string" for c in cols):
+        # Mixed types would be ordered as text; number non-text ids column by column.
+        return {c: build_id_index(dfs, c) for c in cols}
+    parts = []
+    for c in cols:
+        for d in dfs:
+            v = F.col(c).cast("string")
+            parts.append(d.select(F.lit(c).alias("_c"),
+                                  F.when(v.isNull(), F.raise_error(F.lit(f"NULL value in id column {c}")))
+                                  .otherwise(v).alias("_v")))
+    tagged = (union_all(parts).distinct()
+              .orderBy("_c", "_v")
+              .select("_c", "_v", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
+              .checkpoint(eager=True))
+    offsets = (tagged.groupBy("_p")
+               .agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+               .withColumn("_off", F.coalesce(
+                   F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0))))
+    numbered = tagged.join(F.broadcast(offsets), "_p").select(
+        "_c", "_v", (F.col("_off") + F.col("_m") - F.col("_m0")).alias("_g"))
+    base = numbered.groupBy("_c").agg(F.min("_g").alias("_b"))
+    both = numbered.join(F.broadcast(base), "_c").select("_c", "_v", (F.col("_g") - F.col("_b")).cast("int").alias("_i"))
+    out = {}
+    for c in cols:
+        typ = dict(dfs[0].dtypes)[c]
+        out[c] = both.where(F.col("_c") == c).select(F.col("_v").cast(typ).alias(c), F.col("_i").alias(f"{c}_index"))
+    return out
+
+
 def apply_id_index(df: DataFrame, index: DataFrame, col: str, index_col: str | None = None,
                    keep_original: bool = False) -> DataFrame:
     """M1 transform: replace ``col`` by its index; an id missing from the index raises."""
@@ -83,8 +123,8 @@ def index_interactions(splits: dict, user_col: str = "user_id", item_col: str =
     ``user_id_index INT, track_id_index INT, count FLOAT`` (P9).
     """
     frames = list(splits.values())
-    uidx = build_id_index(frames, user_col)
-    iidx = build_id_index(frames, item_col)
+    idx = build_id_indexes(frames, [user_col, item_col])
+    uidx, iidx = idx[user_col], idx[item_col]
     out = {}
     for name, df in splits.items():
         d = apply_id_index(apply_id_index(df, uidx, user_col), iidx, item_col)
