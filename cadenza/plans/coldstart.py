@@ -30,23 +30,30 @@ def aligned_items(t: Tables) -> DataFrame:
 
 
 def design_matrix(items: DataFrame):
-    """C3 + C4 + C5: ``(mapped_id, x array<double>, y)`` and the feature count."""
+    """C3 + C4 + C5: ``(mapped_id, xv vector, x array<double>, y)`` and the feature count."""
     _, enc = CS.one_hot(items, CATEGORICAL)
     imp = CS.impute_mean(enc, NUMERIC)
-    asm = CS.assemble(imp, [f"{c}_vec" for c in CATEGORICAL] + NUMERIC)
-    out = asm.select("mapped_id", vector_to_array("x").alias("x"), "y")
-    d = len(out.select("x").first()[0])
+    asm = CS.assemble(imp, [f"{c}_vec" for c in CATEGORICAL] + NUMERIC, out_col="xv")
+    out = asm.select("mapped_id", "xv", vector_to_array("xv").alias("x"), "y")
+    d = out.select("xv").first()[0].size
     return out, d
 
 
-def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
-    """C6 + C7 on the R4 split; returns the alpha-search result dict and the design table."""
+def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0), max_gram_features: int = 4096):
+    """C6 + C7 on the R4 split; returns the alpha-search result dict and the design table.
+
+    Up to ``max_gram_features`` columns the ridge is solved from one pass of
+    sufficient statistics; wider designs use one distributed L-BFGS fit per output.
+    """
     items = aligned_items(t)
     x, d = design_matrix(items)
     x = x.checkpoint(eager=True)
     r = len(x.select("y").first()[0])
     train, val, test = I.nested_holdout(x, F.col("mapped_id"))
-    res = CS.alpha_search(train, val, test, "x", "y", d, r, alphas)
+    if d <= max_gram_features:
+        res = CS.alpha_search(train, val, test, "x", "y", d, r, alphas)
+    else:
+        res = CS.alpha_search_wide(train.drop("x"), val.drop("x"), test.drop("x"), "xv", "y", r, alphas)
     res["d"], res["r"] = d, r
     return res, x, (train, val, test)
 

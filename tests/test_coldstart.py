@@ -37,3 +37,17 @@ def test_one_hot_keeps_all_levels(spark):
     sizes = {r.c_vec.size for r in out.collect()}
     assert sizes == {3}  # two levels plus the slot kept for unseen values
     assert out.where(F.col("c") == "a").first().c_idx == 0.0
+
+
+def test_wide_fallback_matches_normal_equations(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((300, 4))
+    y = x @ rng.standard_normal((4, 2)) + 1.0 + 0.05 * rng.standard_normal((300, 2))
+    from pyspark.ml.functions import array_to_vector
+    df = spark.createDataFrame([([float(v) for v in a], [float(v) for v in b]) for a, b in zip(x, y)],
+                               "xa array<double>, y array<double>").select(array_to_vector("xa").alias("xv"), "y")
+    models = CS.linear_regression_per_output(df, "xv", "y", 2, 7.0)
+    xc, yc = x - x.mean(0), y - y.mean(0)
+    want = np.linalg.solve(xc.T @ xc + 7 * np.eye(4), xc.T @ yc)
+    got = np.column_stack([m.coefficients.toArray() for m in models])
+    assert np.allclose(got, want, atol=1e-4)
