@@ -128,7 +128,9 @@ def ridge_from_stats(stats, alphas):
 
 def predict(df: DataFrame, x_col: str, w: np.ndarray, b: np.ndarray, out_col: str = "pred") -> DataFrame:
     """Apply one coefficient matrix (parameter-sized, shipped in the closure) to every row."""
-    keep = [c for c in df.columns]
+    from pyspark.sql.types import UserDefinedType
+    keep = [f.name for f in df.schema.fields if not isinstance(f.dataType, UserDefinedType)]
+    df = df.select(*keep)
 
     def fn(it):
         for pdf in it:

@@ -51,6 +51,7 @@ def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0),
     r = len(x.select("y").first()[0])
     train, val, test = I.nested_holdout(x, F.col("mapped_id"))
     if d <= max_gram_features:
+        train, val, test = train.drop("xv"), val.drop("xv"), test.drop("xv")
         res = CS.alpha_search(train, val, test, "x", "y", d, r, alphas)
     else:
         res = CS.alpha_search_wide(train.drop("x"), val.drop("x"), test.drop("x"), "xv", "y", r, alphas)
