@@ -52,18 +52,6 @@ def assemble(df: DataFrame, cols, out_col: str = "x") -> DataFrame:
 
 
 # ----------------------------------------------------------------------- C6
-def _dense(v, d):
-    if hasattr(v, "toArray"):
-        return v.toArray()
-    if isinstance(v, dict):  # Arrow struct form of an ML vector
-        arr = np.zeros(d)
-        if v.get("type") == 1:
-            return np.asarray(v["values"], dtype=np.float64)
-        arr[np.asarray(v["indices"], dtype=np.int64)] = v["values"]
-        return arr
-    return np.asarray(v, dtype=np.float64)
-
-
 def sufficient_stats(df: DataFrame, x_col: str, y_col: str, d: int, r: int, fan_in: int | None = None):
     """One pass: ``(n, sx, sy, xtx, xty)`` over all rows, combined as a two-level tree.
 

@@ -43,8 +43,8 @@ def users_with_targets(queries: DataFrame, targets: DataFrame, key: str) -> Data
 
 
 # ---------------------------------------------------------------- kernel
-def _scores_top_k(qids, qmat, iids, imat, k: int, chunk: int = 1024):
-    """Local top-k per query row: returns arrays (qid, iid, score, rank-in-chunk)."""
+def _scores_top_k(qids, qmat, iids, imat, k: int, chunk: int = 512):
+    """Local top-k per query row, scoring ``chunk`` queries at a time: arrays (qid, iid, score)."""
     out_q, out_i, out_s = [], [], []
     kk = min(k, len(iids))
     for s in range(0, len(qids), chunk):

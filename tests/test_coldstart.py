@@ -51,3 +51,19 @@ def test_wide_fallback_matches_normal_equations(spark):
     want = np.linalg.solve(xc.T @ xc + 7 * np.eye(4), xc.T @ yc)
     got = np.column_stack([m.coefficients.toArray() for m in models])
     assert np.allclose(got, want, atol=1e-4)
+
+
+def test_alpha_search_solvers_agree(spark):
+    """The normal-equation search and the per-output L-BFGS search pick the same alpha and scores."""
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((240, 3))
+    y = x @ rng.standard_normal((3, 2)) + 0.3 * rng.standard_normal((240, 2))
+    df = spark.createDataFrame([(i, [float(v) for v in a], [float(v) for v in b]) for i, (a, b) in enumerate(zip(x, y))],
+                               "id long, x array<double>, y array<double>").withColumn("xv", array_to_vector("x"))
+    tr, va, te = df.where(F.col("id") % 5 < 3), df.where(F.col("id") % 5 == 3), df.where(F.col("id") % 5 == 4)
+    alphas = (0.1, 100.0)
+    a = CS.alpha_search(tr.drop("xv"), va.drop("xv"), te.drop("xv"), "x", "y", 3, 2, alphas)
+    b = CS.alpha_search_wide(tr.drop("x"), va.drop("x"), te.drop("x"), "xv", "y", 2, alphas)
+    assert a["best_alpha"] == b["best_alpha"]
+    assert a["test_mse"] == pytest.approx(b["test_mse"], rel=1e-3)
