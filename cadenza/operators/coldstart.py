@@ -58,7 +58,7 @@ def sufficient_stats(df: DataFrame, x_col: str, y_col: str, d: int, r: int, fan_
     ``x_col`` is an array<double> column of length d, ``y_col`` array<double> of length r.
     """
     def partial(it):
-        n, sx, sy = 0, np.zeros(d), np.zeros(r)
+        n, sx, sy, syy = 0, np.zeros(d), np.zeros(r), np.zeros(r)
         xtx, xty = np.zeros((d, d)), np.zeros((d, r))
         for pdf in it:
             if len(pdf) == 0:
@@ -68,20 +68,24 @@ def sufficient_stats(df: DataFrame, x_col: str, y_col: str, d: int, r: int, fan_
             n += len(x)
             sx += x.sum(0)
             sy += y.sum(0)
+            syy += (y * y).sum(0)
             xtx += x.T @ x
             xty += x.T @ y
-        yield pd.DataFrame({"n": [n], "sx": [sx], "sy": [sy], "xtx": [xtx.reshape(-1)], "xty": [xty.reshape(-1)]})
+        yield pd.DataFrame({"n": [n], "sx": [sx], "sy": [sy], "syy": [syy], "xtx": [xtx.reshape(-1)],
+                            "xty": [xty.reshape(-1)]})
 
-    schema = "n long, sx array<double>, sy array<double>, xtx array<double>, xty array<double>"
+    schema = "n long, sx array<double>, sy array<double>, syy array<double>, xtx array<double>, xty array<double>"
 
     def combine(it):
         acc = None
         for pdf in it:
             for row in pdf.itertuples(index=False):
-                vals = [row.n, np.asarray(row.sx), np.asarray(row.sy), np.asarray(row.xtx), np.asarray(row.xty)]
+                vals = [row.n, np.asarray(row.sx), np.asarray(row.sy), np.asarray(row.syy), np.asarray(row.xtx),
+                        np.asarray(row.xty)]
                 acc = vals if acc is None else [a + b for a, b in zip(acc, vals)]
         if acc is not None:
-            yield pd.DataFrame({"n": [acc[0]], "sx": [acc[1]], "sy": [acc[2]], "xtx": [acc[3]], "xty": [acc[4]]})
+            yield pd.DataFrame({"n": [acc[0]], "sx": [acc[1]], "sy": [acc[2]], "syy": [acc[3]], "xtx": [acc[4]],
+                                "xty": [acc[5]]})
 
     src = df.select(F.col(x_col).alias("x"), F.col(y_col).alias("y"))
     parts = src.mapInPandas(partial, schema)
@@ -89,7 +93,7 @@ def sufficient_stats(df: DataFrame, x_col: str, y_col: str, d: int, r: int, fan_
     g = fan_in or max(1, int(math.ceil(math.sqrt(n_parts))))
     level1 = parts.repartition(g).mapInPandas(combine, schema)
     row = level1.coalesce(1).mapInPandas(combine, schema).collect()[0]
-    return (int(row.n), np.asarray(row.sx), np.asarray(row.sy),
+    return (int(row.n), np.asarray(row.sx), np.asarray(row.sy), np.asarray(row.syy),
             np.asarray(row.xtx).reshape(d, d), np.asarray(row.xty).reshape(d, r))
 
 
@@ -99,7 +103,7 @@ def ridge_from_stats(stats, alphas):
     Minimises ``||y - Xw - b||^2 + alpha ||w||^2`` per output (centred normal equations).
     With alpha = 0 on rank-deficient one-hot data the least-norm solution is used.
     """
-    n, sx, sy, xtx, xty = stats
+    n, sx, sy, _, xtx, xty = stats
     mx, my = sx / n, sy / n
     sxx = xtx - n * np.outer(mx, mx)
     sxy = xty - n * np.outer(mx, my)
@@ -148,12 +152,29 @@ def mse_r2(df: DataFrame, y_col: str, p_col: str, decimals: int | None = None) -
 
 
 # ----------------------------------------------------------------------- C7 / C8
+def score_from_stats(stats, w: np.ndarray, b: np.ndarray) -> dict:
+    """A11 + A12 of the predictions ``xW + b`` on the rows summarised by ``stats``, without a data pass.
+
+    Per output j: ``SSE_j = sum y^2 - 2 w'X'y - 2 b sum y + w'X'Xw + 2 b w'sum x + n b^2`` and
+    ``SST_j = sum y^2 - n mean(y)^2``; MSE averages SSE_j / n over outputs, R^2 averages
+    ``1 - SSE_j / SST_j`` over outputs with SST_j > 0.
+    """
+    n, sx, sy, syy, xtx, xty = stats
+    sse = (syy - 2 * np.einsum("dr,dr->r", w, xty) - 2 * b * sy + np.einsum("dr,dk,kr->r", w, xtx, w)
+           + 2 * b * (sx @ w) + n * b * b)
+    sse = np.maximum(sse, 0.0)
+    sst = syy - n * (sy / n) ** 2
+    ok = sst > 1e-12 * np.maximum(1.0, syy)
+    return {"mse": float(np.mean(sse / n)), "r2": float(np.mean(1 - sse[ok] / sst[ok])) if ok.any() else None}
+
+
 def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, x_col: str, y_col: str, d: int, r: int,
                  alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
     """Pick the alpha with the lowest validation MSE, refit on train+val, score test, refit on all.
 
-    Train and validation statistics are computed once each; since the statistics
-    are additive the refits need no further pass over the data.
+    Exactly three passes over the data (one sufficient-statistics pass per split):
+    fits come from the train statistics, validation and test scores are computed
+    from their statistics analytically, and refits add the statistics.
     """
     st_tr = sufficient_stats(train, x_col, y_col, d, r)
     st_va = sufficient_stats(val, x_col, y_col, d, r)
@@ -161,16 +182,16 @@ def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, x_col: str,
     fits = ridge_from_stats(st_tr, alphas)
     scores = []
     for a, (w, b) in fits.items():
-        m = mse_r2(predict(val, x_col, w, b), y_col, "pred").collect()[0]
-        scores.append({"alpha": a, "val_mse": float(m["mse"]), "val_r2": None if m["r2"] is None else float(m["r2"])})
+        m = score_from_stats(st_va, w, b)
+        scores.append({"alpha": a, "val_mse": m["mse"], "val_r2": m["r2"]})
     best = min(scores, key=lambda s: (s["val_mse"], s["alpha"]))["alpha"]
     both = tuple(a + b for a, b in zip(st_tr, st_va))
     w, b = ridge_from_stats(both, [best])[best]
-    test_m = mse_r2(predict(test, x_col, w, b), y_col, "pred").collect()[0]
+    test_m = score_from_stats(st_te, w, b)
     every = tuple(a + b + c for a, b, c in zip(st_tr, st_va, st_te))
     w_all, b_all = ridge_from_stats(every, [best])[best]
-    return {"scores": scores, "best_alpha": best, "test_mse": float(test_m["mse"]),
-            "test_r2": None if test_m["r2"] is None else float(test_m["r2"]), "weights": w_all, "intercept": b_all}
+    return {"scores": scores, "best_alpha": best, "test_mse": test_m["mse"], "test_r2": test_m["r2"],
+            "weights": w_all, "intercept": b_all}
 
 
 def coefficient_table(spark, weights: np.ndarray, intercept: np.ndarray) -> DataFrame:

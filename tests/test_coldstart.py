@@ -23,6 +23,8 @@ def test_ridge_matches_normal_equations(spark):
     assert m.mse == pytest.approx(((y - p) ** 2).mean())
     r2 = np.mean(1 - ((y - p) ** 2).sum(0) / ((y - y.mean(0)) ** 2).sum(0))
     assert m.r2 == pytest.approx(r2)
+    analytic = CS.score_from_stats(stats, w, b)
+    assert analytic["mse"] == pytest.approx(m.mse, rel=1e-9) and analytic["r2"] == pytest.approx(m.r2, rel=1e-9)
 
 
 def test_impute_fixture(spark):
