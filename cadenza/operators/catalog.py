@@ -106,8 +106,7 @@ def pack_arrays(songs: DataFrame, file_col: str, order_col: str, array_col: str)
     (see :mod:`cadenza.operators.ordering`), so one huge file is not one task.
     """
     base = songs.withColumn("_n", F.coalesce(F.size(array_col), F.lit(0)))
-    with_idx = offsets_within(base, [file_col], [order_col], "_n", "idx")
-    with_idx = offsets_within(with_idx, [file_col], [order_col], F.lit(1), "songidx")
+    with_idx = offsets_within(base, [file_col], [order_col], {"idx": "_n", "songidx": F.lit(1)})
     children = with_idx.select(file_col, "idx", F.posexplode(array_col).alias("_k", "value")).select(
         file_col, (F.col("idx") + F.col("_k")).alias("pos"), "value")
     return with_idx.drop("_n", array_col), children
@@ -124,8 +123,7 @@ def pack_rows(songs: DataFrame, children: DataFrame, file_col: str, song_key: st
     """
     sizes = children.groupBy(song_key).agg(F.count(F.lit(1)).alias("_n"))
     s = songs.join(sizes, song_key, "left").withColumn("_n", F.coalesce(F.col("_n"), F.lit(0)))
-    s = offsets_within(s, [file_col], [song_key], "_n", "idx")
-    s = offsets_within(s, [file_col], [song_key], F.lit(1), "songidx").drop("_n")
+    s = offsets_within(s, [file_col], [song_key], {"idx": "_n", "songidx": F.lit(1)}).drop("_n")
     kids = children.join(songs.select(song_key, file_col), song_key)
     kids = offsets_within(kids, [file_col], [song_key] + list(child_order), F.lit(1), "pos")
     return s, kids.select(file_col, "pos", value_col)

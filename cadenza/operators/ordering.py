@@ -7,7 +7,8 @@ each partition totals its own rows, a table with one row per partition gives
 the partition offsets (broadcast: its size is the partition count), and a
 window *inside* each range partition adds the local running total. The
 tagged, sorted table is checkpointed so the numbering is stable if a task is
-re-run after an executor loss.
+re-run after an executor loss. Several running totals over the same order are
+computed in the same pass.
 """
 
 from __future__ import annotations
@@ -16,36 +17,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _weights(weight, out_col):
+    if isinstance(weight, dict):
+        return {k: (F.col(v) if isinstance(v, str) else v) for k, v in weight.items()}
+    return {out_col: F.col(weight) if isinstance(weight, str) else weight}
+
+
 def exclusive_prefix_sum(df: DataFrame, order_cols, weight, out_col: str = "offset") -> DataFrame:
     """``out_col`` = sum of ``weight`` over all rows strictly before this one in ``order_cols`` order.
 
+    ``weight`` may be a dict ``{out_col: weight}`` for several totals at once.
     ``order_cols`` must give a total order (break ties with a unique key).
     """
-    w = weight if not isinstance(weight, str) else F.col(weight)
-    tagged = (df.withColumn("_w", w.cast("long"))
-              .orderBy(*order_cols)
+    ws = _weights(weight, out_col)
+    names = {k: f"_w{i}" for i, k in enumerate(ws)}
+    tagged = df
+    for k, w in ws.items():
+        tagged = tagged.withColumn(names[k], w.cast("long"))
+    tagged = (tagged.orderBy(*order_cols)
               .withColumn("_p", F.spark_partition_id())
               .withColumn("_m", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    offsets = (tagged.groupBy("_p").agg(F.sum("_w").alias("_t"))
-               .withColumn("_off", F.coalesce(
-                   F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("long"))
-               .select("_p", "_off"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tagged.groupBy("_p").agg(*[F.sum(n).alias(f"{n}_t") for n in names.values()])
+    offsets = offsets.select("_p", *[F.coalesce(F.sum(f"{n}_t").over(before), F.lit(0)).cast("long").alias(f"{n}_o")
+                                     for n in names.values()])
     local = Window.partitionBy("_p").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
-    return (tagged.join(F.broadcast(offsets), "_p")
-            .withColumn(out_col, (F.col("_off") + F.coalesce(F.sum("_w").over(local), F.lit(0))).cast("long"))
-            .drop("_p", "_m", "_w", "_off"))
+    out = tagged.join(F.broadcast(offsets), "_p")
+    for k, n in names.items():
+        out = out.withColumn(k, (F.col(f"{n}_o") + F.coalesce(F.sum(n).over(local), F.lit(0))).cast("long"))
+    return out.drop("_p", "_m", *names.values(), *[f"{n}_o" for n in names.values()])
 
 
 def offsets_within(df: DataFrame, group_cols, order_cols, weight, out_col: str = "offset") -> DataFrame:
-    """Exclusive running total of ``weight`` restarting at each group (e.g. per source file).
+    """Exclusive running total(s) of ``weight`` restarting at each group (e.g. per source file).
 
     Global prefix sum minus the group's first value; the per-group minimum is a
     partial + final aggregate, so one group holding a third of all rows is
     still spread over every task.
     """
     g = list(group_cols)
-    pre = exclusive_prefix_sum(df, g + list(order_cols), weight, "_g")
-    base = pre.groupBy(*g).agg(F.min("_g").alias("_b"))
-    return pre.join(base, g).withColumn(out_col, F.col("_g") - F.col("_b")).drop("_g", "_b")
+    ws = _weights(weight, out_col)
+    tmp = {k: f"_g_{k}" for k in ws}
+    pre = exclusive_prefix_sum(df, g + list(order_cols), {tmp[k]: w for k, w in ws.items()})
+    base = pre.groupBy(*g).agg(*[F.min(t).alias(f"_b_{k}") for k, t in tmp.items()])
+    out = pre.join(base, g)
+    for k, t in tmp.items():
+        out = out.withColumn(k, F.col(t) - F.col(f"_b_{k}"))
+    return out.drop(*tmp.values(), *[f"_b_{k}" for k in ws])
