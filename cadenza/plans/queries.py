@@ -464,7 +464,7 @@ def r7_random_neighbours(spark, sf_dir):
 
 _G1_SQL = "WITH " + _EDGES_SQL + """,
 seeds AS (SELECT l_partkey AS node FROM (SELECT l_partkey, count(*) AS c FROM lineitem GROUP BY l_partkey
-          ORDER BY c DESC, l_partkey LIMIT 20)),
+          ORDER BY c DESC, l_partkey LIMIT 100)),
 v0 AS (SELECT node, 0 AS round FROM seeds),
 v1 AS (SELECT DISTINCT nb.dst AS node, 1 AS round FROM v0 JOIN nb ON nb.src = v0.node WHERE nb.dst NOT IN (SELECT node FROM v0)),
 a1 AS (SELECT * FROM v0 UNION ALL SELECT * FROM v1),
@@ -478,7 +478,7 @@ SELECT node, round FROM a2 UNION ALL SELECT node, round FROM v3"""
 def g1_graph_expansion(spark, sf_dir):
     from cadenza.operators.popularity import top_n_by
     t = _t(spark, sf_dir)
-    seeds = top_n_by(t.lineitem, "l_partkey", F.count(F.lit(1)), 20).select(F.col("l_partkey").alias("node"))
+    seeds = top_n_by(t.lineitem, "l_partkey", F.count(F.lit(1)), 100).select(F.col("l_partkey").alias("node"))
     return CA.expand_graph(_edges(t), seeds, n_neighbours=10, max_rounds=3, seed=0)
 
 
@@ -558,11 +558,11 @@ def s2_s9_csv_roundtrip(spark, sf_dir):
 
 
 _PAIRS_SQL = """pairs AS (SELECT DISTINCT upper(s_name) || ' ' AS artist_name, p_name AS title
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1)"""
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)"""
 
 
 def _name_pairs(t):
-    li = t.lineitem.where(F.col("l_linenumber") == 1)
+    li = t.lineitem
     sup, part = t.supplier, t.part
     return (li.join(sup, li.l_suppkey == sup.s_suppkey)
             .join(part, li.l_partkey == part.p_partkey)
