@@ -195,11 +195,18 @@ def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, x_col: str,
 
 
 def coefficient_table(spark, weights: np.ndarray, intercept: np.ndarray) -> DataFrame:
-    """``(output, feature_idx, weight)`` rows; feature_idx -1 holds the intercept."""
+    """``(output, feature_idx, weight)`` rows; feature_idx -1 holds the intercept.
+
+    The driver ships one row per output (its weight vector); the long table is
+    produced by ``posexplode`` on the executors.
+    """
     d, r = weights.shape
-    rows = [(j, i, float(weights[i, j])) for j in range(r) for i in range(d)] + \
-           [(j, -1, float(intercept[j])) for j in range(r)]
-    return spark.createDataFrame(rows, "output int, feature_idx int, weight double")
+    per_output = spark.createDataFrame(
+        [(j, [float(v) for v in weights[:, j]], float(intercept[j])) for j in range(r)],
+        "output int, w array<double>, b double")
+    coef = per_output.select("output", F.posexplode("w").alias("feature_idx", "weight"))
+    icpt = per_output.select("output", F.lit(-1).alias("feature_idx"), F.col("b").alias("weight"))
+    return coef.unionByName(icpt)
 
 
 def linear_regression_per_output(df: DataFrame, x_col: str, y_col: str, r: int, alpha: float):
