@@ -194,8 +194,9 @@ def leaf_occupancy(files: DataFrame, path_col: str = "path"):
 
 
 def most_recent(files: DataFrame, n: int = 5, time_col: str = "modificationTime", id_col: str = "path") -> DataFrame:
-    """The ``n`` newest rows (per-task top-n, one bounded merge)."""
-    return files.orderBy(F.col(time_col).desc(), F.col(id_col)).limit(n)
+    """The ``n`` newest rows (per-task top-n, one bounded merge), with the time as display text."""
+    return (files.orderBy(F.col(time_col).desc(), F.col(id_col)).limit(n)
+            .withColumn("modified", F.date_format(F.col(time_col), "yyyy-MM-dd HH:mm:ss")))
 
 
 def overflow(files: DataFrame, limit: int, time_col: str = "modificationTime", id_col: str = "path") -> DataFrame:

@@ -80,10 +80,11 @@ def test_prefix_sums_and_file_views(spark):
     per = {(r.g, r.id): r.offset for r in offsets_within(df, ["g"], ["id"], F.lit(1)).collect()}
     assert per[(0, 0)] == 0 and per[(1, 4)] == 1 and per[(2, 998)] == 332
     files = spark.createDataFrame([(f"/r/{d}/f{i}.h5", i, 1) for d, n in (("a", 3), ("b", 1), ("c", 3)) for i in range(n)],
-                                  "path string, modificationTime long, length long")
+                                  "path string, m long, length long").select(
+        "path", F.timestamp_seconds("m").alias("modificationTime"), "length")
     stats, ext = CA.leaf_occupancy(files)
     s = stats.first()
     assert (s.min_files, s.max_files, s.total_files, s.n_leaves) == (1, 3, 7, 3)
     assert sorted((r.leaf, r.kind) for r in ext.collect()) == [("/r/a", "fullest"), ("/r/b", "emptiest"), ("/r/c", "fullest")]
     assert CA.overflow(files, 5).count() == 2
-    assert [r.modificationTime for r in CA.most_recent(files, 2).collect()] == [2, 2]
+    assert [r.modified for r in CA.most_recent(files, 2).collect()] == ["1970-01-01 00:00:02"] * 2
