@@ -675,8 +675,8 @@ def r6_key_sample(spark, sf_dir):
 
 
 # ----------------------------------------------------------- approximate
-_FOREST_KW = dict(n_trees=8, depth=16, max_leaf=32, seed=0)
-_IVF_KW = dict(n_cells=8, n_probe=3, reorder=50, seed=0)
+_FOREST_KW = dict(n_trees=32, depth=16, max_leaf=32, seed=0)
+_IVF_KW = dict(n_cells=8, n_probe=4, reorder=100, seed=0)
 
 
 @register("n2_forest_search")
