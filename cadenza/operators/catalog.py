@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import year_of_date
 from cadenza.operators.interactions import random_neighbours
 from cadenza.operators.ordering import offsets_within
+from cadenza.session import reliable_checkpoint
 
 NO_DATE = "0000-00-00"
 
@@ -274,15 +275,15 @@ def expand_graph(edges: DataFrame, seeds: DataFrame, n_neighbours: int = 10, max
     Output ``(node, round)``.
     """
     sampled = random_neighbours(edges.select(src, dst).distinct(), n_neighbours, seed, src, dst)
-    visited = seeds.select(F.col(node_col)).distinct().withColumn("round", F.lit(0)).checkpoint(eager=True)
+    visited = seeds.select(F.col(node_col)).distinct().withColumn("round", F.lit(0)).transform(reliable_checkpoint)
     frontier = visited.select(node_col)
     for r in range(1, max_rounds + 1):
         nxt = (frontier.join(sampled, frontier[node_col] == sampled[src])
                .select(F.col(dst).alias(node_col)).distinct())
-        nxt = nxt.join(visited.select(node_col), node_col, "left_anti").checkpoint(eager=True)
+        nxt = nxt.join(visited.select(node_col), node_col, "left_anti").transform(reliable_checkpoint)
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt.withColumn("round", F.lit(r))).checkpoint(eager=True)
+        visited = visited.unionByName(nxt.withColumn("round", F.lit(r))).transform(reliable_checkpoint)
         frontier = nxt
         if budget is not None and visited.count() >= budget:
             break

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import hash_bucket, log_count
+from cadenza.session import reliable_checkpoint
 
 
 # ------------------------------------------------------------------- P2 / U1
@@ -47,7 +48,7 @@ def build_id_index(dfs, col: str, index_col: str | None = None) -> DataFrame:
               .select(col,
                       F.spark_partition_id().alias("_p"),
                       F.monotonically_increasing_id().alias("_m"))
-              .checkpoint(eager=True))
+              .transform(reliable_checkpoint))
     offsets = (tagged.groupBy("_p")
                .agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
                .withColumn("_off", F.coalesce(
@@ -81,7 +82,7 @@ def build_id_indexes(dfs, cols) -> dict:
     tagged = (union_all(parts).distinct()
               .orderBy("_c", "_v")
               .select("_c", "_v", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-              .checkpoint(eager=True))
+              .transform(reliable_checkpoint))
     offsets = (tagged.groupBy("_p")
                .agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
                .withColumn("_off", F.coalesce(

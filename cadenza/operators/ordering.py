@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.session import reliable_checkpoint
+
 
 def _weights(weight, out_col):
     if isinstance(weight, dict):
@@ -37,7 +39,7 @@ def exclusive_prefix_sum(df: DataFrame, order_cols, weight, out_col: str = "offs
     tagged = (tagged.orderBy(*order_cols)
               .withColumn("_p", F.spark_partition_id())
               .withColumn("_m", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .transform(reliable_checkpoint))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tagged.groupBy("_p").agg(*[F.sum(n).alias(f"{n}_t") for n in names.values()])
     offsets = offsets.select("_p", *[F.coalesce(F.sum(f"{n}_t").over(before), F.lit(0)).cast("long").alias(f"{n}_o")

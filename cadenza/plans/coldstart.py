@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cadenza.operators import coldstart as CS
 from cadenza.operators import features as FE
 from cadenza.operators import interactions as I
+from cadenza.session import reliable_checkpoint
 from cadenza.sources import tables as TB
 from cadenza.sources.tables import Tables, plays
 
@@ -47,7 +48,7 @@ def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0),
     """
     items = aligned_items(t)
     x, d = design_matrix(items)
-    x = x.checkpoint(eager=True)
+    x = x.transform(reliable_checkpoint)
     r = len(x.select("y").first()[0])
     train, val, test = I.nested_holdout(x, F.col("mapped_id"))
     if d <= max_gram_features:

@@ -68,3 +68,9 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for a materialised intermediate table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def reliable_checkpoint(df):
+    """Eager reliable checkpoint into the session's checkpoint folder (never ``localCheckpoint``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
