@@ -22,14 +22,13 @@ from pyspark.sql import functions as F
 
 
 def one_hot(df: DataFrame, cols, keep_all_levels: bool = True):
-    """``StringIndexer`` + ``OneHotEncoder(dropLast=False)``; returns (fitted model, transformed)."""
-    from pyspark.ml import Pipeline as MLStages
+    """``StringIndexer`` + ``OneHotEncoder(dropLast=False)``; returns (fitted models, transformed)."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep")
+    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep").fit(df)
+    indexed = idx.transform(df)
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols],
-                        dropLast=not keep_all_levels)
-    model = MLStages(stages=[idx, ohe]).fit(df)
-    return model, model.transform(df)
+                        dropLast=not keep_all_levels).fit(indexed)
+    return (idx, ohe), ohe.transform(indexed)
 
 
 def impute_mean(df: DataFrame, cols, missing_value: float = 0.0) -> DataFrame:
