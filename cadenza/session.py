@@ -74,3 +74,22 @@ def reliable_checkpoint(df):
     """Eager reliable checkpoint into the session's checkpoint folder (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sizing_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the input: enough shuffle partitions that each holds about
+    ``target_partition_bytes`` before AQE coalesces small ones, scan splits of the
+    same size, and at least two tasks per core.
+
+    For 100 TB on 1,000 executors x 8 cores this gives ~400,000 initial shuffle
+    partitions (AQE merges them down to the advisory size at run time).
+    """
+    parts = max(2 * executor_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    }
