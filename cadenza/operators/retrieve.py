@@ -25,10 +25,17 @@ from cadenza.functions import array_dot, array_norm
 
 # ----------------------------------------------------------------- P16 / P17
 def l2_normalize(df: DataFrame, vec_col: str, out_col: str | None = None) -> DataFrame:
-    """``v / ||v||`` as array<double>; a zero vector gives NULL (no division error)."""
+    """``v / ||v||`` as array<double>; a zero vector gives NULL (no division error).
+
+    The norm is computed once per row and paired with the elements through
+    ``array_repeat`` + ``zip_with``: a norm referenced inside the element lambda
+    would be recomputed for every element (d^2 work per row).
+    """
     out_col = out_col or vec_col
+    v = F.col(vec_col)
     n = array_norm(vec_col)
-    return df.withColumn(out_col, F.when(n > 0, F.transform(vec_col, lambda x: x.cast("double") / n)))
+    return df.withColumn(out_col, F.when(n > 0, F.zip_with(v, F.array_repeat(n, F.size(v)),
+                                                            lambda x, m: x.cast("double") / m)))
 
 
 def to_ml_vector(df: DataFrame, vec_col: str, out_col: str = "vector") -> DataFrame:
