@@ -76,9 +76,26 @@ def _stack(series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
 
 
+def block_counts(n_queries: int, n_items: int, parallelism: int, max_query_block: int = 16384,
+                 max_item_block: int = 16384):
+    """Numbers of query and item blocks for the blocked product.
+
+    At least ``2 x parallelism`` (query block, item block) groups so every core
+    has work; the split between the two sides minimises the replicated volume
+    ``n_items * n_query_blocks + n_queries * n_item_blocks``; block sizes never
+    exceed the memory caps ``max_query_block`` / ``max_item_block``.
+    """
+    nq, ni = max(1, n_queries), max(1, n_items)
+    groups = max(1, 2 * parallelism)
+    q_mem, i_mem = math.ceil(nq / max_query_block), math.ceil(ni / max_item_block)
+    qb = max(q_mem, min(nq, round(math.sqrt(groups * nq / ni)) or 1))
+    ib = max(i_mem, min(ni, math.ceil(groups / qb)))
+    return int(qb), int(ib)
+
+
 def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "qid", i_id: str = "iid",
                   q_vec: str = "qvec", i_vec: str = "ivec", metric: str = "dot",
-                  query_block: int = 4096, item_block: int = 16384,
+                  query_block: int = 16384, item_block: int = 16384,
                   group_col: str | None = None, q_blocks=None, i_blocks=None) -> DataFrame:
     """Exact top-k items per query by inner product (or cosine): ``(qid, pos, iid, score)``.
 
@@ -99,8 +116,9 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
         it = it.where(F.col("ivec").isNotNull())
 
     if q_blocks is None:
-        nq = max(1, math.ceil(q.count() / query_block))
-        ni = max(1, math.ceil(it.count() / item_block))
+        nq_rows, ni_rows = q.count(), it.count()
+        nq, ni = block_counts(nq_rows, ni_rows, q.sparkSession.sparkContext.defaultParallelism,
+                              query_block, item_block)
         q = q.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
         it = it.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
     else:

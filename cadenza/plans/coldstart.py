@@ -76,6 +76,6 @@ def cold_start_recall(spark, t: Tables, k: int = 10) -> DataFrame:
     items = TB.item_factors(t.embeddings).select("id", "features")
     q_pred = pred.select(F.col("mapped_id").alias("id"), F.col("pred").alias("features"))
     q_true = test.select(F.col("mapped_id").alias("id"), F.col("y").alias("features"))
-    approx = exact_top_k(q_pred, items, k, metric="cosine", query_block=1024, item_block=4096)
-    exact = exact_top_k(q_true, items, k, metric="cosine", query_block=1024, item_block=4096)
+    approx = exact_top_k(q_pred, items, k, metric="cosine")
+    exact = exact_top_k(q_true, items, k, metric="cosine")
     return recall_at_k(approx, exact, k)

@@ -88,17 +88,17 @@ def _round_score(df):
 
 @register("j7_dot_top_k", _topk_sql(_DOT, 10))
 def j7_dot_top_k(spark, sf_dir):
-    return _round_score(SE.exact_dot_search(_t(spark, sf_dir), k=10, query_block=128, item_block=256))
+    return _round_score(SE.exact_dot_search(_t(spark, sf_dir), k=10))
 
 
 @register("n1_exact_search_cosine", _topk_sql(_COS, 10))
 def n1_exact_search_cosine(spark, sf_dir):
-    return _round_score(SE.exact_cosine_search(_t(spark, sf_dir), k=10, query_block=128, item_block=256))
+    return _round_score(SE.exact_cosine_search(_t(spark, sf_dir), k=10))
 
 
 @register("t1_top_k_500", _topk_sql(_DOT, 500))
 def t1_top_k_500(spark, sf_dir):
-    return _round_score(SE.exact_dot_search(_t(spark, sf_dir), k=500, query_block=128, item_block=256))
+    return _round_score(SE.exact_dot_search(_t(spark, sf_dir), k=500))
 
 
 @register("n4_batched_lists", f"""WITH {_SCALED},
@@ -108,7 +108,7 @@ r AS (SELECT qid, iid, row_number() OVER (PARTITION BY qid ORDER BY score DESC,
 SELECT CAST(qid AS INTEGER) AS id, string_agg(CAST(iid AS VARCHAR), ',' ORDER BY pos) AS items
 FROM r WHERE pos < 5 GROUP BY qid""")
 def n4_batched_lists(spark, sf_dir):
-    return SE.batched_lists(_t(spark, sf_dir), k=5, query_block=128, item_block=256)
+    return SE.batched_lists(_t(spark, sf_dir), k=5)
 
 
 @register("m6_als_eval")
@@ -774,7 +774,7 @@ def s5_s12_a10_timing_stats(spark, sf_dir):
     out = FI.scratch_dir(spark, "timings")
     for k in (1, 10, 50):
         RP.time_runs(spark, f"bruteforce_factors_k{k}",
-                     lambda k=k: SE.exact_dot_search(t, k=k, query_block=256, item_block=1024).count(),
+                     lambda k=k: SE.exact_dot_search(t, k=k).count(),
                      loops=2, out_dir=out)
     return RP.timing_stats(FI.read_timings(spark, out + "/*.json"))
 
