@@ -886,3 +886,12 @@ def m2_inverse_index(spark, sf_dir):
     out, _, iidx = I.index_interactions({"all": plays(t.orders, t.lineitem)})
     counts = out["all"].groupBy("track_id_index").agg(F.count(F.lit(1)).alias("n_plays"))
     return I.inverse_id_index(counts, iidx, "track_id_index", "track_id").select("track_id_index", "track_id", "n_plays")
+
+
+@register("s1_event_plays", """SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS track_id,
+  CAST(count(*) AS INTEGER) AS "count" FROM events
+WHERE event_type IN ('view', 'click', 'purchase') AND json_extract_string(props, '$.k') IS NOT NULL
+GROUP BY 1, 2""")
+def s1_event_plays(spark, sf_dir):
+    """Interactions from the event stream table (JSON payload names the item)."""
+    return TB.event_plays(_t(spark, sf_dir).events)

@@ -120,3 +120,15 @@ def dated_releases(lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").cast("string").alias("track_id"),
         F.when(F.col("l_linestatus") == "O", F.lit("0000-00-00"))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("releasedate"))
+
+
+def event_plays(events: DataFrame, event_types=("view", "click", "purchase")) -> DataFrame:
+    """A second ``plays(user_id, track_id, count)`` source: events whose JSON ``props`` name an item.
+
+    The item id is the ``k`` field of the JSON payload (``get_json_object``,
+    no Python parsing); counts are a partial + final aggregate per pair.
+    """
+    item = F.get_json_object(F.col("props"), "$.k")
+    return (events.where(F.col("event_type").isin(*event_types) & item.isNotNull())
+            .groupBy(F.col("user_id").cast("string").alias("user_id"), item.alias("track_id"))
+            .agg(F.count(F.lit(1)).cast("int").alias("count")))

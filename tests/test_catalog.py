@@ -88,3 +88,18 @@ def test_prefix_sums_and_file_views(spark):
     assert sorted((r.leaf, r.kind) for r in ext.collect()) == [("/r/a", "fullest"), ("/r/b", "emptiest"), ("/r/c", "fullest")]
     assert CA.overflow(files, 5).count() == 2
     assert [r.modified for r in CA.most_recent(files, 2).collect()] == ["1970-01-01 00:00:02"] * 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.lists(st.integers(0, 99), max_size=6)),
+                min_size=1, max_size=12))
+def test_pack_unpack_identity(spark, songs):
+    rows = [(f, i, [float(v) for v in arr]) for i, (f, arr) in enumerate(songs)]
+    src = spark.createDataFrame(rows, "file string, o long, arr array<double>")
+    packed, children = CA.pack_arrays(src, "file", "o", "arr")
+    back = CA.ragged_slices(packed, children, bucket=3).select("o", "values")
+    assert {r.o: list(r["values"]) for r in back.collect()} == {i: list(a) for _, i, a in rows}
