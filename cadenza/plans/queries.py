@@ -895,3 +895,9 @@ GROUP BY 1, 2""")
 def s1_event_plays(spark, sf_dir):
     """Interactions from the event stream table (JSON payload names the item)."""
     return TB.event_plays(_t(spark, sf_dir).events)
+
+
+@register("n1_search_als_factors")
+def n1_search_als_factors(spark, sf_dir):
+    """Exact top-10 items by dot product for every validation user, on ALS factors."""
+    return SE.als_factor_search(spark, _t(spark, sf_dir), k=10)
