@@ -274,7 +274,9 @@ def expand_graph(edges: DataFrame, seeds: DataFrame, n_neighbours: int = 10, max
     Each round's visited table is checkpointed so lineage stays short.
     Output ``(node, round)``.
     """
-    sampled = random_neighbours(edges.select(src, dst).distinct(), n_neighbours, seed, src, dst)
+    # Every round joins the same sampled neighbour lists: materialise them once (at most n per node).
+    sampled = random_neighbours(edges.select(src, dst).distinct(), n_neighbours, seed, src, dst).transform(
+        reliable_checkpoint)
     visited = seeds.select(F.col(node_col)).distinct().withColumn("round", F.lit(0)).transform(reliable_checkpoint)
     frontier = visited.select(node_col)
     for r in range(1, max_rounds + 1):
