@@ -41,3 +41,12 @@ def test_feature_and_search_jobs(spark, tmp_path):
     assert set(rows) == {"bruteforce", "forest", "ivfpq"}
     assert rows["bruteforce"].recall_at_5 == 1.0
     assert os.path.isdir(str(tmp_path / "timings"))
+
+
+def test_coldstart_job_writes_tables(spark, tmp_path):
+    res = J.coldstart_job(spark, SF, str(tmp_path / "cs"), alphas=(0.1, 1.0))
+    assert res["best_alpha"] in (0.1, 1.0) and res["test_mse"] >= 0
+    alphas = spark.read.parquet(str(tmp_path / "cs" / "alpha_search"))
+    assert alphas.count() == 2 and alphas.where("best").count() == 1
+    coef = spark.read.parquet(str(tmp_path / "cs" / "coefficients"))
+    assert coef.where("feature_idx = -1").count() == 64
