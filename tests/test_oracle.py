@@ -26,3 +26,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     d = digest([x[0] for x in res.description], res.fetchall())
     assert s[:3] == d[:3]
+
+
+def test_every_oracle_sql_plans_in_duckdb(con):
+    for name, sql in E.oracle_sql().items():
+        con.execute("EXPLAIN " + sql)
