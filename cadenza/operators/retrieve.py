@@ -77,18 +77,22 @@ def _stack(series) -> np.ndarray:
 
 
 def block_counts(n_queries: int, n_items: int, parallelism: int, max_query_block: int = 16384,
-                 max_item_block: int = 16384):
+                 max_item_block: int = 16384, k: int = 10, dim: int = 64):
     """Numbers of query and item blocks for the blocked product.
 
     At least ``2 x parallelism`` (query block, item block) groups so every core
-    has work; the split between the two sides minimises the replicated volume
-    ``n_items * n_query_blocks + n_queries * n_item_blocks``; block sizes never
-    exceed the memory caps ``max_query_block`` / ``max_item_block``.
+    has work. Every extra item block costs each query one more copy of its
+    vector *and* one more local top-k (``3k`` values) to merge; every extra
+    query block costs each item one more copy of its vector. The split
+    minimises ``n_q (3k + dim) n_item_blocks + n_i dim n_query_blocks``; block
+    sizes never exceed the memory caps ``max_query_block`` / ``max_item_block``.
     """
     nq, ni = max(1, n_queries), max(1, n_items)
     groups = max(1, 2 * parallelism)
     q_mem, i_mem = math.ceil(nq / max_query_block), math.ceil(ni / max_item_block)
-    qb = max(q_mem, min(nq, round(math.sqrt(groups * nq / ni)) or 1))
+    per_item_block = nq * (3 * k + dim)
+    per_query_block = ni * dim
+    qb = max(q_mem, min(nq, round(math.sqrt(groups * per_item_block / per_query_block)) or 1))
     ib = max(i_mem, min(ni, math.ceil(groups / qb)))
     return int(qb), int(ib)
 
@@ -117,8 +121,9 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
 
     if q_blocks is None:
         nq_rows, ni_rows = q.count(), it.count()
+        first = q.select(F.size("qvec")).first()
         nq, ni = block_counts(nq_rows, ni_rows, q.sparkSession.sparkContext.defaultParallelism,
-                              query_block, item_block)
+                              query_block, item_block, k=int(k), dim=int(first[0]) if first else 1)
         q = q.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
         it = it.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
     else:

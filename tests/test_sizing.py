@@ -6,7 +6,9 @@ def test_block_counts_balance_and_caps():
     qb, ib = block_counts(1_000_000, 386_000, 8000)
     assert qb * ib >= 16000
     assert 1_000_000 / qb <= 16384 and 386_000 / ib <= 16384
-    assert block_counts(500, 500, 8) == (4, 4)
+    qb, ib = block_counts(500, 500, 8)
+    assert qb * ib >= 16
+    assert block_counts(20000, 20000, 8, k=500, dim=64)[1] <= 2  # large k: few item blocks, fewer partial lists
     qb, ib = block_counts(10**9, 10**6, 4, max_query_block=4096, max_item_block=4096)
     assert 10**9 / qb <= 4096 and 10**6 / ib <= 4096
 
