@@ -48,3 +48,12 @@ def test_hash_bucket_matches_duckdb(spark):
 
 def test_sample_suffix():
     assert (sample_suffix(0.1), sample_suffix(0.01), sample_suffix(1.0)) == ("010", "001", "100")
+
+
+def test_event_plays_reads_item_from_json(spark):
+    from cadenza.sources.tables import event_plays
+    ev = spark.createDataFrame([(1, "view", '{"k": 7}'), (1, "click", '{"k": 7}'), (2, "signup", '{"k": 7}'),
+                                (3, "view", '{"other": 1}'), (3, "purchase", '{"k": 9}')],
+                               "user_id long, event_type string, props string")
+    got = sorted(map(tuple, event_plays(ev).collect()))
+    assert got == [("1", "7", 2), ("3", "9", 1)]
