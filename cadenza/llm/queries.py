@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import lang_id, quality_rules
+from cadenza.llm import decontaminate, lang_id, quality_rules, token_store
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE  # noqa: F401  (read by the driver entry)
 
@@ -14,11 +14,21 @@ def register(fn):
     return fn
 
 
+@register
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op9_token_store(spark, sf_dir):
+    return token_store.token_report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op10_language_id(spark, sf_dir):
     return lang_id.language_report(table(spark, sf_dir, "documents"))
