@@ -32,4 +32,16 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM f
 """
 
-ORACLE: dict = {"op3_quality_rules": OP3}
+OP4 = r"""
+WITH u AS (SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS h0,
+                  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+v AS (SELECT page_id, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path,
+             row_number() OVER () AS r FROM u),
+rules(verdict, rh, rp) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                                  ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+best AS (SELECT r, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
+         FROM v JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM v LEFT JOIN best USING (r)
+"""
+
+ORACLE: dict = {"op3_quality_rules": OP3, "op4_url_filter": OP4}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import decontaminate, lang_id, quality_rules, token_store
+from cadenza.llm import decontaminate, lang_id, mixing, quality_rules, token_store, url_filter
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE  # noqa: F401  (read by the driver entry)
 
@@ -19,11 +19,21 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register
+def op2_mix_sources(spark, sf_dir):
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_url_filter(spark, sf_dir):
+    return url_filter.url_report(table(spark, sf_dir, "pages"))
+
+
 @register
 def op9_token_store(spark, sf_dir):
     return token_store.token_report(table(spark, sf_dir, "documents"))
