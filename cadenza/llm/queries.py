@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import decontaminate, lang_id, mixing, quality_rules, token_store, url_filter
+from cadenza.llm import decontaminate, lang_id, mixing, quality_rules, suffix_dedup, token_store, url_filter
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE  # noqa: F401  (read by the driver entry)
 
@@ -34,6 +34,11 @@ def op4_url_filter(spark, sf_dir):
     return url_filter.url_report(table(spark, sf_dir, "pages"))
 
 
+@register
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_token_store(spark, sf_dir):
     return token_store.token_report(table(spark, sf_dir, "documents"))
