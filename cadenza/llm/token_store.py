@@ -12,7 +12,7 @@ Format. A store is a Parquet folder; each row is one *block* of consecutive docu
 * ``payload``: one zstandard frame per document, so that one short document is read by its offset.
 
 The dictionary is fitted on a bounded sample of serialised id arrays (``sample_docs`` documents of at
-most ``sample_chars`` characters, lowest id hashes); it changes only the size of the files. Every
+most ``sample_chars`` characters, picked by a hash of the id); it changes only the size of the files. Every
 document is encoded whole and written. Null text is an empty document (the end id alone).
 """
 
@@ -37,10 +37,10 @@ from cadenza.session import ensure_checkpoint_dir
 END_ID = 1
 DICT_BYTES = 64 << 10
 BLOCK_BYTES = 2 << 20
-PART_BYTES = 64 << 20
+PART_BYTES = 32 << 20
 _PUNCT = ".,;:!?"
 # Letters that normalising and lower-casing turn into letters only.
-_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+").fullmatch
 # Python splits words there, the tokenizer does not.
 _CONTROL = re.compile("[\x1c-\x1f]").search
 
@@ -49,46 +49,68 @@ class WordEncoder:
     """Token ids of whole texts through a bounded cache of words.
 
     The tokenizer's normaliser and splitter never join characters across white space, so a text's ids
-    are its words' ids in turn; a run of letters and the ASCII marks that end it are split as well.
+    are its words' ids in turn. A run of plain letters is also split from the ASCII marks that end it and
+    goes straight to the merge model, if the tokenizer lower-cases and maps bytes as probed at the start.
+    The cache has two generations: when the young one is full it replaces the old one, and words in use
+    move back, so frequent words stay.
     """
 
-    def __init__(self, tokenizer_file: str, end_id: int = END_ID, bound: int = 600_000):
+    def __init__(self, tokenizer_file: str, end_id: int = END_ID, bound: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else np.uint32
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.bound = bound
-        self.cache: dict[str, bytes] = {}
+        self.half = bound // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        letters = [chr(c) for c in range(0x41, 0x17F) if _PLAIN(chr(c))]
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.mapped = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
+        probes = letters + ["".join(letters[i:i + 7]) for i in range(0, len(letters), 5)] + ["word", "Word", "ÀÉÎõü", "STRASSE"]
+        self.plain = all(self._direct(w + m) == self._letters(w.lower()) + (self._direct(m) if m else b"")
+                         for w in probes for m in ("", *_PUNCT, ".,"))
 
     def _direct(self, word: str) -> bytes:
         return np.array(self.tok.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        return np.array([t.id for t in self.tok.model.tokenize(word.translate(self.mapped))], self.dtype).tobytes()
+
+    def _cached(self, word: str, make) -> bytes:
+        out = self.young.get(word)
+        if out is None:
+            out = self.old.get(word)
+            if out is None:
+                out = make(word)
+            if len(word) <= 40:
+                self.young[word] = out
+        return out
+
     def _word(self, word: str) -> bytes:
+        """Ids of a word that is not in the young generation."""
         core = word.rstrip(_PUNCT)
-        if core != word and _PLAIN(core):
-            out = self[core] + self[word[len(core):]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            out = self[word.lower()]
-        else:
-            out = self._direct(word)
-        if len(word) <= 40:
-            self.cache[word] = out
+        if not self.plain or not core or not _PLAIN(core):
+            return self._cached(word, self._direct)
+        low = core.lower()
+        seen = low in self.young
+        out = self._cached(low, self._letters)
+        if core != word:
+            out = out + self._cached(word[len(core):], self._direct)
+        if seen and len(word) <= 40:
+            self.young[word] = out
         return out
 
-    def __getitem__(self, word: str) -> bytes:
-        out = self.cache.get(word)
-        return self._word(word) if out is None else out
-
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if len(self.cache) > self.bound:
-            self.cache.clear()
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
         if _CONTROL(text):
             return self._direct(text) + self.end
-        get, word = self.cache.get, self._word
+        get, word = self.young.get, self._word
         parts = [get(w) or word(w) for w in text.split()]
         parts.append(self.end)
         return b"".join(parts)
@@ -115,10 +137,10 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_docs:
     """A zstandard dictionary of at most 64 KiB from the bounded sample; empty if there is no text."""
     import zstandard
 
-    texts = [r["text"] for r in (
-        docs.where(F.length("text").between(1, sample_chars))
-        .select("text", F.xxhash64(F.col("doc_id").cast("string"), F.length("text")).alias("h"))
-        .orderBy("h").limit(sample_docs).collect())]
+    every = max(1, docs.count() // max(1, sample_docs))
+    picked = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.length("text")), F.lit(every)) == 0
+    texts = [r["text"] for r in docs.where(F.length("text").between(1, sample_chars) & picked)
+             .select("text").limit(sample_docs).collect()]
     enc = _encoder(tokenizer, end_id)
     arrays = [enc.encode(t) for t in texts]
     if not arrays:
@@ -252,7 +274,7 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
         decode, "part int, block int, inside bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint" + ids)
     heads = store.select("part", "block", "n_tokens")
     in_part = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = heads.groupBy("part").agg(F.sum("n_tokens").alias("t"))  # one row per 64 MB of output
+    totals = heads.groupBy("part").agg(F.sum("n_tokens").alias("t"))  # one row per part
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
     starts = (heads.withColumn("in_part", F.coalesce(F.sum("n_tokens").over(in_part), F.lit(0)))
