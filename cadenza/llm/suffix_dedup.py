@@ -410,9 +410,10 @@ def find_spans(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame,
     long = keyed.where(F.col("n_bytes") >= span).select(*KEY, "text")
     table = materialise(anchor_table(long, span), "anchors")
     # Copies of a text give copies of its anchors: count places in texts, not rows.
-    again = (table.groupBy("h").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("place").alias("c"),
+    again = materialise(table.groupBy("h").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("place").alias("c"),
                                     F.max("place").alias("d"))
-             .where("a != b or c != d").select("h"))
+             .where("a != b or c != d").select("h"), "recurring")
+    # Stored, so that both sides of the join are shuffled for it and a frequent hash is split at run time.
     places = (table.join(again, "h", "left_semi").groupBy(*KEY)
               .agg(F.sort_array(F.collect_set("place")).alias("places")))  # bounded by the text's length
     texts = long.groupBy(*KEY).agg(F.first("text").alias("text"))
