@@ -24,9 +24,10 @@ from cadenza.llm.common import free_name, materialise
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
+SLOTS_PER_TASK = 500_000
 BROADCAST_ROWS, BROADCAST_CHARS = 50_000, 4 << 20
-_CHUNK = 1 << 16
+_CHUNK = 1 << 14
 _WALK = 24
 
 
@@ -42,8 +43,9 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
             left, right = right, (left + F.pmod(F.xxhash64(right, key, F.lit(i)), side)) % side
         return left * side + right
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), rounds(x),
-                       lambda acc, _: F.when(acc < n, acc).otherwise(rounds(acc)))
+    once = rounds(x)
+    return F.when(once < n, once).otherwise(F.aggregate(
+        F.sequence(F.lit(1), F.lit(_WALK)), once, lambda acc, _: F.when(acc < n, acc).otherwise(rounds(acc))))
 
 
 def word_count(text: Column) -> Column:
@@ -68,12 +70,16 @@ def targets(units: DataFrame, cap: int = 3, weights: tuple = (1, 2, 3)) -> DataF
                     F.least(full.cast("double"), F.col("level") * F.col("w")).cast("double").alias("target"))
 
 
-def _small(src: DataFrame) -> bool:
-    n, chars = src.agg(F.count("*"), F.coalesce(F.sum(F.length("source")), F.lit(0))).first()
-    return n <= BROADCAST_ROWS and chars <= BROADCAST_CHARS
+def _measure(src: DataFrame, block_words: int) -> tuple[bool, int]:
+    """Whether the source table may be broadcast, and partitions for its slots (rows there are short, but
+    each becomes many: their number, not their bytes, sets the partitions)."""
+    n, chars, words = src.agg(F.count("*"), F.coalesce(F.sum(F.length("source")), F.lit(0)),
+                              F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    parts = max(int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")), words // block_words // SLOTS_PER_TASK)
+    return n <= BROADCAST_ROWS and chars <= BROADCAST_CHARS, parts
 
 
-def picked_blocks(src: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
+def picked_blocks(src: DataFrame, block_words: int, shard_slots: int, seed: int, small: bool, parts: int) -> DataFrame:
     """(sid, block, times) of the mix."""
     s = (src.where("source_size > 0")
          .withColumn("n", F.ceil(F.col("source_size") / block_words).cast("long"))
@@ -83,14 +89,15 @@ def picked_blocks(src: DataFrame, block_words: int, shard_slots: int, seed: int)
     keep = ["sid", "n", "quota", "first", "all"]
     # Slots in two steps, so that a huge source is dealt over many tasks.
     chunk = s.select(*keep, F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1, F.lit(_CHUNK).cast("long"))).alias("lo"))
-    slots = (chunk.repartition(F.col("sid"), F.col("lo"))
+    slots = (chunk.repartition(parts, "sid", "lo")
              .select("sid", "first", "all", F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + _CHUNK, F.col("quota")) - 1)).alias("j")))
     place = permuted(F.col("first") + F.col("j"), F.col("all"), F.lit(seed).cast("long"))
     counts = (slots.withColumn("shard", F.floor(place / shard_slots).cast("long"))
               .groupBy("sid", "shard").agg(F.count("*").alias("k")))
     order = Window.partitionBy("sid").orderBy("shard")  # one row per shard
     counts = counts.withColumn("base", F.sum("k").over(order) - F.col("k"))
-    mapped = counts.join(F.broadcast(s.select("sid", "n")) if _small(src) else s.select("sid", "n"), "sid")
+    mapped = (counts.repartition(parts, "sid", "shard")
+              .join(F.broadcast(s.select("sid", "n")) if small else s.select("sid", "n"), "sid"))
     j = mapped.select("sid", "shard", "n", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("k") - 1)).alias("j"))
     pass_no, inside = F.floor(F.col("j") / F.col("n")).cast("long"), F.col("j") % F.col("n")
     key = F.xxhash64(F.col("sid"), pass_no, F.lit(seed + 1).cast("long"))
@@ -105,8 +112,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
         .groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies")), "units")
     src = materialise(targets(units, cap), "sources")
-    picks = picked_blocks(src, block_words, shard_slots, seed)
-    small = _small(src)
+    small, parts = _measure(src, block_words)
+    picks = picked_blocks(src, block_words, shard_slots, seed, small, parts)
     side = F.broadcast(src) if small else src
     units = units.join(side.select("source", "sid").withColumnRenamed("source", "s"),
                        F.col("source").eqNullSafe(F.col("s"))).drop("s")
