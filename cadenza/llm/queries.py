@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import decontaminate, lang_id, minhash, mixing, quality_rules, suffix_dedup, token_store, url_filter
+from cadenza.llm import decontaminate, html_extract, lang_id, minhash, mixing, quality_rules, suffix_dedup, token_store, url_filter
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE  # noqa: F401  (read by the driver entry)
 
@@ -44,6 +44,11 @@ def op7_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op8_html_extract(spark, sf_dir):
+    return html_extract.page_report(table(spark, sf_dir, "pages"))
+
+
 @register
 def op9_token_store(spark, sf_dir):
     return token_store.token_report(table(spark, sf_dir, "documents"))

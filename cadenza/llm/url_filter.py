@@ -32,7 +32,8 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "verdict string, host string, path string")
+    rows = [F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def prepare_rules(rules: DataFrame, prefix_hex: int) -> DataFrame:
