@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import decontaminate, html_extract, lang_id, minhash, mixing, quality_rules, suffix_dedup, token_store, url_filter
+from cadenza.llm import cotrain, decontaminate, html_extract, lang_id, minhash, mixing, quality_rules, suffix_dedup, token_store, url_filter
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE  # noqa: F401  (read by the driver entry)
 
@@ -39,6 +39,11 @@ def op5_suffix_dedup(spark, sf_dir):
     return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op6_quality_classifier(spark, sf_dir):
+    return cotrain.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register
 def op7_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -57,3 +62,10 @@ def op9_token_store(spark, sf_dir):
 @register
 def op10_language_id(spark, sf_dir):
     return lang_id.language_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
