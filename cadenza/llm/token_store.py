@@ -24,6 +24,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,8 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else np.uint32
+        self.code = "H" if self.dtype is np.uint16 else "I"
+        self.merge = self.tok.model.tokenize
         self.end = np.array([end_id], self.dtype).tobytes()
         self.half = bound // 2
         self.young: dict[str, bytes] = {}
@@ -74,32 +77,35 @@ class WordEncoder:
                          for w in probes for m in ("", *_PUNCT, ".,"))
 
     def _direct(self, word: str) -> bytes:
-        return np.array(self.tok.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.tok.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _letters(self, word: str) -> bytes:
-        return np.array([t.id for t in self.tok.model.tokenize(word.translate(self.mapped))], self.dtype).tobytes()
+        return array(self.code, [t.id for t in self.merge(word if word.isascii() else word.translate(self.mapped))]).tobytes()
 
     def _cached(self, word: str, make) -> bytes:
-        out = self.young.get(word)
+        out = self.old.get(word)
         if out is None:
-            out = self.old.get(word)
-            if out is None:
-                out = make(word)
-            if len(word) <= 40:
-                self.young[word] = out
+            out = make(word)
+        if len(word) <= 40:
+            self.young[word] = out
         return out
 
     def _word(self, word: str) -> bytes:
         """Ids of a word that is not in the young generation."""
         core = word.rstrip(_PUNCT)
-        if not self.plain or not core or not _PLAIN(core):
+        if not self.plain or not (_PLAIN(core) if not core.isascii() else core.isalpha()):
             return self._cached(word, self._direct)
         low = core.lower()
-        seen = low in self.young
-        out = self._cached(low, self._letters)
+        out = self.young.get(low)
+        seen = out is not None
+        if not seen:
+            out = self._cached(low, self._letters)
+            if low is word or low == word:
+                return out
         if core != word:
-            out = out + self._cached(word[len(core):], self._direct)
-        if seen and len(word) <= 40:
+            marks = word[len(core):]
+            out = out + (self.young.get(marks) or self._cached(marks, self._direct))
+        if seen and len(word) <= 40:  # a word met again in this form
             self.young[word] = out
         return out
 
@@ -162,7 +168,7 @@ def _bytes_of(df: DataFrame, col: str) -> int:
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_id: int = END_ID,
-                level: int = 3, sample_docs: int = 500, sample_chars: int = 16_384,
+                level: int = 1, sample_docs: int = 500, sample_chars: int = 16_384,
                 block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> None:
     """Encode ``docs`` (doc_id, text) and write the store at ``path`` (a folder that all executors share)."""
     spark = docs.sparkSession
