@@ -261,56 +261,40 @@ def multi_key_top_k(df: DataFrame, id_col: str, attrs, n: int = 100) -> DataFram
 
 
 # ----------------------------------------------------------------------------- G1
-def expand_graph(edges: DataFrame, seeds: DataFrame, n_neighbours: int = 10, max_rounds: int = 3,
-                 budget: int | None = None, seed: int = 0, node_col: str = "node",
-                 src: str = "src", dst: str = "dst") -> DataFrame:
+def expand_graph(edges: DataFrame, seeds: DataFrame, n_neighbours: int = 10, budget: int | None = None,
+                 seed: int = 0, node_col: str = "node", src: str = "src", dst: str = "dst") -> DataFrame:
     """G1: breadth-first expansion from ``seeds`` over ``edges``, level by level.
 
     Each round: frontier JOIN edges, keep ``n_neighbours`` sampled neighbours per
     node (R7, sampled before the visited filter as in the source), anti join the
     visited set, union. A node is visited when queued. Nodes without neighbours
-    end their branch. The loop stops after ``max_rounds``, when the frontier is
-    empty, or once ``budget`` nodes are visited (the last round is kept whole).
-    Each round's visited table is checkpointed so lineage stays short.
-    Output ``(node, round)``.
+    end their branch. The loop ends when the frontier is empty, or once the
+    caller's ``budget`` of nodes is visited (the last round is kept whole).
+    Only the new frontier is checkpointed in a round; the visited set is the union of
+    the frontiers, merged into one checkpoint every ten rounds. Output ``(node, round)``.
     """
     # Every round joins the same sampled neighbour lists: materialise them once (at most n per node).
     sampled = random_neighbours(edges.select(src, dst).distinct(), n_neighbours, seed, src, dst).transform(
         reliable_checkpoint)
     visited = seeds.select(F.col(node_col)).distinct().withColumn("round", F.lit(0)).transform(reliable_checkpoint)
-    frontier = visited.select(node_col)
-    for r in range(1, max_rounds + 1):
+    frontier, total, r = visited, visited.count() if budget is not None else 0, 0
+    while budget is None or total < budget:
+        r += 1
         nxt = (frontier.join(sampled, frontier[node_col] == sampled[src])
                .select(F.col(dst).alias(node_col)).distinct())
-        nxt = nxt.join(visited.select(node_col), node_col, "left_anti").transform(reliable_checkpoint)
-        if nxt.isEmpty():
-            break
-        visited = visited.unionByName(nxt.withColumn("round", F.lit(r))).transform(reliable_checkpoint)
-        frontier = nxt
-        if budget is not None and visited.count() >= budget:
+        frontier = (nxt.join(visited.select(node_col), node_col, "left_anti").withColumn("round", F.lit(r))
+                    .transform(reliable_checkpoint))
+        added = frontier.count() if budget is not None else int(not frontier.isEmpty())
+        if not added:
             break
+        total += added
+        visited = visited.unionByName(frontier)
+        if r % 10 == 0:
+            visited = visited.transform(reliable_checkpoint)
     return visited
 
 
 # ------------------------------------------------------------------ P14 / A17
-# The per-song record fields, scalar and array, by name.
-SCALAR_FIELDS = [
-    "artist_familiarity", "artist_hotttnesss", "artist_id", "artist_mbid", "artist_playmeid", "artist_7digitalid",
-    "artist_latitude", "artist_longitude", "artist_location", "artist_name", "release", "release_7digitalid",
-    "song_id", "song_hotttnesss", "title", "track_7digitalid", "analysis_sample_rate", "audio_md5",
-    "danceability", "duration", "end_of_fade_in", "energy", "key", "key_confidence", "loudness", "mode",
-    "mode_confidence", "start_of_fade_out", "tempo", "time_signature", "time_signature_confidence", "track_id",
-    "year",
-]
-ARRAY_FIELDS = [
-    "similar_artists", "artist_terms", "artist_terms_freq", "artist_terms_weight", "segments_start",
-    "segments_confidence", "segments_pitches", "segments_timbre", "segments_loudness_max",
-    "segments_loudness_max_time", "segments_loudness_start", "sections_start", "sections_confidence",
-    "beats_start", "beats_confidence", "bars_start", "bars_confidence", "tatums_start", "tatums_confidence",
-    "artist_mbtags", "artist_mbtags_count",
-]
-
-
 def song_fields(songs: DataFrame, names) -> DataFrame:
     """Project record fields by name; parquet reads only those columns."""
     unknown = [n for n in names if n not in songs.columns]

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions import array_dot, array_norm
+from cadenza.functions import array_norm
 
 
 # ----------------------------------------------------------------- P16 / P17
@@ -38,32 +38,37 @@ def l2_normalize(df: DataFrame, vec_col: str, out_col: str | None = None) -> Dat
                                                             lambda x, m: x.cast("double") / m)))
 
 
-def to_ml_vector(df: DataFrame, vec_col: str, out_col: str = "vector") -> DataFrame:
-    """Array column -> ML dense vector column (rows stay distributed)."""
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn(out_col, array_to_vector(vec_col))
-
-
 def users_with_targets(queries: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     """Keep only the query rows whose key has at least one target (left semi join)."""
     return queries.join(targets.select(key), key, "left_semi")
 
 
 # ---------------------------------------------------------------- kernel
+def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``k`` highest scores per row; among equal scores the leftmost columns."""
+    n, width = scores.shape
+    if k >= width:
+        return np.repeat(np.arange(n), width), np.tile(np.arange(width), n)
+    kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+    better, ties = scores > kth, scores == kth
+    room = k - better.sum(axis=1, keepdims=True)
+    return np.nonzero(better | (ties & (np.cumsum(ties, axis=1) <= room)))
+
+
 def _scores_top_k(qids, qmat, iids, imat, k: int, chunk: int = 512):
-    """Local top-k per query row, scoring ``chunk`` queries at a time: arrays (qid, iid, score)."""
+    """Local top-k per query row, scoring ``chunk`` queries at a time: arrays (qid, iid, score).
+
+    Scores are compared by 10 decimals, so that equal vectors tie wherever the matrix product puts them;
+    ties go to the lower item id (items are sorted by id first).
+    """
+    order = np.argsort(iids, kind="stable")
+    iids, imat = np.asarray(iids)[order], imat[order]
     out_q, out_i, out_s = [], [], []
-    kk = min(k, len(iids))
     for s in range(0, len(qids), chunk):
         sc = qmat[s:s + chunk] @ imat.T
-        if kk < sc.shape[1]:
-            part = np.argpartition(-sc, kk - 1, axis=1)[:, :kk]
-        else:
-            part = np.tile(np.arange(sc.shape[1]), (sc.shape[0], 1))
-        rows = np.repeat(np.arange(sc.shape[0]), part.shape[1])
-        cols = part.reshape(-1)
+        rows, cols = best_columns(np.round(sc, 10), k)
         out_q.append(np.asarray(qids[s:s + chunk])[rows])
-        out_i.append(np.asarray(iids)[cols])
+        out_i.append(iids[cols])
         out_s.append(sc[rows, cols])
     if not out_q:
         return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=np.float64)
@@ -120,19 +125,20 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
         it = it.where(F.col("ivec").isNotNull())
 
     if q_blocks is None:
-        nq_rows, ni_rows = q.count(), it.count()
-        first = q.select(F.size("qvec")).first()
-        nq, ni = block_counts(nq_rows, ni_rows, q.sparkSession.sparkContext.defaultParallelism,
-                              query_block, item_block, k=int(k), dim=int(first[0]) if first else 1)
+        size = (q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("d"), F.lit(0).alias("side"))
+                .unionByName(it.agg(F.count("*").alias("n"), F.max(F.size("ivec")).alias("d"), F.lit(1).alias("side"))))
+        counts = {r["side"]: r for r in size.collect()}
+        nq, ni = block_counts(counts[0]["n"], counts[1]["n"], q.sparkSession.sparkContext.defaultParallelism,
+                              query_block, item_block, k=int(k), dim=int(counts[0]["d"] or 1))
         q = q.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
         it = it.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
     else:
-        # Per-group block counts: one row per group, bounded by the number of groups.
+        # Per-group block counts, one row per group; the planner picks the join by its size.
         qb = q_blocks.select(F.col(group_col).alias("g"), F.col("n").alias("nqb"))
         ib = i_blocks.select(F.col(group_col).alias("g"), F.col("n").alias("nib"))
         both = qb.join(ib, "g", "inner")
-        q = q.join(F.broadcast(both), "g", "inner")
-        it = it.join(F.broadcast(both), "g", "inner")
+        q = q.join(both, "g", "inner")
+        it = it.join(both, "g", "inner")
 
     # Each query row goes to its own query block and to every item block of its group;
     # each item row to its item block and every query block: the blocked matmul layout.
@@ -156,7 +162,9 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
     local = (q_rep.groupBy("g", "qb", "ib")
              .cogroup(i_rep.groupBy("g", "qb", "ib"))
              .applyInPandas(score, schema="qid long, iid long, score double"))
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("iid").asc())
+    if group_col:  # a pair may meet in several groups
+        local = local.groupBy("qid", "iid").agg(F.max("score").alias("score"))
+    w = Window.partitionBy("qid").orderBy(F.round("score", 10).desc(), F.col("iid").asc())
     # Filter on the bare row_number so the planner inserts a window group limit
     # (top-k per query before the shuffle as well as after it).
     return (local.withColumn("_rn", F.row_number().over(w))
@@ -179,11 +187,3 @@ def top_k_lists(ranked: DataFrame, q_id: str = "qid", i_id: str = "iid", pos_col
     return (ranked.groupBy(q_id)
             .agg(F.array_sort(F.collect_list(F.struct(pos_col, i_id))).alias("_s"))
             .select(q_id, F.col(f"_s.{i_id}").alias(out_col)))
-
-
-def pair_score(df: DataFrame, a: str, b: str, metric: str = "dot") -> F.Column:
-    """Dot or cosine of two array columns (JVM higher-order functions)."""
-    d = array_dot(a, b)
-    if metric == "cosine":
-        d = d / (array_norm(a) * array_norm(b))
-    return d

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,8 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, creating a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when neither that setting nor a context checkpoint dir exists (local
-    tests) is a fresh folder under the system temp dir created.
+    Only on a local master, and when neither that setting nor a context checkpoint dir
+    exists (tests), is a fresh folder under the system temp dir created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cadenza-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured) if _settable(spark) else None
     sc.setCheckpointDir(configured)
@@ -64,12 +67,6 @@ def _settable(spark: SparkSession) -> bool:
         return False
 
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint dir for a materialised intermediate table."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
-
-
 def reliable_checkpoint(df):
     """Eager reliable checkpoint into the session's checkpoint folder (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
