@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 import numpy as np
@@ -46,25 +47,35 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def hash_words(words: list[bytes], cache: dict, bound: int = 400_000) -> np.ndarray:
-    """64-bit xxhash of each word, through a bounded cache of recent words."""
+def hash_words(words: list[bytes]) -> np.ndarray:
+    """64-bit xxhash of each word."""
     import xxhash
 
-    if len(cache) > bound:
-        cache.clear()
-    h = xxhash.xxh3_64_intdigest
-    out = np.empty(len(words), np.uint64)
-    get = cache.get
-    vals = []
-    for w in words:
-        v = get(w)
-        if v is None:
-            v = h(w)
-            if len(w) <= 64:
-                cache[w] = v
-        vals.append(v)
-    out[:] = vals
-    return out
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def release() -> None:
+    """Give freed memory back to the system, so that a worker that the next stage reuses starts small."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frees(scan):
+    """A partition function that gives its memory back at its end."""
+    def run(batches):
+        try:
+            yield from scan(batches)
+        finally:
+            release()
+
+    return run
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -48,7 +48,7 @@ _SHARES = (0.005, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7)
 _N_SHAPE = 64
 
 
-def text_features(text: str | None, cache: dict) -> np.ndarray:
+def text_features(text: str | None) -> np.ndarray:
     """Distinct word buckets, then shape numbers from BUCKETS on."""
     words = words_of(text)
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -65,7 +65,7 @@ def text_features(text: str | None, cache: dict) -> np.ndarray:
         48 + _bin(raw.count(b"!!") / max(1, len(words)), _SHARES),
         56 + _bin(raw.count(b" | ") / max(1, len(words)), _SHARES),
     ]
-    ids = np.unique((hash_words(words, cache) >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1)) if words else np.zeros(0, np.int64)
+    ids = np.unique((hash_words(words) >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1)) if words else np.zeros(0, np.int64)
     return np.concatenate([ids, BUCKETS + np.array(shape)])
 
 
@@ -217,11 +217,10 @@ def _sample(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: i
     joined = some.join(lab, "doc_id", "left").where(pool)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
         for pdf in batches:
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"], "quality": pdf["quality"].fillna(-1).astype(int), "toxic": pdf["toxic"].fillna(-1).astype(int),
-                "text": [text_features(t if isinstance(t, str) else None, cache).astype(np.int32) for t in pdf["text"]],
+                "text": [text_features(t if isinstance(t, str) else None).astype(np.int32) for t in pdf["text"]],
                 "meta": [meta_features(s, la, c).astype(np.int32) for s, la, c in zip(pdf["source"], pdf["lang"], pdf["n_chars"], strict=True)]})
 
     rows = joined.select("doc_id", "quality", "toxic", "text", "source", "lang", "n_chars").mapInPandas(
@@ -249,12 +248,11 @@ def score(docs: DataFrame, model: dict):
 
     @F.pandas_udf("quality_score double, toxic_score double")
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
         m = shared.value
         for text, source, lang, n_chars in batches:
             out = []
             for t, s, la, c in zip(text, source, lang, n_chars, strict=True):
-                x, y = text_features(t if isinstance(t, str) else None, cache), meta_features(s, la, c)
+                x, y = text_features(t if isinstance(t, str) else None), meta_features(s, la, c)
                 out.append([probability(m[k], x, y, default) for k, default in zip(TARGETS, (1.0, 0.0), strict=True)])
             yield pd.DataFrame(out, columns=["quality_score", "toxic_score"])
 

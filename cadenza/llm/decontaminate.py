@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import free_name, materialise, small_batches
+from cadenza.llm.common import free_name, materialise, release, small_batches
 
 WINDOW = 10
 BLOCK_CHARS = 16 << 20
@@ -174,6 +174,7 @@ def _scanner(shared):
             out["longest_item"] = out["longest_item"].astype("Int64")
             out["longest_at"] = out["longest_at"].astype("Int64")
             yield out
+        release()
 
     return scan
 

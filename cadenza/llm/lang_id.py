@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import mix64, small_batches
+from cadenza.llm.common import frees, mix64, small_batches
 
 BUCKETS = 1 << 15
 BLOCK = 1 << 12
@@ -89,7 +89,7 @@ def count_grams(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         return pd.DataFrame([(key[0], key[1], total.tobytes())], columns=["lang", "block", "counts"])
 
     schema = "lang string, block int, counts binary"
-    part = docs.where("lang is not null").select("lang", "text").mapInPandas(local, schema)
+    part = docs.where("lang is not null").select("lang", "text").mapInPandas(frees(local), schema)
     # Two levels, so that no task gathers the blobs of every map task at once.
     spread = part.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(64)))
     first = spread.groupBy("lang", "block", "slot").applyInPandas(

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import free_name, hash_words, materialise, mix64, small_batches
+from cadenza.llm.common import free_name, frees, hash_words, materialise, mix64, small_batches
 
 SHINGLE = 5
 MINIMA = 128
@@ -43,12 +43,12 @@ _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None, cache: dict, width: int = SHINGLE) -> np.ndarray:
+def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    w = hash_words(words, cache)
+    w = hash_words(words)
     k = min(width, len(w))
     h = np.full(len(w) - k + 1, np.uint64(k))
     for i in range(k):
@@ -100,11 +100,10 @@ def signatures(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        cache: dict = {}
         for pdf in batches:
             n, k1, k2, sig, bands = [], [], [], [], []
             for t in pdf["text"]:
-                s = shingles(t if isinstance(t, str) else None, cache)
+                s = shingles(t if isinstance(t, str) else None)
                 n.append(len(s))
                 if not len(s):
                     k1.append(None), k2.append(None), sig.append(None), bands.append(None)
@@ -116,7 +115,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                                 "k2": pd.array(k2, "Int64"), "sig": sig, "bands": bands})
 
     return docs.select("doc_id", "text").mapInPandas(
-        scan, "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, sig array<bigint>, bands array<bigint>")
+        frees(scan), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, sig array<bigint>, bands array<bigint>")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -138,14 +137,13 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     dealt = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", "side")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
         at, base = None, []
         for pdf in batches:
             a, b = [], []
             for hub, salt, side, i, t in zip(pdf["b"], pdf["salt"], pdf["side"], pdf["id"], pdf["text"], strict=True):
                 if (hub, salt) != at:
                     at, base = (hub, salt), []
-                s = shingles(t, cache)
+                s = shingles(t)
                 if side == 0:
                     base.append(s)
                 elif any(similar(s, x, percent) for x in base):
@@ -153,7 +151,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     b.append(hub)
             yield pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
-    return dealt.mapInPandas(check, "a bigint, b bigint").distinct()
+    return dealt.mapInPandas(frees(check), "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -244,7 +242,6 @@ def _square_links(members: DataFrame, texts: DataFrame, cut: float, percent: int
     dealt = m.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
         kept: dict[int, np.ndarray] = {}
         size = 0
 
@@ -252,10 +249,10 @@ def _square_links(members: DataFrame, texts: DataFrame, cut: float, percent: int
             nonlocal size
             s = kept.get(row[1])
             if s is None:
-                if size > 8 << 20:  # shingles
+                if size > 4 << 20:  # shingles
                     kept.clear()
                     size = 0
-                s = kept[row[1]] = shingles(row[5], cache)
+                s = kept[row[1]] = shingles(row[5])
                 size += len(s)
             return s
 
@@ -273,7 +270,7 @@ def _square_links(members: DataFrame, texts: DataFrame, cut: float, percent: int
             yield pd.DataFrame(_link_square(rows, sets, cut, percent, at_band), columns=["a", "b"], dtype="int64")
 
     cols = ["key", "i", "j", "band", "block", "id", "comp", "sig", "bands", "text"]
-    return dealt.select(*cols).mapInPandas(scan, "a bigint, b bigint").distinct()
+    return dealt.select(*cols).mapInPandas(frees(scan), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:

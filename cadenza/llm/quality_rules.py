@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import free_name, small_batches
+from cadenza.llm.common import free_name, release, small_batches
 
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = ("|", ">", "/", "·")
@@ -115,6 +115,7 @@ def assess(docs: DataFrame, text_col: str = "text", symbol_words_pct: int = 30,
             if not with_text:
                 out["clean_text"] = None
             yield out
+        release()
 
     name = free_name(docs, "quality")
     return docs.withColumn(name, judge(F.col(text_col))), name

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import materialise, mix64, small_batches
+from cadenza.llm.common import frees, materialise, mix64, small_batches
 
 SPAN = 400
 GRAM = 64
@@ -123,7 +123,7 @@ def anchor_table(texts: DataFrame, span: int) -> DataFrame:
                 yield pd.DataFrame({"k1": k1[i], "k2": k2[i], "h": h.view(np.int64),
                                     "place": ((a + o) << 20) | ((a - lo) << 10) | (a - hi)})
 
-    return texts.mapInPandas(scan, "k1 bigint, k2 bigint, h bigint, place bigint")
+    return texts.mapInPandas(frees(scan), "k1 bigint, k2 bigint, h bigint, place bigint")
 
 
 # ---------------------------------------------------------------- runs
@@ -318,7 +318,7 @@ def sorted_runs(cands: DataFrame, splitters: list[bytes], span: int) -> DataFram
             for row in emit(records, turn):
                 yield pd.DataFrame([row])
 
-    return cands.select(*KEY, "text", "places").mapInPandas(scan, RUN)
+    return cands.select(*KEY, "text", "places").mapInPandas(frees(scan), RUN)
 
 
 def merged_spans(runs: DataFrame, span: int) -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import materialise, small_batches
+from cadenza.llm.common import frees, materialise, small_batches
 from cadenza.session import ensure_checkpoint_dir
 
 END_ID = 1
@@ -196,9 +196,10 @@ def write_store(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json"
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": n, "crc": crc, "salt": range(row, row + len(n)),
                                 "width": width, "frame": frames})
             row += len(n)
+        enc.old = {}  # the worker may serve other stages next
 
     encoded = materialise(docs.mapInPandas(
-        encode, "doc_id bigint, n_tokens bigint, crc bigint, salt bigint, width int, frame binary"), "encoded")
+        frees(encode), "doc_id bigint, n_tokens bigint, crc bigint, salt bigint, width int, frame binary"), "encoded")
     parts = max(1, -(-_bytes_of(encoded, "frame") // part_bytes))
     # The salt only spreads equal rows of one id over several parts; they are interchangeable.
     order = [F.col("doc_id").asc_nulls_last(), F.col("n_tokens"), F.col("crc"), F.col("salt")]
@@ -228,7 +229,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json"
         if ids:
             yield flush()
 
-    ordered.mapInPandas(blocks, (
+    ordered.mapInPandas(frees(blocks), (
         "part int, block int, first_doc bigint, last_doc bigint, n_docs int, n_tokens bigint, dict_sha256 string, "
         "width int, doc_ids array<bigint>, offsets binary, payload binary")) \
         .write.mode("overwrite").option("compression", "none").parquet(path)
