@@ -6,12 +6,10 @@ from cadenza.functions.expressions import (  # noqa: F401
     GENRE_RULES,
     array_dot,
     array_norm,
-    array_scale,
     foreign_id,
     genre_label,
     hash_bucket,
     log_count,
-    nullif_sentinel,
     quoted_id,
     recode_genre,
     sample_suffix,

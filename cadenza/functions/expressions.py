@@ -36,12 +36,6 @@ def sample_suffix(fraction: float) -> str:
     return f"{fraction:.2f}".replace(".", "")
 
 
-# -------------------------------------------------------------------------- P4
-def nullif_sentinel(c, sentinel) -> Column:
-    """Map a sentinel (year 0, 0.0, -1, '') to SQL NULL."""
-    return F.nullif(_c(c), F.lit(sentinel))
-
-
 # ---------------------------------------------------------------------- P5 / P6
 # The genre recode rules and the allowlist must equal the source
 # workload's, in this order (first matching substring wins, case-sensitive).
@@ -143,8 +137,3 @@ def array_dot(a, b) -> Column:
 
 def array_norm(a) -> Column:
     return F.sqrt(array_dot(a, a))
-
-
-def array_scale(a, s) -> Column:
-    """Element-wise ``a * s`` as array<double>; a NULL or zero divisor upstream gives NULL."""
-    return F.transform(_c(a), lambda x: x.cast("double") * s)

@@ -1,34 +1,44 @@
 """Cold start: item features -> latent factors.
 
-The multi-output ridge is solved from sufficient statistics: one distributed
-pass accumulates ``n, sum x, sum y, X'X, X'Y`` per task (numpy BLAS on Arrow
-batches), partial sums are combined in a two-level tree, and the driver solves
-``(S_xx + alpha I) W = S_xy`` for every output and every alpha at once. The
-statistics are ``d x d`` and ``d x r`` (d features, r outputs), so the driver
-holds a parameter-sized matrix, never data rows; above ``max_gram_features``
-the fit falls back to one distributed ``LinearRegression`` (L-BFGS) per output.
+A design row is sparse: ``idx`` (feature numbers) and ``val``, one entry per categorical column (its level)
+and one per numeric column, so width costs nothing per row. The multi-output ridge is solved by
+preconditioned conjugate gradients on the centred normal equations, for all outputs and all alphas at
+once and for any width, alpha 0 included: an iteration ships the search directions (features x outputs x
+open alphas), every task multiplies its rows with them and back, and the partial products are summed in
+blocks of feature rows. Rows are centred before they are multiplied, so no large sums cancel. The driver
+holds matrices of the size of the coefficients, never rows.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.ordering import exclusive_prefix_sum
+
+BLOCK_BYTES = 1 << 20
+
+
 # ----------------------------------------------------------------------- C3 - C5
+def level_index(df: DataFrame, col: str) -> DataFrame:
+    """``(col, col_idx)``, levels numbered from 0 by falling frequency, ties by value; no level is gathered
+    on the driver and no slot is added for values that do not occur."""
+    levels = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    return exclusive_prefix_sum(levels, [F.col("_n").desc(), F.col(col)], F.lit(1), f"{col}_idx").select(col, f"{col}_idx")
 
 
-def one_hot(df: DataFrame, cols, keep_all_levels: bool = True):
-    """``StringIndexer`` + ``OneHotEncoder(dropLast=False)``; returns (fitted models, transformed)."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep").fit(df)
-    indexed = idx.transform(df)
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols],
-                        dropLast=not keep_all_levels).fit(indexed)
-    return (idx, ohe), ohe.transform(indexed)
+def one_hot(df: DataFrame, cols):
+    """``df`` with ``<col>_idx`` for every categorical column, and the number of levels of each. A value
+    without a level (NULL) stops the job."""
+    sizes = []
+    for c in cols:
+        levels = level_index(df, c)
+        sizes.append(levels.count())
+        df = df.join(levels, c, "left").withColumn(f"{c}_idx", F.when(F.col(f"{c}_idx").isNull(), F.raise_error(
+            F.lit(f"no level for a value of {c}"))).otherwise(F.col(f"{c}_idx")))
+    return df, sizes
 
 
 def impute_mean(df: DataFrame, cols, missing_value: float = 0.0) -> DataFrame:
@@ -44,95 +54,184 @@ def impute_mean(df: DataFrame, cols, missing_value: float = 0.0) -> DataFrame:
     return imp.fit(clean).transform(clean)
 
 
-def assemble(df: DataFrame, cols, out_col: str = "x") -> DataFrame:
-    """One-hot vectors and numeric columns -> one feature vector (sparse where possible)."""
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol=out_col, handleInvalid="keep").transform(df)
+def assemble(df: DataFrame, cols, sizes, numeric) -> tuple[DataFrame, int]:
+    """``idx`` and ``val`` of the sparse design row, and the number of features."""
+    idx, base = [], 0
+    for c, n in zip(cols, sizes, strict=True):
+        idx.append((F.col(f"{c}_idx") + base).cast("int"))
+        base += n
+    idx += [F.lit(base + j) for j in range(len(numeric))]
+    val = [F.lit(1.0)] * len(cols) + [F.col(c).cast("double") for c in numeric]
+    return df.withColumns({"idx": F.array(*idx), "val": F.array(*val)}), base + len(numeric)
 
 
 # ----------------------------------------------------------------------- C6
-def sufficient_stats(df: DataFrame, x_col: str, y_col: str, d: int, r: int, fan_in: int | None = None):
-    """One pass: ``(n, sx, sy, xtx, xty)`` over all rows, combined as a two-level tree.
+def _rows(pdf: pd.DataFrame):
+    """(row numbers, feature numbers, values) of a batch of sparse rows."""
+    lens = pdf["idx"].map(len).to_numpy()
+    if not lens.sum():
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return np.repeat(np.arange(len(pdf)), lens), np.concatenate(list(pdf["idx"])), np.concatenate(list(pdf["val"]))
+
+
+def _times(rows, w: np.ndarray, n: int) -> np.ndarray:
+    r, i, v = rows
+    out = np.zeros((n, w.shape[1]))
+    np.add.at(out, r, v[:, None] * w[i])
+    return out
+
+
+def _back(rows, u: np.ndarray, d: int) -> np.ndarray:
+    r, i, v = rows
+    out = np.zeros((d, u.shape[1]))
+    np.add.at(out, i, v[:, None] * u[r])
+    return out
+
+
+def summed(df: DataFrame, shape: tuple, product) -> np.ndarray:
+    """Sum over all batches of ``product(batch)`` (a matrix of ``shape``), added up per block of its rows, so that
+    a task or row never holds more than one partial matrix; returned to the driver (coefficient-sized)."""
+    step = max(1, BLOCK_BYTES // (8 * max(1, shape[1])))
 
-    ``x_col`` is an array<double> column of length d, ``y_col`` array<double> of length r.
-    """
     def partial(it):
-        n, sx, sy, syy = 0, np.zeros(d), np.zeros(r), np.zeros(r)
-        xtx, xty = np.zeros((d, d)), np.zeros((d, r))
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["x"]])
-            y = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["y"]])
-            n += len(x)
-            sx += x.sum(0)
-            sy += y.sum(0)
-            syy += (y * y).sum(0)
-            xtx += x.T @ x
-            xty += x.T @ y
-        yield pd.DataFrame({"n": [n], "sx": [sx], "sy": [sy], "syy": [syy], "xtx": [xtx.reshape(-1)],
-                            "xty": [xty.reshape(-1)]})
-
-    schema = "n long, sx array<double>, sy array<double>, syy array<double>, xtx array<double>, xty array<double>"
-
-    def combine(it):
         acc = None
         for pdf in it:
-            for row in pdf.itertuples(index=False):
-                vals = [row.n, np.asarray(row.sx), np.asarray(row.sy), np.asarray(row.syy), np.asarray(row.xtx),
-                        np.asarray(row.xty)]
-                acc = vals if acc is None else [a + b for a, b in zip(acc, vals)]
+            if len(pdf):
+                p = product(pdf)
+                acc = p if acc is None else acc + p
         if acc is not None:
-            yield pd.DataFrame({"n": [acc[0]], "sx": [acc[1]], "sy": [acc[2]], "syy": [acc[3]], "xtx": [acc[4]],
-                                "xty": [acc[5]]})
+            for k in range(0, shape[0], step):
+                yield pd.DataFrame({"block": [k], "part": [acc[k:k + step].tobytes()]})
 
-    src = df.select(F.col(x_col).alias("x"), F.col(y_col).alias("y"))
-    parts = src.mapInPandas(partial, schema)
-    n_parts = max(1, src.rdd.getNumPartitions())
-    g = fan_in or max(1, int(math.ceil(math.sqrt(n_parts))))
-    level1 = parts.repartition(g).mapInPandas(combine, schema)
-    row = level1.coalesce(1).mapInPandas(combine, schema).collect()[0]
-    return (int(row.n), np.asarray(row.sx), np.asarray(row.sy), np.asarray(row.syy),
-            np.asarray(row.xtx).reshape(d, d), np.asarray(row.xty).reshape(d, r))
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(b) for b in pdf["part"])
+        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "part": [total.tobytes()]})
 
+    parts = df.mapInPandas(partial, "block int, part binary").groupBy("block").applyInPandas(add, "block int, part binary")
+    out = np.zeros(shape)
+    for r in parts.collect():
+        out[r["block"]:r["block"] + step] = np.frombuffer(r["part"]).reshape(-1, shape[1])
+    return out
 
-def ridge_from_stats(stats, alphas):
-    """Ridge with an unpenalised intercept for each alpha: ``{alpha: (W d x r, b r)}``.
 
-    Minimises ``||y - Xw - b||^2 + alpha ||w||^2`` per output (centred normal equations).
-    With alpha = 0 on rank-deficient one-hot data the least-norm solution is used.
-    """
-    n, sx, sy, _, xtx, xty = stats
-    mx, my = sx / n, sy / n
-    sxx = xtx - n * np.outer(mx, mx)
-    sxy = xty - n * np.outer(mx, my)
-    out = {}
-    for a in alphas:
-        a = float(a)
-        if a > 0:
-            w = np.linalg.solve(sxx + a * np.eye(len(mx)), sxy)
-        else:
-            w = np.linalg.lstsq(sxx, sxy, rcond=None)[0]
-        out[a] = (w, my - mx @ w)
-    return out
+class Design:
+    """A split's sparse rows with their centring: ``df(idx, val, y)``, d features, r outputs."""
+
+    def __init__(self, df: DataFrame, d: int, r: int):
+        self.df, self.d, self.r = df.select("idx", "val", "y"), d, r
+        one = df.select(F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy("e.idx").agg(
+            F.sum("e.val").alias("s"), F.count(F.lit(1)).alias("c"))
+        self.n, *ys = df.agg(F.count(F.lit(1)), *[F.avg(F.col("y")[j]) for j in range(r)]).first()
+        self.mx, self.my = np.zeros(d), np.array([v or 0.0 for v in ys], np.float64)
+        count = np.zeros(d)
+        for row in one.collect():
+            self.mx[row["idx"]], count[row["idx"]] = row["s"] / self.n, row["c"]
+        m = self.mx
+
+        def squares(pdf):
+            rr, i, v = _rows(pdf)
+            out = np.zeros((d, 1))
+            np.add.at(out[:, 0], i, (v - m[i]) ** 2)
+            return out
+
+        # Centred sum of squares per feature; a feature that a row does not name counts as 0 there.
+        self.diag = summed(self.df, (d, 1), squares)[:, 0] + (self.n - count) * m * m
+
+    def gram_times(self, p: np.ndarray) -> np.ndarray:
+        """Xc' Xc p"""
+        m, d = self.mx, self.d
+        shift = m @ p
+
+        def product(pdf):
+            rows = _rows(pdf)
+            u = _times(rows, p, len(pdf)) - shift
+            return np.vstack([_back(rows, u, d), u.sum(axis=0)])
 
+        out = summed(self.df, (d + 1, p.shape[1]), product)
+        return out[:d] - np.outer(m, out[d])
 
-def predict(df: DataFrame, x_col: str, w: np.ndarray, b: np.ndarray, out_col: str = "pred") -> DataFrame:
-    """Apply one coefficient matrix (parameter-sized, shipped in the closure) to every row."""
-    from pyspark.sql.types import UserDefinedType
-    keep = [f.name for f in df.schema.fields if not isinstance(f.dataType, UserDefinedType)]
-    df = df.select(*keep)
+    def right_side(self) -> np.ndarray:
+        """Xc' Yc"""
+        m, my, d = self.mx, self.my, self.d
+
+        def product(pdf):
+            rows = _rows(pdf)
+            u = np.vstack(list(pdf["y"])) - my
+            return np.vstack([_back(rows, u, d), u.sum(axis=0)])
+
+        out = summed(self.df, (d + 1, self.r), product)
+        return out[:d] - np.outer(m, out[d])
+
+
+def ridge(x: Design, alphas, start: dict | None = None, tol: float = 1e-11, max_iter: int | None = None) -> dict:
+    """``{alpha: (W d x r, b r)}`` minimising ``||y - Xw - b||^2 + alpha ||w||^2`` per output, the intercept free.
+
+    At alpha 0 the fit is a least-squares solution (its predictions are unique, on rank-deficient one-hot columns
+    its weights are not). An alpha leaves the iteration when all its residuals are below ``tol`` of the right side;
+    one that does not get there within ``max_iter`` steps (default: 3 d + 100) raises an error.
+    """
+    alphas = [float(a) for a in alphas]
+    rhs = x.right_side()
+    scale = np.maximum(np.sqrt((rhs ** 2 / np.maximum(x.diag, 1e-300)[:, None]).sum(0)), 1e-300)
+    state = {}
+    for a in alphas:
+        inv = 1.0 / np.where(x.diag + a > 0, x.diag + a, 1.0)[:, None]
+        w = np.zeros((x.d, x.r)) if not start or a not in start else start[a][0].copy()
+        state[a] = {"w": w, "inv": inv}
+    warm = [a for a in alphas if state[a]["w"].any()]
+    gw = dict(zip(warm, np.split(x.gram_times(np.hstack([state[a]["w"] for a in warm])), len(warm), axis=1), strict=True)) if warm else {}
+    for a in alphas:
+        s = state[a]
+        s["res"] = rhs - (gw[a] + a * s["w"] if a in gw else 0.0)
+        s["z"] = s["inv"] * s["res"]
+        s["p"], s["rz"] = s["z"].copy(), (s["res"] * s["z"]).sum(0)
+
+    def open_(a):
+        return (np.sqrt(np.maximum(state[a]["rz"], 0)) > tol * scale).any()
+
+    for _ in range(max_iter or 3 * x.d + 100):
+        active = [a for a in alphas if open_(a)]
+        if not active:
+            break
+        q = np.split(x.gram_times(np.hstack([state[a]["p"] for a in active])), len(active), axis=1)
+        for a, g in zip(active, q, strict=True):
+            s = state[a]
+            g = g + a * s["p"]
+            curve = (s["p"] * g).sum(0)
+            live = (np.sqrt(np.maximum(s["rz"], 0)) > tol * scale) & (curve > 0)
+            t = np.where(live, s["rz"] / np.where(live, curve, 1.0), 0.0)
+            s["w"] += t * s["p"]
+            s["res"] -= t * g
+            s["z"] = s["inv"] * s["res"]
+            rz = (s["res"] * s["z"]).sum(0)
+            s["p"] = s["z"] + np.where(live, rz / np.where(s["rz"] > 0, s["rz"], 1.0), 0.0) * s["p"]
+            s["rz"] = np.where(live, rz, 0.0)
+    else:
+        if any(open_(a) for a in alphas):
+            raise RuntimeError("the ridge solver did not reach its tolerance")
+    return {a: (state[a]["w"], x.my - x.mx @ state[a]["w"]) for a in alphas}
+
+
+def gradient_gap(x: Design, fits: dict) -> dict:
+    """Largest ``|X'(y - Xw - b) - alpha w|`` per alpha, in units of the largest ``|X'y|`` (a fresh pass over the rows)."""
+    rhs = x.right_side()
+    alphas = list(fits)
+    g = np.split(x.gram_times(np.hstack([fits[a][0] for a in alphas])), len(alphas), axis=1)
+    return {a: float(np.abs(rhs - q - a * fits[a][0]).max() / max(np.abs(rhs).max(), 1e-300)) for a, q in zip(alphas, g, strict=True)}
+
+
+def predict(df: DataFrame, w: np.ndarray, b: np.ndarray, out_col: str = "pred") -> DataFrame:
+    """Apply one coefficient matrix (shipped once per executor as a broadcast) to every row (idx, val)."""
+    shared = df.sparkSession.sparkContext.broadcast((w, b))
 
     def fn(it):
+        w, b = shared.value
         for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[x_col]])
-            p = x @ w + b
-            yield pdf.assign(**{out_col: list(p)})
+            if len(pdf):
+                yield pdf.assign(**{out_col: list(_times(_rows(pdf), w, len(pdf)) + b)})
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", {out_col} array<double>"
-    return df.select(*keep).mapInPandas(fn, schema)
+    return df.mapInPandas(fn, schema)
 
 
 # ------------------------------------------------------------------ A11 / A12
@@ -151,46 +250,42 @@ def mse_r2(df: DataFrame, y_col: str, p_col: str, decimals: int | None = None) -
 
 
 # ----------------------------------------------------------------------- C7 / C8
-def score_from_stats(stats, w: np.ndarray, b: np.ndarray) -> dict:
-    """A11 + A12 of the predictions ``xW + b`` on the rows summarised by ``stats``, without a data pass.
-
-    Per output j: ``SSE_j = sum y^2 - 2 w'X'y - 2 b sum y + w'X'Xw + 2 b w'sum x + n b^2`` and
-    ``SST_j = sum y^2 - n mean(y)^2``; MSE averages SSE_j / n over outputs, R^2 averages
-    ``1 - SSE_j / SST_j`` over outputs with SST_j > 0.
-    """
-    n, sx, sy, syy, xtx, xty = stats
-    sse = (syy - 2 * np.einsum("dr,dr->r", w, xty) - 2 * b * sy + np.einsum("dr,dk,kr->r", w, xtx, w)
-           + 2 * b * (sx @ w) + n * b * b)
-    sse = np.maximum(sse, 0.0)
-    sst = syy - n * (sy / n) ** 2
-    ok = sst > 1e-12 * np.maximum(1.0, syy)
-    return {"mse": float(np.mean(sse / n)), "r2": float(np.mean(1 - sse[ok] / sst[ok])) if ok.any() else None}
-
-
-def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, x_col: str, y_col: str, d: int, r: int,
+def scores(df: DataFrame, r: int, fits: dict) -> dict:
+    """A11 + A12 of every fit in one pass: ``{alpha: {mse, r2}}``; MSE averages over rows and outputs, R^2 over
+    outputs that vary."""
+    alphas = list(fits)
+    w, b = np.hstack([fits[a][0] for a in alphas]), np.concatenate([fits[a][1] for a in alphas])
+    n, *my = df.agg(F.count(F.lit(1)), *[F.avg(F.col("y")[j]) for j in range(r)]).first()
+    my = np.array([v or 0.0 for v in my])
+
+    def product(pdf):
+        y = np.vstack(list(pdf["y"]))
+        e = np.tile(y, len(alphas)) - _times(_rows(pdf), w, len(pdf)) - b
+        return np.concatenate([(e * e).sum(0), ((y - my) ** 2).sum(0)])[None]
+
+    out = summed(df.select("idx", "val", "y"), (1, (len(alphas) + 1) * r), product)[0]
+    sst = out[-r:]
+    ok = sst > 0
+    return {a: {"mse": float(np.mean(out[k * r:(k + 1) * r] / n)),
+                "r2": float(np.mean(1 - out[k * r:(k + 1) * r][ok] / sst[ok])) if ok.any() else None}
+            for k, a in enumerate(alphas)}
+
+
+def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, d: int, r: int,
                  alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
-    """Pick the alpha with the lowest validation MSE, refit on train+val, score test, refit on all.
-
-    Exactly three passes over the data (one sufficient-statistics pass per split):
-    fits come from the train statistics, validation and test scores are computed
-    from their statistics analytically, and refits add the statistics.
-    """
-    st_tr = sufficient_stats(train, x_col, y_col, d, r)
-    st_va = sufficient_stats(val, x_col, y_col, d, r)
-    st_te = sufficient_stats(test, x_col, y_col, d, r)
-    fits = ridge_from_stats(st_tr, alphas)
-    scores = []
-    for a, (w, b) in fits.items():
-        m = score_from_stats(st_va, w, b)
-        scores.append({"alpha": a, "val_mse": m["mse"], "val_r2": m["r2"]})
-    best = min(scores, key=lambda s: (s["val_mse"], s["alpha"]))["alpha"]
-    both = tuple(a + b for a, b in zip(st_tr, st_va))
-    w, b = ridge_from_stats(both, [best])[best]
-    test_m = score_from_stats(st_te, w, b)
-    every = tuple(a + b + c for a, b, c in zip(st_tr, st_va, st_te))
-    w_all, b_all = ridge_from_stats(every, [best])[best]
-    return {"scores": scores, "best_alpha": best, "test_mse": test_m["mse"], "test_r2": test_m["r2"],
-            "weights": w_all, "intercept": b_all}
+    """Pick the alpha with the lowest validation MSE, refit on train+val and score test, refit on all."""
+    x = Design(train, d, r)
+    fits = ridge(x, alphas)
+    by = scores(val, r, fits)
+    best = min(by, key=lambda a: (by[a]["mse"], a))
+    tv = train.unionByName(val)
+    both = ridge(Design(tv, d, r), [best], fits)
+    test_m = scores(test, r, both)[best]
+    every = Design(tv.unionByName(test), d, r)
+    w, b = ridge(every, [best], both)[best]
+    return {"scores": [{"alpha": a, "val_mse": m["mse"], "val_r2": m["r2"]} for a, m in by.items()], "best_alpha": best,
+            "test_mse": test_m["mse"], "test_r2": test_m["r2"], "weights": w, "intercept": b,
+            "train_design": x, "fits": fits, "all_design": every}
 
 
 def coefficient_table(spark, weights: np.ndarray, intercept: np.ndarray) -> DataFrame:
@@ -206,56 +301,3 @@ def coefficient_table(spark, weights: np.ndarray, intercept: np.ndarray) -> Data
     coef = per_output.select("output", F.posexplode("w").alias("feature_idx", "weight"))
     icpt = per_output.select("output", F.lit(-1).alias("feature_idx"), F.col("b").alias("weight"))
     return coef.unionByName(icpt)
-
-
-def linear_regression_per_output(df: DataFrame, x_col: str, y_col: str, r: int, alpha: float):
-    """C6 for very wide inputs: one distributed L-BFGS ridge per output.
-
-    ``regParam = alpha * sd(y) / n`` (sample sd) reproduces the unscaled ridge
-    objective ``||y - Xw - b||^2 + alpha ||w||^2`` with ``standardization=False``.
-    """
-    from pyspark.ml.regression import LinearRegression
-    n = df.count()
-    sds = df.select(*[F.stddev_samp(F.col(y_col)[j]).alias(f"s{j}") for j in range(r)]).collect()[0]
-    models = []
-    for j in range(r):
-        lr = LinearRegression(featuresCol=x_col, labelCol="_y", regParam=alpha * float(sds[j] or 0.0) / n,
-                              elasticNetParam=0.0, standardization=False, solver="l-bfgs", maxIter=200, tol=1e-9)
-        models.append(lr.fit(df.withColumn("_y", F.col(y_col)[j])))
-    return models
-
-
-def score_per_output(models, df: DataFrame, x_col: str, y_col: str) -> dict:
-    """A11 + A12 from one model per output: MSE averaged over outputs, uniform-average R^2."""
-    mses, r2s = [], []
-    for j, m in enumerate(models):
-        p = m.transform(df.select(x_col, F.col(y_col)[j].alias("_y")))
-        row = p.agg(F.avg((F.col("_y") - F.col("prediction")) ** 2).alias("mse"),
-                    F.sum((F.col("_y") - F.col("prediction")) ** 2).alias("sse"),
-                    (F.var_pop("_y") * F.count(F.lit(1))).alias("sst")).first()
-        mses.append(row["mse"])
-        if row["sst"]:
-            r2s.append(1.0 - row["sse"] / row["sst"])
-    return {"mse": float(np.mean(mses)), "r2": float(np.mean(r2s)) if r2s else None}
-
-
-def alpha_search_wide(train: DataFrame, val: DataFrame, test: DataFrame, x_col: str, y_col: str, r: int,
-                      alphas=(0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
-    """C7 when the design is too wide for ``X'X``: per-output L-BFGS fits on sparse vectors.
-
-    Same protocol as :func:`alpha_search`: pick the lowest validation MSE, refit on
-    train+val and score test, refit on everything. alpha = 0 is skipped (the
-    least-squares problem has no unique solution on wide one-hot data).
-    """
-    scores = []
-    for a in [a for a in alphas if a > 0]:
-        m = score_per_output(linear_regression_per_output(train, x_col, y_col, r, a), val, x_col, y_col)
-        scores.append({"alpha": float(a), "val_mse": m["mse"], "val_r2": m["r2"]})
-    best = min(scores, key=lambda s: (s["val_mse"], s["alpha"]))["alpha"]
-    tv = train.unionByName(val)
-    t = score_per_output(linear_regression_per_output(tv, x_col, y_col, r, best), test, x_col, y_col)
-    final = linear_regression_per_output(tv.unionByName(test), x_col, y_col, r, best)
-    w = np.column_stack([m.coefficients.toArray() for m in final])
-    b = np.array([m.intercept for m in final])
-    return {"scores": scores, "best_alpha": best, "test_mse": t["mse"], "test_r2": t["r2"],
-            "weights": w, "intercept": b}

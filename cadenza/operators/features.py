@@ -38,18 +38,14 @@ def first_element(col: str):
     return F.try_element_at(F.col(col), F.lit(1))
 
 
-def list_per_key(df: DataFrame, key: str, value: str, order_by: str | None = None,
-                 out_col: str | None = None) -> DataFrame:
-    """A2: values per key as a list ordered by ``order_by`` (default: the value itself).
+def list_per_key(df: DataFrame, key: str, value: str, order_by: str, out_col: str | None = None) -> DataFrame:
+    """A2: all values per key, repeats kept, as a list in the input order given by ``order_by``.
 
-    Pairs are de-duplicated first (a shuffle on the pair, skew-safe), so a list
-    is bounded by the number of distinct values, and the partial aggregate
-    pre-combines a hot key on the map side.
+    The list is the output, so it is as long as the key has rows; partial lists are built
+    on the map side and the rows of a key are sorted by (order, value) within its list.
     """
     out_col = out_col or value
-    order_by = order_by or value
-    pairs = df.select(key, value, order_by).distinct() if order_by != value else df.select(key, value).distinct()
-    return (pairs.groupBy(key)
+    return (df.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(order_by).alias("_o"), F.col(value).alias("_v"))))
                  .alias("_l"))
             .select(key, F.col("_l._v").alias(out_col)))
@@ -61,27 +57,29 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(col))
 
 
-def describe_numeric(df: DataFrame, cols, approx_quartiles: bool = True) -> DataFrame:
-    """A4, numeric: count, mean, sample std, min, (approximate) quartiles, max per column.
+def describe_numeric(df: DataFrame, cols, exact_quartiles: bool = True) -> DataFrame:
+    """A4, numeric: count, mean, sample std, min, quartiles, max per column.
 
     One scan computes every statistic of every column; the one-row result is
-    then unpivoted to one row per column. Quartiles use the bounded-memory
-    ``percentile_approx`` sketch.
+    then unpivoted to one row per column. Exact quartiles interpolate between ranks
+    and keep a count per distinct value; for columns of many distinct values
+    ``exact_quartiles=False`` uses the bounded ``percentile_approx`` sketch.
     """
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
-        if approx_quartiles:
+        if exact_quartiles:
+            aggs.append(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"))
+        else:
             aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
     wide = df.agg(*aggs)
     rows = []
     for i, c in enumerate(cols):
         fields = [F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"),
                   F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max")]
-        if approx_quartiles:
-            fields.append(F.col(f"q{i}").alias("quartiles"))
+        fields += [F.col(f"q{i}")[j].alias(n) for j, n in enumerate(("q25", "q50", "q75"))]
         rows.append(F.struct(*fields))
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
@@ -124,7 +122,7 @@ def catalogue_features(tracks: DataFrame, artist_terms: DataFrame, artist_locati
     The artist tables are one row per artist; AQE broadcasts them when their
     runtime size is under the threshold and falls back to a shuffle join otherwise.
     """
-    terms = list_per_key(artist_terms, "artist_id", "term")
+    terms = list_per_key(artist_terms, "artist_id", "term", "pos")
     loc = artist_location.drop("artist_name")
     artists = terms.join(loc, "artist_id", "full_outer")           # J3 (USING: key coalesced)
     out = tracks.join(artists, "artist_id", "left")                 # J2

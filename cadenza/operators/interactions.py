@@ -153,11 +153,6 @@ def hash_split(df: DataFrame, key, train_buckets: int = 8, n: int = 10):
     return df.where(b < train_buckets), df.where(b >= train_buckets)
 
 
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):
-    """R3, random form (same as the source workload, seeded)."""
-    return df.randomSplit(list(weights), seed)
-
-
 def nested_holdout(df: DataFrame, key):
     """Buckets 0-1 are test (20 %); of the rest, a second hash keeps 20 % as validation."""
     b1 = hash_bucket(key, 10)

@@ -3,7 +3,7 @@ nested hold-out -> ridge alpha search -> coefficients -> scoring of held-out ite
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,31 +31,21 @@ def aligned_items(t: Tables) -> DataFrame:
 
 
 def design_matrix(items: DataFrame):
-    """C3 + C4 + C5: ``(mapped_id, xv vector, x array<double>, y)`` and the feature count."""
-    _, enc = CS.one_hot(items, CATEGORICAL)
+    """C3 + C4 + C5: ``(mapped_id, idx, val, y)`` and the feature count."""
+    enc, sizes = CS.one_hot(items, CATEGORICAL)
     imp = CS.impute_mean(enc, NUMERIC)
-    asm = CS.assemble(imp, [f"{c}_vec" for c in CATEGORICAL] + NUMERIC, out_col="xv")
-    out = asm.select("mapped_id", "xv", vector_to_array("xv").alias("x"), "y")
-    d = out.select("xv").first()[0].size
-    return out, d
+    out, d = CS.assemble(imp, CATEGORICAL, sizes, NUMERIC)
+    return out.select("mapped_id", "idx", "val", "y"), d
 
 
-def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0), max_gram_features: int = 4096):
-    """C6 + C7 on the R4 split; returns the alpha-search result dict and the design table.
-
-    Up to ``max_gram_features`` columns the ridge is solved from one pass of
-    sufficient statistics; wider designs use one distributed L-BFGS fit per output.
-    """
-    items = aligned_items(t)
-    x, d = design_matrix(items)
+def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
+    """C6 + C7 on the R4 split; returns the alpha-search result dict and the design table."""
+    x, d = design_matrix(aligned_items(t).transform(reliable_checkpoint))
     x = x.transform(reliable_checkpoint)
     r = len(x.select("y").first()[0])
-    train, val, test = I.nested_holdout(x, F.col("mapped_id"))
-    if d <= max_gram_features:
-        train, val, test = train.drop("xv"), val.drop("xv"), test.drop("xv")
-        res = CS.alpha_search(train, val, test, "x", "y", d, r, alphas)
-    else:
-        res = CS.alpha_search_wide(train.drop("x"), val.drop("x"), test.drop("x"), "xv", "y", r, alphas)
+    # Every iteration reads the splits again: keep them in memory, or on disk where they do not fit.
+    train, val, test = (s.persist(StorageLevel.MEMORY_AND_DISK) for s in I.nested_holdout(x, F.col("mapped_id")))
+    res = CS.alpha_search(train, val, test, d, r, alphas)
     res["d"], res["r"] = d, r
     return res, x, (train, val, test)
 
@@ -66,16 +56,45 @@ def alpha_table(spark, res) -> DataFrame:
     return spark.createDataFrame(rows, "alpha double, val_mse double, val_r2 double, best boolean")
 
 
+def release(splits) -> None:
+    for s in splits:
+        s.unpersist()
+
+
+def _predicted(t: Tables, spark):
+    res, x, splits = fit(spark, t)
+    pred = CS.predict(splits[2].select("mapped_id", "idx", "val"), res["weights"], res["intercept"]).select(
+        F.col("mapped_id").alias("id"), F.col("pred").alias("features")).transform(reliable_checkpoint)
+    true = splits[2].select(F.col("mapped_id").alias("id"), F.col("y").alias("features")).transform(reliable_checkpoint)
+    release(splits)
+    return pred, true
+
+
 def cold_start_recall(spark, t: Tables, k: int = 10) -> DataFrame:
     """Held-out items get factors predicted from their features; their exact top-k neighbours
     among all items are compared with those of their true factors (recall@k)."""
     from cadenza.operators.ann import recall_at_k
     from cadenza.operators.retrieve import exact_top_k
-    res, x, (_, _, test) = fit(spark, t)
-    pred = CS.predict(test, "x", res["weights"], res["intercept"], "pred")
+    pred, true = _predicted(t, spark)
     items = TB.item_factors(t.embeddings).select("id", "features")
-    q_pred = pred.select(F.col("mapped_id").alias("id"), F.col("pred").alias("features"))
-    q_true = test.select(F.col("mapped_id").alias("id"), F.col("y").alias("features"))
-    approx = exact_top_k(q_pred, items, k, metric="cosine")
-    exact = exact_top_k(q_true, items, k, metric="cosine")
-    return recall_at_k(approx, exact, k)
+    return recall_at_k(exact_top_k(pred, items, k, metric="cosine"), exact_top_k(true, items, k, metric="cosine"), k)
+
+
+def cold_start_eval(spark, t: Tables, k: int = 500, ks=(10, 20, 50, 100, 500)) -> DataFrame:
+    """C9 + J7 + A7-A9: users rank the held-out items by predicted factors; their lists are scored against the
+    plays of those items. The true factors are the other row, as the ceiling."""
+    from cadenza.operators import metrics as M
+    from cadenza.operators.retrieve import exact_top_k, top_k_lists
+    pred, true = _predicted(t, spark)
+    idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
+    pairs = (plays(t.orders, t.lineitem).join(idmap, "track_id").join(pred.select(F.col("id").alias("mapped_id")), "mapped_id")
+             .select(F.col("user_id").cast("int").alias("user"), F.col("mapped_id").alias("item"))).transform(reliable_checkpoint)
+    users = TB.item_factors(t.embeddings).select("id", "features").join(pairs.select(F.col("user").alias("id")).distinct(), "id")
+    out = None
+    for name, items in (("predicted", pred), ("true", true)):
+        ranked = exact_top_k(users, items, k, metric="dot").select(
+            F.col("qid").cast("int").alias("user"), "pos", F.col("iid").cast("int").alias("item"))
+        m = M.evaluate_lists(top_k_lists(ranked, "user", "item", out_col="items"), pairs, "user", "item", "items", ks, decimals=6)
+        m = m.select(F.lit(name).alias("factors"), "*")
+        out = m if out is None else out.unionByName(m)
+    return out

@@ -59,13 +59,13 @@ def preprocess_job(spark, split_paths: dict, out_dir: str, log_scale: bool = Fal
 
 
 def feature_job(spark, sf_dir: str, out_path: str) -> str:
-    """C1 on the stand-in tables, exported as CSV (terms list as ``a,b,c`` text)."""
+    """C1 on the stand-in tables, exported as CSV (terms list as JSON text, so a comma in a term is kept)."""
     from cadenza.operators import features as FE
     from cadenza.sources import tables as TB
     t = TB.Tables(spark, sf_dir)
     c1 = FE.catalogue_features(TB.catalog(t.part), TB.artist_term(t.part), TB.artist_location(t.nation, t.region),
                                FE.clean_extras(TB.acoustic_extras(t.lineitem)))
-    FI.write_csv(c1.withColumn("term", F.array_join("term", ",")), out_path, mode="overwrite")
+    FI.write_csv(c1.withColumn("term", F.to_json("term")), out_path, mode="overwrite")
     return out_path
 
 
@@ -98,7 +98,8 @@ def coldstart_job(spark, sf_dir: str, out_dir: str, alphas=(0.0, 0.001, 0.005, 0
     from cadenza.operators import coldstart as CS
     from cadenza.plans import coldstart as CP
     from cadenza.sources.tables import Tables
-    res, _, _ = CP.fit(spark, Tables(spark, sf_dir), alphas)
+    res, _, splits = CP.fit(spark, Tables(spark, sf_dir), alphas)
+    CP.release(splits)
     FI.write_parquet(CP.alpha_table(spark, res), os.path.join(out_dir, "alpha_search"), mode="overwrite")
     FI.write_parquet(CS.coefficient_table(spark, res["weights"], res["intercept"]),
                      os.path.join(out_dir, "coefficients"), mode="overwrite")

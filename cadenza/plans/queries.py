@@ -9,6 +9,7 @@ from cadenza.operators.popularity import popularity_ranking
 from cadenza.plans import recommend as R
 from cadenza.plans import sql as S
 from cadenza.plans.registry import register
+from cadenza.session import reliable_checkpoint
 from cadenza.sources.tables import Tables, plays
 
 
@@ -147,27 +148,28 @@ def c1_catalogue_features(spark, sf_dir):
 SELECT artist_id, array_to_string(term, ',') AS term FROM terms""")
 def a2_terms_per_artist(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return FE.list_per_key(TB.artist_term(t.part), "artist_id", "term").withColumn("term", F.array_join("term", ","))
+    return FE.list_per_key(TB.artist_term(t.part), "artist_id", "term", "pos").withColumn("term", F.array_join("term", ","))
 
 
 @register("p7_first_term", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + """
 SELECT artist_id, term[1] AS first_term FROM terms""")
 def p7_first_term(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return FE.list_per_key(TB.artist_term(t.part), "artist_id", "term").select(
+    return FE.list_per_key(TB.artist_term(t.part), "artist_id", "term", "pos").select(
         "artist_id", FE.first_element("term").alias("first_term"))
 
 
 _REC, _LAB = S.genre_case("term")
 
 
-@register("p6_genre_recode", f"""WITH terms AS (SELECT DISTINCT lower(p_name) AS term FROM part
-  UNION SELECT DISTINCT lower(p_type) FROM part UNION SELECT DISTINCT lower(n_name) FROM nation)
-SELECT term, {_REC} AS recoded, {_LAB} AS genre FROM terms""")
+@register("p6_genre_recode", "WITH " + S.ARTIST_TERM + f""",
+all_terms AS (SELECT DISTINCT term FROM artist_term UNION SELECT DISTINCT lower(n_name) FROM nation UNION SELECT NULL FROM region)
+SELECT term, {_REC} AS recoded, {_LAB} AS genre FROM all_terms""")
 def p6_genre_recode(spark, sf_dir):
+    """Every rule, kept and unknown terms, and NULL."""
     t = _t(spark, sf_dir)
-    terms = (t.part.select(F.lower("p_name").alias("term"))
-             .union(t.part.select(F.lower("p_type"))).union(t.nation.select(F.lower("n_name"))).distinct())
+    terms = (TB.artist_term(t.part).select("term").union(t.nation.select(F.lower("n_name")))
+             .union(t.region.select(F.lit(None).cast("string"))).distinct())
     return terms.select("term", recode_genre("term").alias("recoded"), genre_label("term").alias("genre"))
 
 
@@ -177,7 +179,7 @@ _E_LAB = S.genre_case("term[1]")[1]
 
 
 def _item_terms(t):
-    terms = FE.list_per_key(TB.artist_term(t.part), "artist_id", "term")
+    terms = FE.list_per_key(TB.artist_term(t.part), "artist_id", "term", "pos")
     cat = t.part.select(F.col("p_partkey").cast("int").alias("id"), F.col("p_brand").alias("artist_id"))
     return cat.join(terms, "artist_id", "left").select("id", "term")
 
@@ -191,11 +193,14 @@ def a3_genre_counts(spark, sf_dir):
 
 
 @register("e2_genre_table", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + ", " + _ITEM_TERMS + f"""
-SELECT id, label, genre FROM (SELECT i.id, CAST(e.label AS INTEGER) AS label, {_E_LAB} AS genre
+SELECT id, label, genre, true AS on_map FROM (SELECT i.id, CAST(e.label AS INTEGER) AS label, {_E_LAB} AS genre
   FROM item_terms i JOIN embeddings e ON i.id = e.vec_id) WHERE genre != 'other'""")
 def e2_genre_table(spark, sf_dir):
+    """Genres joined to the 2-D coordinates; SQL has no projection, so the twin sees whether a place is given."""
     t = _t(spark, sf_dir)
-    return FE.genre_table(TB.item_factors(t.embeddings).select("id", "label"), _item_terms(t))
+    places = FE.project_2d(TB.item_factors(t.embeddings), "features", 2)
+    return FE.genre_table(places, _item_terms(t)).select(
+        "id", "label", "genre", (F.col("x0").isNotNull() & F.col("x1").isNotNull()).alias("on_map"))
 
 
 @register("e1_pca_2d")
@@ -204,15 +209,12 @@ def e1_pca_2d(spark, sf_dir):
     return FE.project_2d(TB.item_factors(t.embeddings), "features", 2)
 
 
-@register("a4_describe_numeric", """SELECT * FROM (
-  SELECT 'p_size' AS "column", count(p_size) AS "count", round_even(avg(p_size), 6) AS mean, round_even(stddev_samp(p_size), 6) AS std,
-         CAST(min(p_size) AS DOUBLE) AS "min", CAST(max(p_size) AS DOUBLE) AS "max" FROM part
-  UNION ALL
-  SELECT 'p_retailprice', count(p_retailprice), round_even(avg(p_retailprice), 6), round_even(stddev_samp(p_retailprice), 6),
-         min(p_retailprice), max(p_retailprice) FROM part)""")
+@register("a4_describe_numeric", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS "count",
+  round_even(avg({c}), 6) AS mean, round_even(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max",
+  round_even(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, round_even(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50,
+  round_even(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75 FROM part""" for c in ("p_size", "p_retailprice")))
 def a4_describe_numeric(spark, sf_dir):
-    return _round_doubles(FE.describe_numeric(_t(spark, sf_dir).part, ["p_size", "p_retailprice"],
-                                              approx_quartiles=False))
+    return _round_doubles(FE.describe_numeric(_t(spark, sf_dir).part, ["p_size", "p_retailprice"]))
 
 
 @register("a4_describe_text", """SELECT 'p_type' AS "column", CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique",
@@ -239,7 +241,7 @@ SELECT coalesce(t.artist_id, l.artist_id) AS artist_id, array_to_string(t.term,
 FROM terms t FULL OUTER JOIN artist_location l ON t.artist_id = l.artist_id""")
 def j3_artist_full_outer(spark, sf_dir):
     t = _t(spark, sf_dir)
-    terms = FE.list_per_key(TB.artist_term(t.part), "artist_id", "term")
+    terms = FE.list_per_key(TB.artist_term(t.part), "artist_id", "term", "pos")
     loc = TB.artist_location(t.nation, t.region).select("artist_id", "location")
     return terms.join(loc, "artist_id", "full_outer").select("artist_id", F.array_join("term", ",").alias("term"),
                                                               "location")
@@ -294,11 +296,13 @@ def p15_expand_factors(spark, sf_dir):
     return FE.expand_array(TB.item_factors(_t(spark, sf_dir).embeddings).drop("label"), "features", 64)
 
 
-_C2_SQL = "WITH " + S.C1 + ", " + S.PLAYS[len("WITH "):] + """,
+_C2_SQL = "WITH " + S.C1 + ", " + S.RELEASES + ", " + S.PLAYS[len("WITH "):] + """,
 idmap AS (SELECT track_id, CAST(dense_rank() OVER (ORDER BY track_id) - 1 AS INTEGER) AS mapped_id
           FROM (SELECT DISTINCT track_id FROM plays)),
-f AS (SELECT m.mapped_id, c.artist_id, c.release, c.duration, c.loudness, c.tempo
-      FROM idmap m JOIN c1 c ON m.track_id = c.track_id),
+yr AS (SELECT track_id, CAST(split_part(min(releasedate), '-', 1) AS INTEGER) AS year FROM releases
+       WHERE releasedate != '0000-00-00' GROUP BY track_id),
+f AS (SELECT m.mapped_id, c.artist_id, array_to_string(c.term, ',') AS term, yr.year, c.release, c.duration, c.loudness, c.tempo
+      FROM idmap m JOIN c1 c ON m.track_id = c.track_id LEFT JOIN yr ON c.track_id = yr.track_id),
 j AS (SELECT f.*, """ + ", ".join(f"CAST(e.embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(64)) + """
       FROM f JOIN embeddings e ON f.mapped_id = e.vec_id)
 SELECT min(mapped_id) AS mapped_id, * EXCLUDE (mapped_id) FROM j GROUP BY ALL"""
@@ -308,9 +312,11 @@ SELECT min(mapped_id) AS mapped_id, * EXCLUDE (mapped_id) FROM j GROUP BY ALL"""
 def c2_align_features(spark, sf_dir):
     t = _t(spark, sf_dir)
     idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
-    feats = _c1(t).select("track_id", "artist_id", "release", "duration", "loudness", "tempo")
+    dated = FE.keep_not_equal(TB.dated_releases(t.lineitem), "releasedate", "0000-00-00")
+    year = dated.groupBy("track_id").agg(year_of_date(F.min("releasedate")).alias("year"))
+    feats = _c1(t).withColumn("term", F.array_join("term", ",")).join(year, "track_id", "left")
     return FE.align_features(idmap, feats, TB.item_factors(t.embeddings),
-                             ["artist_id", "release", "duration", "loudness", "tempo"], rank=64)
+                             ["artist_id", "term", "year", "release", "duration", "loudness", "tempo"], rank=64)
 
 
 # ---------------------------------------------------------------- catalogue
@@ -419,16 +425,24 @@ def j10_ragged_slices(spark, sf_dir):
     return out.select("o_orderkey", F.array_join(F.transform("values", lambda x: x.cast("string")), ",").alias("values"))
 
 
-_CAT_NUM = ["duration", "loudness", "song_hotttnesss", "tempo", "latitude", "longitude"]
+_CAT_NUM = ["duration", "loudness", "song_hotttnesss", "tempo", "latitude", "longitude", "title_chars", "release_chars",
+            "n_terms", "min_per_beat", "energy"]
+_WIDE_SQL = """, wide AS (SELECT *, CAST(length(title) AS DOUBLE) AS title_chars, CAST(length("release") AS DOUBLE) AS release_chars,
+  CAST(len(term) AS DOUBLE) AS n_terms, duration / tempo AS min_per_beat, loudness * tempo AS energy FROM c1)"""
 
 
-@register("t5_multi_key_top_k", "WITH " + S.C1 + ",\nlong AS (" + " UNION ALL ".join(
-    f"SELECT track_id, '{a}' AS attr, CAST({a} AS DOUBLE) AS v FROM c1 WHERE {a} IS NOT NULL" for a in _CAT_NUM) + """),
+@register("t5_multi_key_top_k", "WITH " + S.C1 + _WIDE_SQL + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT track_id, '{a}' AS attr, CAST({a} AS DOUBLE) AS v FROM wide WHERE {a} IS NOT NULL" for a in _CAT_NUM) + """),
 r AS (SELECT track_id, row_number() OVER (PARTITION BY attr ORDER BY v ASC, track_id) AS ra,
              row_number() OVER (PARTITION BY attr ORDER BY v DESC, track_id) AS rd FROM long)
 SELECT DISTINCT track_id FROM r WHERE ra <= 100 OR rd <= 100""")
 def t5_multi_key_top_k(spark, sf_dir):
-    return CA.multi_key_top_k(_c1(_t(spark, sf_dir)), "track_id", _CAT_NUM, 100)
+    """Eleven attributes, ascending and descending."""
+    c1 = _c1(_t(spark, sf_dir)).withColumns({
+        "title_chars": F.length("title").cast("double"), "release_chars": F.length("release").cast("double"),
+        "n_terms": F.when(F.col("term").isNotNull(), F.size("term")).cast("double"),
+        "min_per_beat": F.col("duration") / F.col("tempo"), "energy": F.col("loudness") * F.col("tempo")})
+    return CA.multi_key_top_k(c1, "track_id", _CAT_NUM, 100)
 
 
 @register("u2_union_distinct", "WITH " + S.ARTIST_TERM + ", " + S.ARTIST_LOCATION + """
@@ -494,19 +508,28 @@ def g1_rounds(spark, sf_dir):
     return CA.expand_graph(_edges(t), seeds, n_neighbours=10, seed=0)
 
 
-@register("a19_health_check", """SELECT count(*) AS n_rows, CAST(count_if(NOT coalesce(l_quantity > 0, false)) AS BIGINT) AS bad_quantity,
-  CAST(count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false)) AS BIGINT) AS bad_discount,
-  CAST(count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) AS BIGINT) AS bad_shipdate,
-  CAST(count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)) AS BIGINT) AS bad_returnflag,
-  (CAST(count_if(NOT coalesce(l_quantity > 0, false)) AS BIGINT) + CAST(count_if(NOT coalesce(l_discount BETWEEN 0 AND 1, false)) AS BIGINT)
-   + CAST(count_if(NOT coalesce(l_shipdate IS NOT NULL, false)) AS BIGINT) + CAST(count_if(NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)) AS BIGINT)) = 0 AS ok
-FROM lineitem""")
+_CHECKS = {  # column -> (SQL condition, expression): all 11 columns of the lines
+    "orderkey": ("l_orderkey IS NOT NULL", lambda: F.col("l_orderkey").isNotNull()),
+    "partkey": ("l_partkey >= 0", lambda: F.col("l_partkey") >= 0),
+    "suppkey": ("l_suppkey >= 0", lambda: F.col("l_suppkey") >= 0),
+    "linenumber": ("l_linenumber BETWEEN 1 AND 7", lambda: F.col("l_linenumber").between(1, 7)),
+    "quantity": ("l_quantity > 10", lambda: F.col("l_quantity") > 10),
+    "extendedprice": ("l_extendedprice > 0", lambda: F.col("l_extendedprice") > 0),
+    "discount": ("l_discount BETWEEN 0 AND 0.07", lambda: F.col("l_discount").between(0, 0.07)),
+    "tax": ("l_tax BETWEEN 0 AND 1", lambda: F.col("l_tax").between(0, 1)),
+    "returnflag": ("l_returnflag IN ('A', 'N')", lambda: F.col("l_returnflag").isin("A", "N")),
+    "linestatus": ("l_linestatus IN ('F', 'O')", lambda: F.col("l_linestatus").isin("F", "O")),
+    "shipdate": ("l_shipdate IS NOT NULL", lambda: F.col("l_shipdate").isNotNull()),
+}
+
+
+@register("a19_health_check", "SELECT *, false AS ok FROM (SELECT count(*) AS n_rows, " + ", ".join(
+    f"CAST(count_if(NOT coalesce({c}, false)) AS BIGINT) AS bad_{n}" for n, (c, _) in _CHECKS.items())
+    + ", (SELECT count(*) FROM lineitem) AS expected_rows FROM lineitem)")
 def a19_health_check(spark, sf_dir):
+    """Every column checked (some rules are meant to fail on this table) and the expected number of rows."""
     li = _t(spark, sf_dir).lineitem
-    report, _ = CA.health_check(li, {"quantity": F.col("l_quantity") > 0,
-                                     "discount": F.col("l_discount").between(0, 1),
-                                     "shipdate": F.col("l_shipdate").isNotNull(),
-                                     "returnflag": F.col("l_returnflag").isin("A", "N", "R")})
+    report, _ = CA.health_check(li, {n: f() for n, (_, f) in _CHECKS.items()}, expected_rows=li.count())
     return report
 
 
@@ -599,14 +622,14 @@ def s3_j11_name_pair_lookup(spark, sf_dir):
 
 
 @register("s7_array_text_roundtrip", "SELECT CAST(vec_id AS INTEGER) AS id, " + ", ".join(
-    f"CAST(embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(4)) + " FROM embeddings")
+    f"CAST(embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(64)) + " FROM embeddings")
 def s7_array_text_roundtrip(spark, sf_dir):
     path = FI.scratch_dir(spark, "factors_text")
     f = FI.array_to_text(TB.item_factors(_t(spark, sf_dir).embeddings).select("id", "features"), "features")
     FI.write_csv(f, path)
     back = spark.read.csv(path, header=True, schema="id int, features string")
     parsed = FI.parse_array_text(back, "features", "float")
-    return FE.expand_array(parsed.select("id", F.slice("features", 1, 4).alias("features")), "features", 4)
+    return FE.expand_array(parsed.select("id", "features"), "features", 64)
 
 
 @register("s8_r6_parquet_by_user", S.PLAYS + """
@@ -636,21 +659,28 @@ def s10_score_report(spark, sf_dir):
     return spark.read.text(path)
 
 
-@register("s6_a14_file_inventory")
-def s6_a14_file_inventory(spark, sf_dir):
-    inv = FI.file_inventory(spark, sf_dir, "*.parquet")
-    _, extremes = CA.leaf_occupancy(inv)
+_LEAVES = """leaves AS (SELECT regexp_extract(url, '^(.*)/[^/]*$', 1) AS leaf, count(*) AS n FROM pages GROUP BY 1)"""
+
+
+@register("a14_leaf_occupancy", "WITH " + _LEAVES + """
+SELECT leaf, n, 'emptiest' AS kind FROM leaves WHERE n = (SELECT min(n) FROM leaves)
+UNION ALL SELECT leaf, n, 'fullest' FROM leaves WHERE n = (SELECT max(n) FROM leaves)""")
+def a14_leaf_occupancy(spark, sf_dir):
+    """The emptiest and fullest directories among the page addresses."""
+    _, extremes = CA.leaf_occupancy(_t(spark, sf_dir).pages, "url")
     return extremes
 
 
-@register("t3_most_recent_files")
-def t3_most_recent_files(spark, sf_dir):
-    return CA.most_recent(FI.file_inventory(spark, sf_dir, "*.parquet"), 5)
+@register("t3_most_recent", """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS modified FROM events ORDER BY ts DESC, event_id LIMIT 5""")
+def t3_most_recent(spark, sf_dir):
+    return CA.most_recent(_t(spark, sf_dir).events, 5, "ts", "event_id").select("event_id", "modified")
 
 
-@register("t4_overflow_files")
-def t4_overflow_files(spark, sf_dir):
-    return CA.overflow(FI.file_inventory(spark, sf_dir, "*.parquet"), 10)
+@register("t4_overflow", """SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY ts DESC, event_id) AS rn FROM events)
+WHERE rn <= greatest(0, (SELECT count(*) FROM events) - 1000)""")
+def t4_overflow(spark, sf_dir):
+    """The newest events beyond the oldest thousand."""
+    return CA.overflow(_t(spark, sf_dir).events.select("event_id", "ts"), 1000, "ts", "event_id").select("event_id")
 
 
 # ----------------------------------------------------------------- sampling
@@ -763,14 +793,19 @@ from cadenza.operators import coldstart as CS  # noqa: E402
 from cadenza.plans import coldstart as CP  # noqa: E402
 
 
-@register("c3_one_hot_index", "WITH " + S.CATALOG + """,
-rel AS (SELECT "release", row_number() OVER (ORDER BY count(*) DESC, "release") - 1 AS i FROM catalog GROUP BY "release"),
-art AS (SELECT artist_id, row_number() OVER (ORDER BY count(*) DESC, artist_id) - 1 AS i FROM catalog GROUP BY artist_id)
-SELECT c.track_id, CAST(rel.i AS DOUBLE) AS release_idx, CAST(art.i AS DOUBLE) AS artist_id_idx
+_LEVELS = """rel AS (SELECT "release", row_number() OVER (ORDER BY count(*) DESC, "release") - 1 AS i FROM catalog GROUP BY "release"),
+art AS (SELECT artist_id, row_number() OVER (ORDER BY count(*) DESC, artist_id) - 1 AS i FROM catalog GROUP BY artist_id)"""
+
+
+@register("c3_one_hot_index", "WITH " + S.CATALOG + ",\n" + _LEVELS + """
+SELECT c.track_id, rel.i AS release_idx, art.i AS artist_id_idx,
+       CAST(rel.i AS VARCHAR) || ',' || CAST((SELECT count(*) FROM rel) + art.i AS VARCHAR) || ',' || CAST((SELECT count(*) FROM rel) + (SELECT count(*) FROM art) AS VARCHAR) AS slots
 FROM catalog c JOIN rel ON c."release" = rel."release" JOIN art ON c.artist_id = art.artist_id""")
 def c3_one_hot_index(spark, sf_dir):
-    _, enc = CS.one_hot(TB.catalog(_t(spark, sf_dir).part), ["release", "artist_id"])
-    return enc.select("track_id", "release_idx", "artist_id_idx")
+    """Level numbers and the slots of the assembled vector: two levels and one number."""
+    enc, sizes = CS.one_hot(TB.catalog(_t(spark, sf_dir).part), ["release", "artist_id"])
+    out, _ = CS.assemble(enc, ["release", "artist_id"], sizes, ["duration"])
+    return out.select("track_id", "release_idx", "artist_id_idx", F.array_join(F.col("idx").cast("array<string>"), ",").alias("slots"))
 
 
 @register("c4_mean_impute", "WITH " + S.C1 + """,
@@ -810,47 +845,85 @@ def a11_a12_mse_r2(spark, sf_dir):
 
 @register("c7_alpha_search")
 def c7_alpha_search(spark, sf_dir):
-    res, _, _ = CP.fit(spark, _t(spark, sf_dir))
+    res, _, splits = CP.fit(spark, _t(spark, sf_dir))
+    CP.release(splits)
     return CP.alpha_table(spark, res)
 
 
+_N_FEATURES = """SELECT (SELECT count(DISTINCT p_type) FROM part WHERE p_partkey IN (SELECT p_partkey FROM used))
+  + (SELECT count(DISTINCT p_brand) FROM part WHERE p_partkey IN (SELECT p_partkey FROM used)) + 3"""
+_USED = S.PLAYS + """,
+idmap AS (SELECT track_id, dense_rank() OVER (ORDER BY track_id) - 1 AS mapped_id FROM (SELECT DISTINCT track_id FROM plays)),
+used AS (SELECT CAST(track_id AS BIGINT) AS p_partkey FROM idmap JOIN embeddings ON vec_id = mapped_id)"""
+
+
+@register("c7_residuals", _USED + f"""
+SELECT unnest([0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0])::DOUBLE AS alpha, ({_N_FEATURES}) AS n_features, true AS solved""")
+def c7_residuals(spark, sf_dir):
+    """Every alpha's fit solves its equations: max |X'(y - Xw - b) - alpha w| under 1e-6 of max |X'y|."""
+    res, _, splits = CP.fit(spark, _t(spark, sf_dir))
+    gap = CS.gradient_gap(res["train_design"], res["fits"])
+    CP.release(splits)
+    return spark.createDataFrame([(a, res["d"], g < 1e-6) for a, g in gap.items()], "alpha double, n_features long, solved boolean")
+
+
 @register("c8_coefficients")
 def c8_coefficients(spark, sf_dir):
-    res, _, _ = CP.fit(spark, _t(spark, sf_dir), alphas=(0.1,))
+    """The winner of the alpha search, fitted on all rows."""
+    res, _, splits = CP.fit(spark, _t(spark, sf_dir))
+    CP.release(splits)
     return CS.coefficient_table(spark, res["weights"], res["intercept"])
 
 
+@register("c8_residuals", _USED + f"""
+SELECT CAST(o AS INTEGER) AS output, ({_N_FEATURES}) + 1 AS n_weights, true AS solved FROM range(64) t(o)""")
+def c8_residuals(spark, sf_dir):
+    """The published coefficients solve the equations of the winning alpha on all rows, output by output."""
+    res, _, splits = CP.fit(spark, _t(spark, sf_dir))
+    gap = CS.gradient_gap(res["all_design"], {res["best_alpha"]: (res["weights"], res["intercept"])})[res["best_alpha"]]
+    CP.release(splits)
+    table = CS.coefficient_table(spark, res["weights"], res["intercept"])
+    return table.groupBy("output").agg(F.count("*").alias("n_weights"), (F.lit(gap) < 1e-6).alias("solved"))
+
+
 @register("c9_cold_start_recall")
 def c9_cold_start_recall(spark, sf_dir):
     return CP.cold_start_recall(spark, _t(spark, sf_dir), 10)
 
 
+@register("c9_cold_start_eval")
+def c9_cold_start_eval(spark, sf_dir):
+    return CP.cold_start_eval(spark, _t(spark, sf_dir))
+
+
 # ----------------------------------------------------------------- reports
 from cadenza.operators import metrics as ME  # noqa: E402
 from cadenza.operators import report as RP  # noqa: E402
 
 
-@register("s5_s12_a10_timing_stats")
+@register("s5_s12_a10_timing_stats", """WITH g AS (SELECT event_type AS method, CAST(user_id % 5 AS INTEGER) AS k, round(avg(value), 6) AS mean,
+  round(stddev_pop(value), 6) AS std, min(value) AS best, max(value) AS worst, count(value) AS loops FROM events GROUP BY 1, 2)
+SELECT method, k, mean, std, best, worst, loops, round(log10(mean), 4) AS log_mean,
+       CASE WHEN mean - std > 0 THEN round(log10(mean - std), 4) END AS log_lo, round(log10(mean + std), 4) AS log_hi FROM g""")
 def s5_s12_a10_timing_stats(spark, sf_dir):
-    """Time exact search at several k over the factor table, write S12 records, read them (S5), summarise (A10)."""
-    t = _t(spark, sf_dir)
+    """Event values as samples of (type, user group): written as S12 records, read back (S5), summarised (A10)."""
     out = FI.scratch_dir(spark, "timings")
-    for k in (1, 10, 50):
-        RP.time_runs(spark, f"bruteforce_factors_k{k}",
-                     lambda k=k: SE.exact_dot_search(t, k=k).count(),
-                     loops=2, out_dir=out)
-    return RP.timing_stats(FI.read_timings(spark, out + "/*.json"))
+    e = _t(spark, sf_dir).events.select(F.col("event_type").alias("method"), (F.col("user_id") % 5).cast("int").alias("k"), "value")
+    FI.write_timing_groups(e, ["method", "k"], "value", out)
+    r = RP.timing_stats(FI.read_timing_groups(spark, out, "method string, k int"))
+    return r.select("method", "k", *[F.round(c, 6).alias(c) for c in ("mean", "std")],
+                    *[F.round(c, 4).alias(c) for c in ("log_mean", "log_lo", "log_hi")], "best", "worst", "loops")
 
 
-@register("p17_l2_normalize", "WITH " + _SCALED + """
-SELECT id, round_even(sqrt(list_sum(list_transform(features, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm,
-  round_even(CAST(features[1] AS DOUBLE) / sqrt(list_sum(list_transform(features, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS f0
-FROM scaled""")
+@register("p17_l2_normalize", "WITH " + _SCALED + """,
+n AS (SELECT id, features, sqrt(list_inner_product(CAST(features AS DOUBLE[]), CAST(features AS DOUBLE[]))) AS norm FROM scaled)
+SELECT id, round_even(norm, 6) AS norm, """ + ", ".join(
+    f"round_even(CAST(features[{k + 1}] AS DOUBLE) / norm, 6) AS feature_{k}" for k in range(64)) + " FROM n")
 def p17_l2_normalize(spark, sf_dir):
     from cadenza.functions import array_norm
-    f = TB.scaled_factors(_t(spark, sf_dir).embeddings)
+    f = TB.scaled_factors(_t(spark, sf_dir).embeddings).drop("label")
     n = RT.l2_normalize(f.withColumn("norm", array_norm("features")), "features")
-    return n.select("id", F.bround("norm", 6).alias("norm"), F.bround(F.col("features")[0], 6).alias("f0"))
+    return _round_doubles(FE.expand_array(n, "features", 64))
 
 
 _POP_SQL = S.metrics_from_preds(S.INDEXED + """,
@@ -873,14 +946,49 @@ def a7_a8_a9_ranking_metrics(spark, sf_dir):
 
 
 @register("a1_target_sets", S.INDEXED + """
-SELECT user_id_index, count(*) AS n_targets, min(track_id_index) AS first_target
+SELECT user_id_index, string_agg(CAST(track_id_index AS VARCHAR), ',' ORDER BY track_id_index) AS targets
 FROM (SELECT DISTINCT user_id_index, track_id_index FROM val) GROUP BY user_id_index""")
 def a1_target_sets(spark, sf_dir):
-    """A1 in long form: distinct relevant pairs per validation user, summarised per user."""
+    """A1: the set of relevant items of every validation user."""
     _, val, _, _ = R.indexed_splits(_t(spark, sf_dir))
     pairs = ME.target_pairs(val, "user_id_index", "track_id_index")
-    return pairs.groupBy("user_id_index").agg(F.count(F.lit(1)).alias("n_targets"),
-                                              F.min("track_id_index").alias("first_target"))
+    return ME.target_sets(pairs, "user_id_index", "track_id_index").select(
+        "user_id_index", F.array_join(F.transform("targets", lambda x: x.cast("string")), ",").alias("targets"))
+
+
+# Per-user lists end to end: the embedding rows are user factors (id = customer) and, scaled, item factors
+# (id = part); every user with targets gets a list of 500, scored on the three splits of the plays.
+_EVAL_KS = (10, 20, 50, 100, 500)
+_EVAL_PREDS = S.PLAYS + f""",
+{_SCALED},
+parts AS (SELECT CAST(user_id AS INTEGER) AS user_id_index, CAST(track_id AS INTEGER) AS track_id_index,
+  CASE WHEN {S.bucket("user_id || '|' || track_id")} < 2 THEN 'test'
+       WHEN {S.bucket("user_id || '|' || track_id || '#2'")} < 2 THEN 'validation' ELSE 'train' END AS split FROM plays),
+tgt AS (SELECT DISTINCT user_id_index, track_id_index FROM parts WHERE split = '@'),
+pusers AS (SELECT DISTINCT user_id_index FROM tgt WHERE user_id_index IN (SELECT id FROM base)),
+ds AS (SELECT q.id AS user_id_index, i.id AS track_id_index, {_DOT} AS score FROM base q, scaled i
+       WHERE q.id IN (SELECT user_id_index FROM pusers)),
+preds AS (SELECT user_id_index, track_id_index, pos FROM (SELECT *, row_number() OVER (
+  PARTITION BY user_id_index ORDER BY round(score, 10) DESC, track_id_index) - 1 AS pos FROM ds) WHERE pos < 500)"""
+
+
+@register("m6_factor_eval", " UNION ALL ".join(
+    f"SELECT '{s}' AS split, * FROM (" + S.metrics_from_preds(_EVAL_PREDS.replace("@", s), _EVAL_KS) + ")"
+    for s in ("train", "validation", "test")))
+def m6_factor_eval(spark, sf_dir):
+    """M5 + M6: per-user top-500 lists from factors; MAP, P@k, NDCG@k at 10, 20, 50, 100, 500 on three splits."""
+    t = _t(spark, sf_dir)
+    splits = dict(zip(("train", "validation", "test"), I.nested_holdout(plays(t.orders, t.lineitem), I.pair_key()), strict=True))
+    ids = {n: d.select(F.col("user_id").cast("int").alias("user_id_index"), F.col("track_id").cast("int").alias("track_id_index"))
+           for n, d in splits.items()}
+    users = RT.users_with_targets(TB.item_factors(t.embeddings), I.union_all(list(ids.values())).select(
+        F.col("user_id_index").alias("id")), "id")
+    ranked = RT.exact_top_k(users, TB.scaled_factors(t.embeddings), max(_EVAL_KS), metric="dot").select(
+        F.col("qid").cast("int").alias("user_id_index"), "pos", F.col("iid").cast("int").alias("track_id_index"))
+    lists = RT.top_k_lists(reliable_checkpoint(ranked), "user_id_index", "track_id_index", out_col="items")
+    rows = [ME.evaluate_lists(lists, d, "user_id_index", "track_id_index", "items", _EVAL_KS, decimals=6)
+            .select(F.lit(n).alias("split"), "*") for n, d in ids.items()]
+    return I.union_all(rows)
 
 
 @register("m4_grid_search")

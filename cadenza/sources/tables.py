@@ -61,9 +61,18 @@ def catalog(part: DataFrame) -> DataFrame:
     )
 
 
+# Stand-in term texts, chosen by the part key; with the part's type behind two thirds of them.
+TERM_WORDS = (
+    "pop rock", "hip hop", "classic rock", "pop", "country", "soul", "jazz", "blues", "electro", "heavy metal", "folk",
+    "raggae", "trip hop", "rap", "reggae", "disco", "house", "dance", "ccm", "ambient", "new wave", "spoken word",
+)
+
+
 def artist_term(part: DataFrame) -> DataFrame:
-    """``artist_term(artist_id, term)``: distinct brand/type pairs."""
-    return part.select(F.col("p_brand").alias("artist_id"), F.col("p_type").alias("term")).distinct()
+    """``artist_term(artist_id, term, pos)``: one row per tag, repeats kept; ``pos`` is the input order."""
+    word = F.element_at(F.array(*map(F.lit, TERM_WORDS)), (F.col("p_partkey") % len(TERM_WORDS) + 1).cast("int"))
+    term = F.when(F.col("p_partkey") % 3 == 0, word).otherwise(F.concat_ws(" ", word, F.lower("p_type")))
+    return part.select(F.col("p_brand").alias("artist_id"), term.alias("term"), F.col("p_partkey").alias("pos"))
 
 
 def artist_location(nation: DataFrame, region: DataFrame) -> DataFrame:

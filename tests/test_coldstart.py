@@ -4,27 +4,51 @@ from pyspark.sql import functions as F
 
 from cadenza.operators import coldstart as CS
 
+ALPHAS = (0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)
+
+
+def _frame(spark, x, y, parts=5):
+    rows = [(i, [int(j) for j in np.flatnonzero(a)], [float(a[j]) for j in np.flatnonzero(a)], [float(v) for v in b])
+            for i, (a, b) in enumerate(zip(x, y, strict=True))]
+    return spark.createDataFrame(rows, "id int, idx array<int>, val array<double>, y array<double>").repartition(parts)
+
+
+def _dense(x, y, alpha):
+    xc, yc = x - x.mean(0), y - y.mean(0)
+    w = np.linalg.lstsq(np.vstack([xc, np.sqrt(alpha) * np.eye(x.shape[1])]),
+                        np.vstack([yc, np.zeros((x.shape[1], y.shape[1]))]), rcond=None)[0]
+    return w, y.mean(0) - x.mean(0) @ w
+
+
+def _one_hot_data(rng, n, levels, r):
+    x = np.zeros((n, sum(levels) + 1))
+    base = 0
+    for k in levels:
+        x[np.arange(n), base + rng.integers(0, k, n)] = 1
+        base += k
+    x[:, -1] = rng.normal(9e4, 3e3, n)  # large and far from its spread
+    return x, x @ rng.standard_normal((x.shape[1], r)) * 1e-3 + rng.standard_normal((n, r)) + 50
+
 
 def test_ridge_matches_normal_equations(spark):
     rng = np.random.default_rng(0)
-    x = rng.standard_normal((200, 5))
-    y = x @ rng.standard_normal((5, 3)) + 0.5 + 0.1 * rng.standard_normal((200, 3))
-    df = spark.createDataFrame([([float(v) for v in a], [float(v) for v in b]) for a, b in zip(x, y)],
-                               "x array<double>, y array<double>").repartition(5)
-    stats = CS.sufficient_stats(df, "x", "y", 5, 3, fan_in=2)
-    w, b = CS.ridge_from_stats(stats, [7.0])[7.0]
-    xc, yc = x - x.mean(0), y - y.mean(0)
-    want = np.linalg.solve(xc.T @ xc + 7 * np.eye(5), xc.T @ yc)
-    assert np.allclose(w, want, atol=1e-6)
-    assert np.allclose(b, y.mean(0) - x.mean(0) @ want, atol=1e-6)
-    pred = CS.predict(df, "x", w, b)
+    x, y = _one_hot_data(rng, 300, (6, 9), 3)
+    df = _frame(spark, x, y)
+    design = CS.Design(df, x.shape[1], 3)
+    fits = CS.ridge(design, ALPHAS)
+    for a in ALPHAS:
+        w, b = _dense(x, y, a)
+        assert np.allclose(x @ fits[a][0] + fits[a][1], x @ w + b, atol=1e-6)
+        if a:
+            assert np.allclose(fits[a][0], w, atol=1e-6) and np.allclose(fits[a][1], b, atol=1e-3)
+    assert max(CS.gradient_gap(design, fits).values()) < 1e-8
+    pred = CS.predict(df, *fits[1.0])
     m = CS.mse_r2(pred, "y", "pred").first()
-    p = x @ w + b
+    p = x @ fits[1.0][0] + fits[1.0][1]
     assert m.mse == pytest.approx(((y - p) ** 2).mean())
-    r2 = np.mean(1 - ((y - p) ** 2).sum(0) / ((y - y.mean(0)) ** 2).sum(0))
-    assert m.r2 == pytest.approx(r2)
-    analytic = CS.score_from_stats(stats, w, b)
-    assert analytic["mse"] == pytest.approx(m.mse, rel=1e-9) and analytic["r2"] == pytest.approx(m.r2, rel=1e-9)
+    assert m.r2 == pytest.approx(np.mean(1 - ((y - p) ** 2).sum(0) / ((y - y.mean(0)) ** 2).sum(0)))
+    s = CS.scores(df, 3, fits)[1.0]
+    assert s["mse"] == pytest.approx(m.mse, rel=1e-9) and s["r2"] == pytest.approx(m.r2, rel=1e-9)
 
 
 def test_impute_fixture(spark):
@@ -33,39 +57,30 @@ def test_impute_fixture(spark):
     assert got == [3.0, 2.0, 4.0, 3.0, 3.0]
 
 
-def test_one_hot_keeps_all_levels(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
-    _, out = CS.one_hot(df, ["c"])
-    sizes = {r.c_vec.size for r in out.collect()}
-    assert sizes == {3}  # two levels plus the slot kept for unseen values
-    assert out.where(F.col("c") == "a").first().c_idx == 0.0
+def test_one_hot_has_one_slot_per_level(spark):
+    df = spark.createDataFrame([("a", 1.5), ("b", 2.0), ("a", 3.0)], "c string, v double")
+    out, sizes = CS.one_hot(df, ["c"])
+    assert sizes == [2]
+    rows, d = CS.assemble(out, ["c"], sizes, ["v"])
+    assert d == 3 and sorted((r.c, list(r.idx), list(r.val)) for r in rows.collect()) == [
+        ("a", [0, 2], [1.0, 1.5]), ("a", [0, 2], [1.0, 3.0]), ("b", [1, 2], [1.0, 2.0])]
+    with pytest.raises(Exception, match="no level"):
+        CS.one_hot(df.unionByName(spark.createDataFrame([(None, 1.0)], "c string, v double")), ["c"])[0].collect()
 
 
-def test_wide_fallback_matches_normal_equations(spark):
-    rng = np.random.default_rng(1)
-    x = rng.standard_normal((300, 4))
-    y = x @ rng.standard_normal((4, 2)) + 1.0 + 0.05 * rng.standard_normal((300, 2))
-    from pyspark.ml.functions import array_to_vector
-    df = spark.createDataFrame([([float(v) for v in a], [float(v) for v in b]) for a, b in zip(x, y)],
-                               "xa array<double>, y array<double>").select(array_to_vector("xa").alias("xv"), "y")
-    models = CS.linear_regression_per_output(df, "xv", "y", 2, 7.0)
-    xc, yc = x - x.mean(0), y - y.mean(0)
-    want = np.linalg.solve(xc.T @ xc + 7 * np.eye(4), xc.T @ yc)
-    got = np.column_stack([m.coefficients.toArray() for m in models])
-    assert np.allclose(got, want, atol=1e-4)
+def test_alpha_table_is_the_same_at_any_width(spark):
+    """4,200 unused levels between the used ones change no fit: all eight alphas, same scores."""
+    rng = np.random.default_rng(2)
+    x, y = _one_hot_data(rng, 240, (5, 7), 2)
+    used = np.sort(rng.choice(4200, x.shape[1], replace=False))
+    narrow = _frame(spark, x, y, 3)
+    wide = narrow.withColumn("idx", F.transform("idx", lambda i: F.element_at(F.array(*[F.lit(int(u)) for u in used]), i + 1)))
 
+    def search(df, d):
+        b = F.col("id") % 5
+        r = CS.alpha_search(df.where(b < 3).cache(), df.where(b == 3), df.where(b == 4), d, 2, ALPHAS)
+        return r["best_alpha"], [s["alpha"] for s in r["scores"]], [s["val_mse"] for s in r["scores"]], r["test_mse"]
 
-def test_alpha_search_solvers_agree(spark):
-    """The normal-equation search and the per-output L-BFGS search pick the same alpha and scores."""
-    from pyspark.ml.functions import array_to_vector
-    rng = np.random.default_rng(2)
-    x = rng.standard_normal((240, 3))
-    y = x @ rng.standard_normal((3, 2)) + 0.3 * rng.standard_normal((240, 2))
-    df = spark.createDataFrame([(i, [float(v) for v in a], [float(v) for v in b]) for i, (a, b) in enumerate(zip(x, y))],
-                               "id long, x array<double>, y array<double>").withColumn("xv", array_to_vector("x"))
-    tr, va, te = df.where(F.col("id") % 5 < 3), df.where(F.col("id") % 5 == 3), df.where(F.col("id") % 5 == 4)
-    alphas = (0.1, 100.0)
-    a = CS.alpha_search(tr.drop("xv"), va.drop("xv"), te.drop("xv"), "x", "y", 3, 2, alphas)
-    b = CS.alpha_search_wide(tr.drop("x"), va.drop("x"), te.drop("x"), "xv", "y", 2, alphas)
-    assert a["best_alpha"] == b["best_alpha"]
-    assert a["test_mse"] == pytest.approx(b["test_mse"], rel=1e-3)
+    a, b = search(narrow, x.shape[1]), search(wide, 4200)
+    assert a[:2] == b[:2] and a[1] == list(ALPHAS)
+    assert np.allclose(a[2], b[2], rtol=1e-6) and a[3] == pytest.approx(b[3], rel=1e-6)

@@ -12,7 +12,7 @@ def test_summaries(spark):
     arr = np.array([v for v in vals if v is not None])
     assert (r["count"], r["min"], r["max"]) == (5, 1.0, 10.0)
     assert r["mean"] == pytest.approx(arr.mean()) and r["std"] == pytest.approx(arr.std(ddof=1))
-    assert list(r["quartiles"]) == [2.0, 2.0, 3.0]
+    assert (r.q25, r.q50, r.q75) == tuple(np.quantile(arr, [0.25, 0.5, 0.75]))
     t = FE.describe_text(df, "t").first()
     assert (t["count"], t["unique"], t["top"], t["freq"]) == (5, 3, "b", 3)
     nan_df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
@@ -23,9 +23,10 @@ def test_summaries(spark):
 
 
 def test_list_per_key_and_dedup_and_expand(spark):
-    df = spark.createDataFrame([("a1", "rock"), ("a1", "jazz"), ("a1", "rock"), ("a2", "pop")], "artist_id string, term string")
-    got = {r.artist_id: list(r.term) for r in FE.list_per_key(df, "artist_id", "term").collect()}
-    assert got == {"a1": ["jazz", "rock"], "a2": ["pop"]}
+    df = spark.createDataFrame([("a1", "rock", 2), ("a1", "jazz", 5), ("a1", "rock", 9), ("a2", "pop", 1)],
+                               "artist_id string, term string, pos int").repartition(3)
+    got = {r.artist_id: list(r.term) for r in FE.list_per_key(df, "artist_id", "term", "pos").collect()}
+    assert got == {"a1": ["rock", "jazz", "rock"], "a2": ["pop"]}  # input order, repeats kept
     rows = spark.createDataFrame([(3, "x", 1.0), (1, "x", 1.0), (2, "y", 1.0)], "id int, a string, b double")
     assert sorted(map(tuple, FE.dedup_rows(rows, "id").collect())) == [(1, "x", 1.0), (2, "y", 1.0)]
     e = spark.createDataFrame([(1, [0.5, 1.5])], "id int, f array<double>")
@@ -38,7 +39,7 @@ def test_list_per_key_and_dedup_and_expand(spark):
 
 def test_catalogue_full_outer_keeps_both_sides(spark):
     tracks = spark.createDataFrame([("t1", "a1"), ("t2", "a3")], "track_id string, artist_id string")
-    terms = spark.createDataFrame([("a1", "rock"), ("a2", "pop")], "artist_id string, term string")
+    terms = spark.createDataFrame([("a1", "rock", 0), ("a2", "pop", 1)], "artist_id string, term string, pos int")
     loc = spark.createDataFrame([("a1", 1.0, 2.0, "n1", "L1"), ("a3", 3.0, 4.0, "n3", "L3")],
                                 "artist_id string, latitude double, longitude double, artist_name string, location string")
     out = {r.track_id: (None if r.term is None else list(r.term), r.location)

@@ -36,7 +36,7 @@ def test_feature_and_search_jobs(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "c1"), header=True).count() == Tables(spark, SF).part.count()
     f = item_factors(Tables(spark, SF).embeddings).select("id", "features")
     res = J.search_job(spark, f.limit(60), f, [5], str(tmp_path / "timings"), loops=1,
-                       forest_kw=dict(n_trees=8, depth=12, max_leaf=16), ivf_kw=dict(n_cells=4, n_probe=2))
+                       forest_kw=dict(n_trees=8, bucket=16), ivf_kw=dict(n_cells=4, n_probe=2))
     rows = {r.method: r for r in res.collect()}
     assert set(rows) == {"bruteforce", "forest", "ivfpq"}
     assert rows["bruteforce"].recall_at_5 == 1.0
