@@ -45,17 +45,20 @@ def resolve_release_year(songs: DataFrame, artist: DataFrame, track: DataFrame,
     title, through albumjoin -> album -> release. Step 2 (only when step 1 finds
     nothing): albums of the artist with the same lower-cased name as the
     song's release. Sentinel dates are ignored; the minimum date string wins.
-    The per-song lookups of the source become four equi-joins over all songs.
+    The per-song lookups of the source become four equi-joins over all songs. Songs without a gid (NULL or '',
+    often a large share) never enter the gid join, and the matched artists are stored once for both steps.
     """
     s = songs.select("song_id", "artist_gid", "artist_name", "title", "release")
-    by_gid = (s.join(artist.select(F.col("gid").alias("artist_gid"), F.col("id").alias("artist_ref")),
+    has_gid = F.coalesce(F.col("artist_gid"), F.lit("")) != ""
+    by_gid = (s.where(has_gid).join(artist.select(F.col("gid").alias("artist_gid"), F.col("id").alias("artist_ref")),
                      "artist_gid", "left"))
     known = by_gid.where(F.col("artist_ref").isNotNull())
-    unknown = by_gid.where(F.col("artist_ref").isNull()).drop("artist_ref")
+    unknown = by_gid.where(F.col("artist_ref").isNull()).drop("artist_ref").unionByName(s.where(~has_gid))
     by_name = unknown.join(artist.select(F.lower("name").alias("_an"), F.col("id").alias("artist_ref")),
                            F.lower(unknown.artist_name) == F.col("_an"), "inner").drop("_an")
     song_artist = known.unionByName(by_name).select(
-        "song_id", "artist_ref", F.lower("title").alias("_title"), F.lower("release").alias("_release"))
+        "song_id", "artist_ref", F.lower("title").alias("_title"), F.lower("release").alias("_release")).transform(
+        reliable_checkpoint)
 
     dated = release.where(F.col("releasedate") != F.lit(NO_DATE)).select(
         F.col("album").alias("_album"), "releasedate")
@@ -64,9 +67,9 @@ def resolve_release_year(songs: DataFrame, artist: DataFrame, track: DataFrame,
              .join(albumjoin.select(F.col("track").alias("_track"), F.col("album").alias("_album")), "_track")
              .join(album.select(F.col("id").alias("_album")), "_album")
              .join(dated, "_album")
-             .groupBy("song_id").agg(F.min("releasedate").alias("d1")))
+             .groupBy("song_id").agg(F.min("releasedate").alias("d1"))).transform(reliable_checkpoint)
     al = album.select(F.col("id").alias("_album"), F.lower("name").alias("_release"), F.col("artist").alias("artist_ref"))
-    step2 = (song_artist.join(al, ["artist_ref", "_release"])
+    step2 = (song_artist.join(step1, "song_id", "left_anti").join(al, ["artist_ref", "_release"])
              .join(dated, "_album")
              .groupBy("song_id").agg(F.min("releasedate").alias("d2")))
     return (s.select("song_id")
@@ -243,21 +246,25 @@ def health_check(df: DataFrame, rules: dict, expected_rows: int | None = None):
 
 
 # ---------------------------------------------------------------------------- T5
-def multi_key_top_k(df: DataFrame, id_col: str, attrs, n: int = 100) -> DataFrame:
+def multi_key_top_k(df: DataFrame, id_col: str, attrs, n: int = 100, slices: int = 64) -> DataFrame:
     """T5: the ``n`` best rows for every attribute, ascending and descending; union, dedup.
 
-    One scan: the attributes are unpivoted with ``stack`` and a
-    ``row_number() <= n`` per (attribute, direction) is planned as a window
-    group limit, so each map task forwards at most n rows per attribute.
-    NULL attribute values are not ranked.
+    One scan: the attributes are unpivoted with ``stack``; a first ``row_number() <= n`` per
+    (attribute, slice of the ids) leaves at most n rows per slice, so that the second, per attribute, meets
+    slices x n rows whatever the table's size. NULL attribute values are not ranked.
     """
     stack = "stack({}, {})".format(len(attrs), ", ".join(f"'{a}', cast(`{a}` as double)" for a in attrs))
     long = df.select(id_col, F.expr(stack).alias("attr", "value")).where(F.col("value").isNotNull())
-    asc = Window.partitionBy("attr").orderBy(F.col("value").asc(), F.col(id_col))
-    desc = Window.partitionBy("attr").orderBy(F.col("value").desc(), F.col(id_col))
-    lo = long.withColumn("_rn", F.row_number().over(asc)).where(F.col("_rn") <= n)
-    hi = long.withColumn("_rn", F.row_number().over(desc)).where(F.col("_rn") <= n)
-    return lo.select(id_col).union(hi.select(id_col)).distinct()
+    long = long.withColumn("_slice", F.pmod(F.xxhash64(id_col), F.lit(slices)))
+
+    def best(value):
+        out = long
+        for keys in (("attr", "_slice"), ("attr",)):
+            w = Window.partitionBy(*keys).orderBy(value, F.col(id_col))
+            out = out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+        return out.select(id_col)
+
+    return best(F.col("value").asc()).union(best(F.col("value").desc())).distinct()
 
 
 # ----------------------------------------------------------------------------- G1

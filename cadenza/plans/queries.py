@@ -116,7 +116,16 @@ def n4_batched_lists(spark, sf_dir):
 
 @register("m6_als_eval")
 def m6_als_eval(spark, sf_dir):
-    return R.als_eval(spark, sf_dir)
+    """One configuration of the published second grid, lists of 500, all its list lengths."""
+    return R.als_eval(spark, sf_dir, rank=10, max_iter=10, k=R.LIST_LENGTH, ks=R.SECOND_KS)
+
+
+@register("m6_als_users", S.INDEXED + """
+SELECT count(*) FILTER (user_id_index IN (SELECT user_id_index FROM train)) AS n_users,
+       count(*) FILTER (user_id_index NOT IN (SELECT user_id_index FROM train)) AS dropped_users, CAST(10 AS BIGINT) AS rank
+FROM (SELECT DISTINCT user_id_index FROM val)""")
+def m6_als_users(spark, sf_dir):
+    return R.als_users(spark, sf_dir, rank=10, max_iter=10)
 
 
 # --------------------------------------------------------------- features
@@ -938,11 +947,7 @@ preds AS (SELECT u.user_id_index, p.pos, p.track_id_index FROM pusers u CROSS JO
 @register("a7_a8_a9_ranking_metrics", _POP_SQL)
 def a7_a8_a9_ranking_metrics(spark, sf_dir):
     """MAP, P@k, NDCG@k for k = 1, 3, 10, 20 on a 20-item popularity list shared by all users."""
-    train, val, _, _ = R.indexed_splits(_t(spark, sf_dir))
-    ranked = popularity_ranking(train, "track_id_index", "count", 20)
-    users = train.select("user_id_index").distinct()
-    return ME.evaluate_global_list(ranked, users, val, "user_id_index", "track_id_index", ks=(1, 3, 10, 20),
-                                   decimals=6)
+    return R.popularity_eval(_t(spark, sf_dir), k=20, ks=(1, 3, 10, 20))
 
 
 @register("a1_target_sets", S.INDEXED + """
@@ -993,16 +998,11 @@ def m6_factor_eval(spark, sf_dir):
 
 @register("m4_grid_search")
 def m4_grid_search(spark, sf_dir):
-    """M4: raw and log-scaled counts x alpha {1, 40} x rank {4, 8}, one metrics row per configuration."""
+    """M4: the published second grid (12 fits: rank 10, 20, 40 x four regularisers), lists of 500; one row per fit."""
     from cadenza.operators.factor import grid_search, param_grid
     t = _t(spark, sf_dir)
-    grid = param_grid(ranks=(4, 8), reg_params=(0.1,), alphas=(1.0, 40.0), max_iters=(5,))
-    out = None
-    for label, log_scale in (("raw", False), ("logcount", True)):
-        train, val, _, _ = R.indexed_splits(t, log_scale=log_scale)
-        g = grid_search(spark, train, val, grid, k=50, ks=(10, 50), seed=7, label=label)
-        out = g if out is None else out.unionByName(g)
-    return out
+    train, val, _, _ = R.indexed_splits(t)
+    return grid_search(spark, train, val, param_grid(**R.SECOND_GRID), k=R.LIST_LENGTH, ks=R.SECOND_KS, seed=7, label="raw")
 
 
 # ------------------------------------------------------------ song records

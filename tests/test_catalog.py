@@ -103,3 +103,27 @@ def test_pack_unpack_identity(spark, songs):
     packed, children = CA.pack_arrays(src, "file", "o", "arr")
     back = CA.ragged_slices(packed, children, bucket=3).select("o", "values")
     assert {r.o: list(r["values"]) for r in back.collect()} == {i: list(a) for _, i, a in rows}
+
+
+def test_release_year_with_a_third_of_songs_without_gid(spark):
+    """Empty and NULL gids never meet the artist table's gids; they match by name."""
+    songs = [(i, "" if i % 3 == 0 else None if i % 3 == 1 else "g7", "Ann" if i % 3 < 2 else "other", "Song", "Album") for i in range(600)]
+    s = spark.createDataFrame(songs, "song_id long, artist_gid string, artist_name string, title string, release string")
+    artist = spark.createDataFrame([(1, "", "nobody"), (2, "g2", "ANN"), (7, "g7", "Bob")], "id long, gid string, name string")
+    track = spark.createDataFrame([(10, "song", 2), (11, "SONG", 1)], "id long, name string, artist long")
+    joins = spark.createDataFrame([(10, 100), (11, 101)], "track long, album long")
+    album = spark.createDataFrame([(100, "x", 2), (101, "x", 1), (102, "ALBUM", 7)], "id long, name string, artist long")
+    release = spark.createDataFrame([(100, "1999-05-01"), (100, "0000-00-00"), (101, "1900-01-01"), (102, "2005-00-00")], "album long, releasedate string")
+    got = dict(map(tuple, CA.resolve_release_year(s, artist, track, joins, album, release).collect()))
+    assert got == {i: 1999 if i % 3 < 2 else 2005 for i in range(600)}
+
+
+def test_multi_key_top_k_of_one_slice_equals_many(spark):
+    df = spark.createDataFrame([(i, float(i * 37 % 101), None if i % 4 else float(i)) for i in range(500)], "id long, a double, b double")
+    one, many = ({r.id for r in CA.multi_key_top_k(df, "id", ["a", "b"], 20, slices=s).collect()} for s in (1, 16))
+    rows = df.collect()
+    want = set()
+    for c in ("a", "b"):
+        have = [r for r in rows if r[c] is not None]
+        want |= {r.id for r in sorted(have, key=lambda r: (r[c], r.id))[:20]} | {r.id for r in sorted(have, key=lambda r: (-r[c], r.id))[:20]}
+    assert one == many == want
