@@ -441,7 +441,8 @@ def dedup_report(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     partly = cands.join(per_text, list(KEY)).select(*KEY, cut("text", "spans").alias("r"))
     counts = rows.groupBy(*KEY).agg(F.count("*").alias("copies"))
-    known = counts.join(partly, list(KEY), "left").where("copies > 1 or r is not null")
+    # Stored, so that the join below is between two shuffled sides and a text of very many rows is split.
+    known = materialise(counts.join(partly, list(KEY), "left").where("copies > 1 or r is not null"), "known")
     out = rows.join(known, list(KEY), "left")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= span)
     empty = hashlib.sha256(b"").hexdigest()
