@@ -630,6 +630,16 @@ def s3_j11_name_pair_lookup(spark, sf_dir):
     return CA.lookup_name_pairs(pairs, songs)
 
 
+@register("s3_location_file", "WITH " + S.ARTIST_LOCATION + """
+SELECT artist_id, latitude, longitude, artist_name, location FROM artist_location""")
+def s3_location_file(spark, sf_dir):
+    """The five-column location file, written and read back."""
+    t = _t(spark, sf_dir)
+    path = FI.scratch_dir(spark, "locations")
+    FI.write_delimited(TB.artist_location(t.nation, t.region).select(*FI.ARTIST_LOCATION_SCHEMA.names), path)
+    return FI.read_delimited(spark, path, FI.ARTIST_LOCATION_SCHEMA)
+
+
 @register("s7_array_text_roundtrip", "SELECT CAST(vec_id AS INTEGER) AS id, " + ", ".join(
     f"CAST(embedding[{k + 1}] AS DOUBLE) AS feature_{k}" for k in range(64)) + " FROM embeddings")
 def s7_array_text_roundtrip(spark, sf_dir):
@@ -1019,9 +1029,11 @@ def _songs(t):
 
 
 @register("p14_song_fields", _SONGS_SQL + """
-SELECT track_id, loudness, song_hotttnesss, tempo FROM st""")
+SELECT track_id, song_id, artist_id, artist_name, title, "release", duration, loudness, tempo, song_hotttnesss FROM st""")
 def p14_song_fields(spark, sf_dir):
-    return CA.song_fields(_songs(_t(spark, sf_dir)), ["track_id", "loudness", "song_hotttnesss", "tempo"])
+    """Every scalar field of the song record."""
+    return CA.song_fields(_songs(_t(spark, sf_dir)), ["track_id", "song_id", "artist_id", "artist_name", "title", "release",
+                                                      "duration", "loudness", "tempo", "song_hotttnesss"])
 
 
 @register("a17_summary_pack", _SONGS_SQL + """
@@ -1032,6 +1044,21 @@ def a17_summary_pack(spark, sf_dir):
     return CA.pack_songs([s.where(F.col("duration") < 25), s.where(F.col("duration") >= 25)], keep_arrays=False)
 
 
+@register("a17_aggregate_pack", _SONGS_SQL + """,
+li AS (SELECT l_partkey, string_agg(CAST(l_quantity AS VARCHAR), ',' ORDER BY l_orderkey, l_linenumber, l_quantity) AS segments FROM lineitem GROUP BY 1)
+SELECT st.*, coalesce(li.segments, '') AS segments FROM st LEFT JOIN li ON st.song_id = li.l_partkey""")
+def a17_aggregate_pack(spark, sf_dir):
+    """The same two files with their arrays kept (the lines' quantities in order as segments)."""
+    t = _t(spark, sf_dir)
+    seg = (t.lineitem.groupBy(F.col("l_partkey").alias("song_id"))
+           .agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_quantity"))).alias("_s"))
+           .select("song_id", F.col("_s.l_quantity").alias("segments")))
+    drop = [c for c, tp in _songs(t).dtypes if tp.startswith("array")]
+    s = _songs(t).drop(*drop).join(seg, "song_id", "left")
+    packed = CA.pack_songs([s.where(F.col("duration") < 25), s.where(F.col("duration") >= 25)], keep_arrays=True)
+    return packed.withColumn("segments", F.coalesce(F.array_join(F.transform("segments", lambda x: x.cast("string")), ","), F.lit("")))
+
+
 @register("t6_top_terms", """SELECT term, n_uses, CAST(row_number() OVER (ORDER BY n_uses DESC, term) - 1 AS INTEGER) AS pos
 FROM (SELECT lower(p_name) AS term, count(*) AS n_uses FROM part GROUP BY 1)
 QUALIFY row_number() OVER (ORDER BY n_uses DESC, term) <= 20""")
