@@ -15,7 +15,10 @@ follow from the prefix lengths and a running hash of the left context.
 
 Hot content. Equal texts are one text with a count (all of it is removed when it has ``span`` bytes).
 Equal neighbourhoods in a task's run are decided there, and one of them travels on. Suffixes that share
-64 bytes must meet in one range; of these only distinct neighbourhoods, one per task, arrive.
+their gram meet in one range. A gram of more than ``HOT`` anchors (a line that many texts share, say) is
+entered at several places before its anchor, each for ``SUB`` windows: those share all but ``SUB`` - 1 of the
+``span`` bytes, so such suffixes are dealt to ranges by that much longer prefix, and a short common passage
+in many different surroundings no longer gathers in one range.
 
 Texts are UTF-8 bytes; null is empty. Texts under ``span`` bytes lose nothing. Every row gives one row,
 repeated rows, null and repeated ids included; extra columns are ignored.
@@ -39,6 +42,8 @@ CHUNK = 1 << 19
 RUN_BYTES = 24 << 20
 RANGE_RECORDS = 20_000
 SAMPLE = 20_000
+HOT = 2_000
+SUB = 32
 KEY = ("k1", "k2")
 
 
@@ -266,30 +271,47 @@ RUN = ("target int, shared binary, sizes binary, lefts binary, bytes binary, own
        "spans binary")
 
 
-def sorted_runs(cands: DataFrame, splitters: list[bytes], span: int) -> DataFrame:
-    """Front-coded pieces of locally sorted runs, and spans that are decided already (dealt evenly)."""
-    n_ranges = len(splitters) + 1
-    shared = cands.sparkSession.sparkContext.broadcast(splitters)  # SAMPLE x GRAM bytes at most
+def entries(place: int) -> Iterator[tuple[int, bool]]:
+    """(place, hot) of each suffix to sort for an anchor. A negative number marks a frequent gram: its windows are
+    cut at multiples of SUB bytes before the anchor, and each part is a place of its own."""
+    if place >= 0:
+        yield place, False
+        return
+    place = -1 - place
+    a, back, ahead = place >> 20, (place >> 10) & 1023, place & 1023
+    for j in range(ahead // SUB, back // SUB + 1):
+        o = SUB * j
+        yield ((a - o) << 20) | ((min(back, o + SUB - 1) - o) << 10) | (max(ahead, o) - o), True
+
+
+def shared_prefix(hot: bool, span: int) -> int:
+    """Bytes that any two suffixes with an equal window share."""
+    return span - SUB + 1 if hot else GRAM
+
+
+def sorted_runs(cands: DataFrame, splitters: tuple[list[bytes], list[bytes]], span: int) -> DataFrame:
+    """Front-coded pieces of locally sorted runs, and spans that are decided already (dealt evenly). Ranges of
+    frequent grams have negative numbers."""
+    n_ranges = len(splitters[0]) + 1
+    shared = cands.sparkSession.sparkContext.broadcast(splitters)  # SAMPLE prefixes at most
 
     def emit(records: list[tuple], turn: int) -> Iterator[dict]:
         from bisect import bisect_right
 
-        records.sort(key=lambda r: r[:2])
-        run, done = [], []
+        records.sort(key=lambda r: (r[5], r[0], r[1]))
+        done = []
+        cuts: dict[int, list] = {}
         i = 0
         while i < len(records):
+            r = records[i]
             j = i + 1
-            while j < len(records) and records[j][0] == records[i][0] and records[j][1] == records[i][1]:
+            while j < len(records) and records[j][0] == r[0] and records[j][1] == r[1] and records[j][5] == r[5]:
                 j += 1
             if j > i + 1:
-                done += [r[2:5] for r in records[i:j]]
-                run.append((*records[i][:5], 1))
-            else:
-                run.append((*records[i], 0))
+                done += [x[2:5] for x in records[i:j]]
+            k = bisect_right(shared.value[r[5]], r[0][:shared_prefix(r[5], span)])
+            cuts.setdefault(-1 - k if r[5] else k, []).append((*r[:5], int(j > i + 1)))
             i = j
-        cuts: dict[int, list] = {}
-        for r in run:
-            cuts.setdefault(bisect_right(shared.value, r[0][:GRAM]), []).append(r)
         for target, piece in cuts.items():
             yield {"target": target, **front_code(piece), "spans": None}
         if done:
@@ -305,10 +327,9 @@ def sorted_runs(cands: DataFrame, splitters: list[bytes], span: int) -> DataFram
             for k1, k2, text, places in zip(pdf["k1"], pdf["k2"], pdf["text"], pdf["places"], strict=True):
                 b = text.encode("utf-8", "surrogatepass")
                 turn = int(k1) & 0x7FFFFFFF
-                for p in places:
-                    p = int(p)
+                for p, hot in (e for x in places for e in entries(int(x))):
                     a, back, ahead = p >> 20, (p >> 10) & 1023, p & 1023
-                    records.append((b[a:a + span - ahead], b[a - back:a], k1, k2, p))
+                    records.append((b[a:a + span - ahead], b[a - back:a], k1, k2, p, hot))
                     size += span - ahead + back + 100
                     if size >= RUN_BYTES:
                         for row in emit(records, turn):
@@ -334,8 +355,8 @@ def merged_spans(runs: DataFrame, span: int) -> DataFrame:
             twice = np.array([rows[w][4][i] for w, i in order], np.uint8)
             lefts = [rows[w][2][i] for w, i in order]
             lcp = np.array(lcps)
-            # Suffixes that share a gram, in blocks of whole groups.
-            heads = np.flatnonzero(lcp < GRAM)
+            # Suffixes that may have equal windows, in blocks of whole groups.
+            heads = np.flatnonzero(lcp < shared_prefix(pdf["target"].iloc[0] < 0, span))
             cuts, at = [0], 0
             for g in heads.tolist():
                 if g - at >= 4096:
@@ -371,26 +392,32 @@ def _cut(text: str, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
     return b"".join(keep), [tuple(r) for r in runs]
 
 
-def _splitters(cands: DataFrame, n: int, records: int) -> list[bytes]:
-    """At most SAMPLE first grams (by hash), cut into ``n`` equal parts; they shape the ranges only."""
-    if n <= 1:
-        return []
-    every = max(1, -(-records // (SAMPLE // 2)))
+def _splitters(cands: DataFrame, parts: int, span: int) -> tuple[list[bytes], list[bytes]]:
+    """Cuts of the ranges for plain and for frequent grams, from at most SAMPLE prefixes picked by a hash; they
+    shape the ranges only. About RANGE_RECORDS suffixes a range, and ``parts`` ranges or more where that pays."""
+    counts = cands.select(F.explode("places").alias("p")).agg(
+        F.count_if(F.col("p") >= 0), F.sum(F.when(F.col("p") < 0, F.ceil(F.shiftright(F.col("p") * -1 - 1, 10).bitwiseAND(1023) / SUB)))).first()
+    records = [int(c or 0) for c in counts]
+    every = max(1, -(-sum(records) // (SAMPLE // 2)))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = []
             for k1, text, places in zip(pdf["k1"], pdf["text"], pdf["places"], strict=True):
                 b = None
-                for p in places:
-                    if (int(k1) ^ int(p) * 0x9E3779B1) % 1_000_003 % every == 0:
+                for p, hot in (e for x in places for e in entries(int(x))):
+                    if (int(k1) ^ p * 0x9E3779B1) % 1_000_003 % every == 0:
                         b = b or text.encode("utf-8", "surrogatepass")
-                        got.append(b[int(p) >> 20:][:GRAM])
-            yield pd.DataFrame({"gram": got})
+                        got.append((hot, b[p >> 20:][:shared_prefix(hot, span)]))
+            yield pd.DataFrame(got, columns=["hot", "prefix"])
 
-    grams = sorted(bytes(r[0]) for r in cands.select("k1", "text", "places").mapInPandas(pick, "gram binary").limit(SAMPLE).collect())
-    cuts = [grams[i * len(grams) // n] for i in range(1, n)] if grams else []
-    return sorted(set(cuts))
+    some = cands.select("k1", "text", "places").mapInPandas(frees(pick), "hot boolean, prefix binary").limit(SAMPLE).collect()
+    out = []
+    for hot in (False, True):
+        prefixes = sorted(bytes(r[1]) for r in some if r[0] == hot)
+        n = max(1, -(-records[hot] // RANGE_RECORDS), parts if records[hot] > 2000 else 1)
+        out.append(sorted({prefixes[i * len(prefixes) // n] for i in range(1, n)}) if prefixes else [])
+    return out[0], out[1]
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -410,19 +437,16 @@ def find_spans(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame,
     long = keyed.where(F.col("n_bytes") >= span).select(*KEY, "text")
     table = materialise(anchor_table(long, span), "anchors")
     # Copies of a text give copies of its anchors: count places in texts, not rows.
-    again = materialise(table.groupBy("h").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("place").alias("c"),
-                                    F.max("place").alias("d"))
-             .where("a != b or c != d").select("h"), "recurring")
+    again = materialise(table.groupBy("h").agg(
+        F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("place").alias("c"), F.max("place").alias("d"),
+        F.count("*").alias("n")).where("a != b or c != d").select("h", (F.col("n") > HOT).alias("hot")), "recurring")
     # Stored, so that both sides of the join are shuffled for it and a frequent hash is split at run time.
-    places = (table.join(again, "h", "left_semi").groupBy(*KEY)
-              .agg(F.sort_array(F.collect_set("place")).alias("places")))  # bounded by the text's length
+    found = table.join(again, "h").select(*KEY, F.when(F.col("hot"), -1 - F.col("place")).otherwise(F.col("place")).alias("place"))
+    places = found.groupBy(*KEY).agg(F.sort_array(F.collect_set("place")).alias("places"))  # bounded by the text's length
     texts = long.groupBy(*KEY).agg(F.first("text").alias("text"))
     cands = materialise(texts.join(places, list(KEY)), "candidates")
-    records = cands.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
-    n = max(1, -(-records // RANGE_RECORDS))
-    if records > 2000:
-        n = max(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    runs = sorted_runs(cands, _splitters(cands, n, records), span)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = sorted_runs(cands, _splitters(cands, parts, span), span)
     return rows, cands, materialise(merged_spans(runs, span), "spans")
 
 

@@ -67,7 +67,11 @@ def mutated(seed, n=60):
                    (504, None, "en", "s", 1), (506, base, "en", "s", 1), (506, base, "en", "s", 1), (None, base, "en", "s", 1)]
 
 
-def test_suffix_dedup_matches_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 0, 8])
+def test_suffix_dedup_matches_brute_force(spark, monkeypatch, hot):
+    """Also with every recurring gram, or those of more than eight anchors, taken as frequent."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "RANGE_RECORDS", 50)
     rows = mutated(3)
     df = frame(spark, rows).repartition(4)
     got = [tuple(r) for r in suffix_dedup.dedup_report(clash(df)).collect()]
@@ -111,6 +115,18 @@ def test_loser_tree_merges_runs(runs):
     assert lcps == [suffix_dedup.common_prefix(a, b) for a, b in zip([b"", *got], got, strict=False)]
 
 
+def test_entries_cover_every_window_once():
+    for a, back, ahead in ((500, 336, 0), (40, 40, 7), (9, 0, 0), (700, 95, 64), (33, 32, 31)):
+        place = (a << 20) | (back << 10) | ahead
+        assert list(suffix_dedup.entries(place)) == [(place, False)]
+        starts = []
+        for p, hot in suffix_dedup.entries(-1 - place):
+            b, h = (p >> 10) & 1023, p & 1023
+            assert hot and 0 <= h <= b < suffix_dedup.SUB
+            starts += [(p >> 20) - o for o in range(h, b + 1)]
+        assert sorted(starts) == list(range(a - back, a - ahead + 1))
+
+
 def test_front_coding_round_trip():
     run = sorted([(b"abc", b"L", 1, 2, 3, 0), (b"abcd", b"", 4, 5, 6, 1), (b"b", b"xyz", 7, 8, 9, 0), (b"", b"q", 1, 1, 1, 0)])
     rights, shared, lefts, owner, twice = suffix_dedup.decode_run(suffix_dedup.front_code(run))
