@@ -249,7 +249,7 @@ def recurring(lcp: np.ndarray, lefts: list[bytes], back: np.ndarray, ahead: np.n
         if not len(at):
             continue
         # Sorted neighbours that share span - o bytes are one class.
-        key = mix64(np.cumsum(lcp < span - o).astype(np.uint64)[at]) + h[at]
+        key = h[at] * np.uint64(0x9E3779B97F4A7C15) + np.cumsum(lcp < span - o).astype(np.uint64)[at]
         order = np.argsort(key, kind="stable")
         same = key[order[1:]] == key[order[:-1]]
         hit = twice[at] > 0

@@ -115,6 +115,16 @@ def test_loser_tree_merges_runs(runs):
     assert lcps == [suffix_dedup.common_prefix(a, b) for a, b in zip([b"", *got], got, strict=False)]
 
 
+def test_class_and_left_byte_do_not_mix():
+    """Suffix number c with left byte b - 1 is not suffix number b with left byte c - 1."""
+    n = 200
+    lcp = np.zeros(n, int)  # all suffixes differ at once
+    lefts = [bytes([n - i - 1]) for i in range(n)]  # class i + 1, byte + 1 = n - i
+    one = np.ones(n, int)
+    entry, _, _ = suffix_dedup.recurring(lcp, lefts, one, one, np.zeros(n, np.uint8), 400)
+    assert len(entry) == 0
+
+
 def test_entries_cover_every_window_once():
     for a, back, ahead in ((500, 336, 0), (40, 40, 7), (9, 0, 0), (700, 95, 64), (33, 32, 31)):
         place = (a << 20) | (back << 10) | ahead
