@@ -256,7 +256,7 @@ def score(docs: DataFrame, model: dict):
                 out.append([probability(m[k], x, y, default) for k, default in zip(TARGETS, (1.0, 0.0), strict=True)])
             yield pd.DataFrame(out, columns=["quality_score", "toxic_score"])
 
-    return run("text", "source", "lang", "n_chars")
+    return run.asNondeterministic()("text", "source", "lang", "n_chars")  # one call for all that reads it
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

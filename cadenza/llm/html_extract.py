@@ -412,7 +412,7 @@ def extract(pages: DataFrame, model, html_col: str = "html"):
         for s in batches:
             yield pd.Series([extract_text(p if isinstance(p, str) else None, shared.value) for p in s], dtype=object)
 
-    return run(F.col(html_col))
+    return run.asNondeterministic()(F.col(html_col))  # one call for all that reads it
 
 
 def page_report(pages: DataFrame) -> DataFrame:

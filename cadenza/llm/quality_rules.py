@@ -118,7 +118,8 @@ def assess(docs: DataFrame, text_col: str = "text", symbol_words_pct: int = 30,
         release()
 
     name = free_name(docs, "quality")
-    return docs.withColumn(name, judge(F.col(text_col))), name
+    # Called non-deterministic, so that the planner keeps one call for the filter and the columns behind it.
+    return docs.withColumn(name, judge.asNondeterministic()(F.col(text_col))), name
 
 
 def quality_report(docs: DataFrame, **rules) -> DataFrame:
