@@ -1,11 +1,10 @@
 """Cold start: item features -> latent factors.
 
 A design row is sparse: ``idx`` (feature numbers) and ``val``, one entry per categorical column (its level)
-and one per numeric column, so width costs nothing per row. The multi-output ridge is solved by
-preconditioned conjugate gradients on the centred normal equations, for all outputs and all alphas at
-once and for any width, alpha 0 included: an iteration ships the search directions (features x outputs x
-open alphas), every task multiplies its rows with them and back, and the partial products are summed in
-blocks of feature rows. Rows are centred before they are multiplied, so no large sums cancel. The driver
+and one per numeric column, so width costs nothing per row. The multi-output ridge is solved on the centred
+normal equations in a block Krylov space that all outputs and all alphas share, for any width, alpha 0
+included: a pass ships up to 128 directions (features x directions), every task multiplies its rows with
+them and back, and the partial products are summed in blocks of feature rows. Rows are centred before they are multiplied, so no large sums cancel. The driver
 holds matrices of the size of the coefficients, never rows.
 """
 
@@ -119,23 +118,27 @@ class Design:
 
     def __init__(self, df: DataFrame, d: int, r: int):
         self.df, self.d, self.r = df.select("idx", "val", "y"), d, r
-        one = df.select(F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy("e.idx").agg(
-            F.sum("e.val").alias("s"), F.count(F.lit(1)).alias("c"))
-        self.n, *ys = df.agg(F.count(F.lit(1)), *[F.avg(F.col("y")[j]) for j in range(r)]).first()
-        self.mx, self.my = np.zeros(d), np.array([v or 0.0 for v in ys], np.float64)
-        count = np.zeros(d)
-        for row in one.collect():
-            self.mx[row["idx"]], count[row["idx"]] = row["s"] / self.n, row["c"]
-        m = self.mx
-
-        def squares(pdf):
-            rr, i, v = _rows(pdf)
-            out = np.zeros((d, 1))
-            np.add.at(out[:, 0], i, (v - m[i]) ** 2)
-            return out
-
-        # Centred sum of squares per feature; a feature that a row does not name counts as 0 there.
-        self.diag = summed(self.df, (d, 1), squares)[:, 0] + (self.n - count) * m * m
+
+        def sums(pdf):
+            _, i, v = _rows(pdf)
+            return np.concatenate([np.bincount(i, v, d), np.bincount(i, minlength=d), np.vstack(list(pdf["y"])).sum(0),
+                                   [len(pdf)]])[:, None]
+
+        t = summed(self.df, (2 * d + r + 1, 1), sums)[:, 0]
+        self.n = max(t[-1], 1.0)
+        count, self.mx, self.my = t[d:2 * d], t[:d] / self.n, t[2 * d:-1] / self.n
+        m, my = self.mx, self.my
+
+        def centred(pdf):
+            rows = _rows(pdf)
+            u = np.vstack(list(pdf["y"])) - my
+            squares = np.bincount(rows[1], (rows[2] - m[rows[1]]) ** 2, d + 1)
+            return np.hstack([np.vstack([_back(rows, u, d), u.sum(axis=0)]), squares[:, None]])
+
+        out = summed(self.df, (d + 1, r + 1), centred)
+        # Xc' Yc, and the centred sum of squares per feature: a feature that a row does not name counts as 0 there.
+        self.rhs = out[:d, :r] - np.outer(m, out[d, :r])
+        self.diag = out[:d, r] + (self.n - count) * m * m
 
     def gram_times(self, p: np.ndarray) -> np.ndarray:
         """Xc' Xc p"""
@@ -150,71 +153,74 @@ class Design:
         out = summed(self.df, (d + 1, p.shape[1]), product)
         return out[:d] - np.outer(m, out[d])
 
-    def right_side(self) -> np.ndarray:
-        """Xc' Yc"""
-        m, my, d = self.mx, self.my, self.d
 
-        def product(pdf):
-            rows = _rows(pdf)
-            u = np.vstack(list(pdf["y"])) - my
-            return np.vstack([_back(rows, u, d), u.sum(axis=0)])
-
-        out = summed(self.df, (d + 1, self.r), product)
-        return out[:d] - np.outer(m, out[d])
+def _solve(h: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+    """Least-norm solution of a symmetric positive semidefinite system."""
+    e, q = np.linalg.eigh((h + h.T) / 2)
+    good = e > 1e-13 * max(e[-1], 1e-300)
+    return (q[:, good] / e[good]) @ (q[:, good].T @ rhs)
 
 
-def ridge(x: Design, alphas, start: dict | None = None, tol: float = 1e-11, max_iter: int | None = None) -> dict:
+def ridge(x: Design, alphas, start: dict | None = None, tol: float = 1e-10, block: int = 128, keep: int = 1024) -> dict:
     """``{alpha: (W d x r, b r)}`` minimising ``||y - Xw - b||^2 + alpha ||w||^2`` per output, the intercept free.
 
+    Block Krylov: all outputs and alphas look for their weights in one shared space (features scaled to unit
+    diagonal). A pass multiplies up to ``block`` new directions, the strongest parts of all open residuals, with
+    the rows; every fit is then the best one in the whole space. ``keep`` directions at most are held; beyond, the
+    fits so far become the start of a new space. A width below ``block`` needs one or two passes, any other more.
+
     At alpha 0 the fit is a least-squares solution (its predictions are unique, on rank-deficient one-hot columns
-    its weights are not). An alpha leaves the iteration when all its residuals are below ``tol`` of the right side;
-    one that does not get there within ``max_iter`` steps (default: 3 d + 100) raises an error.
+    its weights are not). Residuals that stay above 1e-7 of the right side raise an error.
     """
     alphas = [float(a) for a in alphas]
-    rhs = x.right_side()
-    scale = np.maximum(np.sqrt((rhs ** 2 / np.maximum(x.diag, 1e-300)[:, None]).sum(0)), 1e-300)
-    state = {}
-    for a in alphas:
-        inv = 1.0 / np.where(x.diag + a > 0, x.diag + a, 1.0)[:, None]
-        w = np.zeros((x.d, x.r)) if not start or a not in start else start[a][0].copy()
-        state[a] = {"w": w, "inv": inv}
-    warm = [a for a in alphas if state[a]["w"].any()]
-    gw = dict(zip(warm, np.split(x.gram_times(np.hstack([state[a]["w"] for a in warm])), len(warm), axis=1), strict=True)) if warm else {}
-    for a in alphas:
-        s = state[a]
-        s["res"] = rhs - (gw[a] + a * s["w"] if a in gw else 0.0)
-        s["z"] = s["inv"] * s["res"]
-        s["p"], s["rz"] = s["z"].copy(), (s["res"] * s["z"]).sum(0)
-
-    def open_(a):
-        return (np.sqrt(np.maximum(state[a]["rz"], 0)) > tol * scale).any()
-
-    for _ in range(max_iter or 3 * x.d + 100):
-        active = [a for a in alphas if open_(a)]
-        if not active:
+    s = 1.0 / np.sqrt(np.where(x.diag > 0, x.diag, 1.0))[:, None]
+    rhs = s * x.rhs
+    size = np.maximum(np.sqrt((rhs ** 2).sum(0)), 1e-300)
+    base = {a: start[a][0] / s if start and a in start else np.zeros((x.d, x.r)) for a in alphas}
+    left = {a: rhs.copy() for a in alphas}
+    warm = [a for a in alphas if base[a].any()]
+    if warm:
+        g = np.split(s * x.gram_times(s * np.hstack([base[a] for a in warm])), len(warm), axis=1)
+        for a, q in zip(warm, g, strict=True):
+            left[a] -= q + a * s * s * base[a]
+    v, u = np.zeros((x.d, 0)), np.zeros((x.d, 0))
+    c = {a: np.zeros((0, x.r)) for a in alphas}
+
+    def residual(a):
+        return left[a] - u @ c[a] - a * s * s * (v @ c[a])
+
+    worst = np.inf
+    for _ in range(3 * x.d + 100):
+        res = np.hstack([residual(a) for a in alphas])
+        rel = np.sqrt((res ** 2).sum(0)) / np.tile(size, len(alphas))
+        if rel.max() <= tol:
             break
-        q = np.split(x.gram_times(np.hstack([state[a]["p"] for a in active])), len(active), axis=1)
-        for a, g in zip(active, q, strict=True):
-            s = state[a]
-            g = g + a * s["p"]
-            curve = (s["p"] * g).sum(0)
-            live = (np.sqrt(np.maximum(s["rz"], 0)) > tol * scale) & (curve > 0)
-            t = np.where(live, s["rz"] / np.where(live, curve, 1.0), 0.0)
-            s["w"] += t * s["p"]
-            s["res"] -= t * g
-            s["z"] = s["inv"] * s["res"]
-            rz = (s["res"] * s["z"]).sum(0)
-            s["p"] = s["z"] + np.where(live, rz / np.where(s["rz"] > 0, s["rz"], 1.0), 0.0) * s["p"]
-            s["rz"] = np.where(live, rz, 0.0)
-    else:
-        if any(open_(a) for a in alphas):
-            raise RuntimeError("the ridge solver did not reach its tolerance")
-    return {a: (state[a]["w"], x.my - x.mx @ state[a]["w"]) for a in alphas}
+        new = res[:, rel > tol] / np.sqrt((res[:, rel > tol] ** 2).sum(0))
+        for _ in range(2):
+            new = new - v @ (v.T @ new)
+        q, weight, _ = np.linalg.svd(new, full_matrices=False)
+        q = q[:, weight > 1e-9][:, :block]
+        if not q.shape[1] or (v.shape[1] + q.shape[1] > keep and rel.max() > 0.9 * worst):
+            break  # nothing left to look for, or no progress over a whole space
+        if v.shape[1] + q.shape[1] > keep:
+            worst = rel.max()
+            for a in alphas:
+                left[a], base[a] = residual(a), base[a] + v @ c[a]
+            v, u = np.zeros((x.d, 0)), np.zeros((x.d, 0))
+            q, weight, _ = np.linalg.svd(res / np.maximum(np.sqrt((res ** 2).sum(0)), 1e-300), full_matrices=False)
+            q = q[:, weight > 1e-9][:, :block]
+        v, u = np.hstack([v, q]), np.hstack([u, s * x.gram_times(s * q)])
+        h, m = v.T @ u, v.T @ (s * s * v)
+        c = {a: _solve(h + a * m, v.T @ left[a]) for a in alphas}
+    if rel.max() > 1e-7:
+        raise RuntimeError("the ridge solver did not reach its tolerance")
+    out = {a: s * (base[a] + v @ c[a]) for a in alphas}
+    return {a: (w, x.my - x.mx @ w) for a, w in out.items()}
 
 
 def gradient_gap(x: Design, fits: dict) -> dict:
     """Largest ``|X'(y - Xw - b) - alpha w|`` per alpha, in units of the largest ``|X'y|`` (a fresh pass over the rows)."""
-    rhs = x.right_side()
+    rhs = x.rhs
     alphas = list(fits)
     g = np.split(x.gram_times(np.hstack([fits[a][0] for a in alphas])), len(alphas), axis=1)
     return {a: float(np.abs(rhs - q - a * fits[a][0]).max() / max(np.abs(rhs).max(), 1e-300)) for a, q in zip(alphas, g, strict=True)}
@@ -250,25 +256,27 @@ def mse_r2(df: DataFrame, y_col: str, p_col: str, decimals: int | None = None) -
 
 
 # ----------------------------------------------------------------------- C7 / C8
-def scores(df: DataFrame, r: int, fits: dict) -> dict:
+def scores(df: DataFrame, r: int, fits: dict, near: np.ndarray | None = None) -> dict:
     """A11 + A12 of every fit in one pass: ``{alpha: {mse, r2}}``; MSE averages over rows and outputs, R^2 over
-    outputs that vary."""
+    outputs that vary. ``near``: values close to the means of ``y`` (the training means), so that nothing cancels."""
     alphas = list(fits)
     w, b = np.hstack([fits[a][0] for a in alphas]), np.concatenate([fits[a][1] for a in alphas])
-    n, *my = df.agg(F.count(F.lit(1)), *[F.avg(F.col("y")[j]) for j in range(r)]).first()
-    my = np.array([v or 0.0 for v in my])
+    near = np.zeros(r) if near is None else near
 
     def product(pdf):
         y = np.vstack(list(pdf["y"]))
         e = np.tile(y, len(alphas)) - _times(_rows(pdf), w, len(pdf)) - b
-        return np.concatenate([(e * e).sum(0), ((y - my) ** 2).sum(0)])[None]
+        return np.concatenate([(e * e).sum(0), ((y - near) ** 2).sum(0), (y - near).sum(0), [len(pdf)]])[None]
 
-    out = summed(df.select("idx", "val", "y"), (1, (len(alphas) + 1) * r), product)[0]
-    sst = out[-r:]
-    ok = sst > 0
-    return {a: {"mse": float(np.mean(out[k * r:(k + 1) * r] / n)),
-                "r2": float(np.mean(1 - out[k * r:(k + 1) * r][ok] / sst[ok])) if ok.any() else None}
-            for k, a in enumerate(alphas)}
+    k = len(alphas) * r
+    out = summed(df.select("idx", "val", "y"), (1, k + 2 * r + 1), product)[0]
+    n = max(out[-1], 1.0)
+    total = out[k:k + r]
+    sst = total - out[k + r:-1] ** 2 / n
+    ok = sst > 1e-12 * np.maximum(total, 1e-300)
+    return {a: {"mse": float(np.mean(out[j * r:(j + 1) * r] / n)),
+                "r2": float(np.mean(1 - out[j * r:(j + 1) * r][ok] / sst[ok])) if ok.any() else None}
+            for j, a in enumerate(alphas)}
 
 
 def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, d: int, r: int,
@@ -276,11 +284,11 @@ def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, d: int, r: i
     """Pick the alpha with the lowest validation MSE, refit on train+val and score test, refit on all."""
     x = Design(train, d, r)
     fits = ridge(x, alphas)
-    by = scores(val, r, fits)
+    by = scores(val, r, fits, x.my)
     best = min(by, key=lambda a: (by[a]["mse"], a))
     tv = train.unionByName(val)
     both = ridge(Design(tv, d, r), [best], fits)
-    test_m = scores(test, r, both)[best]
+    test_m = scores(test, r, both, x.my)[best]
     every = Design(tv.unionByName(test), d, r)
     w, b = ridge(every, [best], both)[best]
     return {"scores": [{"alpha": a, "val_mse": m["mse"], "val_r2": m["r2"]} for a, m in by.items()], "best_alpha": best,

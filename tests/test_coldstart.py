@@ -51,6 +51,18 @@ def test_ridge_matches_normal_equations(spark):
     assert s["mse"] == pytest.approx(m.mse, rel=1e-9) and s["r2"] == pytest.approx(m.r2, rel=1e-9)
 
 
+def test_small_blocks_and_restarts_find_the_same_fits(spark):
+    """Three directions a pass, and a new space after every dozen."""
+    rng = np.random.default_rng(7)
+    x, y = _one_hot_data(rng, 200, (8, 5), 4)
+    design = CS.Design(_frame(spark, x, y, 2), x.shape[1], 4)
+    fits = CS.ridge(design, (0.0, 0.5), block=3, keep=12)
+    for a in (0.0, 0.5):
+        w, b = _dense(x, y, a)
+        assert np.allclose(x @ fits[a][0] + fits[a][1], x @ w + b, atol=1e-5)
+    assert max(CS.gradient_gap(design, fits).values()) < 1e-7
+
+
 def test_impute_fixture(spark):
     df = spark.createDataFrame([(0.0,), (2.0,), (4.0,), (None,), (float("nan"),)], "v double")
     got = [r.v for r in CS.impute_mean(df, ["v"]).collect()]
