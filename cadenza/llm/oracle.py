@@ -44,4 +44,37 @@ best AS (SELECT r, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict,
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM v LEFT JOIN best USING (r)
 """
 
-ORACLE: dict = {"op3_quality_rules": OP3, "op4_url_filter": OP4}
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP1 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '{ITEM_WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOW}, '{ITEM_WORD}') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g
+        FROM (SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS g
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
+hit AS (SELECT doc_id, i, m, item_id FROM dw JOIN win USING (m, g)),
+h AS (SELECT doc_id, count(DISTINCT i + o) AS n_hit FROM hit, range(10) t(o) WHERE o < m GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+OP7 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOW}, '{WORD}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(a, b) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x),
+c AS (SELECT a AS doc_id, min(b) AS comp FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(comp, doc_id) AS component_id, coalesce(comp, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+ORACLE: dict = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4, "op7_minhash_dedup": OP7}

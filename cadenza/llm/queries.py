@@ -16,7 +16,8 @@ def register(fn):
 
 @register
 def op1_decontaminate(spark, sf_dir):
-    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    report = decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 @register

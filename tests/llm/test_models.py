@@ -116,7 +116,7 @@ def test_pipeline_edges(spark):
             docs = spark.createDataFrame(out.collect(), out.schema)
 
 
-@pytest.mark.parametrize("name", ["op3_quality_rules", "op4_url_filter"])
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op3_quality_rules", "op4_url_filter", "op7_minhash_dedup"])
 def test_sql_twins(spark, name):
     con = duckdb.connect()
     for t in TABLES:
