@@ -4,7 +4,8 @@ that lose too much text.
 Line rules (a line without words never fails):
 
 * punctuation: over ``symbol_words_pct`` % of its words hold a character of ``#*$%&|<>`` or end in ``!!``;
-* navigation: three or more of its words are menu separators (``|``, ``>``, ``/`` or a middle dot);
+* navigation: three or more of its words, and ``separator_words_pct`` % of them or more, are menu separators (``|``,
+  ``>``, ``/`` or a middle dot), so that a few separators in a long line fail nothing;
 * boilerplate: at most ``boilerplate_words`` words, one of the fixed phrases among them.
 
 A document is rejected when the failing lines hold more than ``max_lost_pct`` % of its words, or when
@@ -36,14 +37,16 @@ RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 
 def _line_fails(low: bytes, words: list[bytes], symbol_words_pct: int, boilerplate_words: int,
-                phrases: tuple, separators: frozenset, drop: bytes) -> bool:
+                separator_words_pct: int, phrases: tuple, separators: frozenset, drop: bytes) -> bool:
     n = len(words)
     if len(low.translate(None, drop)) != len(low) or b"!!" in low:
         bad = sum(1 for w in words if w.endswith(b"!!") or len(w.translate(None, drop)) != len(w))
         if 100 * bad > symbol_words_pct * n:
             return True
-    if n >= 3 and sum(1 for w in words if w in separators) >= 3:
-        return True
+    if n >= 3:
+        menu = sum(1 for w in words if w in separators)
+        if menu >= 3 and 100 * menu >= separator_words_pct * n:
+            return True
     return n <= boilerplate_words and any(p in low for p in phrases)
 
 
@@ -69,7 +72,7 @@ def _repeat_words(words: list[bytes]) -> int:
 
 
 def assess_text(text: str | None, symbol_words_pct: int = 30, boilerplate_words: int = 20,
-                max_lost_pct: int = 40) -> tuple:
+                max_lost_pct: int = 40, separator_words_pct: int = 10) -> tuple:
     if text is None:
         return 0, 0, 0, 0, 0, 0, True, False, None
     drop = SYMBOLS.encode()
@@ -89,7 +92,8 @@ def assess_text(text: str | None, symbol_words_pct: int = 30, boilerplate_words:
                 dup += 1
             else:
                 seen.add(line)
-            if _line_fails(line.lower(), lw, symbol_words_pct, boilerplate_words, phrases, separators, drop):
+            if _line_fails(line.lower(), lw, symbol_words_pct, boilerplate_words, separator_words_pct, phrases,
+                           separators, drop):
                 lost += len(lw)
                 continue
         keep.append(line)
@@ -101,7 +105,7 @@ def assess_text(text: str | None, symbol_words_pct: int = 30, boilerplate_words:
 
 
 def assess(docs: DataFrame, text_col: str = "text", symbol_words_pct: int = 30, boilerplate_words: int = 20,
-           max_lost_pct: int = 40, with_text: bool = True) -> tuple[DataFrame, str]:
+           max_lost_pct: int = 40, with_text: bool = True, separator_words_pct: int = 10) -> tuple[DataFrame, str]:
     """``docs`` plus one struct column with the counts, the verdict and the cleaned text; returns the
     frame and the name of that column (chosen so that it never clashes). No shuffle."""
     small_batches(docs.sparkSession)
@@ -110,7 +114,7 @@ def assess(docs: DataFrame, text_col: str = "text", symbol_words_pct: int = 30,
     @F.pandas_udf(RESULT)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            rows = [assess_text(t, symbol_words_pct, boilerplate_words, max_lost_pct) for t in s]
+            rows = [assess_text(t, symbol_words_pct, boilerplate_words, max_lost_pct, separator_words_pct) for t in s]
             out = pd.DataFrame(rows, columns=names)
             if not with_text:
                 out["clean_text"] = None

@@ -45,6 +45,18 @@ def test_line_rules_and_cleaning(spark):
     assert [r.doc_id for r in row] == [1] and row[0].text == good and row[0].n_chars == len(good)
 
 
+def test_long_line_with_few_separators_stays(spark):
+    words = [f"word{i}" for i in range(20000)]
+    for at in (100, 9000, 15000):
+        words[at] = "/"
+    text = " ".join(words)
+    df = frame(spark, [(1, text, "en", "s", 1), (2, "Terms of Service | Privacy | About us | Contact\n" + text, "en", "s", 1)])
+    by = {r.doc_id: r for r in quality_rules.quality_report(df).collect()}
+    assert by[1].n_lost_words == 0 and by[1].kept
+    assert by[2].n_lost_words == 10 and by[2].kept
+    assert [r.text for r in quality_rules.keep_good(df).collect()] == [text, text]
+
+
 def test_language_held_out_accuracy(spark):
     docs = table(spark, SF, "documents")
     got = lang_id.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
