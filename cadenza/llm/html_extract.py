@@ -2,7 +2,9 @@
 
 A page is cut into blocks (runs of text between block-level tags; scripts, styles, comments and the
 head are not text). Each block has features of its ancestors (tag names and known words of their class
-and id), of its text (length, link share, closing mark, notice signs) and of its place. The field has two
+and id), of its text (length, link share, closing mark, notice signs) and of its place. Class and id words of html
+and body, and the words and form tags of elements around the page's article or main element, speak of the whole
+page and are no features. The field has two
 labels, main and furniture, and transition weights between neighbours; it is trained by maximum
 likelihood on labelled pages and decoded by Viterbi.
 
@@ -123,7 +125,7 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
                 skip = ""
             elif skip == "head" and tag == "body":
                 skip = ""
-                stack.append((tag, _roles(m.group(2))))
+                stack.append((tag, ()))
             continue
         if end:
             if tag in BLOCK_TAGS:
@@ -160,20 +162,39 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select", "menu"):
                     break
             if tag not in VOID_TAGS:
-                stack.append((tag, _roles(attrs)))
+                stack.append((tag, () if tag in ("html", "body") else _roles(attrs)))
         elif tag == "a":
             in_link = True
     if not skip and at < len(page):
         parts.append(page[at:])
     flush()
-    return [(text, _features(text, links, path, i, len(out))) for i, (text, links, path) in enumerate(out)]
-
-
-def _features(text: str, links: int, path: list, i: int, n: int) -> list[str]:
+    wide = _page_wide(out)
+    return [(text, _features(text, links, path, i, len(out), wide)) for i, (text, links, path) in enumerate(out)]
+
+
+def _page_wide(out: list) -> set[int]:
+    """Identities of the elements around a main element or the page's article: the longest one inside main (anywhere,
+    if the page has no main) that is not marked as furniture itself."""
+    around: dict = {}  # main and article elements: identity -> (tag, roles, elements around it)
+    size: dict = {}
+    for text, _, path in out:
+        for k, e in enumerate(path):
+            if e[0] in ("main", "article"):
+                if id(e) not in around:
+                    around[id(e)] = (*e, [id(x) for x in path[:k]])
+                size[id(e)] = size.get(id(e), 0) + len(text)
+    mains = {i for i, (tag, _, _) in around.items() if tag == "main"}
+    articles = [i for i, (tag, roles, up) in around.items()
+                if tag == "article" and (not mains or mains.intersection(up)) and ("main" in roles or not roles)]
+    found = mains | ({max(articles, key=size.__getitem__)} if articles else set())
+    return {x for i in found for x in around[i][2]}
+
+
+def _features(text: str, links: int, path: list, i: int, n: int, wide: set[int]) -> list[str]:
     f = ["1"]
-    names = {t for t, _ in path} - {"html", "body", "div"}
+    names = {e[0] for e in path if e[0] != "form" or id(e) not in wide} - {"html", "body", "div"}
     f += ["in " + t for t in names]
-    roles = {r for _, rs in path for r in rs}
+    roles = {r for e in path if id(e) not in wide for r in e[1]}
     f += ["is " + r for r in roles]
     own = path[-1][0] if path else ""
     f.append("own " + own)
@@ -294,6 +315,12 @@ _OUTSIDE = ('<nav><ul>{li}</ul></nav>', '<div class="menu"><ul>{li}</ul></div>',
 _BELOW = ('<footer>&copy; {s}</footer>', '<footer><p>{t}</p><ul>{li}</ul></footer>', '<div id="footer"><p>&copy; {s}</p></div>',
           '<div class="copyright">&copy; 2020 {s}. All rights reserved.</div>', '<footer><nav>{a}</nav><p>{s}</p></footer>')
 
+# Page-wide wrappers: of pages with an article or main element, and of any page.
+_AROUND = ('<form action="/page.aspx">%s</form>', '<div class="page no-sidebar comments-open">%s</div>',
+           '<div id="menu-wrapper"><form id="form1">%s</form></div>', '<section class="with-sidebar sticky-header">%s</section>')
+_BODY = ('<html><body class="single-post no-sidebar comments-open">', '<html class="has-menu sticky-header"><body>',
+         '<html><body id="page-comments" class="cookie-notice newsletter">')
+
 
 def _fill(template: str, rng: random.Random, texts: list[str]) -> str:
     def short():
@@ -344,8 +371,12 @@ def _laid_out(rng: random.Random, texts: list[str]) -> tuple[str, set]:
     tail = [_fill(rng.choice(_OUTSIDE), rng, texts) for _ in range(rng.randint(0, 3))]
     if rng.random() < 0.85:
         tail.append(_fill(rng.choice(_BELOW), rng, texts))
-    page = "<html><body>" + "".join(head) + rng.choice(_MAIN) % "".join(body) + "".join(tail) + "</body></html>"
-    return page, main
+    frame = rng.choice(_MAIN)
+    page = "".join(head) + frame % "".join(body) + "".join(tail)
+    if rng.random() < 0.25 and ("<article" in frame or "<main" in frame):
+        page = rng.choice(_AROUND) % page
+    start = rng.choice(_BODY) if rng.random() < 0.25 else "<html><body>"
+    return start + page + "</body></html>", main
 
 
 def training_pages(sample: list[str], made: int, seed: int = 11) -> tuple[list, list]:

@@ -74,6 +74,24 @@ def test_page_edges(spark):
     assert html_extract.page_report(frame(spark, [], schema)).count() == 0
 
 
+def test_page_wide_wrappers_give_no_roles():
+    words = " ".join(f"word{i}" for i in range(30)) + "."
+    post = "".join(f"<p>{words} {i}.</p>" for i in range(4))
+    said = "<div class=\"comments\"><article class=\"comment\"><p>Nice one, thanks.</p></article></div>"
+    pages = ['<html class="has-menu"><body class="single-post no-sidebar comments-open">%s</body></html>',
+             "<html><body><form>%s</form></body></html>", '<body><div class="no-sidebar comments-open">%s</div></body>',
+             '<body><main><section class="with-sidebar">%s</section></main></body>']
+    feats, labels = html_extract.training_pages([], 250, seed=1)
+    numbers = {}
+    ids = [[[numbers.setdefault(k, len(numbers)) for k in b] for b in p[:60]] for p in feats]
+    w, tr = html_extract.train_field(ids, [y[:60] for y in labels], len(numbers))
+    for page in pages:
+        bl = html_extract.blocks(page % (f"<article>{post}</article>" + said))
+        assert html_extract.weak_labels(bl) == [1] * 4 + [0]
+        text = html_extract.extract_text(page % (f"<article>{post}</article>" + said), (numbers, w.tolist(), tr.tolist()))
+        assert text.split("\n")[:4] == [t for t, _ in bl[:4]]
+
+
 def test_cotraining_held_out(spark):
     sf = SF.replace("sf0.001", "sf0.01")
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
