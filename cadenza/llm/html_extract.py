@@ -14,6 +14,10 @@ notices, forms, reader comments) whose labels are known. Training (on the first
 ``TRAIN_BLOCKS`` blocks of each) takes bounded time on the driver; the weights
 (one float per feature) are broadcast, and all pages are parsed and decoded in the tasks.
 
+A head without an end tag ends at the first text or start tag that cannot stand in a head. Other elements whose
+content is not text (``RAW_TAGS``) end at their end tag or, unclosed, at the next block or the end of the block around
+them; only an unclosed script or style runs to the end of the page, as in the HTML standard. Text of math is text.
+
 White space inside a block becomes one space; character references are decoded; main blocks are joined
 by a newline. Null and empty pages, and pages without main blocks, give an empty text. Without any
 labelled page the templates hold made-up words. Every row gives one row; extra columns are ignored.
@@ -40,7 +44,8 @@ BLOCK_TAGS = frozenset((
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre search section select summary "
     "table tbody td tfoot th thead title tr ul").split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object canvas audio video title head".split())
+RAW_TAGS = frozenset("script style noscript template textarea iframe svg object canvas audio video title".split())
+HEAD_TAGS = frozenset("base basefont bgsound html link meta noscript script style template title".split())
 # Elements that a start tag of the key closes.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
@@ -59,8 +64,8 @@ ROLES = {
 }
 ROLE_OF = {w: role for role, words in ROLES.items() for w in words.split()}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-                    re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)"
+                    r"((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*)(?:>|\Z)", re.S)  # a quote opens a value only after =
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 _NOTICE = re.compile(r"©|\(c\)|all rights reserved|cookie|privacy policy|subscribe|newsletter|log ?in|sign ?up", re.I)
@@ -84,6 +89,56 @@ def _roles(attrs: str) -> tuple:
     return tuple(r for r in found if r)
 
 
+def _raw_end(page: str, at: int, tag: str, stack: list, loose: dict[str, int]) -> int:
+    """Where reading goes on after the start tag (it ends at ``at``) of a raw element in the elements of ``stack``."""
+    if tag in ("script", "style", "title", "textarea"):  # their content is no markup
+        close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
+        if close:
+            return close.end()
+        if tag in ("script", "style"):
+            return len(page)
+    nests = tag in ("object", "template", "svg")
+    depth = 1
+    inner: dict[str, int] = {}  # blocks opened inside
+    first = -1  # the first block inside
+    html_in = 0  # depth of elements of svg that may hold blocks
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        if m.group(1) is None:
+            continue
+        name = m.group(1).lower()
+        if page[m.start() + 1] == "/":
+            if name == tag:
+                depth -= 1
+                if not depth:
+                    return at
+            elif inner.get(name):
+                inner[name] -= 1
+            elif name in ("head", "body", "html") or any(e[0] == name for e in reversed(stack)):
+                return first if first >= 0 else m.start()
+            elif name in ("foreignobject", "desc"):
+                html_in -= 1
+        elif name == tag and not nests:
+            return first if first >= 0 else m.start()
+        elif m.group(2).endswith("/"):
+            continue
+        elif name == tag:
+            depth += 1
+        elif name in ("foreignobject", "desc"):
+            html_in += 1
+        elif name in ("script", "style"):
+            at = _raw_end(page, at, name, stack, loose)
+        elif name in BLOCK_TAGS and name not in RAW_TAGS:
+            if first < 0:
+                first = m.start()
+                if (tag == "svg" and html_in <= 0) or loose.get(tag, 0) > 9:  # svg holds no blocks
+                    return first
+            if name not in VOID_TAGS:
+                inner[name] = inner.get(name, 0) + 1
+    loose[tag] = loose.get(tag, 0) + 1  # after ten searches to the end of the page the next block is the end
+    return first if first >= 0 else len(page)
+
+
 def blocks(page: str | None) -> list[tuple[str, list[str]]]:
     """(text, features) of every leaf block in page order."""
     if not page:
@@ -93,7 +148,8 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
     parts: list[str] = []
     links = 0
     in_link = False
-    skip = ""  # raw element whose text is not read
+    in_head = False
+    loose: dict[str, int] = {}
     at = 0
 
     def flush():
@@ -104,30 +160,26 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
                 out.append((text, links, list(stack)))
         parts, links = [], 0
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
-        if not skip and m.start() > at:
+    while m := _TOKEN.search(page, at):
+        if m.start() > at:
             piece = page[at:m.start()]
-            parts.append(piece)
-            if in_link:
-                links += len(piece)
+            if in_head and not piece.isspace():
+                in_head = False
+            if not in_head:
+                parts.append(piece)
+                if in_link:
+                    links += len(piece)
         at = m.end()
         tag = m.group(1)
         if tag is None:
-            if page.startswith("<![CDATA[", m.start()) and not skip:
+            if page.startswith("<![CDATA[", m.start()) and not in_head:
                 parts.append(html.escape(m.group()[9:-3]))
             continue
         tag = tag.lower()
         end = page[m.start() + 1] == "/"
-        if skip:
-            if end and tag == skip:
-                skip = ""
-            elif skip == "head" and tag == "body":
-                skip = ""
-                stack.append((tag, ()))
-            continue
         if end:
+            if tag in ("head", "body", "html"):
+                in_head = False
             if tag in BLOCK_TAGS:
                 flush()
             elif tag == "a":
@@ -141,12 +193,14 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
                         break  # a stray end tag does not close what holds it
             continue
         attrs = m.group(2) or ""
+        if tag == "head":
+            in_head = all(e[0] == "html" for e in stack) and not out and not "".join(parts).strip()
+            continue
+        if tag not in HEAD_TAGS:
+            in_head = False
         if tag in RAW_TAGS:
             if not attrs.endswith("/"):
-                if tag in ("script", "style", "title", "textarea"):  # their content is no markup
-                    close = re.compile(f"</{tag}", re.I).search(page, at)
-                    at = close.start() if close else len(page)
-                skip = tag
+                at = _raw_end(page, at, tag, stack, loose)
             continue
         if tag == "br" or tag == "wbr":
             parts.append(" " if tag == "br" else "")
@@ -165,7 +219,7 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
                 stack.append((tag, () if tag in ("html", "body") else _roles(attrs)))
         elif tag == "a":
             in_link = True
-    if not skip and at < len(page):
+    if at < len(page) and not (in_head and page[at:].isspace()):
         parts.append(page[at:])
     flush()
     wide = _page_wide(out)

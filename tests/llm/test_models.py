@@ -55,6 +55,25 @@ def test_blocks():
     assert [t for t, _ in html_extract.blocks("plain < text")] == ["plain < text"]
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<html><head><title>T</title><meta name=x><h1>Head line</h1><p>one", ["Head line", "one"]),
+    ("<head><title>T</title><style>s{}</style>plain<p>two", ["plain", "two"]),
+    ("<head><title>T</title><noscript><img src=x></noscript></head><body><p>three", ["three"]),
+    ("<head><title>T<meta name=x></head><body><p>four", ["four"]),
+    *[(f"<div><p>a</p><{t} width=1>no</div><p>b</p><div><{t}>no</{t}>c</div>", ["a", "b", "c"])
+      for t in ("svg", "object", "video", "audio", "canvas", "noscript", "template", "iframe")],
+    *[(f"<body><p>a</p><{t}><p>b</p><{t}>no</{t}><p>c</p></body>", ["a", "b", "c"]) for t in ("svg", "video", "canvas", "noscript")],
+    ("<p>a<object><p>no</p><object>no</object>no</object>b</p>", ["ab"]),
+    ("<p>a<svg><foreignObject><div>no</div></foreignObject></svg>b</p>", ["ab"]),
+    ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>", ["if x=1 then"]),
+    ("<p title=it's>first text. It's a day</p><p title='a>b' id=\"c>d\">next</p>", ["first text. It's a day", "next"]),
+    ("<p id=x?q=\"a>one</p><p id = \"b>\">two</p>", ["one", "two"]),
+    ("<script>if (a<b && c) {}</script><p>text", ["text"]), ("<p>a<script>var x = '</div><p>no'", ["a"]),
+])
+def test_nothing_but_raw_content_is_dropped(page, want):
+    assert [t for t, _ in html_extract.blocks(page)] == want
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(3)
     for _ in range(30):
