@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import uuid
 
 import numpy as np
@@ -25,15 +26,53 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+# Paths of the tables that this process has written, oldest first.
+_WRITTEN: list[str] = []
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/cadenza-llm/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back: cuts lineage,
     survives lost executors, and takes less disk than the row format of ``checkpoint()``."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/cadenza-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder wherever Spark can write."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def tidy(operator):
+    """Operator whose tables go when its result is written: the result is a table too, read back, and only that stays
+    (until ``clean_up``). An operator that ends with an error leaves its tables for ``clean_up``."""
+    @functools.wraps(operator)
+    def run(*args, **options):
+        mark = len(_WRITTEN)
+        out = operator(*args, **options)
+        spark = out.sparkSession
+        out = materialise(out, operator.__name__)
+        for path in _WRITTEN[mark:-1]:
+            remove(spark, path)
+        del _WRITTEN[mark:-1]
+        return out
+
+    return run
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete every table that operators have left in the checkpoint folder for this application, results too."""
+    remove(spark, _folder(spark))
+    _WRITTEN.clear()
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -77,4 +77,22 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(comp, doc_id) AS component
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
-ORACLE: dict = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4, "op7_minhash_dedup": OP7}
+OP11 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+             CAST(coalesce(list_sum(list_transform(list_zip(a.e, b.e), lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+p AS (SELECT ar, anchor_id, br, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id, br) <= 5),
+n AS (SELECT p.anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.score DESC, s.id, s.br) AS rank
+      FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+ORACLE: dict = {"op1_decontaminate": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4, "op7_minhash_dedup": OP7,
+                "op11_hard_negatives": OP11}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from cadenza.llm import cotrain, decontaminate, html_extract, lang_id, minhash, mixing, quality_rules, suffix_dedup, token_store, url_filter
+from pyspark.sql import functions as F
+
+from cadenza.llm import (cotrain, decontaminate, hard_negatives, html_extract, lang_id, minhash, mixing, quality_rules, simhash, spelling,
+                         suffix_dedup, token_store, url_filter)
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE  # noqa: F401  (read by the driver entry)
 
@@ -65,6 +68,23 @@ def op10_language_id(spark, sf_dir):
     return lang_id.language_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@register
+def op12_simhash_dedup(spark, sf_dir):
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @register
 def pipeline(spark, sf_dir):
     import corpus_pipeline
