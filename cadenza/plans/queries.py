@@ -114,6 +114,16 @@ def n4_batched_lists(spark, sf_dir):
     return SE.batched_lists(_t(spark, sf_dir), k=5)
 
 
+@register("n4_lists_of_lengths", f"""WITH {_SCALED},
+q AS (SELECT * FROM base WHERE id IN (SELECT CAST(o_custkey AS INTEGER) FROM orders)),
+s AS (SELECT q.id AS qid, i.id AS iid, {_DOT} AS score FROM q, scaled i),
+r AS (SELECT qid, iid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, iid) - 1 AS pos FROM s)
+SELECT CAST(qid AS INTEGER) AS id, CAST(k AS INTEGER) AS k, string_agg(CAST(iid AS VARCHAR), ',' ORDER BY pos) AS items
+FROM r, (SELECT unnest([1, 50, 100, 200, 300, 400, 500]) AS k) WHERE pos < k GROUP BY qid, k""")
+def n4_lists_of_lengths(spark, sf_dir):
+    return SE.lists_of_lengths(_t(spark, sf_dir))
+
+
 @register("m6_als_eval")
 def m6_als_eval(spark, sf_dir):
     """One configuration of the published second grid, lists of 500, all its list lengths."""
@@ -721,11 +731,14 @@ def r4_nested_holdout(spark, sf_dir):
             .unionByName(te.select("user_id", "track_id", F.lit("test").alias("split"))))
 
 
-@register("r5_fixed_size_sample", """SELECT CAST(vec_id AS INTEGER) AS id, label FROM embeddings
-ORDER BY md5('123|' || CAST(CAST(vec_id AS INTEGER) AS VARCHAR)), CAST(vec_id AS INTEGER) LIMIT 100""")
+@register("r5_fixed_size_sample", S.PLAYS + """
+SELECT user_id, track_id, "count" FROM plays
+ORDER BY md5('123|' || user_id || '|' || track_id), user_id || '|' || track_id LIMIT 10000""")
 def r5_fixed_size_sample(spark, sf_dir):
-    f = TB.item_factors(_t(spark, sf_dir).embeddings).select("id", "label")
-    return I.fixed_size_sample(f, 100, "id", seed=123)
+    """10,000 plays."""
+    t = _t(spark, sf_dir)
+    p = plays(t.orders, t.lineitem).withColumn("id", F.concat_ws("|", "user_id", "track_id"))
+    return I.fixed_size_sample(p, 10_000, "id", seed=123).drop("id")
 
 
 @register("r6_key_sample", S.PLAYS + f"""
@@ -763,13 +776,35 @@ def n2_forest_search(spark, sf_dir):
     return _round_score(SE.forest(_t(spark, sf_dir), 10, **_FOREST_KW))
 
 
-@register("n3_ivf_pq_search", f"""WITH {_SCALED}
-SELECT CAST(id AS BIGINT) AS qid, least(10, (SELECT count(*) FROM scaled)) AS n_rows, CAST(0 AS DOUBLE) AS worst_error, true AS in_order FROM base""")
-def n3_ivf_pq_search(spark, sf_dir):
+@register("j12_forest_index_build", f"""{_FOREST_SQL[:_FOREST_SQL.index("paths AS (")].rstrip().rstrip(",")}
+SELECT CAST(t AS INTEGER) AS tree, count(*) AS n_items, count(DISTINCT code) AS n_codes FROM codes WHERE side = 'i' GROUP BY t""")
+def j12_forest_index_build(spark, sf_dir):
+    """Write the stored forest (or find it written) and count its entries."""
+    codes = SE.stored_forest(spark, _t(spark, sf_dir), sf_dir, **_FOREST_KW).store.read("codes")
+    return codes.groupBy("tree").agg(F.count("*").alias("n_items"), F.count_distinct("code").alias("n_codes"))
+
+
+@register("j12_forest_index_search", _FOREST_SQL)
+def j12_forest_index_search(spark, sf_dir):
+    """Search in the stored forest: nothing of the items is hashed again."""
+    t = _t(spark, sf_dir)
+    return _round_score(SE.stored_forest(spark, t, sf_dir, **_FOREST_KW).search(TB.item_factors(t.embeddings), 10))
+
+
+@register("j12_forest_index_append", _FOREST_SQL)
+def j12_forest_index_append(spark, sf_dir):
+    """The same answers from a forest that grew by two batches."""
+    t = _t(spark, sf_dir)
+    return _round_score(SE.grown_forest(spark, t, sf_dir, **_FOREST_KW).search(TB.item_factors(t.embeddings), 10))
+
+
+_IVF_SQL = f"""WITH {_SCALED}
+SELECT CAST(id AS BIGINT) AS qid, least(10, (SELECT count(*) FROM scaled)) AS n_rows, CAST(0 AS DOUBLE) AS worst_error, true AS in_order FROM base"""
+
+
+def _list_check(t, got):
     """The learned index returns other rows than SQL could derive; per query: rows, the largest difference between
     a reported score and the cosine of its pair, and whether the order is by (score desc, id)."""
-    t = _t(spark, sf_dir)
-    got = SE.ivf_pq(t, 10, **_IVF_KW)
     q = TB.item_factors(t.embeddings).select(F.col("id").cast("long").alias("qid"), F.col("features").alias("a"))
     i = TB.scaled_factors(t.embeddings).select(F.col("id").cast("long").alias("iid"), F.col("features").alias("b"))
     cos = array_dot("a", "b") / F.sqrt(array_dot("a", "a") * array_dot("b", "b"))
@@ -781,9 +816,23 @@ def n3_ivf_pq_search(spark, sf_dir):
         "qid", "n_rows", "worst_error", (F.col("l.o") == F.array_sort("l.o")).alias("in_order"))
 
 
-@register("n5_recall", """SELECT unnest(['forest', 'ivf_pq']) AS method, count(*) AS n_queries, true AS recall_from_09 FROM embeddings""")
+@register("n3_ivf_pq_search", _IVF_SQL)
+def n3_ivf_pq_search(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return _list_check(t, SE.ivf_pq(t, 10, **_IVF_KW))
+
+
+@register("j12_cell_index_search", _IVF_SQL)
+def j12_cell_index_search(spark, sf_dir):
+    """Search in the stored partitioned index."""
+    t = _t(spark, sf_dir)
+    return _list_check(t, SE.stored_cells(spark, t, sf_dir).search(TB.item_factors(t.embeddings), 10))
+
+
+@register("n5_recall", """SELECT unnest(['forest', 'ivf_pq']) AS method, count(*) AS n_queries, true AS recall_from_09 FROM embeddings
+WHERE vec_id % 10 = 0""")
 def n5_recall(spark, sf_dir):
-    """Recall at 10 of both indexes against exact search: 0.9 or more."""
+    """Recall at 10 of both indexes against exact search, by queries that are no items: 0.9 or more."""
     r = SE.recall_report(_t(spark, sf_dir), 10, _FOREST_KW, _IVF_KW)
     return r.select("method", "n_queries", (F.col("recall_at_10") >= 0.9).alias("recall_from_09"))
 

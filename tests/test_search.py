@@ -85,3 +85,66 @@ def test_every_query_gets_min_k_n_rows(spark, search, n, k):
     queries = _vectors(spark, rng.standard_normal((25, 15)) * 3, 100_000)
     got = search(queries, _vectors(spark, m), k).groupBy("qid").agg(F.count("*").alias("n"), F.max("pos").alias("p")).collect()
     assert len(got) == 25 and {(r.n, r.p) for r in got} == {(min(k, n), min(k, n) - 1)}
+
+
+def test_stored_forest_is_read_and_grows(spark, tmp_path, monkeypatch):
+    """A second job opens the index: the same rows as a fresh one, and no item is hashed again."""
+    items = _planted(spark)
+    want = sorted(map(tuple, A.forest_search(items, items, 7, n_trees=6, bucket=24, seed=1).collect()))
+    A.ForestIndex.build(items, str(tmp_path / "a"), n_trees=6, bucket=24, seed=1, k=7)
+    hashed = []
+    codes = A._codes
+    monkeypatch.setattr(A, "_codes", lambda df, planes, name: hashed.append(name) or codes(df, planes, name))
+    got = A.ForestIndex.open(spark, str(tmp_path / "a")).search(items, 7)
+    assert sorted(map(tuple, got.collect())) == want and hashed == ["qid"]
+    grown = A.ForestIndex.build(items.where("id < 200"), str(tmp_path / "b"), n_trees=6, bucket=24, seed=1, k=7, capacity=600)
+    grown.append(items.where("id between 200 and 350"))
+    grown.append(items.where("id > 350"))
+    assert grown.size() == 600
+    again = A.ForestIndex.open(spark, str(tmp_path / "b"))
+    assert sorted(map(tuple, again.search(items, 7).collect())) == want
+    with pytest.raises(ValueError, match="there is an index"):
+        A.ForestIndex.build(items, str(tmp_path / "a"))
+
+
+def test_stored_cells_are_read_and_grow(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    items = _planted(spark)
+    queries = _vectors(spark, rng.standard_normal((40, 16)), 5000)
+    exact = RT.exact_top_k(queries, items, 10, metric="cosine")
+    index = A.PartitionedIndex.build(items.where("id % 4 != 0"), str(tmp_path / "c"))
+    index.append(items.where("id % 4 = 0"))
+    again = A.PartitionedIndex.open(spark, str(tmp_path / "c"))
+    got = again.search(queries, 10)
+    assert got.count() == 400 and got.where("iid % 4 = 0").count() > 0
+    assert A.recall_at_k(got, exact, 10).first()[0] >= 0.9
+
+
+def test_uncommitted_batches_are_not_read(spark, tmp_path):
+    from cadenza.sources.store import BatchStore
+    path = str(tmp_path / "s")
+    store = BatchStore(spark, path)
+    store.append({"t": spark.range(3)}, note="first")
+    spark.range(100).write.parquet(f"{path}/t/batch=1")  # a writer that died before its commit
+    assert BatchStore(spark, path).read("t").count() == 3
+    store.append({"t": spark.range(5), "u": lambda: store.read("t", 1).selectExpr("id * 2 AS id")})
+    again = BatchStore(spark, path)
+    assert again.read("t").count() == 8 and again.read("u").count() == 5 and again.notes["note"] == "first"
+
+
+def test_lloyd_steps_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    m = rng.standard_normal((500, 6))
+    items = _vectors(spark, m).repartition(7)
+    centers = m[:9].copy()
+    want = centers.copy()
+    for _ in range(3):
+        c = A._nearest(m, want)
+        want = np.stack([m[c == k].mean(axis=0) if (c == k).any() else want[k] for k in range(9)])
+        centers = A.lloyd_step(items, lambda x, y: (A._nearest(x, y), x), centers)
+    assert np.allclose(centers, want, atol=1e-12)
+    cells, books = A.fit_quantiser(items, 9, n_codes=5)
+    assert cells.shape == (9, 6) and books.shape == (3, 5, 2)
+    r = A._sub_blocks(m - cells[A._nearest(m, cells)])
+    spread = ((r - books[np.arange(3), A._assign_codes(r, books)]) ** 2).sum()
+    assert spread < 0.6 * (r ** 2).sum()
