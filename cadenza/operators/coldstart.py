@@ -1,24 +1,16 @@
-"""Cold start: item features -> latent factors.
+"""Cold start: item features -> latent factors; the ridge is in :mod:`cadenza.operators.ridge`.
 
 A design row is sparse: ``idx`` (feature numbers) and ``val``, one entry per categorical column (its level)
-and one per numeric column, so width costs nothing per row. The multi-output ridge is solved on the centred
-normal equations in a block Krylov space that all outputs and all alphas share, for any width, alpha 0
-included: a pass ships up to 128 directions (features x directions), every task multiplies its rows with
-them and back, and the partial products are summed in blocks of feature rows. Rows are centred before they are multiplied, so no large sums cancel. The driver
-holds matrices of the size of the coefficients, never rows.
+and one per numeric column, so width costs nothing per row.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.ordering import exclusive_prefix_sum
 
-BLOCK_BYTES = 1 << 20
-
 
 # ----------------------------------------------------------------------- C3 - C5
 def level_index(df: DataFrame, col: str) -> DataFrame:
@@ -64,182 +56,6 @@ def assemble(df: DataFrame, cols, sizes, numeric) -> tuple[DataFrame, int]:
     return df.withColumns({"idx": F.array(*idx), "val": F.array(*val)}), base + len(numeric)
 
 
-# ----------------------------------------------------------------------- C6
-def _rows(pdf: pd.DataFrame):
-    """(row numbers, feature numbers, values) of a batch of sparse rows."""
-    lens = pdf["idx"].map(len).to_numpy()
-    if not lens.sum():
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return np.repeat(np.arange(len(pdf)), lens), np.concatenate(list(pdf["idx"])), np.concatenate(list(pdf["val"]))
-
-
-def _times(rows, w: np.ndarray, n: int) -> np.ndarray:
-    r, i, v = rows
-    out = np.zeros((n, w.shape[1]))
-    np.add.at(out, r, v[:, None] * w[i])
-    return out
-
-
-def _back(rows, u: np.ndarray, d: int) -> np.ndarray:
-    r, i, v = rows
-    out = np.zeros((d, u.shape[1]))
-    np.add.at(out, i, v[:, None] * u[r])
-    return out
-
-
-def summed(df: DataFrame, shape: tuple, product) -> np.ndarray:
-    """Sum over all batches of ``product(batch)`` (a matrix of ``shape``), added up per block of its rows, so that
-    a task or row never holds more than one partial matrix; returned to the driver (coefficient-sized)."""
-    step = max(1, BLOCK_BYTES // (8 * max(1, shape[1])))
-
-    def partial(it):
-        acc = None
-        for pdf in it:
-            if len(pdf):
-                p = product(pdf)
-                acc = p if acc is None else acc + p
-        if acc is not None:
-            for k in range(0, shape[0], step):
-                yield pd.DataFrame({"block": [k], "part": [acc[k:k + step].tobytes()]})
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(b) for b in pdf["part"])
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "part": [total.tobytes()]})
-
-    parts = df.mapInPandas(partial, "block int, part binary").groupBy("block").applyInPandas(add, "block int, part binary")
-    out = np.zeros(shape)
-    for r in parts.collect():
-        out[r["block"]:r["block"] + step] = np.frombuffer(r["part"]).reshape(-1, shape[1])
-    return out
-
-
-class Design:
-    """A split's sparse rows with their centring: ``df(idx, val, y)``, d features, r outputs."""
-
-    def __init__(self, df: DataFrame, d: int, r: int):
-        self.df, self.d, self.r = df.select("idx", "val", "y"), d, r
-
-        def sums(pdf):
-            _, i, v = _rows(pdf)
-            return np.concatenate([np.bincount(i, v, d), np.bincount(i, minlength=d), np.vstack(list(pdf["y"])).sum(0),
-                                   [len(pdf)]])[:, None]
-
-        t = summed(self.df, (2 * d + r + 1, 1), sums)[:, 0]
-        self.n = max(t[-1], 1.0)
-        count, self.mx, self.my = t[d:2 * d], t[:d] / self.n, t[2 * d:-1] / self.n
-        m, my = self.mx, self.my
-
-        def centred(pdf):
-            rows = _rows(pdf)
-            u = np.vstack(list(pdf["y"])) - my
-            squares = np.bincount(rows[1], (rows[2] - m[rows[1]]) ** 2, d + 1)
-            return np.hstack([np.vstack([_back(rows, u, d), u.sum(axis=0)]), squares[:, None]])
-
-        out = summed(self.df, (d + 1, r + 1), centred)
-        # Xc' Yc, and the centred sum of squares per feature: a feature that a row does not name counts as 0 there.
-        self.rhs = out[:d, :r] - np.outer(m, out[d, :r])
-        self.diag = out[:d, r] + (self.n - count) * m * m
-
-    def gram_times(self, p: np.ndarray) -> np.ndarray:
-        """Xc' Xc p"""
-        m, d = self.mx, self.d
-        shift = m @ p
-
-        def product(pdf):
-            rows = _rows(pdf)
-            u = _times(rows, p, len(pdf)) - shift
-            return np.vstack([_back(rows, u, d), u.sum(axis=0)])
-
-        out = summed(self.df, (d + 1, p.shape[1]), product)
-        return out[:d] - np.outer(m, out[d])
-
-
-def _solve(h: np.ndarray, rhs: np.ndarray) -> np.ndarray:
-    """Least-norm solution of a symmetric positive semidefinite system."""
-    e, q = np.linalg.eigh((h + h.T) / 2)
-    good = e > 1e-13 * max(e[-1], 1e-300)
-    return (q[:, good] / e[good]) @ (q[:, good].T @ rhs)
-
-
-def ridge(x: Design, alphas, start: dict | None = None, tol: float = 1e-10, block: int = 128, keep: int = 1024) -> dict:
-    """``{alpha: (W d x r, b r)}`` minimising ``||y - Xw - b||^2 + alpha ||w||^2`` per output, the intercept free.
-
-    Block Krylov: all outputs and alphas look for their weights in one shared space (features scaled to unit
-    diagonal). A pass multiplies up to ``block`` new directions, the strongest parts of all open residuals, with
-    the rows; every fit is then the best one in the whole space. ``keep`` directions at most are held; beyond, the
-    fits so far become the start of a new space. A width below ``block`` needs one or two passes, any other more.
-
-    At alpha 0 the fit is a least-squares solution (its predictions are unique, on rank-deficient one-hot columns
-    its weights are not). Residuals that stay above 1e-7 of the right side raise an error.
-    """
-    alphas = [float(a) for a in alphas]
-    s = 1.0 / np.sqrt(np.where(x.diag > 0, x.diag, 1.0))[:, None]
-    rhs = s * x.rhs
-    size = np.maximum(np.sqrt((rhs ** 2).sum(0)), 1e-300)
-    base = {a: start[a][0] / s if start and a in start else np.zeros((x.d, x.r)) for a in alphas}
-    left = {a: rhs.copy() for a in alphas}
-    warm = [a for a in alphas if base[a].any()]
-    if warm:
-        g = np.split(s * x.gram_times(s * np.hstack([base[a] for a in warm])), len(warm), axis=1)
-        for a, q in zip(warm, g, strict=True):
-            left[a] -= q + a * s * s * base[a]
-    v, u = np.zeros((x.d, 0)), np.zeros((x.d, 0))
-    c = {a: np.zeros((0, x.r)) for a in alphas}
-
-    def residual(a):
-        return left[a] - u @ c[a] - a * s * s * (v @ c[a])
-
-    worst = np.inf
-    for _ in range(3 * x.d + 100):
-        res = np.hstack([residual(a) for a in alphas])
-        rel = np.sqrt((res ** 2).sum(0)) / np.tile(size, len(alphas))
-        if rel.max() <= tol:
-            break
-        new = res[:, rel > tol] / np.sqrt((res[:, rel > tol] ** 2).sum(0))
-        for _ in range(2):
-            new = new - v @ (v.T @ new)
-        q, weight, _ = np.linalg.svd(new, full_matrices=False)
-        q = q[:, weight > 1e-9][:, :block]
-        if not q.shape[1] or (v.shape[1] + q.shape[1] > keep and rel.max() > 0.9 * worst):
-            break  # nothing left to look for, or no progress over a whole space
-        if v.shape[1] + q.shape[1] > keep:
-            worst = rel.max()
-            for a in alphas:
-                left[a], base[a] = residual(a), base[a] + v @ c[a]
-            v, u = np.zeros((x.d, 0)), np.zeros((x.d, 0))
-            q, weight, _ = np.linalg.svd(res / np.maximum(np.sqrt((res ** 2).sum(0)), 1e-300), full_matrices=False)
-            q = q[:, weight > 1e-9][:, :block]
-        v, u = np.hstack([v, q]), np.hstack([u, s * x.gram_times(s * q)])
-        h, m = v.T @ u, v.T @ (s * s * v)
-        c = {a: _solve(h + a * m, v.T @ left[a]) for a in alphas}
-    if rel.max() > 1e-7:
-        raise RuntimeError("the ridge solver did not reach its tolerance")
-    out = {a: s * (base[a] + v @ c[a]) for a in alphas}
-    return {a: (w, x.my - x.mx @ w) for a, w in out.items()}
-
-
-def gradient_gap(x: Design, fits: dict) -> dict:
-    """Largest ``|X'(y - Xw - b) - alpha w|`` per alpha, in units of the largest ``|X'y|`` (a fresh pass over the rows)."""
-    rhs = x.rhs
-    alphas = list(fits)
-    g = np.split(x.gram_times(np.hstack([fits[a][0] for a in alphas])), len(alphas), axis=1)
-    return {a: float(np.abs(rhs - q - a * fits[a][0]).max() / max(np.abs(rhs).max(), 1e-300)) for a, q in zip(alphas, g, strict=True)}
-
-
-def predict(df: DataFrame, w: np.ndarray, b: np.ndarray, out_col: str = "pred") -> DataFrame:
-    """Apply one coefficient matrix (shipped once per executor as a broadcast) to every row (idx, val)."""
-    shared = df.sparkSession.sparkContext.broadcast((w, b))
-
-    def fn(it):
-        w, b = shared.value
-        for pdf in it:
-            if len(pdf):
-                yield pdf.assign(**{out_col: list(_times(_rows(pdf), w, len(pdf)) + b)})
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", {out_col} array<double>"
-    return df.mapInPandas(fn, schema)
-
-
 # ------------------------------------------------------------------ A11 / A12
 def mse_r2(df: DataFrame, y_col: str, p_col: str, decimals: int | None = None) -> DataFrame:
     """A11 + A12 for multi-output predictions: MSE (mean over rows, then outputs) and
@@ -253,59 +69,3 @@ def mse_r2(df: DataFrame, y_col: str, p_col: str, decimals: int | None = None) -
     if decimals is not None:
         out = out.select(*[F.bround(c, decimals).alias(c) for c in out.columns])
     return out
-
-
-# ----------------------------------------------------------------------- C7 / C8
-def scores(df: DataFrame, r: int, fits: dict, near: np.ndarray | None = None) -> dict:
-    """A11 + A12 of every fit in one pass: ``{alpha: {mse, r2}}``; MSE averages over rows and outputs, R^2 over
-    outputs that vary. ``near``: values close to the means of ``y`` (the training means), so that nothing cancels."""
-    alphas = list(fits)
-    w, b = np.hstack([fits[a][0] for a in alphas]), np.concatenate([fits[a][1] for a in alphas])
-    near = np.zeros(r) if near is None else near
-
-    def product(pdf):
-        y = np.vstack(list(pdf["y"]))
-        e = np.tile(y, len(alphas)) - _times(_rows(pdf), w, len(pdf)) - b
-        return np.concatenate([(e * e).sum(0), ((y - near) ** 2).sum(0), (y - near).sum(0), [len(pdf)]])[None]
-
-    k = len(alphas) * r
-    out = summed(df.select("idx", "val", "y"), (1, k + 2 * r + 1), product)[0]
-    n = max(out[-1], 1.0)
-    total = out[k:k + r]
-    sst = total - out[k + r:-1] ** 2 / n
-    ok = sst > 1e-12 * np.maximum(total, 1e-300)
-    return {a: {"mse": float(np.mean(out[j * r:(j + 1) * r] / n)),
-                "r2": float(np.mean(1 - out[j * r:(j + 1) * r][ok] / sst[ok])) if ok.any() else None}
-            for j, a in enumerate(alphas)}
-
-
-def alpha_search(train: DataFrame, val: DataFrame, test: DataFrame, d: int, r: int,
-                 alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
-    """Pick the alpha with the lowest validation MSE, refit on train+val and score test, refit on all."""
-    x = Design(train, d, r)
-    fits = ridge(x, alphas)
-    by = scores(val, r, fits, x.my)
-    best = min(by, key=lambda a: (by[a]["mse"], a))
-    tv = train.unionByName(val)
-    both = ridge(Design(tv, d, r), [best], fits)
-    test_m = scores(test, r, both, x.my)[best]
-    every = Design(tv.unionByName(test), d, r)
-    w, b = ridge(every, [best], both)[best]
-    return {"scores": [{"alpha": a, "val_mse": m["mse"], "val_r2": m["r2"]} for a, m in by.items()], "best_alpha": best,
-            "test_mse": test_m["mse"], "test_r2": test_m["r2"], "weights": w, "intercept": b,
-            "train_design": x, "fits": fits, "all_design": every}
-
-
-def coefficient_table(spark, weights: np.ndarray, intercept: np.ndarray) -> DataFrame:
-    """``(output, feature_idx, weight)`` rows; feature_idx -1 holds the intercept.
-
-    The driver ships one row per output (its weight vector); the long table is
-    produced by ``posexplode`` on the executors.
-    """
-    d, r = weights.shape
-    per_output = spark.createDataFrame(
-        [(j, [float(v) for v in weights[:, j]], float(intercept[j])) for j in range(r)],
-        "output int, w array<double>, b double")
-    coef = per_output.select("output", F.posexplode("w").alias("feature_idx", "weight"))
-    icpt = per_output.select("output", F.lit(-1).alias("feature_idx"), F.col("b").alias("weight"))
-    return coef.unionByName(icpt)

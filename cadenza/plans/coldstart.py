@@ -3,13 +3,13 @@ nested hold-out -> ridge alpha search -> coefficients -> scoring of held-out ite
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators import coldstart as CS
 from cadenza.operators import features as FE
 from cadenza.operators import interactions as I
+from cadenza.operators import ridge as RG
 from cadenza.session import reliable_checkpoint
 from cadenza.sources import tables as TB
 from cadenza.sources.tables import Tables, plays
@@ -39,15 +39,15 @@ def design_matrix(items: DataFrame):
 
 
 def fit(spark, t: Tables, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)):
-    """C6 + C7 on the R4 split; returns the alpha-search result dict and the design table."""
+    """C6 + C7 on the R4 split; returns the alpha-search result and the design table with its split."""
     x, d = design_matrix(aligned_items(t).transform(reliable_checkpoint))
-    x = x.transform(reliable_checkpoint)
+    train, val, test = I.nested_holdout(x, F.col("mapped_id"))
+    x = (train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("validation")))
+         .unionByName(test.withColumn("split", F.lit("test")))).transform(reliable_checkpoint)
     r = len(x.select("y").first()[0])
-    # Every iteration reads the splits again: keep them in memory, or on disk where they do not fit.
-    train, val, test = (s.persist(StorageLevel.MEMORY_AND_DISK) for s in I.nested_holdout(x, F.col("mapped_id")))
-    res = CS.alpha_search(train, val, test, d, r, alphas)
+    res = RG.alpha_search(RG.Moments(x, d, r, "split"), "train", "validation", "test", alphas)
     res["d"], res["r"] = d, r
-    return res, x, (train, val, test)
+    return res, x
 
 
 def alpha_table(spark, res) -> DataFrame:
@@ -56,36 +56,30 @@ def alpha_table(spark, res) -> DataFrame:
     return spark.createDataFrame(rows, "alpha double, val_mse double, val_r2 double, best boolean")
 
 
-def release(splits) -> None:
-    for s in splits:
-        s.unpersist()
-
-
-def _predicted(t: Tables, spark):
-    res, x, splits = fit(spark, t)
-    pred = CS.predict(splits[2].select("mapped_id", "idx", "val"), res["weights"], res["intercept"]).select(
+def _predicted(fitted):
+    res, x = fitted
+    test = x.where("split = 'test'")
+    pred = RG.predict(test.select("mapped_id", "idx", "val"), res["refit"](), res["best_alpha"], "mapped_id").select(
         F.col("mapped_id").alias("id"), F.col("pred").alias("features")).transform(reliable_checkpoint)
-    true = splits[2].select(F.col("mapped_id").alias("id"), F.col("y").alias("features")).transform(reliable_checkpoint)
-    release(splits)
-    return pred, true
+    return pred, test.select(F.col("mapped_id").alias("id"), F.col("y").alias("features"))
 
 
-def cold_start_recall(spark, t: Tables, k: int = 10) -> DataFrame:
+def cold_start_recall(spark, t: Tables, k: int = 10, fitted=None) -> DataFrame:
     """Held-out items get factors predicted from their features; their exact top-k neighbours
     among all items are compared with those of their true factors (recall@k)."""
     from cadenza.operators.ann import recall_at_k
     from cadenza.operators.retrieve import exact_top_k
-    pred, true = _predicted(t, spark)
+    pred, true = _predicted(fitted or fit(spark, t))
     items = TB.item_factors(t.embeddings).select("id", "features")
     return recall_at_k(exact_top_k(pred, items, k, metric="cosine"), exact_top_k(true, items, k, metric="cosine"), k)
 
 
-def cold_start_eval(spark, t: Tables, k: int = 500, ks=(10, 20, 50, 100, 500)) -> DataFrame:
+def cold_start_eval(spark, t: Tables, k: int = 500, ks=(10, 20, 50, 100, 500), fitted=None) -> DataFrame:
     """C9 + J7 + A7-A9: users rank the held-out items by predicted factors; their lists are scored against the
     plays of those items. The true factors are the other row, as the ceiling."""
     from cadenza.operators import metrics as M
     from cadenza.operators.retrieve import exact_top_k, top_k_lists
-    pred, true = _predicted(t, spark)
+    pred, true = _predicted(fitted or fit(spark, t))
     idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
     pairs = (plays(t.orders, t.lineitem).join(idmap, "track_id").join(pred.select(F.col("id").alias("mapped_id")), "mapped_id")
              .select(F.col("user_id").cast("int").alias("user"), F.col("mapped_id").alias("item"))).transform(reliable_checkpoint)

@@ -95,12 +95,11 @@ def search_job(spark, queries: DataFrame, items: DataFrame, ks, out_dir: str, lo
 
 def coldstart_job(spark, sf_dir: str, out_dir: str, alphas=(0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)) -> dict:
     """Fit the features -> factors ridge, write the alpha table and the coefficients."""
-    from cadenza.operators import coldstart as CS
+    from cadenza.operators import ridge as RG
     from cadenza.plans import coldstart as CP
     from cadenza.sources.tables import Tables
-    res, _, splits = CP.fit(spark, Tables(spark, sf_dir), alphas)
-    CP.release(splits)
+    res, _ = CP.fit(spark, Tables(spark, sf_dir), alphas)
     FI.write_parquet(CP.alpha_table(spark, res), os.path.join(out_dir, "alpha_search"), mode="overwrite")
-    FI.write_parquet(CS.coefficient_table(spark, res["weights"], res["intercept"]),
+    FI.write_parquet(RG.coefficient_table(res["refit"](), res["best_alpha"]),
                      os.path.join(out_dir, "coefficients"), mode="overwrite")
     return {"best_alpha": res["best_alpha"], "test_mse": res["test_mse"], "test_r2": res["test_r2"]}

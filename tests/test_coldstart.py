@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators import coldstart as CS
+from cadenza.operators import ridge as RG
 
 ALPHAS = (0.0, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)
 
@@ -30,37 +31,98 @@ def _one_hot_data(rng, n, levels, r):
     return x, x @ rng.standard_normal((x.shape[1], r)) * 1e-3 + rng.standard_normal((n, r)) + 50
 
 
-def test_ridge_matches_normal_equations(spark):
+def _collected(fits, alpha):
+    w = np.zeros((fits.d, fits.r))
+    for row in fits.rows(alpha).collect():
+        w[row.idx] = row.w
+    return w, fits.intercept[alpha]
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_ridge_matches_normal_equations(spark, monkeypatch, block):
+    """Also with panels of four features, so that the Gram matrix comes in several strips."""
+    monkeypatch.setattr(RG, "BLOCK", block)
+    monkeypatch.setattr(RG, "STRIP", 2 if block == 4 else RG.STRIP)
     rng = np.random.default_rng(0)
     x, y = _one_hot_data(rng, 300, (6, 9), 3)
     df = _frame(spark, x, y)
-    design = CS.Design(df, x.shape[1], 3)
-    fits = CS.ridge(design, ALPHAS)
-    for a in ALPHAS:
+    design = RG.Design(RG.Moments(df, x.shape[1], 3))
+    alphas = ALPHAS if block > 4 else (0.0, 0.5)
+    fits = RG.ridge(design, alphas)
+    for a in alphas:
         w, b = _dense(x, y, a)
-        assert np.allclose(x @ fits[a][0] + fits[a][1], x @ w + b, atol=1e-6)
+        got = _collected(fits, a)
+        assert np.allclose(x @ got[0] + got[1], x @ w + b, atol=1e-6)
         if a:
-            assert np.allclose(fits[a][0], w, atol=1e-6) and np.allclose(fits[a][1], b, atol=1e-3)
-    assert max(CS.gradient_gap(design, fits).values()) < 1e-8
-    pred = CS.predict(df, *fits[1.0])
+            assert np.allclose(got[0], w, atol=1e-6) and np.allclose(got[1], b, atol=1e-3)
+    assert max(RG.gradient_gap(design, fits).values()) < 1e-8
+    a = alphas[-1]
+    pred = RG.predict(df, fits, a, "id")
     m = CS.mse_r2(pred, "y", "pred").first()
-    p = x @ fits[1.0][0] + fits[1.0][1]
+    w, b = _collected(fits, a)
+    p = x @ w + b
     assert m.mse == pytest.approx(((y - p) ** 2).mean())
     assert m.r2 == pytest.approx(np.mean(1 - ((y - p) ** 2).sum(0) / ((y - y.mean(0)) ** 2).sum(0)))
-    s = CS.scores(df, 3, fits)[1.0]
+    s = RG.scores(design, fits)[a]
     assert s["mse"] == pytest.approx(m.mse, rel=1e-9) and s["r2"] == pytest.approx(m.r2, rel=1e-9)
+    table = RG.coefficient_table(fits, a)
+    assert table.count() == 3 * (x.shape[1] + 1)
+    assert sorted(r.weight for r in table.where("feature_idx = -1").collect()) == pytest.approx(sorted(b))
 
 
 def test_small_blocks_and_restarts_find_the_same_fits(spark):
-    """Three directions a pass, and a new space after every dozen."""
+    """Five directions a step, and a new space after every fifteen."""
     rng = np.random.default_rng(7)
     x, y = _one_hot_data(rng, 200, (8, 5), 4)
-    design = CS.Design(_frame(spark, x, y, 2), x.shape[1], 4)
-    fits = CS.ridge(design, (0.0, 0.5), block=3, keep=12)
+    design = RG.Design(RG.Moments(_frame(spark, x, y, 2), x.shape[1], 4))
+    fits = RG.ridge(design, (0.0, 0.5), block=5, keep=15)
     for a in (0.0, 0.5):
         w, b = _dense(x, y, a)
-        assert np.allclose(x @ fits[a][0] + fits[a][1], x @ w + b, atol=1e-5)
-    assert max(CS.gradient_gap(design, fits).values()) < 1e-7
+        got = _collected(fits, a)
+        assert np.allclose(x @ got[0] + got[1], x @ w + b, atol=1e-5)
+    assert max(RG.gradient_gap(design, fits).values()) < 1e-7
+
+
+def test_splits_add_up(spark):
+    """Moments of one pass serve every split; scores on a split equal those of its rows, unseen levels included."""
+    rng = np.random.default_rng(5)
+    x, y = _one_hot_data(rng, 200, (12, 30), 2)
+    df = _frame(spark, x, y).withColumn("s", F.when(F.col("id") % 4 == 0, "b").otherwise("a"))
+    mo = RG.Moments(df, x.shape[1], 2, "s")
+    a, b = np.arange(200) % 4 != 0, np.arange(200) % 4 == 0
+    fits = RG.ridge(RG.Design(mo, ["a"]), (0.1,))
+    w, i = _dense(x[a], y[a], 0.1)
+    p = x[b] @ w + i
+    got = RG.scores(RG.Design(mo, ["b"]), fits)[0.1]
+    assert got["mse"] == pytest.approx(((y[b] - p) ** 2).mean(), rel=1e-7)
+    whole = _collected(RG.ridge(RG.Design(mo), (0.1,)), 0.1)
+    assert np.allclose(whole[0], _dense(x, y, 0.1)[0], atol=1e-6)
+    assert RG.scores(RG.Design(mo, ["none"]), fits)[0.1]["r2"] is None
+
+
+def test_two_hundred_thousand_levels(spark):
+    """No matrix as long as the features reaches the driver: the fit of 200,000 levels passes through a driver of 1 GB that may
+    collect 4 MB a job, less than one alpha's weights (6.4 MB), and far less than the basis."""
+    import subprocess
+    import sys
+    code = """
+import numpy as np
+from pyspark.sql import functions as F
+from cadenza.session import get_spark
+from cadenza.operators import ridge as RG
+spark = get_spark("wide", master="local[4]", shuffle_partitions=8, **{"spark.driver.memory": "1g", "spark.driver.maxResultSize": "4m", "spark.sql.autoBroadcastJoinThreshold": "1m"})
+n, d = 120_000, 200_001
+u = lambda s: F.pmod(F.xxhash64("id", F.lit(s)), F.lit(1 << 30)) / float(1 << 30)
+df = spark.range(n).select(F.array((F.col("id") % 120_000).cast("int"), (F.floor(u(1) * 80_000) + 120_000).cast("int"), F.lit(200_000)).alias("idx"),
+                           F.array(F.lit(1.0), F.lit(1.0), u(2) + 1e3).alias("val"), F.array(*[u(10 + k) for k in range(4)]).alias("y"))
+x = RG.Design(RG.Moments(df, d, 4))
+fits = RG.ridge(x, (50.0,), tol=1e-3, block=8)
+assert RG.gradient_gap(x, fits)[50.0] < 5e-2
+assert fits.rows(50.0).count() == d
+print("solved")
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+    assert "solved" in done.stdout, done.stderr[-3000:]
 
 
 def test_impute_fixture(spark):
@@ -89,8 +151,8 @@ def test_alpha_table_is_the_same_at_any_width(spark):
     wide = narrow.withColumn("idx", F.transform("idx", lambda i: F.element_at(F.array(*[F.lit(int(u)) for u in used]), i + 1)))
 
     def search(df, d):
-        b = F.col("id") % 5
-        r = CS.alpha_search(df.where(b < 3).cache(), df.where(b == 3), df.where(b == 4), d, 2, ALPHAS)
+        by = df.withColumn("s", F.when(F.col("id") % 5 < 3, "a").when(F.col("id") % 5 == 3, "b").otherwise("c"))
+        r = RG.alpha_search(RG.Moments(by, d, 2, "s"), "a", "b", "c", ALPHAS)
         return r["best_alpha"], [s["alpha"] for s in r["scores"]], [s["val_mse"] for s in r["scores"]], r["test_mse"]
 
     a, b = search(narrow, x.shape[1]), search(wide, 4200)
