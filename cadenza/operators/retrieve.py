@@ -55,24 +55,32 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(better | (ties & (np.cumsum(ties, axis=1) <= room)))
 
 
-def _scores_top_k(qids, qmat, iids, imat, k: int, chunk: int = 512):
-    """Local top-k per query row, scoring ``chunk`` queries at a time: arrays (qid, iid, score).
+def _scores_top_k(qids, qmat, iids, imat, k: int, cells: int = 1 << 22):
+    """Local top-k per query row, scoring ``cells`` pairs at a time: arrays (qid, pos, iid, score), in rank order.
 
     Scores are compared by 10 decimals, so that equal vectors tie wherever the matrix product puts them;
     ties go to the lower item id (items are sorted by id first).
     """
     order = np.argsort(iids, kind="stable")
     iids, imat = np.asarray(iids)[order], imat[order]
-    out_q, out_i, out_s = [], [], []
+    out_q, out_p, out_i, out_s = [], [], [], []
+    chunk = max(1, min(512, cells // max(1, len(iids))))
+    width = min(k, len(iids))
     for s in range(0, len(qids), chunk):
         sc = qmat[s:s + chunk] @ imat.T
-        rows, cols = best_columns(np.round(sc, 10), k)
+        rounded = np.round(sc, 10)
+        rows, cols = best_columns(rounded, k)
+        n = len(sc)
+        cols = cols.reshape(n, width)
+        by = np.argsort(-np.take_along_axis(rounded, cols, axis=1), axis=1, kind="stable")
+        cols = np.take_along_axis(cols, by, axis=1).ravel()
         out_q.append(np.asarray(qids[s:s + chunk])[rows])
+        out_p.append(np.tile(np.arange(width), n))
         out_i.append(iids[cols])
         out_s.append(sc[rows, cols])
     if not out_q:
-        return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=np.float64)
-    return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
+        return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=np.float64)
+    return np.concatenate(out_q), np.concatenate(out_p), np.concatenate(out_i), np.concatenate(out_s)
 
 
 def _stack(series) -> np.ndarray:
@@ -104,13 +112,14 @@ def block_counts(n_queries: int, n_items: int, parallelism: int, max_query_block
 
 def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "qid", i_id: str = "iid",
                   q_vec: str = "qvec", i_vec: str = "ivec", metric: str = "dot",
-                  query_block: int = 16384, item_block: int = 16384,
+                  query_block: int = 16384, item_block: int | None = None,
                   group_col: str | None = None, q_blocks=None, i_blocks=None) -> DataFrame:
     """Exact top-k items per query by inner product (or cosine): ``(qid, pos, iid, score)``.
 
     ``group_col`` restricts scoring to pairs sharing that key (a probed cell);
     ``q_blocks`` / ``i_blocks`` are per-group block counts ``(group_col, n)``
-    (default: one global block count from the row counts).
+    (default: one global block count from the row counts). An item block holds at most ``item_block`` rows (default:
+    as many as take 8 MB). One item block needs no merge: its local lists are the result.
     """
     if metric not in ("dot", "cosine"):
         raise ValueError("metric must be 'dot' or 'cosine'")
@@ -128,8 +137,9 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
         size = (q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("d"), F.lit(0).alias("side"))
                 .unionByName(it.agg(F.count("*").alias("n"), F.max(F.size("ivec")).alias("d"), F.lit(1).alias("side"))))
         counts = {r["side"]: r for r in size.collect()}
+        dim = int(counts[0]["d"] or 1)
         nq, ni = block_counts(counts[0]["n"], counts[1]["n"], q.sparkSession.sparkContext.defaultParallelism,
-                              query_block, item_block, k=int(k), dim=int(counts[0]["d"] or 1))
+                              query_block, item_block or max(16384, (1 << 20) // dim), k=int(k), dim=dim)
         q = q.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
         it = it.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
     else:
@@ -153,15 +163,18 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
 
     def score(qpdf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(ipdf) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "iid": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        qi, ii, ss = _scores_top_k(qpdf["qid"].to_numpy(), _stack(qpdf["qvec"]),
-                                   ipdf["iid"].to_numpy(), _stack(ipdf["ivec"]), kk)
-        return pd.DataFrame({"qid": qi.astype("int64"), "iid": ii.astype("int64"), "score": ss.astype("float64")})
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "pos": pd.Series([], dtype="int32"),
+                                 "iid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+        qi, pos, ii, ss = _scores_top_k(qpdf["qid"].to_numpy(), _stack(qpdf["qvec"]),
+                                        ipdf["iid"].to_numpy(), _stack(ipdf["ivec"]), kk)
+        return pd.DataFrame({"qid": qi.astype("int64"), "pos": pos.astype("int32"), "iid": ii.astype("int64"), "score": ss.astype("float64")})
 
     local = (q_rep.groupBy("g", "qb", "ib")
              .cogroup(i_rep.groupBy("g", "qb", "ib"))
-             .applyInPandas(score, schema="qid long, iid long, score double"))
+             .applyInPandas(score, schema="qid long, pos int, iid long, score double"))
+    if q_blocks is None and ni == 1:
+        return local.select(F.col("qid").alias(q_id), "pos", F.col("iid").alias(i_id), "score")
+    local = local.drop("pos")
     if group_col:  # a pair may meet in several groups
         local = local.groupBy("qid", "iid").agg(F.max("score").alias("score"))
     w = Window.partitionBy("qid").orderBy(F.round("score", 10).desc(), F.col("iid").asc())

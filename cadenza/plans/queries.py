@@ -1062,6 +1062,13 @@ def m6_factor_eval(spark, sf_dir):
     return I.union_all(rows)
 
 
+@register("m3_user_equations", S.INDEXED + """
+SELECT DISTINCT user_id_index, true AS solved FROM train""")
+def m3_user_equations(spark, sf_dir):
+    """The learned user factors solve their regularised normal equations given the item factors, user by user."""
+    return R.als_equations(spark, sf_dir).select("user_id_index", (F.col("gap") < 1e-4).alias("solved"))
+
+
 @register("m4_grid_search")
 def m4_grid_search(spark, sf_dir):
     """M4: the published second grid (12 fits: rank 10, 20, 40 x four regularisers), lists of 500; one row per fit."""
