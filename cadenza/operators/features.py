@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,29 +59,81 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(col))
 
 
-def describe_numeric(df: DataFrame, cols, exact_quartiles: bool = True) -> DataFrame:
-    """A4, numeric: count, mean, sample std, min, quartiles, max per column.
+def order_statistics(df: DataFrame, targets: dict, bins: int = 1024) -> dict:
+    """Exact values at given ranks: ``{name: (column, rank from 0)}`` -> ``{name: value}``, nulls and NaN left out.
+
+    Rank selection: a pass counts the values of each open interval in ``bins`` bins of equal width; the bin that
+    holds the rank, cut to the values in it, is the next interval, until it holds one value. A pass reads
+    only the columns, sends at most ``bins`` rows per target and task, and a few passes are enough for doubles.
+    """
+    if not targets:
+        return {}
+    names = list(targets)
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c, _ in targets.values()}
+    span = df.agg(*[f(v).alias(f"{n}{i}") for i, v in enumerate(value.values()) for n, f in (("a", F.min), ("b", F.max))]).first()
+    ends = {c: (span[f"a{i}"], span[f"b{i}"]) for i, c in enumerate(value)}
+    open_ = {n: [*ends[targets[n][0]], 0] for n in names if ends[targets[n][0]][0] is not None}
+    found = {}
+    while open_:
+        for n in [n for n, (lo, hi, _) in open_.items() if lo == hi]:
+            found[n] = open_.pop(n)[0]
+        if not open_:
+            break
+        parts = []
+        for n, (lo, hi, _) in open_.items():
+            v = value[targets[n][0]]
+            at = F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+            parts.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(names.index(n)).alias("t"), at.alias("bin"), v.alias("v"))))
+        rows = df.select(F.explode(F.array(*parts)).alias("r")).where("r is not null").groupBy("r.t", "r.bin").agg(
+            F.count("*").alias("n"), F.min("r.v").alias("lo"), F.max("r.v").alias("hi")).collect()
+        for n, state in open_.items():
+            before = state[2]
+            for r in sorted((r for r in rows if r["t"] == names.index(n)), key=lambda r: r["bin"]):
+                if before + r["n"] > targets[n][1]:
+                    state[:] = [r["lo"], r["hi"], before]
+                    break
+                before += r["n"]
+    return found
+
+
+def quartiles(df: DataFrame, cols, probabilities=(0.25, 0.5, 0.75)) -> dict:
+    """Exact interpolated quantiles per column, by rank selection: ``{column: [value]}`` (None without values). NaN
+    counts as a value above all others, as in Spark's order."""
+    sizes = df.agg(*[a for i, c in enumerate(cols) for a in (F.count(c).alias(f"n{i}"), F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias(f"m{i}"))]).first()
+    targets, got = {}, {}
+    for i, c in enumerate(cols):
+        for p in probabilities if sizes[f"n{i}"] else ():
+            h = (sizes[f"n{i}"] - 1) * p
+            for side, rank in enumerate((math.floor(h), math.ceil(h))):
+                if rank < sizes[f"m{i}"]:
+                    targets[c, p, side] = (c, rank)
+                else:
+                    got[c, p, side] = math.nan
+    got |= order_statistics(df, targets)
+    out = {}
+    for i, c in enumerate(cols):
+        part = [((sizes[f"n{i}"] - 1) * p) % 1 for p in probabilities]
+        out[c] = [got[c, p, 0] + w * (got[c, p, 1] - got[c, p, 0]) if (c, p, 0) in got else None for p, w in zip(probabilities, part, strict=True)]
+    return out
+
+
+def describe_numeric(df: DataFrame, cols) -> DataFrame:
+    """A4, numeric: count, mean, sample std, min, exact interpolated quartiles, max per column.
 
-    One scan computes every statistic of every column; the one-row result is
-    then unpivoted to one row per column. Exact quartiles interpolate between ranks
-    and keep a count per distinct value; for columns of many distinct values
-    ``exact_quartiles=False`` uses the bounded ``percentile_approx`` sketch.
+    One scan computes the sums of every column; the quartiles are found by rank selection, so nothing holds the
+    distinct values. The one-row result is unpivoted to one row per column.
     """
-    aggs = []
+    aggs, marks = [], quartiles(df, cols)
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
-        if exact_quartiles:
-            aggs.append(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"))
-        else:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
     wide = df.agg(*aggs)
     rows = []
     for i, c in enumerate(cols):
         fields = [F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"),
                   F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max")]
-        fields += [F.col(f"q{i}")[j].alias(n) for j, n in enumerate(("q25", "q50", "q75"))]
+        fields += [F.lit(v).cast("double").alias(n) for v, n in zip(marks[c], ("q25", "q50", "q75"), strict=True)]
         rows.append(F.struct(*fields))
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
@@ -109,6 +163,18 @@ def distinct_counts(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     return df.agg(*[f(c).alias(f"n_distinct_{c}") for c in cols])
 
 
+def distinct_sketches(df: DataFrame, by, cols, lg_k: int = 12) -> DataFrame:
+    """A6, mergeable: one HyperLogLog sketch per group and column (``by``, column, sketch), a few KB each, to be stored."""
+    wide = df.groupBy(*by).agg(*[F.hll_sketch_agg(c, F.lit(lg_k)).alias(c) for c in cols])
+    return wide.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("sketch")) for c in cols])).alias("s")) \
+        .select(*by, "s.column", "s.sketch")
+
+
+def distinct_from_sketches(sketches: DataFrame, by=()) -> DataFrame:
+    """Distinct values per column (and ``by``) from stored sketches, merged without reading the rows again."""
+    return sketches.groupBy(*by, "column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+
+
 # ----------------------------------------------------------------- C1 / J2 / J3
 def clean_extras(extras: DataFrame, id_col: str = "track_id") -> DataFrame:
     """``b'TR...'`` text ids -> the bare id."""

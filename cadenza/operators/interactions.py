@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import hash_bucket, log_count
 from cadenza.session import reliable_checkpoint
+from cadenza.sources.store import BatchStore
 
 
 # ------------------------------------------------------------------- P2 / U1
@@ -99,6 +100,32 @@ def build_id_indexes(dfs, cols) -> dict:
     return out
 
 
+class StoredIdIndex:
+    """M1: an id index that a later job loads and extends. Ids keep their number; ``grow`` numbers the unseen ids of a
+    table after the old maximum, in ascending order, as a new batch of the store."""
+
+    def __init__(self, spark, path: str, col: str):
+        self.store, self.col = BatchStore(spark, path), col
+
+    def size(self) -> int:
+        return sum(c["n"] for c in self.store.commits)
+
+    def read(self) -> DataFrame:
+        """``(col, col_index)`` of all committed batches."""
+        return self.store.read("ids")
+
+    def grow(self, df: DataFrame) -> int:
+        """Number the ids of ``df`` that the index does not know; how many those were. NULL ids raise an error."""
+        ids = df.select(self.col).distinct()
+        if self.store.commits:
+            ids = ids.join(self.read(), self.col, "left_anti")
+        new = build_id_index(ids, self.col).withColumn(f"{self.col}_index", F.col(f"{self.col}_index") + self.size()).transform(reliable_checkpoint)
+        n = new.count()
+        if n:
+            self.store.append({"ids": new}, n=n)
+        return n
+
+
 def apply_id_index(df: DataFrame, index: DataFrame, col: str, index_col: str | None = None,
                    keep_original: bool = False) -> DataFrame:
     """M1 transform: replace ``col`` by its index; an id missing from the index raises."""

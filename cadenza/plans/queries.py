@@ -10,6 +10,7 @@ from cadenza.plans import recommend as R
 from cadenza.plans import sql as S
 from cadenza.plans.registry import register
 from cadenza.session import reliable_checkpoint
+from cadenza.sources.store import BatchStore
 from cadenza.sources.tables import Tables, plays
 
 
@@ -37,6 +38,20 @@ def m1_index_interactions(spark, sf_dir):
     return out["all"]
 
 
+@register("m1_stored_index", S.INDEXED + """,
+old AS (SELECT DISTINCT track_id FROM train), new AS (SELECT DISTINCT track_id FROM val WHERE track_id NOT IN (SELECT track_id FROM old))
+SELECT track_id, CAST(row_number() OVER (ORDER BY track_id) - 1 AS INTEGER) AS track_id_index FROM old
+UNION ALL SELECT track_id, CAST((SELECT count(*) FROM old) + row_number() OVER (ORDER BY track_id) - 1 AS INTEGER) FROM new""")
+def m1_stored_index(spark, sf_dir):
+    """An index fitted on the training tracks, opened again, and extended by the validation tracks."""
+    train, val = R.split_plays(_t(spark, sf_dir))
+    path = FI.scratch_dir(spark, "id-index")
+    I.StoredIdIndex(spark, path, "track_id").grow(train)
+    later = I.StoredIdIndex(spark, path, "track_id")
+    later.grow(val)
+    return later.read().select("track_id", "track_id_index")
+
+
 @register("p9_log_count", S.INDEXED + """
 SELECT user_id_index, track_id_index, CAST(log10(1 + "count" / 1e-8) AS FLOAT) AS "count" FROM ip""")
 def p9_log_count(spark, sf_dir):
@@ -255,6 +270,23 @@ def a6_distinct_counts(spark, sf_dir):
     return FE.distinct_counts(_t(spark, sf_dir).part, ["p_brand", "p_type", "p_name"])
 
 
+@register("a6_sketch_counts", """SELECT p_brand, count(DISTINCT p_name) AS n_names, true AS within FROM part GROUP BY p_brand
+UNION ALL SELECT 'all', count(DISTINCT p_name), true FROM part""")
+def a6_sketch_counts(spark, sf_dir):
+    """Sketches per brand, stored, merged on read: the estimates lie within four standard errors (1.04 / 64 each) of
+    the exact counts, which stand beside."""
+    part = _t(spark, sf_dir).part
+    store = BatchStore(spark, FI.scratch_dir(spark, "sketches"))
+    store.append({"sketches": FE.distinct_sketches(part, ["p_brand"], ["p_name"])})
+    sketches = store.read("sketches")
+    est = (FE.distinct_from_sketches(sketches, ["p_brand"]).drop("column")
+           .unionByName(FE.distinct_from_sketches(sketches).select(F.lit("all").alias("p_brand"), "n_distinct")))
+    exact = (part.groupBy("p_brand").agg(F.count_distinct("p_name").alias("n_names"))
+             .unionByName(part.agg(F.count_distinct("p_name").alias("n_names")).select(F.lit("all").alias("p_brand"), "n_names")))
+    return exact.join(est, "p_brand").select("p_brand", "n_names", (F.abs(F.col("n_distinct") - F.col("n_names"))
+                                                                     <= F.greatest(F.lit(1.0), F.col("n_names") * 4 * 1.04 / 64)).alias("within"))
+
+
 @register("j3_artist_full_outer", "WITH " + S.ARTIST_TERM + ", " + S.TERMS + ", " + S.ARTIST_LOCATION + """
 SELECT coalesce(t.artist_id, l.artist_id) AS artist_id, array_to_string(t.term, ',') AS term, l.location
 FROM terms t FULL OUTER JOIN artist_location l ON t.artist_id = l.artist_id""")
@@ -552,6 +584,15 @@ def a19_health_check(spark, sf_dir):
     return report
 
 
+@register("a19_quarantine", "SELECT l_orderkey, l_linenumber, failed_rules, (SELECT count(*) FROM lineitem) AS n_rows FROM (SELECT l_orderkey, l_linenumber, array_to_string(list_filter(["
+          + ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, (c, _) in _CHECKS.items())
+          + "], lambda x: x IS NOT NULL), ',') AS failed_rules FROM lineitem) WHERE failed_rules <> ''")
+def a19_quarantine(spark, sf_dir):
+    """The offending rows as written, with the rules that they fail; the rows of the table were counted in the same pass."""
+    seen, rows = CA.quarantine(_t(spark, sf_dir).lineitem, {n: f() for n, (_, f) in _CHECKS.items()}, FI.scratch_dir(spark, "quarantine"))
+    return rows.select("l_orderkey", "l_linenumber", F.array_join("failed_rules", ",").alias("failed_rules"), F.lit(seen["n_rows"]).alias("n_rows"))
+
+
 @register("a16_dedup_rows", "WITH " + S.CATALOG + """
 SELECT min(track_id) AS track_id, title, artist_id, "release", duration FROM catalog GROUP BY ALL""")
 def a16_dedup_rows(spark, sf_dir):
@@ -981,11 +1022,11 @@ from cadenza.operators import report as RP  # noqa: E402
 SELECT method, k, mean, std, best, worst, loops, round(log10(mean), 4) AS log_mean,
        CASE WHEN mean - std > 0 THEN round(log10(mean - std), 4) END AS log_lo, round(log10(mean + std), 4) AS log_hi FROM g""")
 def s5_s12_a10_timing_stats(spark, sf_dir):
-    """Event values as samples of (type, user group): written as S12 records, read back (S5), summarised (A10)."""
+    """Event values as samples of (type, user group): written in long form (S12), read back by path (S5), summarised (A10)."""
     out = FI.scratch_dir(spark, "timings")
     e = _t(spark, sf_dir).events.select(F.col("event_type").alias("method"), (F.col("user_id") % 5).cast("int").alias("k"), "value")
-    FI.write_timing_groups(e, ["method", "k"], "value", out)
-    r = RP.timing_stats(FI.read_timing_groups(spark, out, "method string, k int"))
+    FI.write_samples(e, "value", out)
+    r = RP.timing_stats(FI.read_samples(spark, out))
     return r.select("method", "k", *[F.round(c, 6).alias(c) for c in ("mean", "std")],
                     *[F.round(c, 4).alias(c) for c in ("log_mean", "log_lo", "log_hi")], "best", "worst", "loops")
 

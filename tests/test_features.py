@@ -45,3 +45,28 @@ def test_catalogue_full_outer_keeps_both_sides(spark):
     out = {r.track_id: (None if r.term is None else list(r.term), r.location)
            for r in FE.catalogue_features(tracks, terms, loc).collect()}
     assert out == {"t1": (["rock"], "L1"), "t2": (None, "L3")}
+
+
+def test_quartiles_by_rank_selection(spark):
+    """Skewed, tied, huge, tiny and missing values, against numpy."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.lognormal(0, 8, 500), np.zeros(300), -rng.lognormal(0, 3, 200), [1e300, -1e300, 5e-324]])
+    y = rng.integers(0, 4, len(x)).astype(float)
+    rows = [(float(a), float(b), None, 7.0) for a, b in zip(x, y, strict=True)] + [(None, None, None, 7.0)] * 5
+    df = spark.createDataFrame(rows, "x double, y double, z double, c double").repartition(5)
+    got = FE.quartiles(df, ["x", "y", "z", "c"], (0.0, 0.1, 0.25, 0.5, 0.75, 1.0))
+    assert got["z"] == [None] * 6 and got["c"] == [7.0] * 6
+    for c, v in (("x", x), ("y", y)):
+        assert np.allclose(got[c], np.quantile(v, (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)), rtol=1e-12)
+    assert "percentile" not in FE.describe_numeric(df, ["x"])._jdf.queryExecution().toString()
+
+
+def test_stored_id_index_keeps_numbers(spark, tmp_path):
+    from cadenza.operators.interactions import StoredIdIndex
+    path = str(tmp_path / "ids")
+    assert StoredIdIndex(spark, path, "u").grow(spark.createDataFrame([("c",), ("a",), ("c",)], "u string")) == 2
+    again = StoredIdIndex(spark, path, "u")
+    assert again.grow(spark.createDataFrame([("b",), ("a",), ("d",)], "u string")) == 2
+    assert again.grow(spark.createDataFrame([("d",)], "u string")) == 0
+    assert {r.u: r.u_index for r in StoredIdIndex(spark, path, "u").read().collect()} == {"a": 0, "c": 1, "b": 2, "d": 3}
