@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import free_name, frees, hash_words, materialise, mix64, small_batches
+from cadenza.llm.common import ascii_lower, free_name, frees, hash_words, materialise, mix64, small_batches, tidy
 
 SHINGLE = 5
 MINIMA = 128
@@ -273,6 +273,7 @@ def _square_links(members: DataFrame, texts: DataFrame, cut: float, percent: int
     return dealt.select(*cols).mapInPandas(frees(scan), "a bigint, b bigint").distinct()
 
 
+@tidy
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     cut = percent / 100 - MARGIN
@@ -314,10 +315,28 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, cut: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(estimate(F.col("sa"), F.col("sb")) >= cut).select("a", "b").distinct()
 
 
+def _normal_form(text: Column) -> Column:
+    """Digest of the words in order; null without words."""
+    words = F.regexp_extract_all(ascii_lower(text), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    return F.when(F.size(words) > 0, F.sha2(F.array_join(words, " "), 256))
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group; same columns as ``docs``."""
+    """One row of each group; same columns as ``docs``. Of rows that share the kept id one stays (the smallest text
+    hash). A row with a null id is in the group of the rows with its words: it goes if such a row has an id, and of
+    several without an id one stays; without words it stays."""
     verdict = near_duplicates(docs, **options)
-    d = free_name(docs, "kept_id")
+    d, rank, form = (free_name(docs, n) for n in ("kept_id", "kept_rank", "kept_form"))
     kept = verdict.where("kept and doc_id is not null").select(F.col("doc_id").alias(d)).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col(d), "left").where(F.col("doc_id").isNull() | F.col(d).isNotNull()) \
-        .select(*docs.columns)
+    named = docs.join(kept, F.col("doc_id") == F.col(d), "left_semi")
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text")))
+    out = named.withColumn(rank, F.row_number().over(one)).where(F.col(rank) <= 1).select(*docs.columns)
+    nameless = docs.where(F.col("doc_id").isNull())
+    if nameless.isEmpty():
+        return out
+    nameless = nameless.withColumn(form, _normal_form(F.col("text")))
+    known = docs.where(F.col("doc_id").isNotNull()).select(_normal_form(F.col("text")).alias(form)).where(F.col(form).isNotNull())
+    first = Window.partitionBy(form).orderBy(F.xxhash64(F.col("text")))
+    alone = (nameless.where(F.col(form).isNotNull()).join(known, form, "left_anti")
+             .withColumn(rank, F.row_number().over(first)).where(F.col(rank) <= 1).select(*docs.columns))
+    return out.unionByName(alone).unionByName(nameless.where(F.col(form).isNull()).select(*docs.columns))

@@ -17,7 +17,8 @@ ln AS (SELECT r, line, regexp_extract_all(line, '{WORD}') AS lw,
        FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
 lx AS (SELECT r, line, len(lw) AS n,
               100 * len(list_filter(lw, lambda x: regexp_matches(x, '[#*$%&|<>]') OR x LIKE '%!!')) > 30 * len(lw)
-              OR len(list_filter(lw, lambda x: x IN ('|', '>', '/', '·'))) >= 3
+              OR (len(list_filter(lw, lambda x: x IN ('|', '>', '/', '·'))) >= 3
+                  AND 100 * len(list_filter(lw, lambda x: x IN ('|', '>', '/', '·'))) >= 10 * len(lw))
               OR (len(lw) <= 20 AND regexp_matches(low, 'all rights reserved|terms of service|privacy policy|cookie policy|accept cookies|released under the|licensed under the|subscribe to our newsletter|javascript is disabled')) AS bad
        FROM ln WHERE len(lw) > 0),
 la AS (SELECT r, count(*) - count(DISTINCT line) AS dup, sum(CASE WHEN bad THEN n ELSE 0 END) AS lost FROM lx GROUP BY r),

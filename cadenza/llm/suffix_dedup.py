@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import frees, materialise, mix64, small_batches
+from cadenza.llm.common import frees, materialise, mix64, small_batches, tidy
 
 SPAN = 400
 GRAM = 64
@@ -450,6 +450,7 @@ def find_spans(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame,
     return rows, cands, materialise(merged_spans(runs, span), "spans")
 
 
+@tidy
 def dedup_report(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     rows, cands, spans = find_spans(docs, span)

@@ -1,9 +1,12 @@
 """URL filters, in DataFrame functions only.
 
-Each URL becomes all pairs of a host suffix (whole labels) and a path prefix that ends in ``/``; the
+Each URL becomes the pairs of a host suffix (whole labels) and a path prefix that ends in ``/`` whose shape some rule
+has: its number of labels, its number of slashes, and no more characters than the longest rule of that shape. No
+other pair can equal a rule, so a URL's work is linear in its length for a given set of rules, whatever it holds. The
 pairs are equi-joined to the rules' (host, path up to its last ``/``) on the first ``prefix_hex`` digits
 of a SHA-256, and confirmed on the full digest and on the rest of the rule's path. The longest rule
-(host and path together) wins, then the longer host, then a block before an allow.
+(host and path together) wins, then the longer host, then a block before an allow. The shapes (a few numbers per
+distinct shape of a rule) are the only part of the rules that the driver holds.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to
 ``?``, ``#`` or the end. A null url, or one without ``://``, has an empty host and path and fits no rule;
@@ -44,26 +47,29 @@ def prepare_rules(rules: DataFrame, prefix_hex: int) -> DataFrame:
     # The path up to its last slash; the rest is compared as text.
     folder = F.regexp_extract("r_path", r"(?s)^(.*/)?", 0)
     r = r.withColumn("r_digest", F.sha2(F.concat("r_host", F.lit(" "), folder), 256))
-    return r.withColumn("r_key", F.substring("r_digest", 1, prefix_hex))
+    r = r.withColumn("r_labels", F.size(F.split("r_host", r"\."))).withColumn("r_slashes", F.size(F.split("r_path", "/")) - 1)
+    return r.withColumn("r_folder", F.length(folder)).withColumn("r_key", F.substring("r_digest", 1, prefix_hex))
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", prefix_hex: int = 8) -> DataFrame:
     """One row per page: page_id, url, host, path, rule, verdict."""
     r = prepare_rules(rules, prefix_hex)
-    n, chars = r.agg(F.count("*"), F.coalesce(F.sum(F.length("r_host") + F.length("r_path")), F.lit(0))).first()
-    if n <= BROADCAST_RULES and chars <= BROADCAST_CHARS:
+    shapes = r.groupBy(F.col("r_labels").alias("labels"), F.col("r_slashes").alias("slashes")).agg(
+        F.max(F.length("r_host")).alias("host"), F.max("r_folder").alias("folder"), F.count("*").alias("n"),
+        F.sum(F.length("r_host") + F.length("r_path")).alias("chars")).collect()
+    if sum(z["n"] for z in shapes) <= BROADCAST_RULES and sum(z["chars"] for z in shapes) <= BROADCAST_CHARS:
         r = F.broadcast(r)
     base = (pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url")
             .withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))))
-    labels = F.split("host", r"\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels) - i + 1), "."))
-    parts = F.split("path", "/")
-    # "" and every prefix that ends in a slash
-    folders = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.when(
-        i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))))
-    pairs = F.flatten(F.transform(hosts, lambda h: F.transform(folders, lambda f: F.concat(h, F.lit(" "), f))))
-    one = (base.withColumn("pair", F.explode_outer(F.when(F.col("host") != "", pairs)))
+    # substring_index counts from the left, or with a negative count from the right; both are linear.
+    base = (base.withColumn("labels", F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1)
+            .withColumn("slashes", F.length("path") - F.length(F.replace("path", F.lit("/"), F.lit("")))))
+    pairs = F.array_compact(F.array(*[
+        F.when((F.col("labels") >= z["labels"]) & (F.col("slashes") >= z["slashes"]) & (F.length(suffix) <= z["host"]) & (F.length(folder) <= z["folder"]),
+               F.concat(suffix, F.lit(" "), folder))
+        for z in shapes for suffix, folder in [(F.substring_index("host", ".", -z["labels"]),
+                                                F.concat(F.substring_index("path", "/", z["slashes"]), F.lit("/" if z["slashes"] else "")))]]))
+    one = (base.withColumn("pair", F.explode_outer(F.when(F.col("host") != "", pairs) if shapes else F.lit(None).cast("array<string>")))
            .withColumn("d", F.sha2("pair", 256)).withColumn("k", F.substring("d", 1, prefix_hex)))
     fits = (F.col("d") == F.col("r_digest")) & F.col("path").startswith(F.col("r_path"))
     rank = F.struct((F.length("r_host") + F.length("r_path")).alias("n"), F.length("r_host").alias("hn"),

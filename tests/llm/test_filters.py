@@ -105,6 +105,42 @@ def test_url_rules_inside_a_path_part(spark):
     assert {(r.page_id, r.rule, r.verdict) for r in got.collect()} == {(1, "a.b/x/ev", "block"), (2, "b/x/", "allow"), (3, "b/x/", "allow")}
 
 
+def test_very_long_urls(spark):
+    """A path of a million slashes, one of as many parts, and a host of ten thousand labels: linear work."""
+    import time
+    rows = [(1, "http://a.example.com/de" + "/" * 1_000_000), (2, "http://example.net/en/" + "p/" * 500_000), (3, "http://" + "x." * 10_000 + "net/a"),
+            (4, "http://" + "x." * 10_000 + "org/fr/" + "q/" * 200_000), (5, "http://" + "." * 5_000 + "/" * 5_000), (6, "no" * 500_000)]
+    began = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.url_report(frame(spark, rows, "page_id long, url string")).collect()}
+    assert got == {1: ("example.com/de/", "block"), 2: ("example.net/en/", "allow"), 3: ("net/", "block"), 4: ("org/fr/", "allow"),
+                   5: (None, "allow"), 6: (None, "allow")}
+    assert time.time() - began < 60
+
+
+def test_no_rules(spark):
+    none = url_filter.rule_table(spark).limit(0)
+    got = url_filter.judge(frame(spark, [(1, "http://a.net/x"), (2, None)], "page_id long, url string"), none, default="block").collect()
+    assert [(r.rule, r.verdict) for r in got] == [(None, "block")] * 2
+
+
+def test_menu_rule_equals_its_sql(spark, tmp_path):
+    """Three separators in a line of 300 words do not make it a menu, in ten words they do."""
+    import duckdb
+
+    from cadenza.llm.oracle import OP3
+    words = [f"word{i}" for i in range(300)]
+    texts = [" ".join([*words[:100], "|", *words[100:200], "|", *words[200:], "|"]), " ".join(words) + "\n" + "a | b | c | d", "x | y > z / w\n" + " ".join(words[:60]),
+             " ".join(words[:30]) + " | | |"]
+    df = frame(spark, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(OP3)
+    cols = [c[0] for c in want.description]
+    got = quality_rules.quality_report(df).select(*cols).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall()) and [r.kept for r in sorted(got)] == [True, True, True, False]
+
+
 def waterfill(sizes, cap=3):
     weight = {s: 1 + i % 3 for i, s in enumerate(sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else []))}
     target, full = dict.fromkeys(sizes, 0.0), set()

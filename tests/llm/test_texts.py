@@ -175,8 +175,16 @@ def test_near_duplicates_on_documents_and_edges(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
     one = minhash.keep_one(clash(df))
     assert one.columns == clash(df).columns
-    assert sorted(str(r.doc_id) for r in one.collect()) == sorted(
-        str(d) for d, _, c in near([r[:2] for r in edge_rows()]) if d == c)
+    # One row per kept id; the row with a null id has the words of others and goes.
+    assert sorted(str(r.doc_id) for r in one.collect()) == sorted({str(d) for d, _, c in near([r[:2] for r in edge_rows()]) if d == c and d is not None})
+
+
+def test_one_row_of_a_class_stays(spark):
+    a, b, c = "one two three four five six", "seven eight nine ten eleven", "lone words here and there"
+    rows = [(1, a), (1, a), (None, a.upper()), (None, a), (2, b), (None, c), (None, "  " + c), (None, None), (None, ""), (3, "")]
+    got = minhash.keep_one(frame(spark, [(i, t, "en", "s", 1) for i, t in rows])).collect()
+    assert sorted((str(r.doc_id), " ".join((r.text or "").lower().split())) for r in got) == sorted(
+        [("1", a), ("2", b), ("None", c), ("None", ""), ("None", ""), ("3", "")])
 
 
 def test_components_of_a_long_chain(spark):
