@@ -711,6 +711,17 @@ def s8_r6_parquet_by_user(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("s8_r6_bucketed_by_user", S.PLAYS + f""",
+kept AS (SELECT *, {S.bucket("user_id || '|' || track_id")} < 8 AS t FROM plays WHERE {S.bucket("user_id", 10000)} < 5000)
+SELECT user_id, count(*) FILTER (t) AS n_train, CAST(sum("count") FILTER (t) AS BIGINT) AS plays_train,
+       count(*) FILTER (NOT t) AS n_validation, CAST(sum("count") FILTER (NOT t) AS BIGINT) AS plays_validation
+FROM kept GROUP BY user_id HAVING bool_or(t) AND bool_or(NOT t)""")
+def s8_r6_bucketed_by_user(spark, sf_dir):
+    """Half the users with their plays in both splits: two tables bucketed by user, grouped and joined without a shuffle."""
+    t = _t(spark, sf_dir)
+    return R.bucketed_user_totals(spark, I.key_sample(plays(t.orders, t.lineitem), "user_id", 0.5))
+
+
 _M6_SQL = S.metrics_from_preds(S.INDEXED + """,
 pop AS (SELECT track_id_index, CAST(row_number() OVER (ORDER BY s DESC, track_id_index) - 1 AS INTEGER) AS pos
         FROM (SELECT track_id_index, sum("count") AS s FROM train GROUP BY track_id_index)),
@@ -1140,6 +1151,88 @@ def p14_song_fields(spark, sf_dir):
                                                       "duration", "loudness", "tempo", "song_hotttnesss"])
 
 
+def _ramp_sql(n, step):
+    return f"array_to_string([CAST(i * {step}::DOUBLE AS VARCHAR) FOR i IN range({n})], ',')"
+
+
+def _rows_sql(n, sign):
+    return f"array_to_string([CAST(i // 12 + {sign} * (i % 12) / 16 AS VARCHAR) FOR i IN range({n} * 12)], ',')"
+
+
+_RECORDS_SQL = "WITH " + S.MUSICDB + """,
+rl AS (SELECT l_partkey, min(l_suppkey) AS sup, avg(l_quantity) AS tempo, round(sum(l_discount), 2) / count(l_discount) AS hot,
+              CAST(year(min(l_shipdate)) AS INTEGER) AS year FROM lineitem GROUP BY l_partkey),
+base AS (SELECT p.*, p_size::DOUBLE AS z, rl.*, s.artist_gid, s.artist_name, s.title, s."release", n_nationkey, n_regionkey, r_name
+         FROM part p JOIN songs s ON s.song_id = p_partkey LEFT JOIN rl ON rl.l_partkey = p_partkey
+         LEFT JOIN (SELECT * FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+              ON sup = s_suppkey),
+rec AS (SELECT z / 64 AS artist_familiarity, z / 128 AS artist_hotttnesss, p_brand AS artist_id, artist_gid AS artist_mbid,
+  CAST(coalesce(sup, -1) AS INTEGER) AS artist_playmeid, CAST(p_partkey % 1000 AS INTEGER) AS artist_7digitalid,
+  n_nationkey::DOUBLE AS artist_latitude, n_regionkey::DOUBLE AS artist_longitude, coalesce(r_name, '') AS artist_location,
+  coalesce(artist_name, '') AS artist_name, coalesce("release", '') AS "release",
+  CAST(p_partkey % 97 AS INTEGER) AS release_7digitalid, 'SO' || p_partkey AS song_id, hot AS song_hotttnesss,
+  coalesce(title, '') AS title, CAST(p_partkey % 89 AS INTEGER) AS track_7digitalid,
+  array_to_string(['Brand#' || (i + 1) FOR i IN range(p_size % 6)], ',') AS similar_artists,
+  lower(p_type) || ',' || lower(p_brand) AS artist_terms, '1.0,' || z / 64 AS artist_terms_freq,
+  '0.5,' || z / 128 AS artist_terms_weight,
+  22050 AS analysis_sample_rate, md5(p_name) AS audio_md5, z / 32 AS danceability, z AS duration, z / 16 AS end_of_fade_in,
+  z / 8 AS energy, p_size % 12 AS "key", (p_size % 4) / 4::DOUBLE AS key_confidence, p_retailprice AS loudness,
+  p_size % 2 AS "mode", (p_size % 8) / 8::DOUBLE AS mode_confidence, z * 0.75::DOUBLE AS start_of_fade_out, tempo,
+  p_size % 3 + 3 AS time_signature, (p_size % 2) / 2::DOUBLE AS time_signature_confidence, 'TR' || p_partkey AS track_id,
+  """ + ",\n  ".join(
+    [f"{_ramp_sql('p_size', step)} AS {name}" for name, step in (
+        ("segments_start", 1), ("segments_confidence", 0.25), ("segments_loudness_max", 0.5),
+        ("segments_loudness_max_time", 0.125), ("segments_loudness_start", 2), ("tatums_start", 0.5), ("tatums_confidence", 0.125))]
+    + [f"{_rows_sql('p_size', sign)} AS {name}" for name, sign in (("segments_pitches", "1::DOUBLE"), ("segments_timbre", "-1::DOUBLE"))]
+    + [f"{_ramp_sql(f'p_size // {part}', step)} AS {name}" for name, part, step in (
+        ("sections_start", 8, 8), ("sections_confidence", 8, 0.5), ("beats_start", 2, 2), ("beats_confidence", 2, 0.25),
+        ("bars_start", 4, 4), ("bars_confidence", 4, 0.125))]) + """,
+  coalesce("year", 0) AS "year", lower(p_type) AS artist_mbtags, CAST(p_size % 5 AS VARCHAR) AS artist_mbtags_count
+  FROM base)
+"""
+_RECORD_ARRAYS = ("similar_artists artist_terms artist_terms_freq artist_terms_weight segments_start segments_confidence "
+                  "segments_pitches segments_timbre segments_loudness_max segments_loudness_max_time segments_loudness_start "
+                  "sections_start sections_confidence beats_start beats_confidence bars_start bars_confidence tatums_start "
+                  "tatums_confidence artist_mbtags artist_mbtags_count").split()
+_RECORD_SCALARS = [f for fields in MB.RECORD_FIELDS.values() for f in fields if f not in _RECORD_ARRAYS]
+
+
+def _records(t):
+    return MB.nested_records(t.part, t.lineitem, t.supplier, t.nation, t.region)
+
+
+def stored_records(spark, sf_dir):
+    """The nested song records as a parquet table, read back."""
+    path = FI.scratch_dir(spark, "song-records")
+    FI.write_parquet(_records(_t(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@register("p14_record_fields", _RECORDS_SQL + "SELECT * FROM rec")
+def p14_record_fields(spark, sf_dir):
+    """All 54 fields of the stored record by name (arrays as text, the rows of pitches and timbre one after the other)."""
+    out = CA.song_fields(stored_records(spark, sf_dir), [f for fields in MB.RECORD_FIELDS.values() for f in fields])
+    for name in _RECORD_ARRAYS:
+        flat = F.flatten(name) if name in ("segments_pitches", "segments_timbre") else F.col(name)
+        out = out.withColumn(name, F.array_join(flat.cast("array<string>"), ","))
+    return out
+
+
+@register("p14_feature_fields", _RECORDS_SQL + "SELECT track_id, loudness, song_hotttnesss, tempo FROM rec")
+def p14_feature_fields(spark, sf_dir):
+    """The fields that the feature table takes; the scan of the stored record reads these four subfields only."""
+    return CA.song_fields(stored_records(spark, sf_dir), ["track_id", "loudness", "song_hotttnesss", "tempo"])
+
+
+@register("a17_record_summary", _RECORDS_SQL + "SELECT " + ", ".join(f'"{f}"' for f in _RECORD_SCALARS) + " FROM rec")
+def a17_record_summary(spark, sf_dir):
+    """Two files of nested records (short and long songs) packed into one summary: the 33 fields that are no arrays."""
+    r = _records(_t(spark, sf_dir))
+    long = F.col("analysis.duration") >= 25
+    packed = CA.pack_songs([r.where(~long), r.where(long)], keep_arrays=False)
+    return packed.select("metadata.*", "analysis.*", "musicbrainz.*")
+
+
 @register("a17_summary_pack", _SONGS_SQL + """
 SELECT * FROM st WHERE duration < 25 UNION ALL SELECT * FROM st WHERE duration >= 25""")
 def a17_summary_pack(spark, sf_dir):
