@@ -242,17 +242,17 @@ def _square_links(members: DataFrame, texts: DataFrame, cut: float, percent: int
     dealt = m.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[int, np.ndarray] = {}
+        kept: dict[str, np.ndarray] = {}  # by text: rows of one id may hold several
         size = 0
 
         def sets(row: tuple) -> np.ndarray:
             nonlocal size
-            s = kept.get(row[1])
+            s = kept.get(row[5])
             if s is None:
                 if size > 4 << 20:  # shingles
                     kept.clear()
                     size = 0
-                s = kept[row[1]] = shingles(row[5])
+                s = kept[row[5]] = shingles(row[5])
                 size += len(s)
             return s
 

@@ -167,6 +167,36 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert all(r[3] == (r[0] == r[2]) for r in got)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark, monkeypatch):
+    """Ids that rows of different texts share: every text takes part, also in the squares."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(12):  # families of texts about 0.75 alike, so that the smallest id does not meet all of them
+        base = [rng.choice(words) for _ in range(160)]
+        for _ in range(9):
+            t = list(base)
+            for _ in range(rng.randint(0, 6)):
+                t[rng.randint(0, 159)] = rng.choice(words)
+            rows.append([None, " ".join(t)])
+    rng.shuffle(rows)
+    for i, r in enumerate(rows):
+        r[0] = i if i % 6 else i // 60  # every sixth row shares its id with nine others
+    df = frame(spark, [(*r, "en", "s", 1) for r in rows]).repartition(4)
+    assert same([tuple(r)[:3] for r in minhash.near_duplicates(df).collect()], near([tuple(r) for r in rows]))
+
+
+def test_squares_take_every_text_of_an_id(spark):
+    """Two texts under id 1 in one bucket with id 2: the second alone is like the text of id 2."""
+    a, b = ("common words " + " ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = spark.createDataFrame([(7, 0, i, i, [0] * 8, [9]) for i in (1, 2)],
+                                 "key long, band int, id long, comp long, sig array<bigint>, bands array<bigint>")
+    for first, second in ((a, b), (b, a)):
+        texts = spark.createDataFrame([(1, first), (1, second), (2, b)], "id long, text string")
+        assert minhash._square_links(rows, texts, 0.55, 75).collect() == [(2, 1)]
+
+
 def test_near_duplicates_on_documents_and_edges(spark):
     docs = table(spark, SF, "documents")
     assert same([tuple(r)[:3] for r in minhash.near_duplicates(docs).collect()], near(pairs(docs)))
