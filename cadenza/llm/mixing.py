@@ -25,6 +25,7 @@ from cadenza.llm.common import free_name, materialise
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 BUCKET_ROWS = 4_000
+SUM_ROWS = 4_096
 SLOTS_PER_TASK = 500_000
 BROADCAST_ROWS, BROADCAST_CHARS = 50_000, 4 << 20
 _CHUNK = 1 << 14
@@ -52,6 +53,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def _before(df: DataFrame, key: str, pos: str, value: str, out: str, width: int = SUM_ROWS) -> DataFrame:
+    """``df`` with ``out``: the sum of ``value`` over the rows of ``key`` at smaller ``pos`` (one row per key and pos).
+    In two levels, sums of ``width`` places and sums inside them, so that no task sorts all rows of a key."""
+    part = df.withColumn("_part", F.floor(F.col(pos) / width).cast("long"))
+    sums = part.groupBy(key, "_part").agg(F.sum(value).alias("_sum"))
+    sums = sums.select(key, "_part", (F.sum("_sum").over(Window.partitionBy(key).orderBy("_part")) - F.col("_sum")).alias("_start"))
+    inside = F.sum(value).over(Window.partitionBy(key, "_part").orderBy(pos)) - F.col(value)
+    return (part.withColumn("_inside", inside).join(sums, [key, "_part"])
+            .withColumn(out, F.col("_start") + F.col("_inside")).drop("_part", "_start", "_inside"))
+
+
 def targets(units: DataFrame, cap: int = 3, weights: tuple = (1, 2, 3)) -> DataFrame:
     """(source, sid, source_size, target): one row per source."""
     s = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
@@ -94,8 +106,7 @@ def picked_blocks(src: DataFrame, block_words: int, shard_slots: int, seed: int,
     place = permuted(F.col("first") + F.col("j"), F.col("all"), F.lit(seed).cast("long"))
     counts = (slots.withColumn("shard", F.floor(place / shard_slots).cast("long"))
               .groupBy("sid", "shard").agg(F.count("*").alias("k")))
-    order = Window.partitionBy("sid").orderBy("shard")  # one row per shard
-    counts = counts.withColumn("base", F.sum("k").over(order) - F.col("k"))
+    counts = _before(counts, "sid", "shard", "k", "base")
     mapped = (counts.repartition(parts, "sid", "shard")
               .join(F.broadcast(s.select("sid", "n")) if small else s.select("sid", "n"), "sid"))
     j = mapped.select("sid", "shard", "n", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("k") - 1)).alias("j"))
@@ -121,8 +132,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     units = units.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     length = F.col("size") * F.col("copies")
     in_bucket = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size")
-    heads = (units.groupBy("sid", "bucket").agg(F.sum(length).alias("t"))
-             .withColumn("base", F.sum("t").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("t")))
+    heads = _before(units.groupBy("sid", "bucket").agg(F.sum(length).alias("t")), "sid", "bucket", "t", "base")
     placed = (units.withColumn("inside", F.sum(length).over(in_bucket) - length)
               .join(heads.select("sid", "bucket", "base"), ["sid", "bucket"])
               .select("sid", "source", "doc_id", "size", (F.col("base") + F.col("inside")).alias("at"),

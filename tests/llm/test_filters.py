@@ -177,6 +177,42 @@ def test_mix_targets_and_taken(spark):
     assert sorted((r.doc_id, r.taken) for r in got) == sorted((r.doc_id, r.taken) for r in again)
 
 
+def test_words_taken_match_a_layout_by_hand(spark, monkeypatch):
+    """Every block of a source as often as its quota says, and each document's words block by block."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    docs = table(spark, SF, "documents")
+    units = (docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+             .groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies")))
+    n_buckets = max(1, -(-units.count() // 50))
+    src = mixing.targets(units)
+    picks = {(r.sid, r.block): r.times for r in mixing.picked_blocks(src, 64, 4096, 17, True, 8).collect()}
+    by_source = {r.source: r for r in src.collect()}
+    for r in by_source.values():
+        n = -(-r.source_size // 64)
+        quota = round(r.target * n / r.source_size) if r.source_size else 0
+        times = [picks.get((r.sid, b), 0) for b in range(n)]
+        assert sum(times) == quota and (not times or max(times) - min(times) <= 1)
+    assert set(picks) <= {(r.sid, b) for r in by_source.values() for b in range(-(-r.source_size // 64))}
+    rows = units.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(n_buckets))).collect()
+    want, at = [], {}
+    for r in sorted(rows, key=lambda r: (r.bucket, r.doc_id, r.size)):
+        sid = by_source[r.source].sid
+        for _ in range(r.copies):
+            start = at.get(sid, 0)
+            at[sid] = start + r.size
+            want.append((r.doc_id, r.size, sum(picks.get((sid, w // 64), 0) for w in range(start, start + r.size))))
+    assert sorted((r.doc_id, r.size, r.taken) for r in mixing.mix(docs).collect()) == sorted(want)
+
+
+def test_running_sums_in_two_levels(spark):
+    rows = [(k, p, (k + 3) * p % 17) for k in (1, 2) for p in range(0, 90, k)]
+    df = spark.createDataFrame(rows, "k long, p long, v long").repartition(4)
+    want = sorted((k, p, v, sum(w for q, x, w in rows if q == k and x < p)) for k, p, v in rows)
+    for width in (1, 7, 1000):
+        assert sorted(map(tuple, mixing._before(df, "k", "p", "v", "b", width).select("k", "p", "v", "b").collect())) == want
+    assert mixing._before(df.limit(0), "k", "p", "v", "b").count() == 0
+
+
 def test_mix_edges(spark):
     df = frame(spark, edge_rows())
     got = mixing.mix(clash(df).select("*")).collect()
