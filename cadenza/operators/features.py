@@ -237,6 +237,16 @@ def project_2d(df: DataFrame, vec_col: str = "features", k: int = 2) -> DataFram
     return out.select(*keep, *[F.col("_pa")[i].alias(f"x{i}") for i in range(k)])
 
 
+def captured_variance(coords: DataFrame, k: int = 2) -> DataFrame:
+    """Per coordinate of :func:`project_2d` its sample variance, and its covariance with the next one (0 for
+    principal components; the last has the first as next)."""
+    pairs = [(i, (i + 1) % k) for i in range(k)]
+    one = coords.agg(*[F.var_samp(f"x{i}").alias(f"v{i}") for i in range(k)],
+                     *[F.covar_samp(f"x{i}", f"x{j}").alias(f"c{i}") for i, j in pairs])
+    rows = ", ".join(f"{i}, v{i}, c{i}" for i in range(k))
+    return one.selectExpr(f"stack({k}, {rows}) AS (component, variance, covariance)")
+
+
 def genre_table(items: DataFrame, item_terms: DataFrame, id_col: str = "id", terms_col: str = "term",
                 spelling: str = "raggae", drop_other: bool = True) -> DataFrame:
     """Items LEFT first term (P7) -> recode (P6) -> allowlist (P5) -> drop 'other' (P3)."""

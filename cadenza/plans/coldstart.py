@@ -74,21 +74,33 @@ def cold_start_recall(spark, t: Tables, k: int = 10, fitted=None) -> DataFrame:
     return recall_at_k(exact_top_k(pred, items, k, metric="cosine"), exact_top_k(true, items, k, metric="cosine"), k)
 
 
-def cold_start_eval(spark, t: Tables, k: int = 500, ks=(10, 20, 50, 100, 500), fitted=None) -> DataFrame:
-    """C9 + J7 + A7-A9: users rank the held-out items by predicted factors; their lists are scored against the
-    plays of those items. The true factors are the other row, as the ceiling."""
+def _scored(t: Tables, named_items, k: int, ks) -> DataFrame:
+    """Per named factor table of held-out items: the users' lists of those items against the plays of them."""
     from cadenza.operators import metrics as M
     from cadenza.operators.retrieve import exact_top_k, top_k_lists
-    pred, true = _predicted(fitted or fit(spark, t))
     idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
-    pairs = (plays(t.orders, t.lineitem).join(idmap, "track_id").join(pred.select(F.col("id").alias("mapped_id")), "mapped_id")
+    held = named_items[0][1].select(F.col("id").alias("mapped_id"))
+    pairs = (plays(t.orders, t.lineitem).join(idmap, "track_id").join(held, "mapped_id")
              .select(F.col("user_id").cast("int").alias("user"), F.col("mapped_id").alias("item"))).transform(reliable_checkpoint)
     users = TB.item_factors(t.embeddings).select("id", "features").join(pairs.select(F.col("user").alias("id")).distinct(), "id")
-    out = None
-    for name, items in (("predicted", pred), ("true", true)):
+    out = []
+    for name, items in named_items:
         ranked = exact_top_k(users, items, k, metric="dot").select(
             F.col("qid").cast("int").alias("user"), "pos", F.col("iid").cast("int").alias("item"))
         m = M.evaluate_lists(top_k_lists(ranked, "user", "item", out_col="items"), pairs, "user", "item", "items", ks, decimals=6)
-        m = m.select(F.lit(name).alias("factors"), "*")
-        out = m if out is None else out.unionByName(m)
-    return out
+        out.append(m.select(F.lit(name).alias("factors"), "*"))
+    return I.union_all(out)
+
+
+def cold_start_eval(spark, t: Tables, k: int = 500, ks=(10, 20, 50, 100, 500), fitted=None) -> DataFrame:
+    """C9 + J7 + A7-A9: users rank the held-out items by predicted factors; their lists are scored against the
+    plays of those items. The true factors are the other row, as the ceiling."""
+    pred, true = _predicted(fitted or fit(spark, t))
+    return _scored(t, [("predicted", pred), ("true", true)], k, ks)
+
+
+def true_factor_eval(t: Tables, k: int = 500, ks=(10, 20, 50, 100, 500)) -> DataFrame:
+    """The ceiling row of :func:`cold_start_eval` alone: the same held-out items and plays, without a fit."""
+    _, _, test = I.nested_holdout(aligned_items(t), F.col("mapped_id"))
+    held = test.select(F.col("mapped_id").alias("id"), F.col("y").alias("features")).transform(reliable_checkpoint)
+    return _scored(t, [("true", held)], k, ks)

@@ -243,6 +243,34 @@ def e1_pca_2d(spark, sf_dir):
     return FE.project_2d(TB.item_factors(t.embeddings), "features", 2)
 
 
+def _pca_sql(steps: int = 13) -> str:
+    """The two largest eigenvalues of the sample covariance. A matrix (i, j, v) is squared ``steps`` times, scaled by its
+    trace each time, until it is the projector on the first eigenvector; that one is taken out and the rest squared again."""
+    def powers(name: str) -> str:
+        out = ""
+        for s in range(steps):
+            out += f"""
+{name}{s + 1} AS MATERIALIZED (SELECT i, j, v / sum(v) FILTER (i = j) OVER () AS v FROM (
+  SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {name}{s} a JOIN {name}{s} b ON a.j = b.i GROUP BY 1, 2)),"""
+        return out
+    return f"""WITH x AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+cov AS MATERIALIZED (SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS v FROM x a JOIN x b USING (vec_id) GROUP BY 1, 2),
+p0 AS (SELECT * FROM cov),{powers("p")}
+one AS (SELECT sum(c.v * p.v) AS l FROM cov c JOIN p{steps} p ON c.i = p.j AND c.j = p.i),
+q0 AS MATERIALIZED (SELECT c.i, c.j, c.v - one.l * p.v AS v FROM cov c JOIN p{steps} p USING (i, j), one),{powers("q")}
+two AS (SELECT sum(c.v * q.v) AS l FROM cov c JOIN q{steps} q ON c.i = q.j AND c.j = q.i)
+SELECT 0 AS component, round(l, 8) AS variance, true AS uncorrelated FROM one
+UNION ALL SELECT 1, round(l, 8), true FROM two"""
+
+
+@register("e1_pca_variance", _pca_sql())
+def e1_pca_variance(spark, sf_dir):
+    """The variance that each coordinate captures: the two largest eigenvalues of the covariance; the coordinates are uncorrelated."""
+    places = FE.project_2d(TB.item_factors(_t(spark, sf_dir).embeddings), "features", 2)
+    return FE.captured_variance(places).select("component", F.round("variance", 8).alias("variance"),
+                                               (F.abs("covariance") < 1e-9).alias("uncorrelated"))
+
+
 @register("a4_describe_numeric", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS "count",
   round_even(avg({c}), 6) AS mean, round_even(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max",
   round_even(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, round_even(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50,
@@ -1023,6 +1051,23 @@ def c9_cold_start_eval(spark, sf_dir):
     return CP.cold_start_eval(spark, _t(spark, sf_dir), fitted=_fitted(spark, sf_dir))
 
 
+_C9_TRUE = _USED + f""",
+held AS (SELECT track_id, mapped_id, embedding AS features FROM idmap JOIN embeddings ON vec_id = mapped_id
+         WHERE {S.bucket("CAST(mapped_id AS VARCHAR)")} < 2),
+tgt AS (SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id_index, CAST(mapped_id AS INTEGER) AS track_id_index FROM plays JOIN held USING (track_id)),
+pusers AS (SELECT DISTINCT user_id_index FROM tgt WHERE user_id_index IN (SELECT vec_id FROM embeddings)),
+ds AS (SELECT u.user_id_index, CAST(i.mapped_id AS INTEGER) AS track_id_index, {_DOT.replace("q.features", "q.embedding")} AS score
+       FROM pusers u JOIN embeddings q ON q.vec_id = u.user_id_index CROSS JOIN held i),
+preds AS (SELECT user_id_index, track_id_index, pos FROM (SELECT *, row_number() OVER (
+  PARTITION BY user_id_index ORDER BY round(score, 10) DESC, track_id_index) - 1 AS pos FROM ds) WHERE pos < 500)"""
+
+
+@register("c9_true_factor_eval", "SELECT 'true' AS factors, * FROM (" + S.metrics_from_preds(_C9_TRUE, (10, 20, 50, 100, 500)) + ")")
+def c9_true_factor_eval(spark, sf_dir):
+    """The ceiling of the cold start: held-out items ranked by their true factors."""
+    return CP.true_factor_eval(_t(spark, sf_dir))
+
+
 # ----------------------------------------------------------------- reports
 from cadenza.operators import metrics as ME  # noqa: E402
 from cadenza.operators import report as RP  # noqa: E402
@@ -1130,6 +1175,24 @@ def m4_grid_search(spark, sf_dir):
     return grid_search(spark, train, val, param_grid(**R.SECOND_GRID), k=R.LIST_LENGTH, ks=R.SECOND_KS, seed=7, label="raw")
 
 
+_GRID_SQL = " UNION ALL ".join(
+    f"SELECT '{label}' AS label, {r}::DOUBLE AS rank, {g}::DOUBLE AS reg_param, {a}::DOUBLE AS alpha, {i}::DOUBLE AS max_iter"
+    for label, _ in R.VARIANTS for r in R.MAIN_GRID["ranks"] for g in R.MAIN_GRID["reg_params"]
+    for a in R.MAIN_GRID["alphas"] for i in R.MAIN_GRID["max_iters"])
+
+
+@register("m4_main_grid", S.INDEXED + f""",
+users AS (SELECT DISTINCT user_id_index, user_id_index IN (SELECT user_id_index FROM train) AS known FROM val)
+SELECT g.*, count(*) FILTER (known) AS n_users, count(*) FILTER (NOT known) AS dropped_users, true AS scored
+FROM users, ({_GRID_SQL}) g GROUP BY ALL""")
+def m4_main_grid(spark, sf_dir):
+    """M4: the published main grid on both count variants (48 fits), lists of 500, a report line for each fit."""
+    out = R.grid_job(spark, sf_dir, FI.scratch_dir(spark, "grid"), save_models=False)
+    scored = (F.col("map") > 0) & (F.col("map") <= 1) & F.col("ndcg_at_500").between(0, 1)
+    return out.select("label", "rank", "reg_param", "alpha", "max_iter", F.col("n_users").cast("long").alias("n_users"),
+                      F.col("dropped_users").cast("long").alias("dropped_users"), scored.alias("scored"))
+
+
 # ------------------------------------------------------------ song records
 _SONGS_SQL = "WITH " + S.MUSICDB + """,
 sl AS (SELECT l_partkey, avg(l_quantity) AS tempo, round(sum(l_discount), 2) / count(l_discount) AS song_hotttnesss

@@ -8,7 +8,8 @@ from tests.conftest import SF
 from tools.oracle_check import TABLES, digest
 
 SAMPLE = ["m6_popularity_eval", "p9_log_count", "j7_dot_top_k", "j8_release_year", "j9_w1_artist_tags",
-          "j10_ragged_slices", "t5_multi_key_top_k", "g1_graph_expansion", "c2_align_features", "a11_a12_mse_r2"]
+          "j10_ragged_slices", "t5_multi_key_top_k", "g1_graph_expansion", "c2_align_features", "a11_a12_mse_r2", "e1_pca_variance",
+          "c9_true_factor_eval"]
 
 
 @pytest.fixture(scope="module")
