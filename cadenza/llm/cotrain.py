@@ -4,12 +4,16 @@ The text view holds the words of a document (hashed; in a fit, those found in ``
 or more whose presence goes with the label by a chi-square test) and shares of its characters, words and lines; the metadata view its source, language and sizes. For each
 target (quality, toxic) a logistic model per view is fitted on labelled rows; in every round each view
 labels the unlabelled rows it is surest of (calibrated probability beyond ``SURE``) for the other view, and
-both are fitted again. A held-out part of the labels then calibrates each view (Platt scaling) and weighs
-the two calibrated views against each other; every document is scored by the combination.
+both are fitted again. Every document is scored by the combination of both calibrated views.
 
-Fitting uses a bounded sample: at most ``labelled_rows`` labelled and ``pool_rows`` unlabelled documents of at
-most ``SAMPLE_CHARS`` characters, picked by a hash of the id; only their feature numbers reach the driver.
-Scoring covers all whole texts; the weights have a fixed size (``BUCKETS`` words) and are broadcast.
+A hash of the id puts each document into one of four folds. Labels of ``fit`` fit the views; those of ``choose`` scale
+the views during the rounds, so they decide the pseudo-labels; those of ``calibrate`` scale the final views (Platt) and
+weigh them against each other; documents of ``report`` take no part in any of this, and ``held_out_report`` measures on
+them. Where ``choose`` or ``calibrate`` lacks one kind of label, the two serve both ends together.
+
+Fitting uses a bounded sample: at most about ``labelled_rows`` labelled and ``pool_rows`` unlabelled documents, picked by a
+hash of the id, of any length and read whole; only their feature numbers reach the driver, at most ``BUCKETS`` words of
+each. Scoring covers all whole texts; the weights have a fixed size (``BUCKETS`` words) and are broadcast.
 
 A null text counts as empty; null source, language and size are values of their own. Several labels of one
 id count as the lower quality and the higher toxicity; rows that share an id get their own scores; a null id
@@ -32,11 +36,11 @@ from cadenza.llm.decontaminate import words_of
 BUCKETS = 1 << 18
 META = 1 << 12
 MIN_DF = 4
-SAMPLE_CHARS = 20_000
 SURE = 0.97
 TOXIC_FROM = 0.4  # a probability from which a document counts as toxic
 LOGIT = 6.0  # a view's say is bounded before the views are weighed
 TARGETS = ("quality", "toxic")
+FOLDS = {"report": 100, "choose": 225, "calibrate": 350, "fit": 1000}  # upper ends, in thousandths of the documents
 _SYMBOLS = b"#*$%&|<>!"
 
 
@@ -165,23 +169,25 @@ def _fit_view(all_rows: Rows, y: np.ndarray, weight: np.ndarray, size: int, choo
     return w, m.b
 
 
-def co_train(text: list[np.ndarray], meta: list[np.ndarray], labels: np.ndarray, held: np.ndarray, rounds: int = 3,
+def co_train(text: list[np.ndarray], meta: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, rounds: int = 3,
              share: float = 0.05) -> dict:
-    """One target. ``labels``: 1, 0, or -1 (unlabelled); ``held``: labelled rows kept for calibration."""
-    fit, pool, check = (labels >= 0) & ~held, labels < 0, (labels >= 0) & held
-    if len(set(labels[fit])) < 2 or len(set(labels[check])) < 2:
+    """One target. ``labels``: 1, 0, or -1 (unlabelled); ``fold``: the fold of each row, none of them ``report``."""
+    pool = labels < 0
+    fit, choose, calibrate = (~pool & (fold == name) for name in ("fit", "choose", "calibrate"))
+    if min(len(set(labels[choose])), len(set(labels[calibrate]))) < 2:
+        choose = calibrate = choose | calibrate
+    if len(set(labels[fit])) < 2 or len(set(labels[choose])) < 2:
         return {}
     views, sizes = [Rows(text), Rows(meta)], [BUCKETS + _N_SHAPE, META]
     y = [labels.astype(float).clip(0, 1) for _ in views]
     weight = [fit.astype(float) for _ in views]
-    truth = labels[check].astype(float)
     take = max(1, int(share * pool.sum()))
     for turn in range(rounds + 1):
         models = [_fit_view(views[v], y[v], weight[v], sizes[v], v == 0) for v in (0, 1)]
         z = [views[v].score(*models[v]) for v in (0, 1)]
-        scales = [platt(z[v][check], truth) for v in (0, 1)]
         if turn == rounds:
             break
+        scales = [platt(z[v][choose], labels[choose].astype(float)) for v in (0, 1)]
         given = []
         for v in (0, 1):
             p = _sigmoid(scales[v][0] * z[v] + scales[v][1])
@@ -191,7 +197,9 @@ def co_train(text: list[np.ndarray], meta: list[np.ndarray], labels: np.ndarray,
         for v in (0, 1):
             at, lab = given[1 - v]
             y[v][at], weight[v][at] = lab, 0.5
-    mix = combine(*[scales[v][0] * z[v][check] + scales[v][1] for v in (0, 1)], truth)
+    truth = labels[calibrate].astype(float)
+    scales = [platt(z[v][calibrate], truth) for v in (0, 1)]
+    mix = combine(*[scales[v][0] * z[v][calibrate] + scales[v][1] for v in (0, 1)], truth)
     return {"views": models, "scales": scales, "mix": mix}
 
 
@@ -204,13 +212,27 @@ def probability(model: dict, text: np.ndarray, meta: np.ndarray, default: float)
     return float(_sigmoid(total))
 
 
+def fold_of(doc_id):
+    """Column expression: the fold of an id (null for a null id)."""
+    place = F.pmod(F.xxhash64(doc_id, F.lit(5)), F.lit(1000))
+    out = F.when(F.col(doc_id).isNull(), F.lit(None))
+    for name, end in FOLDS.items():
+        out = out.when(place < end, F.lit(name))
+    return out
+
+
+def one_label(labels: DataFrame) -> DataFrame:
+    """One row per labelled id: the lower quality and the higher toxicity."""
+    return labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+
+
 def _sample(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: int) -> pd.DataFrame:
     """Feature numbers, labels and fold of the bounded sample."""
     small_batches(docs.sparkSession)
-    lab = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    lab = one_label(labels)
     known, every = lab.count(), docs.count()
     h = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
-    some = docs.where(F.col("doc_id").isNotNull() & (F.length(F.coalesce("text", F.lit(""))) <= SAMPLE_CHARS)) \
+    some = docs.withColumn("fold", fold_of("doc_id")).where("fold <> 'report'") \
         .withColumn("u", h).where(F.col("u") < min(1.0, 1.2 * max(labelled_rows / max(1, known), pool_rows / max(1, every - known))))
     lab = lab.withColumn("u2", h).where(F.col("u2") < min(1.0, labelled_rows / max(1, known))).drop("u2").withColumn("known", F.lit(True))
     pool = F.col("known").isNotNull() | (F.col("u") < pool_rows / max(1, every - known))
@@ -219,12 +241,12 @@ def _sample(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: i
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({
-                "doc_id": pdf["doc_id"], "quality": pdf["quality"].fillna(-1).astype(int), "toxic": pdf["toxic"].fillna(-1).astype(int),
+                "doc_id": pdf["doc_id"], "fold": pdf["fold"], "quality": pdf["quality"].fillna(-1).astype(int), "toxic": pdf["toxic"].fillna(-1).astype(int),
                 "text": [text_features(t if isinstance(t, str) else None).astype(np.int32) for t in pdf["text"]],
                 "meta": [meta_features(s, la, c).astype(np.int32) for s, la, c in zip(pdf["source"], pdf["lang"], pdf["n_chars"], strict=True)]})
 
-    rows = joined.select("doc_id", "quality", "toxic", "text", "source", "lang", "n_chars").mapInPandas(
-        scan, "doc_id bigint, quality int, toxic int, text array<int>, meta array<int>")
+    rows = joined.select("doc_id", "fold", "quality", "toxic", "text", "source", "lang", "n_chars").mapInPandas(
+        scan, "doc_id bigint, fold string, quality int, toxic int, text array<int>, meta array<int>")
     return rows.limit(2 * (labelled_rows + pool_rows)).toPandas().sort_values("doc_id", kind="stable").reset_index(drop=True)
 
 
@@ -237,8 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = 12_000, pool_
     use = df >= MIN_DF
     use[BUCKETS:] = True
     text = [t[use[t]] for t in text]
-    held = s["doc_id"].to_numpy().astype(np.int64) * np.int64(2654435761) % 1000 < 250 if len(s) else np.zeros(0, bool)
-    return {t: co_train(text, meta, s[t].to_numpy().astype(int), held, rounds) for t in TARGETS}
+    return {t: co_train(text, meta, s[t].to_numpy().astype(int), s["fold"].to_numpy(), rounds) for t in TARGETS}
 
 
 def score(docs: DataFrame, model: dict):
@@ -260,10 +281,25 @@ def score(docs: DataFrame, model: dict):
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, quality_score, toxic_score, score (good and not toxic), kept."""
+    """One row per document: doc_id, quality_score, toxic_score, score (good and not toxic), toxic, kept, held_out (of the
+    fold ``report``, so its label had no say)."""
     base = docs.select("doc_id", "text", "source", "lang", "n_chars")
     model = train(base, labels, **options)
     out = base.withColumn("p", score(base, model)).select("doc_id", "p.quality_score", "p.toxic_score")
     return (out.withColumn("score", F.col("quality_score") * (1 - F.col("toxic_score")))
             .withColumn("toxic", F.col("toxic_score") >= TOXIC_FROM)
-            .withColumn("kept", (F.col("quality_score") >= 0.5) & ~F.col("toxic")))
+            .withColumn("kept", (F.col("quality_score") >= 0.5) & ~F.col("toxic"))
+            .withColumn("held_out", F.coalesce(fold_of("doc_id") == "report", F.lit(False))))
+
+
+def held_out_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """Accuracy on the fold ``report``, one row per target: n (labelled rows), n_right, n_positive, n_found (positives so
+    predicted) and n_false (other rows predicted positive)."""
+    seen = quality_report(docs, labels, **options).where("held_out").withColumnRenamed("toxic", "p_toxic").join(one_label(labels), "doc_id")
+    said = F.inline(F.array(
+        F.struct(F.lit("quality").alias("target"), (F.col("quality") == 1).alias("truth"), (F.col("quality_score") >= 0.5).alias("said")),
+        F.struct(F.lit("toxic").alias("target"), (F.col("toxic") == 1).alias("truth"), F.col("p_toxic").alias("said"))))
+    rows = seen.select(said).where("truth is not null")
+    return rows.groupBy("target").agg(
+        F.count("*").alias("n"), F.count_if(F.col("said") == F.col("truth")).alias("n_right"), F.count_if("truth").alias("n_positive"),
+        F.count_if(F.col("truth") & F.col("said")).alias("n_found"), F.count_if(~F.col("truth") & F.col("said")).alias("n_false"))

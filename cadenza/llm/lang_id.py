@@ -2,9 +2,10 @@
 
 Training sums n-gram counts of all learnable documents per language on the executors (one blob of
 counts per task, language and bucket block, added up after a shuffle). The model is a log-probability
-matrix of ``buckets x languages``; its size is fixed by ``buckets`` and checked against ``max_langs``
-before it is broadcast. Scoring is batched in numpy: hash every n-gram of a batch, gather matrix rows,
-add them up per document.
+matrix of ``buckets x languages``, cut into groups of at most ``max_langs`` languages, so that what is broadcast at a
+time is bounded. Scoring is batched in numpy: hash every n-gram of a batch, gather matrix rows,
+add them up per document. More languages than one group holds take one pass per group: the best language so far and the
+total of all likelihoods are written with the documents between passes, and the result is that of one matrix.
 
 A null text or one without letters gives ``und`` with score 0; so does every text when there is no
 training row. Ties go to the first language in code-point order. Extra columns are ignored.
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import frees, mix64, small_batches
+from cadenza.llm.common import frees, free_name, materialise, mix64, small_batches
 
 BUCKETS = 1 << 15
 BLOCK = 1 << 12
@@ -97,33 +98,41 @@ def count_grams(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return first.groupBy("lang", "block").applyInPandas(add, schema)
 
 
-def train(docs: DataFrame, buckets: int = BUCKETS, max_langs: int = 500, smooth: float = 0.5):
-    """(languages, log-probability matrix [buckets + 1, languages], log priors)."""
-    counts = count_grams(docs, buckets)
-    rows = counts.limit((max_langs + 1) * (buckets // BLOCK + 1)).collect()
-    langs = sorted({r["lang"] for r in rows})
-    if len(langs) > max_langs:
-        raise ValueError(f"more than max_langs={max_langs} languages: the matrix would not be bounded")
-    m = np.zeros((buckets + 1, len(langs)))
-    prior = np.zeros(len(langs))
-    for r in rows:
-        c, k = np.frombuffer(r["counts"], np.int64), langs.index(r["lang"])
-        if r["block"] < 0:
-            prior[k] = c[0]
-        else:
-            m[r["block"] * BLOCK:(r["block"] + 1) * BLOCK, k] = c
-    logp = np.log(m + smooth) - np.log(m[:buckets].sum(axis=0) + smooth * buckets) if langs else m
-    logp[buckets] = 0.0
-    return langs, logp.astype(np.float32), np.log(np.maximum(prior, 1) / max(prior.sum(), 1))
+def train_groups(docs: DataFrame, buckets: int = BUCKETS, max_langs: int = 500, smooth: float = 0.5) -> Iterator[tuple]:
+    """(languages, log-probability matrix [buckets + 1, languages], log priors) of each group of at most ``max_langs``
+    languages in code-point order; only one group is on the driver at a time."""
+    counts = materialise(count_grams(docs, buckets), "grams")
+    sizes = {r["lang"]: int(np.frombuffer(r["counts"], np.int64)[0]) for r in counts.where("block = -1").collect()}
+    every = sorted(sizes)
+    n_docs = max(sum(sizes.values()), 1)
+    for at in range(0, len(every), max_langs):
+        langs = every[at:at + max_langs]
+        m = np.zeros((buckets + 1, len(langs)))
+        place = {lang: k for k, lang in enumerate(langs)}
+        for r in counts.where((F.col("block") >= 0) & F.col("lang").between(langs[0], langs[-1])).collect():
+            m[r["block"] * BLOCK:(r["block"] + 1) * BLOCK, place[r["lang"]]] = np.frombuffer(r["counts"], np.int64)
+        logp = np.log(m + smooth) - np.log(m[:buckets].sum(axis=0) + smooth * buckets)
+        logp[buckets] = 0.0
+        yield langs, logp.astype(np.float32), np.log(np.array([max(sizes[la], 1) for la in langs]) / n_docs)
 
 
-def predict_texts(texts: list, langs: list[str], logp: np.ndarray, prior: np.ndarray) -> tuple[list, list]:
-    """Best language and its probability. The probability weighs at most 100 n-grams' worth of
-    evidence, else every long text would have 1."""
-    pred, score = ["und"] * len(texts), [0.0] * len(texts)
+def train(docs: DataFrame, buckets: int = BUCKETS, max_langs: int = 500, smooth: float = 0.5):
+    """The one group of ``train_groups``; an error if there are more languages than it holds."""
+    groups = train_groups(docs, buckets, max_langs, smooth)
+    model = next(groups, ([], np.zeros((buckets + 1, 0), np.float32), np.zeros(0)))
+    if next(groups, None) is not None:
+        raise ValueError(f"more than max_langs={max_langs} languages: use train_groups and identify")
+    return model
+
+
+def group_scores(texts: list, langs: list[str], logp: np.ndarray, prior: np.ndarray):
+    """Per text: the best language (null for a text without letters or without languages), its log score, and of the
+    tempered logits that of the best language and log-sum-exp over the group. Tempering weighs at most 100 n-grams' worth
+    of evidence, else every long text would have probability 1."""
+    best_lang, value = [None] * len(texts), np.zeros((3, len(texts)))
     at = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
     if not langs:
-        return pred, score
+        return best_lang, value
     buckets = len(logp) - 1
     for first, some in chunks([texts[i].lower() for i in at]):
         grams, starts, lens = gram_buckets(some, buckets)
@@ -133,29 +142,63 @@ def predict_texts(texts: list, langs: list[str], logp: np.ndarray, prior: np.nda
             for b in grams:
                 total[:, k] += np.add.reduceat(col[b], starts, dtype=np.float64)
         best = np.argmax(total + prior, axis=1)
-        n = np.maximum(lens * len(grams), 1)
-        z = total * np.minimum(1.0, 100.0 / n)[:, None] + prior
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        p = z / z.sum(axis=1, keepdims=True)
-        for j, k in enumerate(best):
-            pred[at[first + j]] = langs[k]
-            score[at[first + j]] = float(p[j, k])
-    return pred, score
-
-
-def identify(docs: DataFrame, model, text_col: str = "text"):
-    """Column expression struct(lang_pred, score) for ``docs``."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x max_langs floats at most
+        rows, here = np.arange(len(some)), at[first:first + len(some)]
+        z = total * np.minimum(1.0, 100.0 / np.maximum(lens * len(grams), 1))[:, None] + prior
+        top = z.max(axis=1)
+        value[:, here] = (total + prior)[rows, best], z[rows, best], top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+        for i, k in zip(here, best, strict=True):
+            best_lang[i] = langs[k]
+    return best_lang, value
+
+
+def predict_texts(texts: list, langs: list[str], logp: np.ndarray, prior: np.ndarray) -> tuple[list, list]:
+    """Best language and its probability by one matrix."""
+    best, (_, z, all_z) = group_scores(texts, langs, logp, prior)
+    return ["und" if b is None else b for b in best], [0.0 if b is None else float(p) for b, p in zip(best, np.exp(z - all_z), strict=True)]
+
+
+_STATE = "best string, total double, z double, all_z double"
 
-    @F.pandas_udf("lang_pred string, score double")
+
+def _scores(spark, model):
+    """Pandas UDF text -> state of one group of languages."""
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)  # buckets x max_langs floats at most
+
+    @F.pandas_udf(_STATE)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        langs, logp, prior = shared.value
         for s in batches:
-            pred, p = predict_texts([t if isinstance(t, str) else None for t in s], langs, logp, prior)
-            yield pd.DataFrame({"lang_pred": pred, "score": p})
-
-    return score(F.col(text_col))
+            best, value = group_scores([t if isinstance(t, str) else None for t in s], *shared.value)
+            yield pd.DataFrame({"best": best, "total": value[0], "z": value[1], "all_z": value[2]})
+
+    return score
+
+
+def identify(docs: DataFrame, groups, text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a column struct(lang_pred, score), and the (free) name of that column. ``groups``: models of
+    ``train_groups``."""
+    name = free_name(docs, "language")
+    out, new = None, name + "_new"
+    for model in groups:
+        score = _scores(docs.sparkSession, model)
+        if out is None:
+            out = docs.withColumn(name, score(F.col(text_col)))
+            continue
+        # The first group wins a tie: its languages come first in code-point order.
+        out = materialise(out, "languages").withColumn(new, score(F.col(text_col)))
+        old, now = F.col(name), F.col(new)
+        high, low = F.greatest(old["all_z"], now["all_z"]), F.least(old["all_z"], now["all_z"])
+        pick = now["total"] > old["total"]
+        out = out.withColumn(name, F.when(old["best"].isNull(), now).otherwise(F.struct(
+            F.when(pick, now["best"]).otherwise(old["best"]).alias("best"), F.greatest(old["total"], now["total"]).alias("total"),
+            F.when(pick, now["z"]).otherwise(old["z"]).alias("z"), (high + F.log1p(F.exp(low - high))).alias("all_z")))).drop(new)
+    if out is None:  # nothing to learn from
+        out = docs.withColumn(name, F.lit(None).cast("struct<best:string,total:double,z:double,all_z:double>"))
+    p = F.col(name)
+    unknown = F.coalesce(p["best"].isNull(), F.lit(True))
+    return out.withColumn(name, F.struct(
+        F.when(unknown, F.lit("und")).otherwise(p["best"]).alias("lang_pred"),
+        F.when(unknown, F.lit(0.0)).otherwise(F.exp(p["z"] - p["all_z"])).alias("score"))), name
 
 
 def held_out():
@@ -163,9 +206,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(True))
 
 
-def language_report(docs: DataFrame) -> DataFrame:
+def language_report(docs: DataFrame, max_langs: int = 500) -> DataFrame:
     """Train on the learnable documents, predict all."""
-    model = train(docs.where(~held_out()).select("lang", "text"))
-    base = docs.select("doc_id", "text")
-    return (base.withColumn("p", identify(base, model))
-            .select("doc_id", held_out().alias("held_out"), "p.lang_pred", "p.score"))
+    groups = train_groups(docs.where(~held_out()).select("lang", "text"), max_langs=max_langs)
+    out, p = identify(docs.select("doc_id", "text"), groups)
+    return out.select("doc_id", held_out().alias("held_out"), f"{p}.lang_pred", f"{p}.score")

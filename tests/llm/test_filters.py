@@ -1,6 +1,8 @@
 """Quality rules, language identification, URL filters, mixing."""
 
+import math
 import zlib
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -85,6 +87,51 @@ def test_language_batch_equals_single(spark):
     assert all(abs(a - s[0]) < 1e-9 for a, (_, s) in zip(together[1], alone, strict=True))
 
 
+def plain_bayes(rows, texts, buckets=lang_id.BUCKETS, smooth=0.5):
+    """Naive Bayes n-gram by n-gram: (best language, probability) of each text."""
+    def grams(text):
+        t = "".join(c if "a" <= c <= "z" or ord(c) > 127 else " " for c in text.lower())
+        for n in lang_id.ORDERS:
+            for i in range(len(t) - n + 1):
+                if t[i:i + n] not in bucket:
+                    bucket[t[i:i + n]] = int(lang_id.gram_buckets([t[i:i + n]], buckets, (n,))[0][0][0])
+                yield bucket[t[i:i + n]]
+
+    bucket, counts, sizes = {}, defaultdict(Counter), Counter()
+    for lang, text in rows:
+        counts[lang].update(grams(text or ""))
+        sizes[lang] += 1
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        found = list(grams(text))
+        prior = {la: math.log(sizes[la] / sum(sizes.values())) for la in sizes}
+        total = {la: sum(math.log(c[g] + smooth) - math.log(sum(c.values()) + smooth * buckets) for g in found) for la, c in counts.items()}
+        best = min(sizes, key=lambda la: (-total[la] - prior[la], la))
+        share = min(1.0, 100 / (4 * len(text)))
+        z = {la: total[la] * share + prior[la] for la in sizes}
+        out.append((best, 1 / sum(math.exp(v - z[best]) for v in z.values())))
+    return out
+
+
+def test_language_matches_plain_bayes(spark):
+    """Also in groups of two languages: more languages than a matrix holds lose nothing."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang").where("length(text) < 1500").withColumn(
+        "lang", F.concat("lang", (F.col("doc_id") % 2).cast("string")))
+    docs = docs.unionByName(frame(spark, [(10**6, None, "en0"), (10**6 + 1, "12 !", "en1"), (10**6 + 2, "a", None)], "doc_id long, text string, lang string"))
+    rows = docs.collect()
+    learn = [(r.lang, r.text) for r in rows if r.lang and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    some = sorted(rows, key=lambda r: -r.doc_id)[:40]
+    want = dict(zip([r.doc_id for r in some], plain_bayes(learn, [r.text for r in some]), strict=True))
+    for max_langs in (500, 2):
+        got = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.language_report(docs, max_langs).collect()}
+        assert len(got) == len(rows) and len({la for la, _ in learn}) > 4
+        for d, (lang, p) in want.items():
+            assert got[d][0] == lang and abs(got[d][1] - p) < 1e-4
+
+
 def test_url_edges(spark):
     rows = [(1, None), (2, "nohost"), (2, "http://a.NET"), (3, "http://net/x"), (4, "x://example.net/en/"), (5, "http://example.net/en"),
             (6, "http://org/fr/?x"), (6, "http://org/fr/?x"), (None, "ftp://a.org/fr/a#b"), (7, "http://badnet/x"), (8, "://"),

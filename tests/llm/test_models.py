@@ -7,13 +7,14 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
 from cadenza.llm import cotrain, html_extract
 from cadenza.llm.common import table
 from tests.conftest import SF
-from tests.llm.helpers import clash, edge_rows, frame
+from tests.llm.helpers import clash, edge_rows, frame, rows_of
 from tools.oracle_check import TABLES, digest
 
 
@@ -114,11 +115,34 @@ def test_page_wide_wrappers_give_no_roles():
 def test_cotraining_held_out(spark):
     sf = SF.replace("sf0.001", "sf0.01")
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    got = cotrain.quality_report(docs, labels).join(labels, "doc_id").collect()
-    held = [r for r in got if r.doc_id * 2654435761 % 1000 < 250]
-    assert sum((r.quality_score >= 0.5) == (r.quality == 1) for r in held) >= 0.95 * len(held)
-    clean = [r for r in held if r.quality == 1 and r["toxic"] is not None and r.kept]
-    assert clean and all(0 <= r.score <= 1 for r in got)
+    got = {r.target: r for r in cotrain.held_out_report(docs, labels).collect()}
+    assert got["quality"].n_right >= 0.95 * got["quality"].n > 0
+    assert got["quality"].n < 0.2 * labels.count()
+    rows = cotrain.quality_report(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_toxic_documents_held_out(spark):
+    sf = SF.replace("sf0.001", "sf0.1")
+    got = {r.target: r for r in cotrain.held_out_report(table(spark, sf, "documents"), table(spark, sf, "labels")).collect()}
+    assert got["quality"].n_right >= 0.97 * got["quality"].n and got["toxic"].n_right >= 0.95 * got["toxic"].n
+    assert got["toxic"].n_found >= 0.75 * got["toxic"].n_positive and got["toxic"].n_false <= 0.02 * got["toxic"].n
+
+
+def test_report_fold_has_no_say(spark):
+    """Labels of the report fold can be anything: the scores stay."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    wrong = labels.withColumn("quality", F.when(cotrain.fold_of("doc_id") == "report", 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert rows_of(cotrain.quality_report(docs, labels)) == rows_of(cotrain.quality_report(docs, wrong))
+
+
+def test_long_documents_are_learned_from(spark):
+    """A word that only occurs far inside very long documents decides."""
+    filler = " ".join(f"w{i}" for i in range(6000))
+    docs = [(i, filler + (" sludge" if i % 2 else " clear") + f" t{i}", "en", "a", 40_000) for i in range(160)]
+    got = cotrain.held_out_report(frame(spark, docs), frame(spark, [(i, 1 - i % 2, 0) for i in range(160)], "doc_id long, quality int, toxic int"))
+    row = got.where("target = 'quality'").first()
+    assert row.n_right == row.n > 5
 
 
 def test_cotraining_edges(spark):
