@@ -4,15 +4,17 @@ A page is cut into blocks (runs of text between block-level tags; scripts, style
 head are not text). Each block has features of its ancestors (tag names and known words of their class
 and id), of its text (length, link share, closing mark, notice signs) and of its place. Class and id words of html
 and body, and the words and form tags of elements around the page's article or main element, speak of the whole
-page and are no features. The field has two
+page and are no features; nor is, for a heading, a header element inside an article or main element, as
+such headings are titles of the text and not of the site. The field has two
 labels, main and furniture, and transition weights between neighbours; it is trained by maximum
 likelihood on labelled pages and decoded by Viterbi.
 
 Labelled pages: a bounded sample of the given pages (``train_pages``, by a hash of the id) that mark their
 article in the markup, each also laid out anew in several page templates (other containers, sidebars,
-notices, forms, reader comments) whose labels are known. Training (on the first
-``TRAIN_BLOCKS`` blocks of each) takes bounded time on the driver; the weights
-(one float per feature) are broadcast, and all pages are parsed and decoded in the tasks.
+notices, forms, reader comments) whose labels are known. Whole pages are learned: a page of over ``PIECE`` blocks is cut into
+chains of that length, and a text of over ``RUN`` words gives several texts for the made pages. Training runs on the driver over
+the feature numbers of that sample; the weights (one float per feature) are broadcast, and all pages are parsed and decoded in
+the tasks.
 
 A head without an end tag ends at the first text or start tag that cannot stand in a head. Other elements whose
 content is not text (``RAW_TAGS``) end at their end tag or, unclosed, at the next block or the end of the block around
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import small_batches
 
-TRAIN_BLOCKS = 60  # blocks of a training page
+PIECE = 60  # blocks of a chain that is learned
+RUN = 120  # words of a text in a made page
 # HTML element classes.
 BLOCK_TAGS = frozenset((
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -49,6 +52,7 @@ HEAD_TAGS = frozenset("base basefont bgsound html link meta noscript script styl
 # Elements that a start tag of the key closes.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SCOPES = frozenset("article aside body div footer form header main nav section table ul ol dl menu td".split())
 # Words in class and id values that say what an element is for.
 ROLES = {
@@ -246,6 +250,9 @@ def _page_wide(out: list) -> set[int]:
 
 def _features(text: str, links: int, path: list, i: int, n: int, wide: set[int]) -> list[str]:
     f = ["1"]
+    if path and path[-1][0] in HEADINGS:
+        inside = next((k for k, e in enumerate(path) if e[0] in ("article", "main")), len(path))
+        path = [e for k, e in enumerate(path) if k < inside or e[0] != "header"]
     names = {e[0] for e in path if e[0] != "form" or id(e) not in wide} - {"html", "body", "div"}
     f += ["in " + t for t in names]
     roles = {r for e in path if id(e) not in wide for r in e[1]}
@@ -446,7 +453,7 @@ def training_pages(sample: list[str], made: int, seed: int = 11) -> tuple[list,
             texts += [t for (t, _), x in zip(bl, lab, strict=True) if x]
     if not texts:
         texts = [" ".join("".join(rng.choice("abdeimnorst") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(3, 60))) for _ in range(200)]
-    texts = [t for t in (" ".join(t.split()[:120]) for t in texts) if t]  # words of the made pages only
+    texts = [" ".join(w[i:i + RUN]) for w in map(str.split, texts) for i in range(0, len(w), RUN)]
     for _ in range(made):
         page, main = _laid_out(rng, texts)
         bl = blocks(page)
@@ -462,10 +469,15 @@ def train(pages: DataFrame, train_pages: int = 150, made: int = 450):
     sample = [r["html"] for r in pages.where((F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0) & F.col("html").isNotNull())
               .select("html").limit(train_pages).collect()]
     feats, labels = training_pages(sample, made)
-    feats, labels = zip(*[(f[:TRAIN_BLOCKS], y[:TRAIN_BLOCKS]) for f, y in zip(feats, labels, strict=True)], strict=True)
+    return fit(feats, labels)
+
+
+def fit(feats: list, labels: list):
+    """(feature numbers, weights, transitions) of labelled pages, whole and in chains of at most ``PIECE`` blocks."""
+    chains = [(f[i:i + PIECE], y[i:i + PIECE]) for f, y in zip(feats, labels, strict=True) for i in range(0, len(f), PIECE)]
     numbers: dict[str, int] = {}
-    ids = [[[numbers.setdefault(k, len(numbers)) for k in b] for b in p] for p in feats]
-    w, tr = train_field(ids, labels, len(numbers))
+    ids = [[[numbers.setdefault(k, len(numbers)) for k in b] for b in f] for f, _ in chains]
+    w, tr = train_field(ids, [y for _, y in chains], len(numbers))
     return numbers, w, tr
 
 

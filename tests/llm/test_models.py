@@ -3,6 +3,7 @@
 import html
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -36,9 +37,7 @@ def test_given_pages(spark):
 def test_held_out_templates():
     """Trained on made pages, the field labels other made pages."""
     feats, labels = html_extract.training_pages([], 250, seed=1)
-    numbers = {}
-    ids = [[[numbers.setdefault(k, len(numbers)) for k in b] for b in p[:60]] for p in feats]
-    w, tr = html_extract.train_field(ids, [y[:60] for y in labels], len(numbers))
+    numbers, w, tr = html_extract.fit(feats, labels)
     rng, right = random.Random(7), 0
     texts = [" ".join(f"word{rng.randint(0, 999)}" for _ in range(rng.randint(5, 50))) for _ in range(50)]
     for _ in range(100):
@@ -48,6 +47,85 @@ def test_held_out_templates():
     assert right >= 85
 
 
+# Pages written by hand for the test, in the manner of common site builders; {m} are main paragraphs, {f} other sentences.
+LAYOUTS = [
+    """<!doctype html><html lang=en><head><title>{f}</title><link rel=x></head><body class="home page"><a class="skip" href="#c">Skip to content</a>
+    <header class="site-header"><div class="site-branding"><p class="site-title"><a href=/>The Site</a></p></div>
+    <nav id="site-navigation"><ul><li><a href=/a>About</a></li><li><a href=/b>Contact</a></li></ul></nav></header>
+    <main id="primary"><article class="post type-post"><header class="entry-header"><h1 class="entry-title">{m}</h1></header>
+    <div class="entry-content"><p>{m}</p><p>{m}</p><h2>{m}</h2><p>{m}</p></div></article></main>
+    <aside class="widget-area"><section class="widget"><h2>Recent posts</h2><ul><li><a href=/x>{f}</a></li></ul></section></aside>
+    <footer class="site-footer"><p>&copy; 2021 The Site. Proudly made.</p></footer></body></html>""",
+    """<html><body><div id="cookie-banner"><p>We use cookies to improve the site. {f}</p><button>Accept</button></div>
+    <div class="container"><div class="row"><div class="col-8 article-text"><h1>{m}</h1><p>{m}</p><blockquote>{m}</blockquote><p>{m}</p></div>
+    <div class="col-4 sidebar-right"><h4>Most read</h4><ol><li><a href=1>{f}</a></li><li><a href=2>{f}</a></li></ol></div></div></div>
+    <div class="comments-area"><h3>2 comments</h3><div class="comment-body"><p>{f}</p></div><div class="comment-body"><p>{f}</p></div></div>
+    <div class="footer-widgets"><p>All rights reserved.</p></div></body></html>""",
+    """<html><body><table width="100%"><tr><td class="nav" width=150><a href=1>Home</a><br><a href=2>News</a><br><a href=3>Links</a></td>
+    <td class="content"><h2>{m}</h2><p>{m}</p><p>{m}</p></td></tr><tr><td colspan=2 class="copyright">Copyright 2003 by us</td></tr></table></body></html>""",
+    """<html><body><nav class="navbar"><a href=/>Brand</a><form class="search"><input name=q><button>Go</button></form></nav>
+    <main><h1>{m}</h1><p>{m}</p><ul><li>{m}</li><li>{m}</li></ul><p>{m}</p>
+    <aside class="related"><h3>You may also like</h3><p><a href=1>{f}</a></p></aside><p>{m}</p></main>
+    <section class="newsletter-signup"><h3>Get our letter</h3><p>{f}</p><form><input type=email><button>Subscribe</button></form></section>
+    <footer><ul><li><a href=/p>Privacy</a></li><li><a href=/t>Terms</a></li></ul></footer></body></html>""",
+    """<html><body><div id="wrapper"><div id="top-menu"><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul></div>
+    <div class="ad-slot"><p>{f}</p></div><div id="main-content"><p class="lead">{m}</p><p>{m}</p><p>{m}</p><p>{m}</p></div>
+    <div class="social-share"><a href=f>Share</a> <a href=t>Tweet</a></div><div class="disclaimer notice"><p>{f}</p></div></div></body></html>""",
+    """<html><body><div role="banner"><p>{f}</p></div><div role="navigation"><ul><li><a href=/1>Guide</a></li><li><a href=/2>Index</a></li></ul></div>
+    <div role="main"><section><h1>{m}</h1><p>{m}</p></section><section><h2>{m}</h2><p>{m}</p><pre>{m}</pre></section></div>
+    <div role="contentinfo"><p>Built on Monday. {f}</p></div></body></html>""",
+    """<html><body><ul class="breadcrumb"><li><a href=/>Home</a></li><li><a href=/c>Category</a></li></ul>
+    <article itemscope><h1>{m}</h1><figure><img src=x><figcaption>{m}</figcaption></figure><p>{m}</p><p>{m}</p>
+    <div class="advertisement"><p>{f}</p></div><p>{m}</p><footer class="author-box"><p>{f}</p></footer></article>
+    <section id="comments"><article class="comment"><p>{f}</p></article><article class="comment"><p>{f}</p></article>
+    <form class="comment-form"><label>Your comment</label><textarea></textarea></form></section></body></html>""",
+    """<html><body><div class="header"><h3><a href=/>Forum</a></h3></div><div class="post-body"><p>{m}</p><p>{m}</p></div>
+    <div class="sponsored-box">{f}</div><div class="pagination"><a href=1>1</a> <a href=2>2</a> <a href=3>Next</a></div>
+    <div id="login-form"><form><label>User name</label><input><label>Password</label><input><button>Log in</button></form></div></body></html>""",
+]
+
+
+def _page(layout, rng):
+    def text(k):
+        return " ".join("".join(rng.choice("aeinorstlmdk") for _ in range(rng.randint(2, 9))) for _ in range(k)) + "."
+
+    main = []
+
+    def slot(m):
+        k = rng.randint(5, 60) if m[0] == "{m}" else rng.randint(4, 30)
+        out = text(k)
+        if m[0] == "{m}":
+            main.append(out)
+        return out
+
+    return re.sub(r"\{[mf]\}", slot, layout), main
+
+
+def test_layouts_written_apart_from_the_training_ones(spark):
+    model = html_extract.train(table(spark, SF.replace("sf0.001", "sf0.01"), "pages").select("page_id", "html"))
+    model = (model[0], model[1].tolist(), model[2].tolist())
+    rng, right, wrong, blocks_seen, off = random.Random(5), 0, Counter(), 0, 0
+    for i, layout in enumerate(LAYOUTS * 25):
+        page, main = _page(layout, rng)
+        got = html_extract.extract_text(page, model).split("\n")
+        right += got == main
+        off += len(set(got) ^ set(main))
+        blocks_seen += len(html_extract.blocks(page))
+        if got != main:
+            wrong[i % len(LAYOUTS)] += 1
+    assert right >= 0.95 * 25 * len(LAYOUTS), (right, wrong)
+    assert off <= 0.02 * blocks_seen
+
+
+def test_long_pages_are_learned_whole():
+    """What only stands after the first chain of a page is learned too."""
+    bl = html_extract.blocks("<article>" + "<p>Some words of the text.</p>" * 200 + "</article>" + "<div class=tags><p>Some words of tags.</p></div>" * 100)
+    labels = [1] * 200 + [0] * 100
+    numbers, w, tr = html_extract.fit([[f for _, f in bl]] * 4, [labels] * 4)
+    page = "<article><p>Some words of the text.</p></article><div class=tags><p>Some words of tags.</p></div>"
+    assert "is side" in numbers and html_extract.extract_text(page, (numbers, w.tolist(), tr.tolist())) == "Some words of the text."
+
+
 def test_blocks():
     page = ("<head><title>no</title></head><body><!-- no --><script>no('<p>')</script><p>One &amp; two<br>three<p>four<b>five</b>"
             "<ul><li>a<li><a href=x>b</a></ul><style>p{}</style>&#169; &am <div>tail")
@@ -102,9 +180,7 @@ def test_page_wide_wrappers_give_no_roles():
              "<html><body><form>%s</form></body></html>", '<body><div class="no-sidebar comments-open">%s</div></body>',
              '<body><main><section class="with-sidebar">%s</section></main></body>']
     feats, labels = html_extract.training_pages([], 250, seed=1)
-    numbers = {}
-    ids = [[[numbers.setdefault(k, len(numbers)) for k in b] for b in p[:60]] for p in feats]
-    w, tr = html_extract.train_field(ids, [y[:60] for y in labels], len(numbers))
+    numbers, w, tr = html_extract.fit(feats, labels)
     for page in pages:
         bl = html_extract.blocks(page % (f"<article>{post}</article>" + said))
         assert html_extract.weak_labels(bl) == [1] * 4 + [0]
