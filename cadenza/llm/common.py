@@ -67,6 +67,17 @@ def tidy(operator):
     return run
 
 
+@contextlib.contextmanager
+def passing_tables(spark: SparkSession):
+    """Delete the tables that operators write inside the block when it ends: for jobs that write their own result there. A
+    block that ends with an error leaves them for ``clean_up``."""
+    mark = len(_WRITTEN)
+    yield
+    for path in _WRITTEN[mark:]:
+        remove(spark, path)
+    del _WRITTEN[mark:]
+
+
 def clean_up(spark: SparkSession) -> None:
     """Delete every table that operators have left in the checkpoint folder for this application, results too."""
     remove(spark, _folder(spark))
