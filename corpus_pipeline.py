@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 
 from cadenza.llm import decontaminate, minhash, mixing, quality_rules, token_store
-from cadenza.llm.common import table
+from cadenza.llm.common import passing_tables, remove, table
 from cadenza.session import ensure_checkpoint_dir
 
 
@@ -46,11 +46,15 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over ``documents``."""
+    """All stages over ``documents``. A stage's table, and what its operators wrote on the way, is deleted as soon as the
+    next table is complete; what stays is the input of the last stage and the token files."""
     docs = table(spark, sf_dir, "documents")
-    base = f"{ensure_checkpoint_dir(spark)}/cadenza-llm/pipeline-{uuid.uuid4().hex}"
+    base = f"{ensure_checkpoint_dir(spark)}/cadenza-llm/{spark.sparkContext.applicationId}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES[:-1]):
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{base}/{i}")
+        with passing_tables(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(f"{base}/{i}")
         docs = spark.read.schema(out.schema).parquet(f"{base}/{i}")
+        if i:
+            remove(spark, f"{base}/{i - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
