@@ -4,6 +4,7 @@ import html
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -14,6 +15,7 @@ import __spark_entry__ as E
 import corpus_pipeline
 from cadenza.llm import cotrain, html_extract
 from cadenza.llm.common import table
+from cadenza.session import ensure_checkpoint_dir
 from tests.conftest import SF
 from tests.llm.helpers import clash, edge_rows, frame, rows_of
 from tools.oracle_check import TABLES, digest
@@ -253,6 +255,18 @@ def test_pipeline_edges(spark):
             docs = spark.createDataFrame(out.collect(), out.schema)
 
 
+def test_pipeline_leaves_one_stage_table(spark):
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "cadenza-llm" / spark.sparkContext.applicationId
+    before = set(folder.glob("*"))
+    rows = rows_of(corpus_pipeline.run(spark, SF))
+    new = {p.name for p in set(folder.glob("*")) - before}
+    (stages,) = [n for n in new if n.startswith("pipeline-")]
+    assert [p.name for p in (folder / stages).iterdir()] == [str(len(corpus_pipeline.STAGES) - 2)]
+    again = set(folder.glob("*"))
+    assert rows_of(corpus_pipeline.run(spark, SF)) == rows and rows
+    assert len(set(folder.glob("*")) - again) == len(new)  # a run leaves as much as the one before
+
+
 @pytest.mark.parametrize("name", ["op1_decontaminate", "op3_quality_rules", "op4_url_filter", "op7_minhash_dedup"])
 def test_sql_twins(spark, name):
     con = duckdb.connect()
