@@ -181,20 +181,36 @@ def clean_extras(extras: DataFrame, id_col: str = "track_id") -> DataFrame:
     return extras.withColumn(id_col, quoted_id(id_col))
 
 
+def join_per_key(rows: DataFrame, table: DataFrame, key: str, spread_by: str, spread: int = 16) -> DataFrame:
+    """``rows`` LEFT ``table``, which has at most one, perhaps long row per ``key`` (J2). Rows of a key are dealt over
+    ``spread`` tasks by a hash of ``spread_by``, each with its copy of the key's row, so that few keys keep all cores busy.
+    A file's size tells little of how long the lists made from it are, so the table is never broadcast."""
+    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
+    return dealt.join(copies.hint("merge"), [key, "_part"], "left").drop("_part")
+
+
 def catalogue_features(tracks: DataFrame, artist_terms: DataFrame, artist_location: DataFrame,
-                       extras: DataFrame | None = None) -> DataFrame:
+                       extras: DataFrame | None = None, of_terms=None) -> DataFrame:
     """Terms list per artist FULL OUTER location, tracks LEFT that, LEFT acoustic extras.
 
-    The artist tables are one row per artist; AQE broadcasts them when their
-    runtime size is under the threshold and falls back to a shuffle join otherwise.
+    The artist tables are one row per artist; AQE broadcasts them when their runtime size is under the threshold and
+    falls back to a shuffle join otherwise. They are joined last: an artist's list is as long as the artist has rows, so
+    no track's row is shuffled once it has its list. ``of_terms`` turns the list into what is wanted of it (a text, its
+    size) once per artist, before it is copied to the tracks.
     """
     terms = list_per_key(artist_terms, "artist_id", "term", "pos")
+    if of_terms:
+        terms = terms.withColumn("term", of_terms("term"))
     loc = artist_location.drop("artist_name")
     artists = terms.join(loc, "artist_id", "full_outer")           # J3 (USING: key coalesced)
-    out = tracks.join(artists, "artist_id", "left")                 # J2
+    out = tracks
     if extras is not None:
         out = out.join(extras, "track_id", "left")                  # J2
-    return out
+    own = [c for c in tracks.columns if c not in ("track_id", "artist_id")]
+    added = [c for c in (extras.columns if extras is not None else []) if c != "track_id"]
+    return join_per_key(out, artists, "artist_id", "track_id").select(
+        "track_id", "artist_id", *own, "term", *[c for c in loc.columns if c != "artist_id"], *added)
 
 
 # ---------------------------------------------------------------- C2 / J4 / P15

@@ -47,6 +47,29 @@ def test_catalogue_full_outer_keeps_both_sides(spark):
     assert out == {"t1": (["rock"], "L1"), "t2": (None, "L3")}
 
 
+def test_catalogue_lists_are_joined_last(spark):
+    """A track's row is not shuffled once it has its artist's list: in the plan, the join that adds the list is above the
+    join with the extras; few artists are dealt over many tasks; texts and sizes are made per artist."""
+    tracks = spark.createDataFrame([(f"t{i}", f"a{i % 2}", float(i)) for i in range(200)] + [("t", None, 0.0)],
+                                   "track_id string, artist_id string, duration double")
+    terms = spark.createDataFrame([(f"a{i % 3}", f"w{i}", i) for i in range(30)], "artist_id string, term string, pos int")
+    loc = spark.createDataFrame([("a0", 1.0, 2.0, "n", "L0")], "artist_id string, latitude double, longitude double, artist_name string, location string")
+    extras = spark.createDataFrame([(f"t{i}", float(-i)) for i in range(0, 200, 2)], "track_id string, tempo double")
+    out = FE.catalogue_features(tracks, terms, loc, extras, lambda c: F.array_join(c, ","))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_list") > plan.index("tempo") and plan.count("Join LeftOuter") == 2
+    assert plan.index("_part") < plan.index("collect_list") and "artist_id" in plan[plan.index("Join LeftOuter"):].split("\n")[0]
+    assert out.columns == ["track_id", "artist_id", "duration", "term", "latitude", "longitude", "location", "tempo"]
+    got = {r.track_id: tuple(r)[1:] for r in out.collect()}
+    lists = {f"a{a}": ",".join(f"w{i}" for i in range(30) if i % 3 == a) for a in range(3)}
+    assert len(got) == 201 and got["t"] == (None, 0.0, None, None, None, None, None)
+    for i in range(200):
+        place = (1.0, 2.0, "L0") if i % 2 == 0 else (None, None, None)
+        assert got[f"t{i}"] == (f"a{i % 2}", float(i), lists[f"a{i % 2}"], *place, float(-i) if i % 2 == 0 else None)
+    sizes = FE.catalogue_features(tracks, terms, loc, extras, F.size).select("term").distinct().collect()
+    assert {r.term for r in sizes} == {10, None}
+
+
 def test_quartiles_by_rank_selection(spark):
     """Skewed, tied, huge, tiny and missing values, against numpy."""
     import numpy as np
