@@ -231,14 +231,24 @@ def dedup_rows(df: DataFrame, id_col: str) -> DataFrame:
 
 def align_features(id_map: DataFrame, features: DataFrame, factors: DataFrame, keep_cols,
                    id_col: str = "mapped_id", key_col: str = "track_id", rank: int | None = None,
-                   factor_id: str = "id", factor_col: str = "features") -> DataFrame:
-    """Id map JOIN features JOIN factors (J4), keep the model columns (P1), expand (P15), dedup."""
-    f = id_map.join(features, key_col, "inner").select(id_col, *keep_cols)
+                   factor_id: str = "id", factor_col: str = "features", per_key: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """Id map JOIN features JOIN factors (J4), keep the model columns (P1), expand (P15), dedup.
+
+    ``per_key``: a table with one row per value of a kept column, and that column; its columns may be long. Rows equal in
+    the key are equal in them, so they are joined after the dedup and neither shuffled nor compared by row.
+    """
+    table, key = per_key or (None, None)
+    late = [c for c in table.columns if c != key] if per_key else []
+    f = id_map.join(features, key_col, "inner").select(id_col, *[c for c in keep_cols if c not in late])
     fac = factors.select(F.col(factor_id).alias(id_col), factor_col)
     out = f.join(fac, id_col, "inner")
     if rank is not None:
         out = expand_array(out, factor_col, rank)
-    return dedup_rows(out, id_col)
+    out = dedup_rows(out, id_col)
+    if per_key:
+        rest = [c for c in out.columns if c not in (id_col, *keep_cols)]
+        out = join_per_key(out, table, key, id_col).select(id_col, *keep_cols, *rest)
+    return out
 
 
 # ---------------------------------------------------------------------- E1 / E2

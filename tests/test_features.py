@@ -70,6 +70,21 @@ def test_catalogue_lists_are_joined_last(spark):
     assert {r.term for r in sizes} == {10, None}
 
 
+def test_align_joins_long_columns_after_the_dedup(spark):
+    """The lists of a key are no grouping column, and the rows are those of the plain way."""
+    idmap = spark.createDataFrame([(f"t{i}", i) for i in range(12)], "track_id string, mapped_id int")
+    feats = spark.createDataFrame([(f"t{i}", f"a{i % 3}" if i % 4 else None, float(i % 2)) for i in range(12)], "track_id string, artist_id string, x double")
+    terms = spark.createDataFrame([("a0", "w0,w3"), ("a1", "w1")], "artist_id string, term string")
+    factors = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(10)], "id int, features array<double>")
+    keep = ["artist_id", "term", "x"]
+    got = FE.align_features(idmap, feats, factors, keep, rank=2, per_key=(terms, "artist_id"))
+    plain = FE.align_features(idmap, feats.join(terms, "artist_id", "left"), factors, keep, rank=2)
+    assert got.columns == plain.columns == ["mapped_id", *keep, "feature_0", "feature_1"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() < 10
+    grouping = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in line]
+    assert grouping and not any("term" in line for line in grouping)
+
+
 def test_quartiles_by_rank_selection(spark):
     """Skewed, tied, huge, tiny and missing values, against numpy."""
     import numpy as np
