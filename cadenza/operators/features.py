@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import genre_label, quoted_id
@@ -40,13 +40,17 @@ def first_element(col: str):
     return F.try_element_at(F.col(col), F.lit(1))
 
 
-def list_per_key(df: DataFrame, key: str, value: str, order_by: str, out_col: str | None = None) -> DataFrame:
+def list_per_key(df: DataFrame, key: str, value: str, order_by: str, out_col: str | None = None, first: int | None = None) -> DataFrame:
     """A2: all values per key, repeats kept, as a list in the input order given by ``order_by``.
 
     The list is the output, so it is as long as the key has rows; partial lists are built
-    on the map side and the rows of a key are sorted by (order, value) within its list.
+    on the map side and the rows of a key are sorted by (order, value) within its list. Where only its beginning is
+    wanted, ``first`` says how many values: the others are left out before and after the shuffle.
     """
     out_col = out_col or value
+    if first is not None:
+        w = Window.partitionBy(key).orderBy(order_by, value)
+        df = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= first)
     return (df.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(order_by).alias("_o"), F.col(value).alias("_v"))))
                  .alias("_l"))

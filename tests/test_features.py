@@ -70,6 +70,23 @@ def test_catalogue_lists_are_joined_last(spark):
     assert {r.term for r in sizes} == {10, None}
 
 
+def test_list_per_key_beginning(spark):
+    """The first n values of each list are the beginning of the whole list, NULLs and equal positions included."""
+    rows = [(f"k{i % 3}", f"v{i * 7 % 5}" if i % 4 else None, i // 6) for i in range(40)] + [(None, "x", 0), ("one", None, 3)]
+    df = spark.createDataFrame(rows, "k string, v string, o int").repartition(4)
+    whole = {r.k: list(r.v) for r in FE.list_per_key(df, "k", "v", "o").collect()}
+    for n in (1, 2, 100):
+        assert {r.k: list(r.v) for r in FE.list_per_key(df, "k", "v", "o", first=n).collect()} == {k: v[:n] for k, v in whole.items()}
+
+
+def test_items_carry_one_term(spark):
+    """The genre queries give an item no more of its artist's list than the first term."""
+    from cadenza.plans import queries as Q
+    from cadenza.sources.tables import Tables
+    from tests.conftest import SF
+    assert {r.n for r in Q._item_terms(Tables(spark, SF)).select(F.size("term").alias("n")).distinct().collect()} == {1}
+
+
 def test_align_joins_long_columns_after_the_dedup(spark):
     """The lists of a key are no grouping column, and the rows are those of the plain way."""
     idmap = spark.createDataFrame([(f"t{i}", i) for i in range(12)], "track_id string, mapped_id int")
