@@ -152,3 +152,13 @@ def test_lloyd_steps_match_numpy(spark):
     r = A._sub_blocks(m - cells[A._nearest(m, cells)])
     spread = ((r - books[np.arange(3), A._assign_codes(r, books)]) ** 2).sum()
     assert spread < 0.6 * (r ** 2).sum()
+
+
+def test_forest_search_broadcasts_nothing(spark):
+    """Paths, codes and nodes grow with the items: no join of them goes through the driver."""
+    from cadenza.operators.ann import ForestIndex, _fresh_store
+    rows = [(i, [float((i * 7 + j * j) % 11 - 5) for j in range(8)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, features array<double>")
+    index = ForestIndex.build(df, _fresh_store(spark, "forest"), n_trees=4, bucket=16, k=5)
+    plan = index.search(df, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
