@@ -162,3 +162,24 @@ def test_forest_search_broadcasts_nothing(spark):
     index = ForestIndex.build(df, _fresh_store(spark, "forest"), n_trees=4, bucket=16, k=5)
     plan = index.search(df, 5)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_probes_are_pairs_of_ids_in_bounded_slices(spark, monkeypatch):
+    """Probes carry no vectors, and many cells do not make a batch's tables grow: the same probes by slices of one row."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, features array<double>").coalesce(1)
+    centers, sizes = rng.normal(size=(30, 6)), rng.integers(0, 9, 30)
+    got = A._probed(df, centers, sizes, 3, 40)
+    assert got.columns == ["qid", "cell"]
+    want = set()
+    for i, v in rows:
+        best = np.argsort(-(centers @ np.array(v)), kind="stable")
+        n = max(3, next(t for t in range(1, 31) if sizes[best[:t]].sum() >= 40))
+        want |= {(i, int(c)) for c in best[:n]}
+    assert {tuple(r) for r in got.collect()} == want
+    assert [s.stop - s.start for s in A._slices(5, 1 << 21)] == [1] * 5 and A._slices(10_000, 300)[0].stop * 300 <= 1 << 21
+    m = rng.normal(size=(7, 6))
+    whole = A._nearest(m, centers)
+    monkeypatch.setattr(A, "_slices", lambda n, width: [slice(i, i + 1) for i in range(n)])
+    assert (A._nearest(m, centers) == whole).all() and len(A._nearest(m[:0], centers)) == 0
