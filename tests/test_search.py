@@ -183,3 +183,11 @@ def test_probes_are_pairs_of_ids_in_bounded_slices(spark, monkeypatch):
     whole = A._nearest(m, centers)
     monkeypatch.setattr(A, "_slices", lambda n, width: [slice(i, i + 1) for i in range(n)])
     assert (A._nearest(m, centers) == whole).all() and len(A._nearest(m[:0], centers)) == 0
+
+
+def test_recall_asks_every_vector(spark):
+    """N5 takes every row of the embeddings as a query."""
+    from cadenza.plans import queries as Q
+    from tests.conftest import SF
+    n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    assert {(r.method, r.n_queries, r.recall_from_09) for r in Q.n5_recall(spark, SF).collect()} == {("forest", n, True), ("ivf_pq", n, True)}
