@@ -1,14 +1,13 @@
 """Exact top-k retrieval over factor vectors.
 
-``blocked_top_k`` is the one non-relational kernel: all (query, item) scores are
-needed, so both sides are cut into hash blocks and every (query block, item
-block) pair is scored with one numpy matmul inside ``cogroup().applyInPandas``.
-Each group holds at most ``query_block`` queries and ``item_block`` items, so
-task memory is bounded whatever the table sizes; a group emits only its local
-top-k per query, and a final ``row_number() <= k`` (planned as a window group
-limit, applied before and after the shuffle) merges the blocks. The same kernel
-scores the probed cells of the partitioned index (``ann.py``) by passing a cell
-key as ``group_col``.
+All (query, item) scores are needed. ``exact_top_k`` deals the queries into blocks that fit a task's memory; a task holds
+one block and the best items of each of its queries so far, and the items stream past it in id order, batch by batch.
+What a task keeps follows its queries and ``k`` only, and a list leaves the task whole: nothing is merged afterwards,
+unless the queries are too few to give every core a block. Then the items are dealt into blocks as well, and a
+``row_number() <= k`` (planned as a window group limit) merges the lists.
+
+``blocked_top_k`` scores pairs that share a key (the probed cells of ``ann.py``): both sides of a key are cut into hash
+blocks and every (query block, item block) pair is scored inside ``cogroup().applyInPandas``.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,45 +110,170 @@ def block_counts(n_queries: int, n_items: int, parallelism: int, max_query_block
     return int(qb), int(ib)
 
 
-def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "qid", i_id: str = "iid",
-                  q_vec: str = "qvec", i_vec: str = "ivec", metric: str = "dot",
-                  query_block: int = 16384, item_block: int | None = None,
-                  group_col: str | None = None, q_blocks=None, i_blocks=None) -> DataFrame:
-    """Exact top-k items per query by inner product (or cosine): ``(qid, pos, iid, score)``.
-
-    ``group_col`` restricts scoring to pairs sharing that key (a probed cell);
-    ``q_blocks`` / ``i_blocks`` are per-group block counts ``(group_col, n)``
-    (default: one global block count from the row counts). An item block holds at most ``item_block`` rows (default:
-    as many as take 8 MB). One item block needs no merge: its local lists are the result.
-    """
+def _sides(queries: DataFrame, items: DataFrame, metric: str):
+    """``queries(qid, qvec, ...)`` and ``items(iid, ivec, ...)`` with vectors whose dot product is the metric."""
     if metric not in ("dot", "cosine"):
         raise ValueError("metric must be 'dot' or 'cosine'")
-    q = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("qvec"),
-                       *( [F.col(group_col).alias("g")] if group_col else [F.lit(0).alias("g")]))
-    it = items.select(F.col(i_id).cast("long").alias("iid"), F.col(i_vec).alias("ivec"),
-                      *( [F.col(group_col).alias("g")] if group_col else [F.lit(0).alias("g")]))
-    if metric == "cosine":
-        q = l2_normalize(q, "qvec")
-        it = l2_normalize(it, "ivec")
-        q = q.where(F.col("qvec").isNotNull())
-        it = it.where(F.col("ivec").isNotNull())
-
-    if q_blocks is None:
-        size = (q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("d"), F.lit(0).alias("side"))
-                .unionByName(it.agg(F.count("*").alias("n"), F.max(F.size("ivec")).alias("d"), F.lit(1).alias("side"))))
-        counts = {r["side"]: r for r in size.collect()}
-        dim = int(counts[0]["d"] or 1)
-        nq, ni = block_counts(counts[0]["n"], counts[1]["n"], q.sparkSession.sparkContext.defaultParallelism,
-                              query_block, item_block or max(16384, (1 << 20) // dim), k=int(k), dim=dim)
-        q = q.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
-        it = it.withColumn("nqb", F.lit(nq)).withColumn("nib", F.lit(ni))
-    else:
-        # Per-group block counts, one row per group; groups may be as many as rows, so they are never broadcast.
-        qb = q_blocks.select(F.col(group_col).alias("g"), F.col("n").alias("nqb"))
-        ib = i_blocks.select(F.col(group_col).alias("g"), F.col("n").alias("nib"))
-        both = qb.join(ib.hint("merge"), "g", "inner").hint("merge")
-        q = q.join(both, "g", "inner")
-        it = it.join(both, "g", "inner")
+    if metric == "dot":
+        return queries, items
+    q, it = l2_normalize(queries, "qvec"), l2_normalize(items, "ivec")
+    return q.where(F.col("qvec").isNotNull()), it.where(F.col("ivec").isNotNull())
+
+
+def _merged(local: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` of each query over the lists of all item blocks: (qid, pos, iid, score)."""
+    w = Window.partitionBy("qid").orderBy(F.round("score", 10).desc(), F.col("iid").asc())
+    # Filter on the bare row_number so the planner inserts a window group limit
+    # (top-k per query before the shuffle as well as after it).
+    return (local.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= k)
+            .select("qid", (F.col("_rn") - 1).cast("int").alias("pos"), "iid", "score"))
+
+
+def _where(mask: np.ndarray) -> np.ndarray:
+    """Flat places of a mask's few true cells, found eight cells at a time."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    cells = (words[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([cells[flat[cells]], whole + np.flatnonzero(flat[whole:])])
+
+
+class RunningBest:
+    """The best ``k`` items of a block of queries among those seen so far. Items come in ascending id order, so the earlier
+    of equal scores (by 10 decimals, as in ``_scores_top_k``) stays and no more than ``k`` are ever kept per query."""
+
+    def __init__(self, qids: np.ndarray, q: np.ndarray, k: int):
+        self.qids, self.q, self.k, self.seen = qids, q, k, 0
+        self.scores, self.ids = np.empty((len(qids), k)), np.empty((len(qids), k), np.int64)
+        self.floor = np.full(len(qids), -np.inf)  # a full list's lowest score: only higher ones enter it
+
+    def add(self, iids: np.ndarray, items: np.ndarray) -> None:
+        """A batch of items, in parts no larger than what was seen before them: by then few items enter a list."""
+        while len(iids):
+            n = self.k - self.seen if self.seen < self.k else self.seen
+            (self._fill if self.seen < self.k else self._score)(iids[:n], items[:n])
+            self.seen += len(iids[:n])
+            iids, items = iids[n:], items[n:]
+
+    def _fill(self, iids: np.ndarray, items: np.ndarray) -> None:
+        at = slice(self.seen, self.seen + len(iids))
+        sc = self.q @ items.T
+        self.scores[:, at], self.ids[:, at] = np.where(np.isnan(sc), -np.inf, sc), iids  # no number ranks last
+        if at.stop == self.k:
+            self.floor = np.round(self.scores, 10).min(axis=1)
+
+    def _score(self, iids: np.ndarray, items: np.ndarray, rows: int = 128, width: int = 1024) -> None:
+        """Score ``rows`` queries and ``width`` items at a time in one buffer."""
+        buffer, above = np.empty(rows * width), np.empty(rows * width, bool)
+        for a in range(0, len(self.qids), rows):
+            q, floor = self.q[a:a + rows], self.floor[a:a + rows, None]
+            found = []
+            for c in range(0, len(iids), width):
+                part = items[c:c + width]
+                shape = len(q), len(part)
+                sc = np.matmul(q, part.T, out=buffer[:len(q) * len(part)].reshape(shape))
+                hit = _where(np.greater(sc, floor, out=above[:sc.size].reshape(shape)))
+                found.append((hit // len(part), c + hit % len(part), sc.ravel()[hit]))
+            row, col, value = (np.concatenate(x) for x in zip(*found, strict=True))
+            higher = np.round(value, 10) > self.floor[a + row]
+            if not higher.any():
+                continue
+            by = np.flatnonzero(higher)
+            by = by[np.argsort(row[by], kind="stable")]
+            row, col, value = row[by], col[by], value[by]
+            touched, first, n = np.unique(row, return_index=True, return_counts=True)
+            at = np.repeat(np.arange(len(touched)), n), self.k + np.arange(len(row)) - np.repeat(first, n)
+            wide, ids = np.full((len(touched), self.k + n.max()), -np.inf), np.zeros((len(touched), self.k + n.max()), np.int64)
+            wide[:, :self.k], ids[:, :self.k] = self.scores[a + touched], self.ids[a + touched]
+            wide[at], ids[at] = value, iids[col]
+            rounded = np.round(wide, 10)
+            best = best_columns(rounded, self.k)
+            self.scores[a + touched], self.ids[a + touched] = wide[best].reshape(-1, self.k), ids[best].reshape(-1, self.k)
+            self.floor[a + touched] = rounded[best].reshape(-1, self.k).min(axis=1)
+
+    def lists(self, cells: int = 1 << 18):
+        """(qids, ids, scores) of some queries at a time, each row in rank order."""
+        width = min(self.k, self.seen)
+        step = max(1, cells // max(1, width))
+        for a in range(0, len(self.qids) if width else 0, step):
+            scores, ids = self.scores[a:a + step, :width], self.ids[a:a + step, :width]
+            by = np.argsort(-np.round(scores, 10), axis=1, kind="stable")
+            yield self.qids[a:a + step], np.take_along_axis(ids, by, axis=1), np.take_along_axis(scores, by, axis=1)
+
+
+def _vectors(column) -> np.ndarray:
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(column), -1)
+
+
+def _stream_top_k(k: int, as_lists: bool):
+    """One task: its rows are the queries (side 0), then the items in id order; (qid, pos, iid, score) or (qid, items)."""
+    def fn(batches):
+        queries, best = [], None
+        for batch in batches:
+            side = batch.column("side").to_numpy()
+            n_queries = int(np.searchsorted(side, 1))
+            ids, vec = batch.column("id").to_numpy(), _vectors(batch.column("vec"))
+            if n_queries:
+                queries.append((ids[:n_queries], vec[:n_queries]))
+            if n_queries < len(ids) and queries:
+                if best is None:
+                    best = RunningBest(np.concatenate([q for q, _ in queries]), np.vstack([v for _, v in queries]), k)
+                best.add(ids[n_queries:], vec[n_queries:])
+        for qids, ids, scores in best.lists() if best else ():
+            n, width = ids.shape
+            if as_lists:
+                items = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(ids.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(qids), items], ["qid", "items"])
+            else:
+                pos = np.tile(np.arange(width, dtype=np.int32), n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, width)), pa.array(pos), pa.array(ids.ravel()),
+                                                  pa.array(scores.ravel())], ["qid", "pos", "iid", "score"])
+    return fn
+
+
+BLOCK_BYTES = 128 << 20  # of a task's query block: vectors and lists
+
+
+def _streamed(queries: DataFrame, items: DataFrame, k: int, metric: str, id_col: str, vec_col: str, as_lists: bool,
+              query_block: int | None, item_block: int | None) -> DataFrame:
+    q, it = _sides(queries.select(F.col(id_col).cast("long").alias("qid"), F.col(vec_col).alias("qvec")),
+                   items.select(F.col(id_col).cast("long").alias("iid"), F.col(vec_col).alias("ivec")), metric)
+    size = (q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("d"), F.lit(0).alias("side"))
+            .unionByName(it.agg(F.count("*").alias("n"), F.max(F.size("ivec")).alias("d"), F.lit(1).alias("side"))))
+    counts = {r["side"]: r for r in size.collect()}
+    dim, n_items = int(counts[0]["d"] or 1), max(1, counts[1]["n"])
+    nq, ni = block_counts(counts[0]["n"], n_items, q.sparkSession.sparkContext.defaultParallelism,
+                          query_block or max(1, BLOCK_BYTES // (16 * min(k, n_items) + 8 * dim)), item_block or n_items, k=k, dim=dim)
+    # The task of (query block, item block) is their partition: blocks are as even as a hash deals them.
+    rows = (q.select((F.pmod(F.xxhash64("qid"), F.lit(nq)) * ni).alias("_q"), F.col("qid").alias("id"), F.col("qvec").alias("vec"))
+            .select(F.explode(F.sequence(F.col("_q"), F.col("_q") + (ni - 1))).alias("_p"), F.lit(0).alias("side"), "id", "vec")
+            .unionByName(it.select(F.pmod(F.xxhash64("iid"), F.lit(ni)).alias("_i"), F.col("iid").alias("id"), F.col("ivec").alias("vec"))
+                         .select(F.explode(F.sequence(F.col("_i"), F.col("_i") + F.lit((nq - 1) * ni).cast("long"), F.lit(ni).cast("long"))).alias("_p"),
+                                 F.lit(1).alias("side"), "id", "vec")))
+    dealt = rows.repartitionById(nq * ni, F.col("_p").cast("int")).select("side", "id", "vec").sortWithinPartitions("side", "id")
+    if as_lists and ni == 1:
+        return dealt.mapInArrow(_stream_top_k(k, True), "qid long, items array<long>")
+    found = dealt.mapInArrow(_stream_top_k(k, False), "qid long, pos int, iid long, score double")
+    if ni > 1:
+        found = _merged(found.drop("pos"), k)
+    return top_k_lists(found, out_col="items") if as_lists else found
+
+
+def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, group_col: str, q_blocks: DataFrame, i_blocks: DataFrame,
+                  q_id: str = "qid", i_id: str = "iid", q_vec: str = "qvec", i_vec: str = "ivec", metric: str = "dot") -> DataFrame:
+    """Exact top-k items per query by inner product (or cosine) among the pairs sharing ``group_col`` (a probed cell):
+    ``(qid, pos, iid, score)``. ``q_blocks`` / ``i_blocks`` are per-group block counts ``(group_col, n)``.
+    """
+    q, it = _sides(queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("qvec"), F.col(group_col).alias("g")),
+                   items.select(F.col(i_id).cast("long").alias("iid"), F.col(i_vec).alias("ivec"), F.col(group_col).alias("g")), metric)
+    # Per-group block counts, one row per group; groups may be as many as rows, so they are never broadcast.
+    qb = q_blocks.select(F.col(group_col).alias("g"), F.col("n").alias("nqb"))
+    ib = i_blocks.select(F.col(group_col).alias("g"), F.col("n").alias("nib"))
+    both = qb.join(ib.hint("merge"), "g", "inner").hint("merge")
+    q = q.join(both, "g", "inner")
+    it = it.join(both, "g", "inner")
 
     # Each query row goes to its own query block and to every item block of its group;
     # each item row to its item block and every query block: the blocked matmul layout.
@@ -172,26 +297,24 @@ def blocked_top_k(queries: DataFrame, items: DataFrame, k: int, *, q_id: str = "
     local = (q_rep.groupBy("g", "qb", "ib")
              .cogroup(i_rep.groupBy("g", "qb", "ib"))
              .applyInPandas(score, schema="qid long, pos int, iid long, score double"))
-    if q_blocks is None and ni == 1:
-        return local.select(F.col("qid").alias(q_id), "pos", F.col("iid").alias(i_id), "score")
-    local = local.drop("pos")
-    if group_col:  # a pair may meet in several groups
-        local = local.groupBy("qid", "iid").agg(F.max("score").alias("score"))
-    w = Window.partitionBy("qid").orderBy(F.round("score", 10).desc(), F.col("iid").asc())
-    # Filter on the bare row_number so the planner inserts a window group limit
-    # (top-k per query before the shuffle as well as after it).
-    return (local.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= kk)
-            .select(F.col("qid").alias(q_id), (F.col("_rn") - 1).cast("int").alias("pos"),
-                    F.col("iid").alias(i_id), "score"))
+    local = local.groupBy("qid", "iid").agg(F.max("score").alias("score"))  # a pair may meet in several groups
+    return _merged(local, kk).select(F.col("qid").alias(q_id), "pos", F.col("iid").alias(i_id), "score")
+
+
+def exact_top_k(queries: DataFrame, items: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "features",
+                metric: str = "dot", query_block: int | None = None, item_block: int | None = None) -> DataFrame:
+    """Exact top-k for every query row; output ``(qid, pos, iid, score)``.
+
+    ``query_block`` is the most queries a task holds (default: as many as fit ``BLOCK_BYTES`` with their lists),
+    ``item_block`` the most items a task scores (default: all).
+    """
+    return _streamed(queries, items, int(k), metric, id_col, vec_col, False, query_block, item_block)
 
 
-def exact_top_k(queries: DataFrame, items: DataFrame, k: int, *, id_col: str = "id",
-                vec_col: str = "features", metric: str = "dot", **kw) -> DataFrame:
-    """Exact top-k for every query row; output ``(qid, pos, iid, score)``."""
-    return blocked_top_k(queries.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qvec")),
-                         items.select(F.col(id_col).alias("iid"), F.col(vec_col).alias("ivec")),
-                         k, metric=metric, **kw)
+def exact_top_k_lists(queries: DataFrame, items: DataFrame, k: int, *, id_col: str = "id", vec_col: str = "features",
+                      metric: str = "dot", query_block: int | None = None, item_block: int | None = None) -> DataFrame:
+    """:func:`exact_top_k` as one row per query, ``(qid, items array<long>)`` in rank order; a list leaves its task whole."""
+    return _streamed(queries, items, int(k), metric, id_col, vec_col, True, query_block, item_block)
 
 
 def top_k_lists(ranked: DataFrame, q_id: str = "qid", i_id: str = "iid", pos_col: str = "pos",

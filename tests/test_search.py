@@ -44,6 +44,43 @@ def test_best_columns_keeps_the_leftmost_of_equals():
             assert sorted(cols[rows == i]) == sorted(want)
 
 
+def test_running_best_matches_a_full_sort():
+    """Batches of any size, many equal scores, rows without a number: the lists of one sort over all items."""
+    rng = np.random.default_rng(2)
+    for k, n in ((1, 40), (7, 5), (30, 700), (600, 2500)):
+        q, items = rng.integers(-2, 3, (300, 3)).astype(float), rng.integers(-2, 3, (n, 3)).astype(float)
+        items[::11] = np.nan
+        best = RT.RunningBest(np.arange(300), q, k)
+        for part in np.split(np.arange(n), np.sort(rng.integers(0, n, 6))):
+            best.add(part, items[part])
+            assert best.scores.nbytes == 8 * 300 * k  # what is kept does not follow the items
+        got = np.vstack([ids for _, ids, _ in best.lists()])
+        sc = np.nan_to_num(q @ items.T, nan=-np.inf)
+        want = np.argsort(-sc, axis=1, kind="stable")[:, :k]
+        wanted = np.take_along_axis(sc, want, axis=1)
+        assert (np.take_along_axis(sc, got, axis=1) == wanted).all()
+        assert (got == want)[np.isfinite(wanted)].all()
+
+
+def test_lists_of_many_items_are_not_merged(spark):
+    """A list leaves its task whole however many items there are: no window over the lists of item blocks."""
+    big = spark.range(16500).select("id", F.array(*[F.rand(i) for i in range(64)]).alias("features"))
+    for k in (500, 600):
+        plan = RT.exact_top_k(big, big, k)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and plan.count("Exchange") == 1
+    lists = RT.exact_top_k_lists(big, big, 500)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in lists and "Window" not in lists
+
+
+def test_lists_equal_ranked_rows(spark):
+    rng = np.random.default_rng(6)
+    q, it = _vectors(spark, rng.standard_normal((40, 5)), 900), _vectors(spark, rng.standard_normal((300, 5)))
+    for kw in ({}, {"query_block": 7}, {"item_block": 50}):
+        rows = RT.exact_top_k(q, it, 12, **kw).collect()
+        lists = {r.qid: r["items"] for r in RT.exact_top_k_lists(q, it, 12, **kw).collect()}
+        assert len(rows) == 480 and all(lists[r.qid][r.pos] == r.iid for r in rows)
+
+
 def test_metric_gap(spark):
     items = spark.createDataFrame([(0, [1.0, 0.0]), (1, [3.0, 3.0])], "id long, features array<double>")
     query = spark.createDataFrame([(9, [1.0, 0.1])], "id long, features array<double>")
