@@ -77,7 +77,7 @@ def cold_start_recall(spark, t: Tables, k: int = 10, fitted=None) -> DataFrame:
 def _scored(t: Tables, named_items, k: int, ks) -> DataFrame:
     """Per named factor table of held-out items: the users' lists of those items against the plays of them."""
     from cadenza.operators import metrics as M
-    from cadenza.operators.retrieve import exact_top_k, top_k_lists
+    from cadenza.operators.retrieve import exact_top_k_lists
     idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
     held = named_items[0][1].select(F.col("id").alias("mapped_id"))
     pairs = (plays(t.orders, t.lineitem).join(idmap, "track_id").join(held, "mapped_id")
@@ -85,9 +85,9 @@ def _scored(t: Tables, named_items, k: int, ks) -> DataFrame:
     users = TB.item_factors(t.embeddings).select("id", "features").join(pairs.select(F.col("user").alias("id")).distinct(), "id")
     out = []
     for name, items in named_items:
-        ranked = exact_top_k(users, items, k, metric="dot").select(
-            F.col("qid").cast("int").alias("user"), "pos", F.col("iid").cast("int").alias("item"))
-        m = M.evaluate_lists(top_k_lists(ranked, "user", "item", out_col="items"), pairs, "user", "item", "items", ks, decimals=6)
+        lists = exact_top_k_lists(users, items, k, metric="dot").select(
+            F.col("qid").cast("int").alias("user"), F.col("items").cast("array<int>").alias("items")).transform(reliable_checkpoint)
+        m = M.evaluate_distinct_lists(lists, pairs, "user", "item", "items", ks, decimals=6)
         out.append(m.select(F.lit(name).alias("factors"), "*"))
     return I.union_all(out)
 
