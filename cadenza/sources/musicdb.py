@@ -119,9 +119,6 @@ def nested_records(part: DataFrame, lineitem: DataFrame, supplier: DataFrame, na
     names = song_records(part, lineitem, supplier)
     songs = part.join(lines, part.p_partkey == lines.l_partkey, "left").join(names, part.p_partkey == names.song_id).join(
         place, F.col("sup") == F.col("s_suppkey"), "left")
-    # A record is a hundred times its narrow row: rows are dealt over all cores before records are made of them, however
-    # few partitions the size of the tables asks for.
-    songs = songs.repartition(4 * part.sparkSession.sparkContext.defaultParallelism, "p_partkey")
     size, key = F.col("p_size"), F.col("p_partkey")
 
     def ramp(n, step):
