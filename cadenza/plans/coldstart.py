@@ -12,22 +12,29 @@ from cadenza.operators import interactions as I
 from cadenza.operators import ridge as RG
 from cadenza.session import reliable_checkpoint
 from cadenza.sources import tables as TB
-from cadenza.sources.tables import Tables, plays
+from cadenza.sources.tables import Tables, played_tracks, plays
 
 NUMERIC = ["duration", "loudness", "tempo"]
 CATEGORICAL = ["release", "artist_id"]
+SHIPPED_KEYS = 1 << 20  # track keys (8 bytes each) that are shipped to the lines; more are joined by a shuffle
 
 
 def aligned_items(t: Tables) -> DataFrame:
-    """C2 without expanding the factors: ``mapped_id, artist_id, release, duration, loudness, tempo, y``."""
-    extras = FE.clean_extras(TB.acoustic_extras(t.lineitem))
-    c1 = FE.catalogue_features(TB.catalog(t.part), TB.artist_term(t.part), TB.artist_location(t.nation, t.region),
-                               extras)
-    idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
-    feats = c1.select("track_id", "artist_id", "release", "duration", "loudness", "tempo")
+    """C2 without expanding the factors: ``mapped_id, artist_id, release, duration, loudness, tempo, y``.
+
+    The tracks that have factors are found first: the averages over lines and the catalogue joins are made for them only.
+    """
+    idmap = I.build_id_index(played_tracks(t.orders, t.lineitem), "track_id", "mapped_id")
     fac = TB.item_factors(t.embeddings).select(F.col("id").alias("mapped_id"),
                                                F.col("features").cast("array<double>").alias("y"))
-    return idmap.join(feats, "track_id").drop("track_id").join(fac, "mapped_id")
+    used = idmap.join(fac.select("mapped_id"), "mapped_id", "left_semi").transform(reliable_checkpoint)
+    keys = used.select(F.col("track_id").cast("long").alias("_k"))
+    keys = F.broadcast(keys) if used.count() <= SHIPPED_KEYS else keys
+    extras = FE.clean_extras(TB.acoustic_extras(t.lineitem.join(keys, F.col("l_partkey") == F.col("_k"), "left_semi")))
+    tracks = TB.catalog(t.part.join(keys, F.col("p_partkey") == F.col("_k"), "left_semi"))
+    c1 = FE.catalogue_features(tracks, TB.artist_term(t.part), TB.artist_location(t.nation, t.region), extras)
+    feats = c1.select("track_id", "artist_id", "release", "duration", "loudness", "tempo")
+    return used.join(feats, "track_id").drop("track_id").join(fac, "mapped_id")
 
 
 def design_matrix(items: DataFrame):
@@ -78,7 +85,7 @@ def _scored(t: Tables, named_items, k: int, ks) -> DataFrame:
     """Per named factor table of held-out items: the users' lists of those items against the plays of them."""
     from cadenza.operators import metrics as M
     from cadenza.operators.retrieve import exact_top_k_lists
-    idmap = I.build_id_index(plays(t.orders, t.lineitem), "track_id", "mapped_id")
+    idmap = I.build_id_index(played_tracks(t.orders, t.lineitem), "track_id", "mapped_id")
     held = named_items[0][1].select(F.col("id").alias("mapped_id"))
     pairs = (plays(t.orders, t.lineitem).join(idmap, "track_id").join(held, "mapped_id")
              .select(F.col("user_id").cast("int").alias("user"), F.col("mapped_id").alias("item"))).transform(reliable_checkpoint)

@@ -50,6 +50,14 @@ def plays(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                     "count"))
 
 
+def played_tracks(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The distinct ``track_id`` of :func:`plays`: lines that have an order, without counting them per user."""
+    return (lineitem.select("l_orderkey", "l_partkey")
+            .join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+            .select("l_partkey").distinct()
+            .select(F.col("l_partkey").cast("string").alias("track_id")))
+
+
 def catalog(part: DataFrame) -> DataFrame:
     """Track metadata: one row per part."""
     return part.select(

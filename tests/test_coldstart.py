@@ -158,3 +158,23 @@ def test_alpha_table_is_the_same_at_any_width(spark):
     a, b = search(narrow, x.shape[1]), search(wide, 4200)
     assert a[:2] == b[:2] and a[1] == list(ALPHAS)
     assert np.allclose(a[2], b[2], rtol=1e-6) and a[3] == pytest.approx(b[3], rel=1e-6)
+
+
+def test_aligned_items_average_the_lines_of_tracks_with_factors_only(spark, monkeypatch):
+    from cadenza.plans import coldstart as CP
+    from cadenza.sources import tables as TB
+    sf = "/root/testdata/sf0.001"
+    t = TB.Tables(spark, sf)
+    few = TB.Tables(spark, sf)
+    few.embeddings = t.embeddings.where("vec_id < 20")
+    made, averages = [], TB.acoustic_extras
+    monkeypatch.setattr(TB, "acoustic_extras", lambda lines: made.append(averages(lines)) or made[-1])
+    shipped = {r["mapped_id"]: r for r in CP.aligned_items(few).collect()}
+    assert made[0].count() == len(shipped) == 20
+    assert "o_custkey" not in made[0]._jdf.queryExecution().toString()
+    monkeypatch.setattr(CP, "SHIPPED_KEYS", 0)
+    assert {r["mapped_id"]: r for r in CP.aligned_items(few).collect()} == shipped
+    whole = {r["mapped_id"]: r for r in CP.aligned_items(t).collect()}
+    assert len(whole) > 20 and all(whole[i] == r for i, r in shipped.items())
+    users = TB.plays(t.orders, t.lineitem).select("track_id").distinct().collect()
+    assert sorted(users) == sorted(TB.played_tracks(t.orders, t.lineitem).collect())
