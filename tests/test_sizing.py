@@ -17,3 +17,9 @@ def test_sizing_conf():
     c = sizing_conf(100 * 2**40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert sizing_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_no_more_query_blocks_than_groups_are_wanted():
+    # A low rank and long lists: each further query block would only send all items once more.
+    assert block_counts(89_607, 120_000, 8, max_query_block=16_644, max_item_block=120_000, k=500, dim=10) == (16, 1)
+    assert block_counts(10**6, 120_000, 8, max_query_block=16_644, max_item_block=120_000, k=500, dim=10) == (61, 1)  # memory
