@@ -191,6 +191,18 @@ def test_lloyd_steps_match_numpy(spark):
     assert spread < 0.6 * (r ** 2).sum()
 
 
+def test_cells_are_built_over_partitions_without_rows(spark):
+    """A file may be split finer than its row groups: tasks without rows send nothing, and the index is whole."""
+    m = np.random.default_rng(8).standard_normal((12, 6))
+    spread, together = _vectors(spark, m).repartition(40), _vectors(spark, m).coalesce(1)
+    first = m[:3].copy()
+    steps = [A.lloyd_step(items, lambda x, y: (A._nearest(x, y), x), first) for items in (spread, together)]
+    assert np.allclose(*steps, atol=1e-12)
+    got = A.ivf_pq_search(together, spread, 4, n_cells=3).collect()
+    assert {r.qid: sum(x.qid == r.qid for x in got) for r in got} == dict.fromkeys(range(12), 4)
+    assert all(r.iid == r.qid for r in got if r.pos == 0)
+
+
 def test_forest_search_broadcasts_nothing(spark):
     """Paths, codes and nodes grow with the items: no join of them goes through the driver."""
     from cadenza.operators.ann import ForestIndex, _fresh_store
