@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import genre_label, quoted_id
@@ -185,13 +185,44 @@ def clean_extras(extras: DataFrame, id_col: str = "track_id") -> DataFrame:
     return extras.withColumn(id_col, quoted_id(id_col))
 
 
-def join_per_key(rows: DataFrame, table: DataFrame, key: str, spread_by: str, spread: int = 16) -> DataFrame:
+MOST_KEYS, MOST_SLOTS = 256, 2048  # keys that have tasks of their own in a join, and such tasks
+
+
+def _slots(spark: SparkSession, n: int) -> list[int]:
+    """One int per partition of a table that is dealt over ``n`` partitions by an int column: the smallest that falls there."""
+    rows = (spark.range(40 * n).select(F.col("id").cast("int").alias("slot"))
+            .groupBy(F.pmod(F.hash("slot"), F.lit(n)).alias("p")).agg(F.min("slot").alias("slot")).collect())  # n rows
+    found = {r["p"]: r["slot"] for r in rows}
+    return [found.get(p, 40 * n + p) for p in range(n)]
+
+
+def join_per_key(rows: DataFrame, table: DataFrame, key: str, spread_by: str) -> DataFrame:
     """``rows`` LEFT ``table``, which has at most one, perhaps long row per ``key`` (J2). Rows of a key are dealt over
-    ``spread`` tasks by a hash of ``spread_by``, each with its copy of the key's row, so that few keys keep all cores busy.
-    A file's size tells little of how long the lists made from it are, so the table is never broadcast."""
-    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
-    return dealt.join(copies.hint("merge"), [key, "_part"], "left").drop("_part")
+    several tasks by a hash of ``spread_by``, each with its copy of the key's row, so that few keys keep all cores busy.
+    A file's size tells little of how long the lists made from it are, so the table is never broadcast.
+
+    Up to ``MOST_KEYS`` keys have tasks of their own. What a task writes then holds one long value, which a columnar file
+    keeps once; a second one can be too much for the dictionary of a column, and all rows of the page are written out in full.
+    """
+    spark = rows.sparkSession
+    table = table.where(F.col(key).isNotNull())
+    keys = [r[0] for r in table.select(key).limit(MOST_KEYS + 1).collect()]
+    if not 0 < len(keys) <= MOST_KEYS:
+        spread = 16
+        copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        dealt = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
+        return dealt.join(copies.hint("merge"), [key, "_part"], "left").drop("_part")
+    spread = max(1, min(MOST_SLOTS // len(keys), -(-16 * spark.sparkContext.defaultParallelism // len(keys))))
+    n = max(len(keys) * spread, int(spark.conf.get("spark.sql.shuffle.partitions")))  # with fewer, the join would deal anew
+    slots = F.array(*map(F.lit, _slots(spark, n)))
+    number = F.try_element_at(F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k, i)]), F.col(key))
+    slot = F.try_element_at(slots, (number * spread + F.col("_part") + 1).cast("int"))
+    other = -1 - F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int")  # rows whose key is not in the table
+    at = f"{key}_part"
+    dealt = (rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
+             .withColumn(at, F.coalesce(slot, other)).drop("_part").repartition(n, at))
+    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).withColumn(at, slot).drop("_part", key)
+    return dealt.join(copies.hint("merge"), at, "left").drop(at)
 
 
 def catalogue_features(tracks: DataFrame, artist_terms: DataFrame, artist_location: DataFrame,

@@ -130,6 +130,29 @@ def test_csv_export_grows_with_the_parts(spark, tmp_path):
     assert size[4] < 5 * size[1]
 
 
+def test_a_task_holds_one_long_value(spark, tmp_path):
+    """Two keys with values of 0.6 MB each, more than a column's dictionary holds: every file has one of them, once; rows whose
+    key is missing or null come back without a value, and many keys give the same rows."""
+    import os
+    rows = spark.createDataFrame([(i, ["a", "b", "c", None][i % 4]) for i in range(400)], "id int, k string").repartition(3)
+    table = spark.createDataFrame([("a", 1), ("b", 2), ("z", 3), (None, 4)], "k string, v int").select(
+        "k", F.concat(F.col("v").cast("string"), F.repeat(F.lit("word "), 120_000)).alias("text"))
+    got = FE.join_per_key(rows, table, "k", "id")
+    got.write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {r.id: (r.k, r.t) for r in back.select("id", "k", F.substring("text", 1, 1).alias("t")).collect()} == {
+        i: (["a", "b", "c", None][i % 4], ["1", "2", None, None][i % 4]) for i in range(400)}
+    held = back.where("text IS NOT NULL").groupBy(F.col("_metadata.file_path")).agg(F.count_distinct("k").alias("n")).collect()
+    assert held and {r.n for r in held} == {1}
+    assert sum(os.path.getsize(tmp_path / "out" / f) for f in os.listdir(tmp_path / "out")) < 16_000_000  # 120 MB in full
+    most, FE.MOST_KEYS = FE.MOST_KEYS, 2
+    try:
+        cut = lambda df: sorted((r.id, r.k, r.t) for r in df.where("k IS NOT NULL").select("id", "k", F.coalesce(F.substring("text", 1, 1), F.lit("")).alias("t")).collect())
+        assert cut(FE.join_per_key(rows, table, "k", "id")) == cut(got)
+    finally:
+        FE.MOST_KEYS = most
+
+
 def test_align_joins_long_columns_after_the_dedup(spark):
     """The lists of a key are no grouping column, and the rows are those of the plain way."""
     idmap = spark.createDataFrame([(f"t{i}", i) for i in range(12)], "track_id string, mapped_id int")
