@@ -203,6 +203,26 @@ def test_cells_are_built_over_partitions_without_rows(spark):
     assert all(r.iid == r.qid for r in got if r.pos == 0)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_many_query_blocks_share_the_items(spark, monkeypatch, kind):
+    """More blocks than the cores need: every task is sent the items once, not once per block; lists, ties by the lower id and
+    queries past the last whole block are those of numpy."""
+    rng = np.random.default_rng(6)
+    q, it = rng.integers(-3, 4, (203, 5)).astype(float), rng.integers(-3, 4, (90, 5)).astype(float)
+    queries, items = (_vectors(spark, m).withColumn("features", F.col("features").cast(f"array<{kind}>")).repartition(3) for m in (q, it))
+    monkeypatch.setattr(RT, "BLOCK_BYTES", 900)  # blocks of some queries
+    lists = RT.exact_top_k_lists(queries, items, 7)
+    want = [sorted(range(90), key=lambda i: (-s[i], i))[:7] for s in q @ it.T]
+    assert {r.qid: r["items"] for r in lists.collect()} == dict(enumerate(want))
+    groups = 2 * spark.sparkContext.defaultParallelism
+    assert lists.rdd.getNumPartitions() == groups < RT.block_counts(203, 90, groups // 2, 900 // (16 * 7 + 8 * 5), 90, k=7, dim=5)[0]
+    rows = {(r.qid, r.pos): (r.iid, r.score) for r in RT.exact_top_k(queries, items, 7).collect()}
+    assert rows == {(i, p): (j, float(q[i] @ it[j])) for i, x in enumerate(want) for p, j in enumerate(x)}
+    monkeypatch.setattr(RT, "HELD_BYTES", 0)  # items that no task can hold go to every block
+    again = RT.exact_top_k_lists(queries, items, 7)
+    assert again.rdd.getNumPartitions() > groups and {r.qid: r["items"] for r in again.collect()} == dict(enumerate(want))
+
+
 def test_forest_search_broadcasts_nothing(spark):
     """Paths, codes and nodes grow with the items: no join of them goes through the driver."""
     from cadenza.operators.ann import ForestIndex, _fresh_store
